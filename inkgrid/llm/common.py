@@ -52,3 +52,36 @@ def free_name(df: DataFrame, *names: str) -> list[str]:
         have.add(name.lower())
         out.append(name)
     return out
+
+
+#: So many rows of two numbers are sent to all executors at most; more are joined by an exchange.
+SENT_ROWS = 500_000
+
+
+def sent(small: DataFrame) -> DataFrame:
+    """A cut table of a few numbers a row, marked for broadcast if it has SENT_ROWS at most."""
+    return F.broadcast(small) if small.count() <= SENT_ROWS else small
+
+
+def runs(batches, *keys: str):
+    """Runs of rows with equal keys, of rows that come sorted by the keys: one pandas frame each."""
+    import pandas as pd
+
+    held = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        same = pd.concat([pdf[k].eq(pdf[k].shift()) for k in keys], axis=1).all(axis=1).to_numpy()
+        starts = [*(~same).nonzero()[0], len(pdf)]
+        if not same[0] and starts[0] != 0:
+            starts.insert(0, 0)
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            part = pdf.iloc[a:b]
+            if a == 0 and held and all(held[0][k].iloc[0] == part[k].iloc[0] for k in keys):
+                held.append(part)
+                continue
+            if held:
+                yield pd.concat(held) if len(held) > 1 else held[0]
+            held = [part]
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]

@@ -1,8 +1,8 @@
 """The queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import fingerprints, mixing, packing, pii
+from . import fingerprints, jaccard, mixing, packing, pii
 
-_MODULES = (packing, fingerprints, mixing, pii)
+_MODULES = (packing, fingerprints, mixing, pii, jaccard)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
