@@ -152,3 +152,28 @@ def in_batches(texts: Iterable[str | None], chars: int = 1_000_000) -> Iterable[
         size += len(t)
     if run:
         yield run
+
+
+class Decoder:
+    """Bytes of ids of a byte-level vocabulary."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
+        # Bytes that print stand for themselves; the others, in order, for the code points from 256 on.
+        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in prints]
+        byte = {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(others)}
+        self.table = {i: bytes(byte[c] for c in token) for token, i in vocabulary.items() if all(c in byte for c in token)}
+
+    def text(self, ids: Iterable[int]) -> str:
+        return b"".join(map(self.table.__getitem__, ids)).decode("utf-8")
+
+
+_decoders: dict[str, Decoder] = {}
+
+
+def decoder(path: str) -> Decoder:
+    if path not in _decoders:
+        _decoders[path] = Decoder(path)
+    return _decoders[path]
