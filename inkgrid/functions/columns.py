@@ -1,0 +1,191 @@
+"""Column expressions without a Python step: texts, JSON replies, typed values, citations, display."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Fixed values of the annotation format.
+UNDECIDED = "LLM answered: non-determinable"
+NO_QUOTE = ("", "not found", "n/a")
+QUOTE_MARKS = "\"“”‘’`"
+QUESTION_TYPES = ("boolean", "integer", "float", "text", "categorical")
+TRUE_WORDS, FALSE_WORDS = ("true", "yes", "1"), ("false", "no", "0")
+ELLIPSIS = r"[.]{2,}|…"
+LEAST_ELLIPSIS_CHARS = 40
+
+
+def bare(text: Column) -> Column:
+    """Without quotation marks and backticks at its ends."""
+    return F.btrim(text, F.lit(QUOTE_MARKS))
+
+
+def ellipsis_parts(text: Column) -> Column:
+    """The parts around ellipses, trimmed, empty ones left out."""
+    return F.filter(F.transform(F.split(text, ELLIPSIS), lambda p: F.trim(p)), lambda p: p != "")
+
+
+def long_enough(parts: Column) -> Column:
+    """Whether the parts together have LEAST_ELLIPSIS_CHARS characters."""
+    return F.aggregate(parts, F.lit(0), lambda n, p: n + F.length(p)) >= LEAST_ELLIPSIS_CHARS
+
+
+def edit_budget(text: Column, rate: float) -> Column:
+    return F.greatest(F.lit(1), F.floor(F.length(text) * F.lit(rate)).cast("int"))
+
+
+def joined_quotes(quotes: Column) -> Column:
+    """A list of quotes as one text, a blank line between them; none: empty."""
+    return F.coalesce(F.array_join(quotes, "\n\n"), F.lit(""))
+
+
+def simple_text(quotes: Column) -> Column:
+    """For comparisons: quotes joined by spaces, lower case, white space collapsed."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(F.array_join(quotes, " "), F.lit(""))), r"\s+", " "))
+
+
+def n_quotes(quotes: Column) -> Column:
+    return F.coalesce(F.size(F.filter(quotes, lambda q: q != "")), F.lit(0))
+
+
+def unfenced(text: Column) -> Column:
+    """The inside of a leading fenced block, if its fence is closed; else the text, trimmed."""
+    inside = F.regexp_extract(F.trim(text), r"(?s)^```[A-Za-z]*\s*\n(.*?)\n?```", 1)
+    return F.when(F.trim(text).rlike(r"(?s)^```[A-Za-z]*\s*\n.*?```"), F.trim(inside)).otherwise(F.trim(text))
+
+
+def primitive_value(line: Column) -> Column:
+    """The first true, false, null or number after "value": in a line; null if there's none."""
+    found = F.regexp_extract(line, r'"value"\s*:\s*(true|false|null|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)', 1)
+    return F.when(found != "", found)
+
+
+def pass1_text(raw: Column) -> Column:
+    """pass1_text of a raw response; of a response that isn't JSON, all of it; of none, empty."""
+    inside = F.coalesce(F.get_json_object(raw, "$.pass1_text"), F.lit(""))
+    return F.when(raw.isNull(), "").when(F.try_parse_json(raw).isNull(), raw).otherwise(inside)
+
+
+def provider_and_model(name: Column) -> tuple[Column, Column]:
+    """"provider/model" at the first slash; without one the provider is null."""
+    has = name.contains("/")
+    return F.when(has, F.substring_index(name, "/", 1)), F.when(has, F.substr(name, F.instr(name, "/") + 1)).otherwise(name)
+
+
+# -- typed values. A value comes as JSON type (null, boolean, number, string, array, object) and raw token.
+
+
+def json_type(token: Column) -> Column:
+    t = F.trim(token)
+    return (
+        F.when(token.isNull() | (t == "null"), "null").when(t.isin("true", "false"), "boolean").when(t.startswith('"'), "string")
+        .when(t.startswith("["), "array").when(t.startswith("{"), "object").otherwise("number")
+    )
+
+
+def python_text(token: Column) -> Column:
+    """A scalar token as the mapping writes it: true as True, strings without quotes, numbers as they stand."""
+    kind = json_type(token)
+    said = F.get_json_object(F.concat(F.lit('{"v":'), token, F.lit("}")), "$.v")
+    return F.when(kind == "null", F.lit(None)).when(kind == "boolean", F.initcap(F.trim(token))).when(kind == "string", said).otherwise(F.trim(token))
+
+
+def mapped(status: Column, detail: Column, **fields: Column) -> Column:
+    kinds = {"value_text": "string", "value_boolean": "boolean", "value_categorical": "string", "value_categorical_multi": "array<string>"}
+    return F.struct(*(fields.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()), status.cast("string").alias("extraction_status"), detail.cast("string").alias("extraction_detail"))
+
+
+def map_boolean(token: Column) -> Column:
+    kind, said = json_type(token), F.lower(python_text(token))
+    empty = F.regexp_replace(F.trim(token), r"\s", "").isin("[]", "{}")
+    value = (
+        F.when(kind == "boolean", F.trim(token) == "true")
+        .when((kind == "string") & said.isin(*TRUE_WORDS), True).when((kind == "string") & said.isin(*FALSE_WORDS), False)
+        .when(kind == "number", F.trim(token).try_cast("double") != 0).when(kind.isin("array", "object"), ~empty)
+    )
+    bad = (kind == "string") & value.isNull()
+    detail = F.when(kind == "null", UNDECIDED).when(bad, python_text(token)).otherwise("")
+    return mapped(F.when(bad, "invalid").otherwise("ok"), detail, value_boolean=value)
+
+
+def map_categorical(token: Column, options: Column) -> Column:
+    said = python_text(token)
+    valid = F.array_contains(options, said)
+    detail = F.when(said.isNull(), UNDECIDED).when(valid, "").otherwise(said)
+    return mapped(F.when(said.isNull() | valid, "ok").otherwise("invalid"), detail, value_categorical=F.when(valid, said))
+
+
+def map_multi(token: Column, options: Column) -> Column:
+    """A list keeps its valid elements, with repetitions; a scalar is a list of one; null is the empty list."""
+    kind = json_type(token)
+    items = F.coalesce(F.from_json(token, "array<string>"), F.array().cast("array<string>"))
+    given = F.when(kind == "array", items).when(kind == "null", F.array().cast("array<string>")).otherwise(F.array(python_text(token)))
+    valid = F.filter(given, lambda v: F.array_contains(options, v))
+    bad = F.size(valid) < F.size(given)
+    listed = F.concat(F.lit("["), F.array_join(F.transform(given, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
+    detail = F.when(kind == "null", UNDECIDED).when(bad & (kind == "array"), listed).when(bad, python_text(token)).otherwise("")
+    return mapped(F.when(bad, "invalid").otherwise("ok"), detail, value_categorical_multi=valid)
+
+
+def map_text(token: Column) -> Column:
+    return mapped(F.lit("ok"), F.lit(""), value_text=python_text(token))
+
+
+def map_value(question_type: Column, allow_multiple: Column, token: Column, options: Column) -> Column:
+    """The typed columns of an answer; an unknown question type is an error."""
+    unknown = F.raise_error(F.concat(F.lit("unknown question type: "), question_type))
+    none = mapped(unknown.cast("string"), F.lit(""))
+    return (
+        F.when(question_type == "boolean", map_boolean(token))
+        .when((question_type == "categorical") & allow_multiple, map_multi(token, options)).when(question_type == "categorical", map_categorical(token, options))
+        .when(question_type.isin("text", "integer", "float"), map_text(token)).otherwise(none)
+    )
+
+
+# -- citations
+
+
+CITATION = "array<struct<text:string,verified:boolean>>"
+
+
+def citations(quotes: Column, checks: Column) -> Column:
+    """One citation a quote that isn't blank, verified as the check at its place says (none: null)."""
+    pairs = F.zip_with(quotes, checks, lambda q, v: F.struct(q.alias("text"), v.alias("verified")))
+    return F.coalesce(F.filter(pairs, lambda c: F.trim(c["text"]) != ""), F.array().cast(CITATION))
+
+
+def verified_of(found: Column) -> Column:
+    """all, any, none, or empty where there's nothing checked."""
+    yes, no = F.exists(found, _is(True)), F.exists(found, _is(False))
+    return F.when(F.size(found) == 0, "").when(F.forall(found, _is(True)), "all").when(yes, "any").when(no, "none").otherwise("")
+
+
+def _is(x: bool):
+    return lambda c: c["verified"].eqNullSafe(F.lit(x))
+
+
+# -- display and wire
+
+
+def shown_in_list(boolean: Column, categorical: Column, text: Column, multi: Column) -> Column:
+    given = F.when(F.size(multi) > 0, F.array_join(multi, ", "))
+    return F.coalesce(boolean.cast("string"), F.nullif(categorical, F.lit("")), F.nullif(text, F.lit("")), given)
+
+
+def shown_in_detail(boolean: Column, categorical: Column, multi: Column, text: Column) -> Column:
+    given = F.when(F.size(multi) > 0, F.array_join(multi, ", "))
+    return F.coalesce(boolean.cast("string"), F.nullif(categorical, F.lit("")), given, F.nullif(text, F.lit("")))
+
+
+def wire_cost(cost: Column) -> Column:
+    return F.when(cost.isNotNull() & (cost != ""), F.format_string("%.6f", cost.cast("double")))
+
+
+def percent(part: Column, whole: Column) -> Column:
+    return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
+
+
+def html_safe(text: Column) -> Column:
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(raw), F.lit(safe))
+    return text

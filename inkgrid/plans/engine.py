@@ -1,0 +1,113 @@
+"""The annotation engine: plan the grid, reason (pass 1), format (pass 2), parse, map, verify, keep, post.
+
+One engine serves annotation and arbitration; they differ in the notice before the questions, the text and the kind of
+payload. A model call is a function from a DataFrame with cid, messages and keys to the same with `completion`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..functions import evidence, replies
+from ..operators import complete, grid, payload, prompts, state
+
+Model = Callable[[DataFrame], DataFrame]
+
+
+def reason_dummy(rows: DataFrame) -> DataFrame:
+    return complete.dummy(rows)
+
+
+def format_dummy(rows: DataFrame) -> DataFrame:
+    return complete.dummy(rows, "keys")
+
+
+def calls(runs: DataFrame, papers: DataFrame, groups: DataFrame, *, states: DataFrame | None = None) -> DataFrame:
+    """One row a group to ask: cid, run_id, paper_id, group_idx, source, keys, messages. papers have source; done groups are left out."""
+    asked = prompts.questions_text(groups)
+    each = papers.crossJoin(F.broadcast(runs.select("run_id").crossJoin(asked)))
+    if states is not None:
+        open_ = grid.pending(grid.cells(runs, papers, groups), states).select("run_id", "paper_id", "group_idx").distinct()
+        each = each.join(open_, ["run_id", "paper_id", "group_idx"], "left_semi")
+    each = each.withColumn("cid", grid.cid(F.col("run_id"), F.col("paper_id"), F.col("group_idx")))
+    notice = F.col("notice") if "notice" in papers.columns else None
+    return each.withColumn("messages", prompts.pass1_messages(F.col("source"), F.col("questions"), F.lit("questions"), notice=notice))
+
+
+def pass1(asked: DataFrame, reason: Model = reason_dummy) -> DataFrame:
+    return reason(asked).withColumnRenamed("completion", "p1").withColumn("pass1_text", F.col("p1.text"))
+
+
+def pass2(done: DataFrame, groups: DataFrame, format_: Model = format_dummy) -> DataFrame:
+    specs = groups.groupBy("group_idx").agg(F.array_sort(F.collect_list(F.struct("pos", F.concat(F.lit("- "), F.col("key"), F.lit(" ("), F.col("question_type"), F.lit(")")).alias("t")))).alias("s"))
+    asked = done.join(F.broadcast(specs.select("group_idx", F.col("s.t").alias("specs"))), "group_idx")
+    asked = asked.withColumn("messages", prompts.pass2_messages(F.coalesce("pass1_text", F.lit("")), F.col("specs"))).drop("specs")
+    return format_(asked)
+
+
+def answers(formatted: DataFrame, groups: DataFrame, *, rate: float = evidence.RATE, gap: int = evidence.GAP, check: bool = True) -> DataFrame:
+    """A row a cell from a row a group: parsed, mapped, verified and with the call's cost on its first answer."""
+    rows = formatted
+    parsed = rows.withColumn("__r", replies.results_column(F.col("completion.text"), F.col("keys")))
+    each = parsed.select(*[c for c in rows.columns if c not in ("messages", "questions", "keys", "version_ids")], F.posexplode("__r").alias("pos", "result"))
+    q = groups.select("group_idx", F.col("pos").alias("__p"), "version_id", "key", "question_type", "allow_multiple", F.transform("options", lambda o: o["value"]).alias("valid"))
+    each = each.join(F.broadcast(q), ["group_idx"]).where("pos = __p").drop("__p")
+    each = payload.attributed(each)
+    failed = F.coalesce(F.col("p1.error"), F.col("completion.error"), F.col("result.parse_error"))
+    answer = C.map_value(F.col("question_type"), F.col("allow_multiple"), F.col("result.value_json"), F.col("valid"))
+    each = each.withColumn("answer", F.when(failed.isNull(), answer).otherwise(C.mapped(F.lit("error"), failed)))
+    each = each.withColumns({"comment": F.col("result.comment"), "confidence": F.col("result.confidence"), "cited": F.coalesce("result.cited", F.array().cast("array<string>"))})
+    if check:
+        each = each.withColumn("checked", evidence.verify_column(rate, gap)(F.col("cited"), F.col("result.cited_kind"), evidence.normalised_column("source")))
+        each = each.withColumn("verified", F.when(F.col("checked.note") != "no citation provided", F.col("checked.ok"))).withColumn("citations", C.citations(F.col("cited"), F.col("checked.each")))
+    else:
+        each = each.withColumns({"verified": F.lit(None).cast("boolean"), "citations": C.citations(F.col("cited"), F.array().cast("array<boolean>"))})
+    raw = F.to_json(F.struct(F.col("cid").alias("batch_group_id"), F.when(F.col("pos") == 0, F.col("pass1_text")).alias("pass1_text"), F.col("result").alias("parse_result")))
+    return each.withColumn("raw_response", raw)
+
+
+def run(runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, *, batching: str | dict | list = "all", states: DataFrame | None = None, reason: Model = reason_dummy, format_: Model = format_dummy, text_source: str = "full_text", kind: str = "answer") -> DataFrame:
+    """Rows to keep: run_id, paper_id, version_id, status, payload_json, batch_group_id. Papers without a text get error rows, unless they're done."""
+    groups = grid.groups_frame(questions, batching)
+    have, none = grid.with_source(papers, source_text, text_source)
+    done = answers(pass2(pass1(calls(runs, have, groups, states=states), reason), groups, format_), groups)
+    kept = done.select("run_id", "paper_id", "version_id", F.when(F.col("answer.extraction_status") == "error", F.when(F.coalesce(F.col("p1.error"), F.col("completion.error")).isNotNull(), "failed").otherwise("done")).otherwise("done").alias("status"), payload.payload_json(kind).alias("payload_json"), F.col("cid").alias("batch_group_id"))
+    lost = grid.cells(runs, none, groups)
+    if states is not None:
+        lost = grid.pending(lost, states)
+    blank = F.to_json(F.struct(F.lit("error").alias("extraction_status"), F.lit("no_ocr").alias("extraction_detail")))
+    return kept.unionByName(lost.select("run_id", "paper_id", "version_id", F.lit("done").alias("status"), blank.alias("payload_json"), F.lit(None).cast("string").alias("batch_group_id")))
+
+
+def resume(table: state.StateTable, *plan, **how) -> DataFrame:
+    """Runs what isn't complete and keeps it; returns the state."""
+    table.save(run(*plan, states=table.view(), **how), F.col("status"))
+    return table.view()
+
+
+def reformat(table: state.StateTable, groups: DataFrame, source_text: DataFrame, format_: Model = format_dummy) -> DataFrame:
+    """Formats stored reasoning again: groups regrouped by their batch_group_id, those without pass-1 text left as they are."""
+    rows = state.regrouped(table.postable()).join(F.broadcast(groups.select("version_id", "group_idx", "pos", "key")), "version_id")
+    text = F.nullif(C.pass1_text(F.get_json_object("payload_json", "$.raw_response")), F.lit(""))
+    packed = rows.groupBy("run_id", "paper_id", "group_key", "group_idx").agg(F.array_sort(F.collect_list(F.struct("pos", "key"))).alias("q"), F.min_by(text, F.when(text.isNotNull(), F.col("pos"))).alias("pass1_text"))
+    asked = packed.where("pass1_text is not null").select("run_id", "paper_id", "group_idx", F.col("group_key").alias("cid"), F.col("q.key").alias("keys"), "pass1_text", F.lit(None).cast("struct<error:string>").alias("p1"))
+    asked = asked.join(source_text.select("paper_id", F.col("markdown").alias("source")), "paper_id", "left")
+    return answers(pass2(asked, groups, format_), groups)
+
+
+def repost(rows: DataFrame, questions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored rows with their question, and those of a version that isn't known."""
+    known = F.broadcast(questions.select("version_id", "key", "question_type", "allow_multiple"))
+    return rows.join(known, "version_id"), rows.join(known, "version_id", "left_anti")
+
+
+def wire(rows: DataFrame, questions: DataFrame) -> DataFrame:
+    """Items to post, from stored answers: typed value, wire cost, raw response."""
+    known, _ = repost(rows, questions)
+    body = F.from_json("payload_json", "value_text string, value_boolean boolean, value_categorical string, value_categorical_multi array<string>, extraction_status string, comment string, cited_text string, cost string, raw_response string")
+    known = known.withColumn("p", body)
+    return known.select(F.col("run_id").alias("run"), F.col("paper_id").alias("paper"), F.col("version_id").alias("question_version"), payload.value_on_wire(F.col("question_type"), F.col("allow_multiple"), F.col("p")).alias("value"), F.coalesce("p.comment", F.lit("")).alias("comment"), F.coalesce("p.cited_text", F.lit("")).alias("cited_text"), C.wire_cost(F.col("p.cost")).alias("cost"), C.pass1_text(F.col("p.raw_response")).alias("reasoning"))
