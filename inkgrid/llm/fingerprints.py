@@ -99,14 +99,14 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str], tie: str) -> Dat
         return let(F.size(F.filter(coarse, lambda b: b < id_)), fine)
 
     rows = docs.withColumn("__id", key).withColumn("__range", bucket(F.col("__id")))
-    own = F.struct(F.col("__range").alias("r"), F.lit(0).alias("lent"))
-    lent = F.struct(F.pmod(F.col("__range") + 1, F.lit(len(bounds))).alias("r"), F.lit(1).alias("lent"))
+    own = F.struct(F.col("__range").alias("__dealt"), F.lit(0).alias("__lent"))
+    lent = F.struct(F.pmod(F.col("__range") + 1, F.lit(len(bounds))).alias("__dealt"), F.lit(1).alias("__lent"))
     heads = F.get(all_bounds, F.col("__range")) == F.col("__id")
-    rows = rows.withColumn("__to", F.explode(F.when(heads, F.array(own, lent)).otherwise(F.array(own))))
-    down = Window.partitionBy("__to.r").orderBy("__to.lent", F.col("__id").desc(), tie)
-    for c in carried:
-        rows = rows.withColumn(f"next_{c}", F.lead(c).over(down))
-    return rows.where("__to.lent = 0").drop("__id", "__range", "__to")
+    to = F.explode(F.when(heads, F.array(own, lent)).otherwise(F.array(own))).alias("__to")
+    rows = rows.select("*", to).select(*docs.columns, "__id", "__to.*")
+    down = Window.partitionBy("__dealt").orderBy("__lent", F.col("__id").desc(), tie)
+    rows = rows.withColumn("__next", F.lead(F.struct(*carried)).over(down)).where("__lent = 0")
+    return rows.select(*docs.columns, *(F.col(f"__next.{c}").alias(f"next_{c}") for c in carried))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
