@@ -4,8 +4,9 @@ Base spans are e-mail addresses, IP addresses, card numbers and telephone number
 the strings found. Around each, within NEAR characters, stand context terms. Over the whole corpus, a term t
 discloses an entity e by  PMI(t; e) / IC(e) = log(N n_te / (n_t n_e)) / log(N / n_e),  which is 1 if t occurs
 only with e and 0 if they are independent (n: documents with t, with e, with t near e; N: all documents).
-Terms at DISCLOSES or more, seen with e in at least SUPPORT documents and SUPPORT different surroundings
-(copies of one passage prove nothing), are spans too, of kind term: base kinds are generalised to their
+Terms at DISCLOSES or more, seen with e in at least SUPPORT documents and SUPPORT different surroundings,
+are spans too, unless more rare words recur around e than stand there once: such texts are copies, exact or near, of one
+passage, in which any rare word goes with any other. They are of kind term: base kinds are generalised to their
 kind's name, terms are removed.
 
 Positions are code points, ends exclusive. Nulls: a null text is empty and has no spans; rows with one doc_id
@@ -14,6 +15,8 @@ and one text share their spans. Patterns can't backtrack over repetitions, so lo
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,9 +128,17 @@ def _terms(side: Column, at: Column, is_left: bool) -> Column:
     return let(F.struct(kept.alias("text"), offset.alias("at")), moved)
 
 
+def _entity(kind: str) -> Callable[[Column], Column]:
+    return lambda s: F.concat(F.lit(f"{kind}:"), F.lower(s["said"]))
+
+
+def _with_entity(kind: str) -> Callable[[Column], Column]:
+    return lambda s: F.struct(_entity(kind)(s).alias("entity"), *(s[c].alias(c) for c in ("start", "end", "left", "right")))
+
+
 def contexts(spans: DataFrame) -> DataFrame:
     """A row for each term near each entity: __id, __key, entity, around (hash of the surroundings), term, start, end."""
-    each = F.concat(*(F.transform(F.col(k), lambda s, k=k: F.struct(F.concat(F.lit(f"{k}:"), F.lower(s["said"])).alias("entity"), *(s[c].alias(c) for c in ("start", "end", "left", "right")))) for k in KINDS))
+    each = F.concat(*(F.transform(F.col(k), _with_entity(k)) for k in KINDS))
     rows = spans.select("__id", "__key", F.explode(each).alias("s")).select("__id", "__key", "s.*")
     none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
     both = F.concat(F.coalesce(_terms(F.col("left"), F.col("start"), True), none), F.coalesce(_terms(F.col("right"), F.col("end"), False), none))
@@ -138,20 +149,29 @@ def disclosing(docs: DataFrame, spans: DataFrame, text_col: str = "text", *, sup
     """entity, term, disclosure of the terms that give an entity away."""
     near = contexts(spans)
     pairs = near.groupBy("entity", "term", "around").agg(F.count_distinct("__id", "__key").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count("*").alias("n_around")).where((F.col("n_around") >= support) & (F.col("n_te") >= support))
-    pairs = common.cut(pairs)
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count("*").alias("n_around"))
+    each = F.array_distinct(F.concat(*(F.transform(F.col(k), _entity(k)) for k in KINDS)))
+    with_entity = spans.select(F.explode(each).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    seen = near.groupBy("term", "__id", "__key").agg(F.lit(1)).groupBy("term").agg(F.count("*").alias("n_seen"))
+    n = spans.count()
+
+    def told(n_t: str) -> Column:
+        return F.lit(1.0) + F.log(F.least(F.lit(1.0), F.col("n_te") / F.col(n_t))) / F.greatest(F.log(F.lit(float(n)) / F.col("n_e")), F.lit(1e-9))
+
+    # A term is in n_seen documents at least, those where it stands near any entity: most fall short by that already.
+    rare = common.cut(pairs.join(with_entity, "entity").join(seen, "term").where(told("n_seen") >= discloses))
+    pairs = common.cut(rare.where((F.col("n_around") >= support) & (F.col("n_te") >= support)))
     if not pairs.head(1):
         return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
-    each = F.array_distinct(F.concat(*(F.transform(F.col(k), lambda s, k=k: F.concat(F.lit(f"{k}:"), F.lower(s["said"]))) for k in KINDS)))
-    with_entity = spans.select(F.explode(each).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
     terms = common.cut(pairs.select("term").distinct())
     if terms.count() <= SENT_TERMS:
         terms = F.broadcast(terms)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(common.whole(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
     with_term = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    n = spans.count()
-    told = F.lit(1.0) + F.log(F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))) / F.greatest(F.log(F.lit(float(n)) / F.col("n_e")), F.lit(1e-9))
-    return pairs.join(with_entity, "entity").join(with_term, "term").withColumn("disclosure", told).where(F.col("disclosure") >= discloses).select("entity", "term", "disclosure")
+    shown = common.cut(pairs.join(with_term, "term").withColumn("disclosure", told("n_t")).where(F.col("disclosure") >= discloses))
+    once = rare.where("n_te = 1").groupBy("entity").agg(F.count("*").alias("once"))
+    varied = shown.groupBy("entity").agg(F.sum("n_te").alias("repeats")).join(once, "entity").where("repeats <= once").select("entity")
+    return shown.join(varied, "entity", "left_semi").select("entity", "term", "disclosure")
 
 
 def term_spans(spans: DataFrame, told: DataFrame) -> DataFrame | None:
