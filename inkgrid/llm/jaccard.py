@@ -9,8 +9,8 @@
    them is first bounded by the leader's known overlap, plus their difference (answer-level skipping).
 4. The rest. Any two linked sets share an element of their prefixes (the smallest fifth of the hashes). Prefixes are
    dealt by hash range; each list is ordered by size and read in blocks, which are skipped whole when their best
-   position leaves too little room for the needed overlap (index-level skipping). Pairs inside one component are no
-   longer needed. The others are all verified, the most promising of each set first.
+   position leaves too little room for the needed overlap (index-level skipping). Bitmaps of the sets bound from
+   below in how many elements two sets differ. Pairs inside one component are no longer needed. The others are all verified, the most promising of each set first.
 Components are built from verified links alone, so they are those of all links.
 
 Nulls: null and empty texts have the empty set and link with nothing; a null doc_id is an id of its own. Rows
@@ -35,6 +35,7 @@ CHARS_PER_WORD = 5
 GROUP_KEYS = 2
 GROUP_ROWS = 1500
 INDEX_BLOCK = 64
+HELD_PAIRS = 500_000
 FIRST_TRIES = 3
 
 
@@ -47,14 +48,17 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
 
 
+_PARTS = "part long, block long, docs binary, counts binary, hashes binary"
+_PART_COLUMNS = [x.split()[0] for x in _PARTS.split(", ")]
+
+
 def _deal(bits: int):
-    """Blocks of sets, cut by the first bits of the hashes: rows of one range and block. Range -1 and below: the sets' sizes and names."""
+    """Blocks of sets, cut by the first bits of the hashes: a row a range and block. Below 0: the block's documents, their sets' sizes and names."""
 
-    def block(ids: list[int], sets: list[np.ndarray]) -> Iterator[tuple]:
+    def rows(block: int, ids: list[int], sets: list[np.ndarray]) -> Iterator[tuple]:
         sizes = np.array([s.size for s in sets], np.int32)
         names = "".join(xxhash.xxh128_hexdigest(s.tobytes()) for s in sets).encode()
-        docs = np.array(ids, np.int64)
-        yield -1 - int(ids[0]) % 64, docs.tobytes(), sizes.tobytes(), names
+        yield -1 - block, block, np.array(ids, np.int64).tobytes(), sizes.tobytes(), names
         h = np.concatenate(sets)
         at = np.repeat(np.arange(len(sets)), sizes)
         part = (h >> np.uint64(64 - bits)).astype(np.uint16) if bits else np.zeros(h.size, np.uint16)
@@ -67,49 +71,62 @@ def _deal(bits: int):
             if a < b:
                 counts = np.bincount(at[a:b], minlength=len(sets))
                 some = counts.nonzero()[0]
-                yield p, docs[some].tobytes(), counts[some].astype(np.int32).tobytes(), low[a:b].tobytes()
+                yield p, block, some.astype(np.int32).tobytes(), counts[some].astype(np.int32).tobytes(), low[a:b].tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 24
         ids, sets, total = [], [], 0
         for pdf in batches:
             for doc, text in zip(pdf["doc"], pdf["text"], strict=True):
                 ids.append(doc)
                 sets.append(shingles.shingle_set(text))
-                total += sets[-1].size
+                total += sets[-1].size + 1
                 if total >= BLOCK:
-                    yield pd.DataFrame(block(ids, sets), columns=["part", "docs", "counts", "hashes"])
-                    ids, sets, total = [], [], 0
+                    yield pd.DataFrame(rows(block, ids, sets), columns=_PART_COLUMNS)
+                    ids, sets, total, block = [], [], 0, block + 1
         if ids:
-            yield pd.DataFrame(block(ids, sets), columns=["part", "docs", "counts", "hashes"])
+            yield pd.DataFrame(rows(block, ids, sets), columns=_PART_COLUMNS)
 
     return run
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For one range: how many of each document's shingles others have too. For the ranges below 0: sizes and names."""
-    docs = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["docs"]])
-    counts = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["counts"]])
+    """For a range: of each block's documents that have some there, how many shingles others have too. What blocks tell of themselves passes."""
     if pdf["part"].iloc[0] < 0:
-        names = b"".join(pdf["hashes"]).decode()
-        return pd.DataFrame({"doc": docs, "n": counts.astype(np.int64), "name": [names[i : i + 32] for i in range(0, len(names), 32)], "shared": np.zeros(docs.size, np.int64)})
+        return pdf
+    counts = [np.frombuffer(x, np.int32) for x in pdf["counts"]]
+    sizes = np.array([c.size for c in counts])
     h = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["hashes"]])
-    at = np.repeat(np.arange(docs.size, dtype=np.int32), counts)
+    at = np.repeat(np.arange(sizes.sum(), dtype=np.int32), np.concatenate(counts))
     order = np.argsort(h)
     h, at = h[order], at[order]
     same = np.concatenate([[False], h[1:] == h[:-1], [False]])
-    shared = np.bincount(at[same[1:] | same[:-1]], minlength=docs.size)
-    some = shared > 0
-    return pd.DataFrame({"doc": docs[some], "n": np.zeros(some.sum(), np.int64), "name": None, "shared": shared[some]})
+    shared = np.bincount(at[same[1:] | same[:-1]], minlength=sizes.sum()).astype(np.int32)
+    told = np.split(shared, np.cumsum(sizes)[:-1])
+    docs = [np.frombuffer(x, np.int32)[n > 0].tobytes() for x, n in zip(pdf["docs"], told, strict=True)]
+    return pdf.assign(docs=docs, counts=[n[n > 0].tobytes() for n in told], hashes=None)
+
+
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For a block: its documents with their sets' sizes and names, and the sums of what the ranges told."""
+    own = pdf[pdf["part"] < 0].iloc[0]
+    docs, sizes, names = np.frombuffer(own["docs"], np.int64), np.frombuffer(own["counts"], np.int32), own["hashes"].decode()
+    shared = np.zeros(docs.size, np.int64)
+    told = pdf[pdf["part"] >= 0]
+    for at, n in zip(told["docs"], told["counts"], strict=True):
+        shared[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int32)
+    return pd.DataFrame({"doc": docs, "n": sizes.astype(np.int64), "name": [names[i : i + 32] for i in range(0, len(names), 32)], "shared": shared})
 
 
 def screen(texts: DataFrame) -> DataFrame:
     """doc, n, name (of its set), shared: how many of its shingles other rows have too, or slightly more. Cut."""
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(14, max(0, int(total / CHARS_PER_WORD / RANGE).bit_length()))
-    dealt = texts.mapInPandas(_deal(bits), "part int, docs binary, counts binary, hashes binary")
-    counted = dealt.groupBy("part").applyInPandas(_shared, "doc long, n long, name string, shared long")
-    each = counted.groupBy("doc").agg(F.max("n").alias("n"), F.max("name").alias("name"), F.sum("shared").alias("shared"))
-    return common.cut(each)
+    counted = texts.mapInPandas(_deal(bits), _PARTS).groupBy("part").applyInPandas(_shared, _PARTS)
+    each = counted.groupBy("block").applyInPandas(_summed, "doc long, n long, name string, shared long")
+    return common.cut(each.groupBy("doc").agg(F.max("n").alias("n"), F.max("name").alias("name"), F.sum("shared").alias("shared")))
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -162,54 +179,115 @@ def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(links, columns=["a", "b"])
 
 
+def _level(n: int | np.ndarray):
+    """log2 of the bits of a set's bitmap: twice its size or more, 64 at least."""
+    return np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) + 1)
+
+
+def bitmap(s: np.ndarray, level: int) -> np.ndarray:
+    """Parities of how many elements fall on each bit. Sets differ in at least as many elements as their bitmaps do in bits."""
+    odd = np.bincount((s & np.uint64(2**level - 1)).astype(np.int64), minlength=2**level) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def folded(b: np.ndarray) -> np.ndarray:
+    """The bitmap of the level below."""
+    return b[: b.size // 2] ^ b[b.size // 2 :] if b.size > 1 else b ^ (b >> np.uint64(32))
+
+
+_DEALT = "part int, doc binary, component binary, n binary, bitmaps binary, at binary, pos binary, h binary"
+
+
 def _prefixes(bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
                 continue
-            n = pdf["n"].to_numpy(np.int64)
+            n, doc, comp = (pdf[k].to_numpy(np.int64) for k in ("n", "doc", "component"))
+            sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+            maps = [bitmap(s, k) for s, k in zip(sets, _level(n), strict=True)]
             take = n - (4 * n + 4) // 5 + 1
-            h = np.concatenate([np.frombuffer(x, np.uint64, count=k) for x, k in zip(pdf["set"], take, strict=True)])
-            pos = np.arange(h.size) - np.repeat(np.cumsum(take) - take, take)
-            cols = {"doc": np.repeat(pdf["doc"].to_numpy(np.int64), take), "component": np.repeat(pdf["component"].to_numpy(np.int64), take), "n": np.repeat(n, take).astype(np.int32), "pos": pos.astype(np.int32), "h": h}
+            h = np.concatenate([s[:k] for s, k in zip(sets, take, strict=True)])
+            pos = (np.arange(h.size) - np.repeat(np.cumsum(take) - take, take)).astype(np.int32)
+            at = np.repeat(np.arange(n.size), take)
             part = (h >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(h.size, np.int32)
             order = np.argsort(part, kind="stable")
             part = part[order]
             starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            yield pd.DataFrame([(int(part[a]), *(v[order[a:b]].tobytes() for v in cols.values())) for a, b in zip(starts, [*starts[1:], h.size], strict=True)], columns=["part", *cols])
+            rows = []
+            for a, b in zip(starts, [*starts[1:], h.size], strict=True):
+                here = order[a:b]
+                some, local = np.unique(at[here], return_inverse=True)
+                rows.append((int(part[a]), doc[some].tobytes(), comp[some].tobytes(), n[some].tobytes(), b"".join(maps[i].tobytes() for i in some), local.astype(np.int32).tobytes(), pos[here].tobytes(), h[here].tobytes()))
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in _DEALT.split(", ")])
 
     return run
 
 
+class _Bitmaps:
+    """Bitmaps of many sets, each at its own level and folded to the one below."""
+
+    def __init__(self, n: np.ndarray, maps: list[np.ndarray]) -> None:
+        self.level = _level(n)
+        self.table, self.row = {}, {}
+        for k in np.unique(self.level):
+            rows = np.flatnonzero((self.level == k) | (self.level == k + 1))
+            self.table[k] = np.stack([maps[i] if self.level[i] == k else folded(maps[i]) for i in rows])
+            self.row[k] = np.full(n.size, -1, np.int64)
+            self.row[k][rows] = np.arange(rows.size)
+
+    def differ(self, i: int, others: np.ndarray) -> np.ndarray:
+        """A lower bound on how many elements set i and each of the others, which are as large or a quarter larger, don't share."""
+        k = self.level[i]
+        table, row = self.table[k], self.row[k]
+        return np.bitwise_count(table[row[others]] ^ table[row[i]]).sum(1, dtype=np.int64)
+
+
+def _unique_pairs(out: list[np.ndarray], hits: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    pairs, back = np.unique(np.concatenate(out), axis=0, return_inverse=True)
+    return [pairs], [np.bincount(back.ravel(), weights=np.concatenate(hits), minlength=len(pairs)).astype(np.int64)]
+
+
 def _pairs(pdf: pd.DataFrame) -> pd.DataFrame:
     """Pairs of different components that share a prefix element and can overlap enough, each with how often it was found."""
-    kinds = {"doc": np.int64, "component": np.int64, "n": np.int32, "pos": np.int32, "h": np.uint64}
-    c = {k: np.concatenate([np.frombuffer(x, t) for x in pdf[k]]) for k, t in kinds.items()}
-    order = np.lexsort((c["n"], c["h"]))
-    c = {k: v[order] for k, v in c.items()}
-    edge = np.flatnonzero(np.concatenate([[True], c["h"][1:] != c["h"][:-1], [True]]))
-    out = []
-    low, high = np.minimum.reduceat(c["component"], edge[:-1]), np.maximum.reduceat(c["component"], edge[:-1])
+    doc, component, size = (np.concatenate([np.frombuffer(x, np.int64) for x in pdf[k]]) for k in ("doc", "component", "n"))
+    widths = 2 ** _level(size) // 8
+    raw = b"".join(pdf["bitmaps"])
+    ends = np.cumsum(widths)
+    maps = _Bitmaps(size, [np.frombuffer(raw, "<u8", w // 8, e - w) for w, e in zip(widths, ends, strict=True)])
+    counts = [len(x) // 8 for x in pdf["doc"]]
+    at = np.concatenate([np.frombuffer(x, np.int32) + base for x, base in zip(pdf["at"], np.cumsum(counts) - counts, strict=True)])
+    pos, h = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["pos"]]).astype(np.int64), np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["h"]])
+    order = np.lexsort((size[at], h))
+    at, pos, h = at[order], pos[order], h[order]
+    edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
+    out, hits, held = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)], 0
+    low, high = np.minimum.reduceat(component[at], edge[:-1]), np.maximum.reduceat(component[at], edge[:-1])
     for g in np.flatnonzero(low != high):
         a, b = edge[g], edge[g + 1]
-        doc, comp, n, pos = c["doc"][a:b], c["component"][a:b], c["n"][a:b].astype(np.int64), c["pos"][a:b].astype(np.int64)
-        rest = n - pos - 1
+        own, n, p = at[a:b], size[at[a:b]], pos[a:b]
+        comp, rest = component[own], n - p - 1
         blocks = np.arange(0, n.size, INDEX_BLOCK)
-        top_pos, top_rest = np.maximum.reduceat(pos, blocks), np.maximum.reduceat(rest, blocks)
+        top_pos, top_rest = np.maximum.reduceat(p, blocks), np.maximum.reduceat(rest, blocks)
         for i in range(n.size - 1):
             end = int(np.searchsorted(n, 5 * n[i] // 4, side="right"))
             for k in range((i + 1) // INDEX_BLOCK, -(-end // INDEX_BLOCK)):
                 x, y = max(i + 1, k * INDEX_BLOCK), min(end, (k + 1) * INDEX_BLOCK)
-                if x >= y or min(pos[i], top_pos[k]) + 1 + min(rest[i], top_rest[k]) < least_overlap(n[i], n[x]):
+                if x >= y or min(p[i], top_pos[k]) + 1 + min(rest[i], top_rest[k]) < least_overlap(n[i], n[x]):
                     continue
-                room = np.minimum(pos[i], pos[x:y]) + 1 + np.minimum(rest[i], rest[x:y])
+                room = np.minimum(p[i], p[x:y]) + 1 + np.minimum(rest[i], rest[x:y])
                 hit = x + np.flatnonzero((room >= least_overlap(n[i], n[x:y])) & (comp[x:y] != comp[i]))
                 if hit.size:
-                    out.append(np.stack([np.minimum(doc[i], doc[hit]), np.maximum(doc[i], doc[hit])], 1))
-    if not out:
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "hits": np.zeros(0, np.int64)})
-    pairs, hits = np.unique(np.concatenate(out), axis=0, return_counts=True)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "hits": hits.astype(np.int64)})
+                    hit = hit[maps.differ(own[i], own[hit]) <= n[i] + n[hit] - 2 * least_overlap(n[i], n[hit])]
+                    mine, other = doc[own[i]], doc[own[hit]]
+                    out.append(np.stack([np.minimum(mine, other), np.maximum(mine, other)], 1))
+                    hits.append(np.ones(hit.size, np.int64))
+                    held += hit.size
+                    if held > HELD_PAIRS:
+                        out, hits = _unique_pairs(out, hits)
+                        held = len(out[0]) // 2
+    (pairs,), (hits,) = _unique_pairs(out, hits)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "hits": hits})
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,7 +334,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     labelled = labelled.withColumn("component", F.coalesce("component", "doc"))
     n_prefix = (sets.agg(F.sum("n")).first()[0] or 0) // 5
     bits = min(14, max(0, int(n_prefix / RANGE * 4).bit_length()))
-    dealt = labelled.mapInPandas(_prefixes(bits), "part int, doc binary, component binary, n binary, pos binary, h binary")
+    dealt = labelled.mapInPandas(_prefixes(bits), _DEALT)
     pairs = dealt.groupBy("part").applyInPandas(_pairs, "a long, b long, hits long").groupBy("a", "b").agg(F.sum("hits").alias("hits"))
     pairs = common.cut(pairs)
     if pairs.head(1):

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
 _STEP, _SHORT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
