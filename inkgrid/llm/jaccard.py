@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from . import common, graphs, shingles
 
-#: Shingles of a block that is dealt at once, and of a hash range, about.
-BLOCK, RANGE = 1_000_000, 1_500_000
+#: Shingles of a block that is dealt at once, and of a hash range, about. Many ranges make larger blocks, so that a block has LEAST shingles in each.
+BLOCK, RANGE, MOST_BITS, LEAST = 1_000_000, 1_500_000, 18, 64
 CHARS_PER_WORD = 5
 GROUP_KEYS = 2
 GROUP_ROWS = 1500
@@ -61,7 +61,7 @@ def _deal(bits: int):
         yield -1 - block, block, np.array(ids, np.int64).tobytes(), sizes.tobytes(), names
         h = np.concatenate(sets)
         at = np.repeat(np.arange(len(sets)), sizes)
-        part = (h >> np.uint64(64 - bits)).astype(np.uint16) if bits else np.zeros(h.size, np.uint16)
+        part = (h >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32) if bits else np.zeros(h.size, np.uint16)
         order = np.argsort(part, kind="stable")
         low = ((h << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)[order]
         at, part = at[order], part[order]
@@ -83,7 +83,7 @@ def _deal(bits: int):
                 ids.append(doc)
                 sets.append(shingles.shingle_set(text))
                 total += sets[-1].size + 1
-                if total >= BLOCK:
+                if total >= max(BLOCK, LEAST << bits):
                     yield pd.DataFrame(rows(block, ids, sets), columns=_PART_COLUMNS)
                     ids, sets, total, block = [], [], 0, block + 1
         if ids:
@@ -123,7 +123,7 @@ def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
 def screen(texts: DataFrame) -> DataFrame:
     """doc, n, name (of its set), shared: how many of its shingles other rows have too, or slightly more. Cut."""
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(14, max(0, int(total / CHARS_PER_WORD / RANGE).bit_length()))
+    bits = min(MOST_BITS, max(0, int(total / CHARS_PER_WORD / RANGE).bit_length()))
     counted = texts.mapInPandas(_deal(bits), _PARTS).groupBy("part").applyInPandas(_shared, _PARTS)
     each = counted.groupBy("block").applyInPandas(_summed, "doc long, n long, name string, shared long")
     return common.cut(each.groupBy("doc").agg(F.max("n").alias("n"), F.max("name").alias("name"), F.sum("shared").alias("shared")))
@@ -333,7 +333,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     labelled = sets.select("doc", "n", "set").join(common.sent(comps.select(F.col("node").alias("doc"), "component")), "doc", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "doc"))
     n_prefix = (sets.agg(F.sum("n")).first()[0] or 0) // 5
-    bits = min(14, max(0, int(n_prefix / RANGE * 4).bit_length()))
+    bits = min(MOST_BITS, max(0, int(n_prefix / RANGE * 4).bit_length()))
     dealt = labelled.mapInPandas(_prefixes(bits), _DEALT)
     pairs = dealt.groupBy("part").applyInPandas(_pairs, "a long, b long, hits long").groupBy("a", "b").agg(F.sum("hits").alias("hits"))
     pairs = common.cut(pairs)

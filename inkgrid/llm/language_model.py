@@ -29,8 +29,8 @@ from . import common, shingles
 
 A = 0.1
 MU = 64.0
-#: Tokens of a block and n-grams of a range, about.
-BLOCK, RANGE = 1_500_000, 4_000_000
+#: Tokens of a block and n-grams of a range, about. Many ranges make larger blocks, so that a block has LEAST n-grams in each.
+BLOCK, RANGE, MOST_BITS, LEAST = 1_500_000, 4_000_000, 18, 64
 CHARS_PER_TOKEN = 6
 NGRAMS_PER_TOKEN = 1.1
 _END = np.uint64(0x5EED0000000000E2)
@@ -110,7 +110,7 @@ def _deal(bits: int):
                 train.append(bool(t))
                 texts.append((text or "").encode("utf-8", "surrogatepass"))
                 size += len(texts[-1]) + CHARS_PER_TOKEN
-                if size >= BLOCK * CHARS_PER_TOKEN:
+                if size >= max(BLOCK, LEAST << bits) * CHARS_PER_TOKEN:
                     yield pd.DataFrame(rows(block, ids, train, texts), columns=_COLUMNS)
                     block += 1
                     ids, train, texts, size = [], [], [], 0
@@ -187,7 +187,7 @@ def _score(bits: int):
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores of all texts by a model of those whose crc32(id as text) mod 10 isn't 0."""
     total = docs.agg(F.sum(F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)) + CHARS_PER_TOKEN)).first()[0] or 0
-    bits = min(12, max(0, int(total / CHARS_PER_TOKEN * NGRAMS_PER_TOKEN / RANGE).bit_length()))
+    bits = min(MOST_BITS, max(0, int(total / CHARS_PER_TOKEN * NGRAMS_PER_TOKEN / RANGE).bit_length()))
     train = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 10 != 0
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), train.alias("train"))
     dealt = texts.mapInPandas(_deal(bits), _DEALT)
