@@ -109,3 +109,14 @@ def test_terms_that_give_an_entity_away(spark):
     assert {(r.entity, r.term) for r in pii.disclosing(docs, spans).collect()} == {("email:z@corp.com", "zorblatt")}
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert clean[0] == "w0a w0b w0c w0d w0e w0f met  at [EMAIL] r0x r0y r0z" and "Stayhere [EMAIL]" in clean[100]
+
+
+@pytest.mark.parametrize("n", [6, 60])
+def test_more_evidence_keeps_a_term_in_a_closed_vocabulary(spark, n):
+    word = lambda i, k: f"common{(i * 7919 + k * 104729 + i * i * k) % 97}"
+    around = lambda i: " ".join(word(i, k) for k in range(5))
+    told = [(i, f"{around(i)} Zorblatt z@corp.com {around(i + 5000)}") for i in range(n)]
+    copies = [(2000 + i, f"alpha bravo charlie delta Stayhere c@d.com echo foxtrot golf hotel {word(i, 1)}") for i in range(n)]
+    plain = [(10000 + i, f"{around(i)} {around(i + 777)} {around(i + 3000)}") for i in range(2000)]
+    docs = spark.createDataFrame(told + copies + plain, "doc_id long, text string")
+    assert {(r.entity, r.term) for r in pii.disclosing(docs, pii.found(docs)).collect()} == {("email:z@corp.com", "zorblatt")}
