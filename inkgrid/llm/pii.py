@@ -1,13 +1,14 @@
 """Personal data: pattern spans, and terms that give protected entities away.
 
 Base spans are e-mail addresses, IP addresses, card numbers and telephone numbers. The entities to protect are
-the strings found. Around each, within NEAR characters, stand context terms. Over the whole corpus, a term t
-discloses an entity e by  PMI(t; e) / IC(e) = log(N n_te / (n_t n_e)) / log(N / n_e),  which is 1 if t occurs
-only with e and 0 if they are independent (n: documents with t, with e, with t near e; N: all documents).
-Terms at DISCLOSES or more, seen with e in at least SUPPORT documents and SUPPORT independent surroundings, are spans
-too: surroundings that share COPIED of their terms or more are copies, exact or near, of one passage, in which any rare
-word goes with any other, and count once. Further surroundings only add to a term's evidence. Terms are of kind term:
-base kinds are generalised to their kind's name, terms are removed.
+the strings found. Over the whole corpus, a term t discloses an entity e by
+PMI(t; e) / IC(e) = log(N n_te / (n_t n_e)) / log(N / n_e),  which is 1 if t occurs only with e and 0 if they are
+independent (n: documents with t, with e, with both, anywhere in them; N: all documents; rows are documents).
+Terms at DISCLOSES or more, seen with e in at least SUPPORT documents and SUPPORT independent surroundings (of e or of t:
+those of its first place in a document), are spans too, wherever they stand in any document: surroundings that share
+COPIED of their terms or more are copies, exact or near, of one passage, in which any rare word goes with any other, and
+count once. Further surroundings only add to a term's evidence. Terms are of kind term: base kinds are generalised to
+their kind's name, terms are removed.
 
 Positions are code points, ends exclusive. Nulls: a null text is empty and has no spans; rows with one doc_id
 and one text share their spans. Patterns can't backtrack over repetitions, so long runs cost no more.
@@ -34,7 +35,8 @@ PATTERNS = {
 #: A text without a match of these has none of the kind.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 TERM = r"\p{L}[\p{L}\p{N}]{2,63}"
-NEAR = 80
+#: Surroundings: so many characters beside an entity, so many terms beside a term.
+NEAR, NEAR_TERMS = 80, 12
 SUPPORT = 3
 DISCLOSES = 0.8
 #: Surroundings whose terms have this Jaccard similarity are copies. They are looked for by BANDS pairs of smallest hashes.
@@ -70,7 +72,7 @@ def _holds(kind: str, m: Column) -> Column:
 
 
 def placed(text: Column, pattern: str) -> Column:
-    """Matches of a pattern in order: start, end, said (the match), left, right (NEAR characters beside it).
+    """Matches of a pattern in order: start, end, said (the match).
 
     split() and regexp_extract_all() walk the same matches, so the lengths of gaps and matches add up to places.
     """
@@ -83,10 +85,7 @@ def placed(text: Column, pattern: str) -> Column:
             b = F.floor(i / BLOCK).cast("int")
             before = total(F.slice(blocks, F.lit(1), b)) + total(F.slice(sizes, b * BLOCK + 1, i % BLOCK))
             start = before + F.length(F.get(gaps, i))
-            return F.struct(
-                start.alias("start"), (start + F.length(m)).alias("end"), m.alias("said"),
-                F.substring(F.get(gaps, i), -NEAR, NEAR).alias("left"), F.substring(F.get(gaps, i + 1), 1, NEAR).alias("right"),
-            )
+            return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("said"))
 
         return F.transform(said, one)
 
@@ -103,7 +102,7 @@ def placed(text: Column, pattern: str) -> Column:
     return let(cut, lambda x: F.when(F.size(x["said"]) > 0, let(let(sized(x), blocked), build)))
 
 
-_SPAN = "array<struct<start:bigint,end:bigint,said:string,left:string,right:string>>"
+_SPAN = "array<struct<start:bigint,end:bigint,said:string>>"
 
 
 def base_spans(text: Column, kind: str) -> Column:
@@ -115,20 +114,24 @@ def base_spans(text: Column, kind: str) -> Column:
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """__id, __key (of the text) and one column of spans for each base kind; without texts, cut."""
     text = common.whole(F.col(text_col).cast("string"))
-    rows = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text, F.length(text)).alias("__key"), *(base_spans(text, k).alias(k) for k in KINDS))
+    rows = docs.select(F.col(id_col).alias("__id"), _key(text_col).alias("__key"), *(base_spans(text, k).alias(k) for k in KINDS))
     return common.cut(rows)
 
 
-def _terms(side: Column, at: Column, is_left: bool) -> Column:
-    """Terms of one side's text, with their places. A word that the cut at NEAR may have halved is left out."""
-    whole_words = F.regexp_replace(side, r"^[\p{L}\p{N}]+" if is_left else r"[\p{L}\p{N}]+$", "")
-    kept = F.when(F.length(side) == NEAR, whole_words).otherwise(side)
-    offset = at - F.length(kept) if is_left else at
+def _key(text_col: str) -> Column:
+    text = common.whole(F.col(text_col).cast("string"))
+    return F.xxhash64(text, F.length(text))
+
 
-    def moved(x: Column) -> Column:
-        return F.transform(placed(x["text"], TERM), lambda s: F.struct(F.lower(s["said"]).alias("term"), (s["start"] + x["at"]).alias("start"), (s["end"] + x["at"]).alias("end")))
+def _masked(text: Column) -> Column:
+    """A text with blanks for its e-mail addresses, the one kind with letters: what stands inside an entity is no term beside it."""
+    cut = F.struct(F.split(text, PATTERNS["email"], -1).alias("gaps"), F.regexp_extract_all(text, F.lit(PATTERNS["email"]), F.lit(0)).alias("said"))
+    blank = lambda g, m: F.concat(g, F.repeat(F.lit(" "), F.coalesce(F.length(m), F.lit(0))))
+    return F.when(text.rlike(NEEDS["email"]), let(cut, lambda x: F.array_join(F.zip_with(x["gaps"], x["said"], blank), ""))).otherwise(text)
 
-    return let(F.struct(kept.alias("text"), offset.alias("at")), moved)
+
+def _terms(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(_masked(text), F.lit(TERM), F.lit(0)), lambda m: F.lower(m))
 
 
 def _entity(kind: str) -> Callable[[Column], Column]:
@@ -136,16 +139,14 @@ def _entity(kind: str) -> Callable[[Column], Column]:
 
 
 def _with_entity(kind: str) -> Callable[[Column], Column]:
-    return lambda s: F.struct(_entity(kind)(s).alias("entity"), *(s[c].alias(c) for c in ("start", "end", "left", "right")))
+    return lambda s: F.struct(_entity(kind)(s).alias("entity"), s["start"].alias("start"), s["end"].alias("end"))
 
 
-def contexts(spans: DataFrame) -> DataFrame:
-    """A row for each term near each entity: __id, __key, entity, around (hash of the surroundings), term, start, end."""
+def entities(spans: DataFrame) -> DataFrame:
+    """A row for each text and entity: __key, entity, rows (documents with this text), start and end of the entity's first place."""
     each = F.concat(*(F.transform(F.col(k), _with_entity(k)) for k in KINDS))
-    rows = spans.select("__id", "__key", F.explode(each).alias("s")).select("__id", "__key", "s.*")
-    none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
-    both = F.concat(F.coalesce(_terms(F.col("left"), F.col("start"), True), none), F.coalesce(_terms(F.col("right"), F.col("end"), False), none))
-    return rows.select("__id", "__key", "entity", F.xxhash64("left", "right").alias("around"), F.explode(both).alias("t")).select("__id", "__key", "entity", "around", "t.*")
+    texts = spans.where(F.size(each) > 0).groupBy("__key").agg(F.count("*").alias("rows"), F.first(each).alias("each"))
+    return texts.select("__key", "rows", F.explode("each").alias("s")).groupBy("__key", "rows", "s.entity").agg(F.min("s.start").alias("start"), F.min("s.end").alias("end"))
 
 
 def copy_groups(sets: DataFrame) -> DataFrame:
@@ -169,50 +170,84 @@ def copy_groups(sets: DataFrame) -> DataFrame:
     return sets.join(found, ["owner", "around"], "left").select("owner", "around", F.coalesce("first", "around").alias("copy_of"))
 
 
+def _some(terms: DataFrame) -> DataFrame:
+    return F.broadcast(terms) if terms.count() <= SENT_TERMS else terms
+
+
 def disclosing(docs: DataFrame, spans: DataFrame, text_col: str = "text", *, support: int = SUPPORT, discloses: float = DISCLOSES) -> DataFrame:
     """entity, term, disclosure of the terms that give an entity away."""
-    near = contexts(spans)
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("__id", "__key").alias("n_te")).where(F.col("n_te") >= support)
-    each = F.array_distinct(F.concat(*(F.transform(F.col(k), _entity(k)) for k in KINDS)))
-    with_entity = spans.select(F.explode(each).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    seen = near.groupBy("term", "__id", "__key").agg(F.lit(1)).groupBy("term").agg(F.count("*").alias("n_seen"))
-    n = spans.count()
-
-    def told(n_t: str) -> Column:
-        return F.lit(1.0) + F.log(F.least(F.lit(1.0), F.col("n_te") / F.col(n_t))) / F.greatest(F.log(F.lit(float(n)) / F.col("n_e")), F.lit(1e-9))
-
-    # A term is in n_seen documents at least, those where it stands near any entity: most fall short by that already.
-    pairs = common.cut(pairs.join(with_entity, "entity").join(seen, "term").where(told("n_seen") >= discloses))
-    if not pairs.head(1):
-        return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
-    terms = common.cut(pairs.select("term").distinct())
-    if terms.count() <= SENT_TERMS:
-        terms = F.broadcast(terms)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(common.whole(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
-    with_term = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    shown = common.cut(pairs.join(with_term, "term").withColumn("disclosure", told("n_t")).where(F.col("disclosure") >= discloses))
-    around = near.join(shown.select("entity").distinct(), "entity", "left_semi")
-    groups = copy_groups(around.groupBy(F.col("entity").alias("owner"), "around").agg(F.collect_set("term").alias("terms"))).withColumnRenamed("owner", "entity")
-    told_by = around.join(shown.select("entity", "term"), ["entity", "term"], "left_semi").select("entity", "term", "around").distinct()
-    evidence = told_by.join(groups, ["entity", "around"]).groupBy("entity", "term").agg(F.count_distinct("copy_of").alias("n_around"))
+    n = float(spans.count())
+    every = entities(spans)
+    with_entity = every.groupBy("entity").agg(F.sum("rows").alias("n_e")).where(F.col("n_e") >= support)
+    held = common.cut(every.join(with_entity, "entity"))
+    none = held.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("disclosure")).where("false")
+    most = held.agg(F.max("n_e")).first()[0]
+    if most is None:
+        return none
+    # told() >= discloses means n_t <= n_te (N / n_e) ^ (1 - discloses), and n_te is n_e at most.
+    text = common.whole(F.col(text_col).cast("string"))
+    at_most = lambda n_e: n_e * F.pow(F.lit(n) / n_e, F.lit(1.0 - discloses)) + 1e-6
+    words = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
+    known = words.groupBy("term").agg(F.count("*").alias("n_t")).where((F.col("n_t") >= support) & (F.col("n_t") <= at_most(F.lit(float(most)))))
+    known = _some(common.cut(known))
+    texts = docs.select(_key(text_col).alias("__key"), text.alias("text")).join(held.select("__key").distinct(), "__key", "left_semi")
+    texts = common.cut(texts.groupBy("__key").agg(F.first("text").alias("text")))
+    here = texts.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(known, "term")
+    both = here.join(held.select("__key", "entity", "rows", "n_e"), "__key").where(F.col("n_t") <= at_most(F.col("n_e")))
+    told = F.lit(1.0) + F.log(F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))) / F.greatest(F.log(F.lit(n) / F.col("n_e")), F.lit(1e-9))
+    shown = both.groupBy("entity", "term", "n_e", "n_t").agg(F.sum("rows").alias("n_te")).where(F.col("n_te") >= support)
+    shown = common.cut(shown.select("entity", "term", told.alias("disclosure")).where(F.col("disclosure") >= discloses))
+    if not shown.head(1):
+        return none
+    evidence = _independent(texts, held, shown)
     return shown.join(evidence.where(F.col("n_around") >= support), ["entity", "term"], "left_semi").select("entity", "term", "disclosure")
 
 
-def term_spans(spans: DataFrame, told: DataFrame) -> DataFrame | None:
-    """__id, __key, terms (places of disclosing terms near their entities), or None if there are none."""
-    told = common.cut(told)
+def _independent(texts: DataFrame, held: DataFrame, shown: DataFrame) -> DataFrame:
+    """entity, term, n_around: in how many surroundings that aren't copies of each other e or t stand, in the texts with both."""
+    words = texts.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(_some(common.cut(shown.select("term").distinct())), "term", "left_semi")
+    pairs = common.cut(held.select("__key", "entity", "start", "end").join(shown.select("entity", "term"), "entity").join(words, ["__key", "term"]))
+    of_e = pairs.groupBy("__key", F.col("entity").alias("owner")).agg(F.first("start").alias("start"), F.first("end").alias("end"))
+    of_t = pairs.select("__key", F.concat(F.lit("term:"), "term").alias("owner"), "term").distinct()
+    left = F.substring(F.substr("text", F.lit(1), F.col("start").cast("int")), -NEAR, NEAR)
+    right = F.substr("text", (F.col("end") + 1).cast("int"), F.lit(NEAR))
+    by_e = of_e.join(texts, "__key").select("owner", F.col("__key").alias("around"), F.array_distinct(_terms(F.concat_ws(" ", left, right))).alias("terms"))
+    mine = of_t.groupBy("__key").agg(F.collect_list(F.struct("owner", "term")).alias("mine"))
+    lists = mine.join(texts, "__key").select("__key", "mine", _terms(F.col("text")).alias("list"))
+
+    def beside(m: Column) -> Column:
+        at = F.array_position(F.col("list"), m["term"]).cast("int")
+        near = F.slice(F.col("list"), F.greatest(F.lit(1), at - NEAR_TERMS), F.least(at - 1, F.lit(NEAR_TERMS)) + 1 + NEAR_TERMS)
+        return F.struct(m["owner"].alias("owner"), F.array_distinct(near).alias("terms"))
+
+    by_t = lists.select(F.col("__key").alias("around"), F.explode(F.transform("mine", beside)).alias("m")).select("m.owner", "around", "m.terms")
+    groups = common.cut(copy_groups(by_e.unionByName(by_t)))
+    for_e = groups.select(F.col("owner").alias("entity"), F.col("around").alias("__key"), F.col("copy_of").alias("copy_e"))
+    for_t = groups.where("owner like 'term:%'").select(F.substr("owner", F.lit(6)).alias("term"), F.col("around").alias("__key"), F.col("copy_of").alias("copy_t"))
+    found = pairs.select("__key", "entity", "term").join(for_e, ["entity", "__key"]).join(for_t, ["term", "__key"])
+    return found.groupBy("entity", "term").agg(F.greatest(F.count_distinct("copy_e"), F.count_distinct("copy_t")).alias("n_around"))
+
+
+def term_spans(docs: DataFrame, told: DataFrame, text_col: str = "text") -> DataFrame | None:
+    """__key, terms (all places of disclosing terms in a text), or None if there are none."""
+    told = common.cut(told.select("term").distinct())
     if not told.head(1):
         return None
-    near = contexts(spans).join(told, ["entity", "term"], "left_semi")
-    return near.select("__id", "__key", "start", "end").distinct().groupBy("__id", "__key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+    text = common.whole(F.col(text_col).cast("string"))
+    rows = docs.select(_key(text_col).alias("__key"), text.alias("text"))
+    here = rows.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(_some(told), "term", "left_semi")
+    here = common.cut(here.groupBy("__key").agg(F.collect_set("term").alias("told")))
+    mine = F.filter(placed(_masked(F.col("text")), TERM), lambda s: F.array_contains(F.col("told"), F.lower(s["said"])))
+    spans = rows.join(here, "__key").select("__key", F.transform(mine, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("terms"))
+    return spans.groupBy("__key").agg(F.first("terms").alias("terms"))
 
 
 def _with_terms(rows: DataFrame, terms: DataFrame | None) -> DataFrame:
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     if terms is None:
         return rows.withColumn("terms", none)
-    terms = terms.withColumnsRenamed({"__id": "__i", "__key": "__k"})
-    return rows.join(terms, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__key") == F.col("__k")), "left").withColumn("terms", F.coalesce("terms", none)).drop("__i", "__k")
+    terms = terms.withColumnsRenamed({"__key": "__k", "terms": "__t"})
+    return rows.join(terms, F.col("__key") == F.col("__k"), "left").withColumn("terms", F.coalesce("__t", none)).drop("__k", "__t")
 
 
 def _said(kind: str, spans: str) -> Column:
@@ -222,15 +257,15 @@ def _said(kind: str, spans: str) -> Column:
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each of docs: doc_id, the base kinds' spans, terms."""
     spans = found(docs, id_col, text_col)
-    return _with_terms(spans, term_spans(spans, disclosing(docs, spans, text_col))).withColumnRenamed("__id", "doc_id")
+    return _with_terms(spans, term_spans(docs, disclosing(docs, spans, text_col), text_col)).withColumnRenamed("__id", "doc_id")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with base spans of their texts replaced by [KIND] and disclosing terms removed."""
     spans = found(docs, id_col, text_col)
-    terms = term_spans(spans, disclosing(docs, spans, text_col))
+    terms = term_spans(docs, disclosing(docs, spans, text_col), text_col)
     text = common.whole(F.col(text_col).cast("string"))
-    rows = docs.withColumns({"__id": F.col(id_col), "__key": F.xxhash64(text, F.length(text)), **{f"__{k}": base_spans(text, k) for k in KINDS}})
+    rows = docs.withColumns({"__id": F.col(id_col), "__key": _key(text_col), **{f"__{k}": base_spans(text, k) for k in KINDS}})
     rows = _with_terms(rows, terms)
     mark = lambda spans, what: F.transform(F.col(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(what).alias("what")))
     every = F.array_sort(F.concat(*(mark(f"__{k}", f"[{k.upper()}]") for k in KINDS), mark("terms", "")))

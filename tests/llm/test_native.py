@@ -120,3 +120,14 @@ def test_more_evidence_keeps_a_term_in_a_closed_vocabulary(spark, n):
     plain = [(10000 + i, f"{around(i)} {around(i + 777)} {around(i + 3000)}") for i in range(2000)]
     docs = spark.createDataFrame(told + copies + plain, "doc_id long, text string")
     assert {(r.entity, r.term) for r in pii.disclosing(docs, pii.found(docs)).collect()} == {("email:z@corp.com", "zorblatt")}
+
+
+def test_terms_are_counted_and_removed_in_whole_documents(spark):
+    words = lambda i, j: " ".join(f"v{i}x{j}x{k}" for k in range(20))
+    rows = [(i, f"{words(i, 0)} Zorblatt {words(i, 1)} z@corp.com o{i}@o.org {words(i, 2)} zorblatt") for i in range(8)]
+    rows += [(100, f"{words(100, 0)} ZORBLATT alone"), *((1000 + i, f"{words(i + 1000, 0)} plain") for i in range(300))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.entity, r.term) for r in pii.disclosing(docs, pii.found(docs)).collect()} == {("email:z@corp.com", "zorblatt")}
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert not any("zorblatt" in t.lower() for t in clean.values())
+    assert clean[0] == f"{words(0, 0)}  {words(0, 1)} [EMAIL] [EMAIL] {words(0, 2)} " and clean[100] == f"{words(100, 0)}  alone"
