@@ -1,11 +1,13 @@
-"""Language-model scores: a backoff bigram model as a weighted automaton, learnt from the corpus itself.
+"""Language-model scores: a backoff model of ORDER words as a weighted automaton, learnt from the corpus itself.
 
 Model. Tokens are words (ASCII capitals in lower case) and one end a text. Unigrams: (c + A) / (N + A (V + 1)).
-Bigrams have a Dirichlet prior on them: p(w|h) = (c(hw) + MU p(w)) / (c(h) + MU), which sums to one over w.
-As an automaton: a state for each word of the training texts and one for the start of a text (contexts), and the
-root. A context's arc for a seen bigram weighs log p(w|h); its failure arc leads to the root and weighs
-log MU / (c(h) + MU), where the arc of w weighs log p(w). Texts are walked from left to right; after w, the state is
-w's, or the root if w is unknown. The walk is the same for all texts of a block at once: arrays of states and arcs.
+An n-gram has a Dirichlet prior on the next shorter one: p(w|h) = (c(hw) + MU p(w|h')) / (c(h) + MU), h' being h without its
+first word; sums over w are one. As an automaton: a state for each context of up to ORDER - 1 words of the training texts (a
+text starts after an end; what would lie before it isn't context), and the root, of no words. A state's arc for a seen w weighs
+log p(w|h) and leads to the longest known suffix of hw; its failure arc leads to the state of h' and weighs log MU / (c(h) + MU),
+and is followed until a state has an arc for w (the root has one for every word). Texts are walked from left to right, all
+tokens of a block at once: each step of the walk is one array operation for those that still fail. c(h) counts h in the training texts, ends of texts
+included as the start of the next context.
 
 Distribution. The model is never gathered anywhere: blocks of texts send the sorted hashes of their own n-grams
 (40 bits within a hash range) with their training counts to the ranges' tasks, each of which adds the counts up and
@@ -29,19 +31,21 @@ from . import common, shingles
 
 A = 0.1
 MU = 64.0
+#: Words of the longest n-grams that op7_language_model asks for.
+ORDER = 3
 #: Tokens of a block and n-grams of a range, about. Many ranges make larger blocks, so that a block has LEAST n-grams in each.
 BLOCK, RANGE, MOST_BITS, LEAST = 1_500_000, 4_000_000, 18, 64
 CHARS_PER_TOKEN = 6
-NGRAMS_PER_TOKEN = 1.1
+NGRAMS_PER_TOKEN = {2: 1.1, 3: 1.8}
 _END = np.uint64(0x5EED0000000000E2)
-_WORD_TAG, _PAIR_TAG = np.uint64(3), np.uint64(7)
+_TAGS = {1: np.uint64(3), 2: np.uint64(7), 3: np.uint64(11)}
 _LOW = np.uint64(2**40 - 1)
 
 
 class Block:
     """The tokens of some texts and their distinct n-grams, in the order of hash ranges."""
 
-    def __init__(self, texts: list[bytes], bits: int) -> None:
+    def __init__(self, texts: list[bytes], bits: int, order: int = 2) -> None:
         each = [shingles.word_hashes(t.decode("utf-8", "surrogatepass")) for t in texts]
         self.sizes = np.array([x.size + 1 for x in each], np.int64)  # with the end token
         ends = np.cumsum(self.sizes) - 1
@@ -50,13 +54,24 @@ class Block:
         is_word[ends] = False
         if each:
             tokens[is_word] = np.concatenate(each)
-        before = np.concatenate([[_END], tokens[:-1]])  # a text starts in the state after an end
-        grams = np.concatenate([shingles.joined([tokens], _WORD_TAG), shingles.joined([before, tokens], _PAIR_TAG)])
-        # The range comes first, then whether it's a word, then 40 bits: words and pairs don't mix.
-        key = ((grams >> np.uint64(64 - bits) if bits else np.zeros_like(grams)) << np.uint64(41)) | (grams & _LOW)
-        key[tokens.size :] |= np.uint64(1) << np.uint64(40)
+        # The word before a text is an end; at its first word no context is longer, so longer n-grams there are the pair itself.
+        back = [tokens]
+        for _ in range(order - 1):
+            back.insert(0, np.concatenate([[_END], back[0][:-1]]))
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.order, self.is_first = order, np.zeros(tokens.size, bool)
+        self.is_first[starts] = True
+        grams = [shingles.joined(back[order - k :], _TAGS[k]) for k in range(1, order + 1)]
+        for k in range(2, order):
+            grams[k][self.is_first] = grams[1][self.is_first]
+        grams = np.concatenate(grams)
+        # The range comes first, then the length: words 0, longer ones 1, 2; then 40 bits. n-grams of different lengths don't mix.
+        key = ((grams >> np.uint64(64 - bits) if bits else np.zeros_like(grams)) << np.uint64(42)) | (grams & _LOW)
+        for k in range(1, order):
+            part = slice(k * tokens.size, (k + 1) * tokens.size)
+            key[part] |= np.where(self.is_first, np.uint64(1), np.uint64(k)) << np.uint64(40)
         self.keys, self.at = np.unique(key, return_inverse=True)
-        self.cuts = np.searchsorted(self.keys, np.arange(2**bits + 1, dtype=np.uint64) << np.uint64(41))
+        self.cuts = np.searchsorted(self.keys, np.arange(2**bits + 1, dtype=np.uint64) << np.uint64(42))
 
     @property
     def n_tokens(self) -> int:
@@ -64,8 +79,9 @@ class Block:
 
     def of_docs(self, flags: np.ndarray) -> np.ndarray:
         """Counts of the n-grams in the flagged texts."""
-        here = np.tile(np.repeat(flags, self.sizes), 2)
-        return np.bincount(self.at[here], minlength=self.keys.size)
+        here = np.repeat(flags, self.sizes)
+        said = np.concatenate([here, here, *(here & ~self.is_first for _ in range(2, self.order))])  # a pair counts once
+        return np.bincount(self.at[said], minlength=self.keys.size)
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -87,14 +103,14 @@ _DEALT = "part long, block long, grams binary, counts binary, ids binary, has_id
 _COLUMNS = [x.split()[0] for x in _DEALT.split(", ")]
 
 
-def _deal(bits: int):
+def _deal(bits: int, order: int = 2):
     def rows(block: int, ids: list, train: list[bool], texts: list[bytes]) -> Iterator[tuple]:
-        b = Block(texts, bits)
+        b = Block(texts, bits, order)
         counts = b.of_docs(np.array(train, bool)).astype(np.uint64)
         none = [None] * 5
         for p in range(2**bits):
             x, y = b.cuts[p], b.cuts[p + 1]
-            yield p, block, packed(b.keys[x:y] & np.uint64(2**41 - 1)), zlib.compress(packed(counts[x:y]), 1), *none
+            yield p, block, packed(b.keys[x:y] & np.uint64(2**42 - 1)), zlib.compress(packed(counts[x:y]), 1), *none
         known = [i is not None and i == i for i in ids]
         numbers = np.array([int(i) if k else 0 for i, k in zip(ids, known, strict=True)], np.int64)
         yield -1 - block, block, None, None, numbers.tobytes(), np.array(known).tobytes(), np.array(train, bool).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), zlib.compress(b"".join(texts), 1)
@@ -145,32 +161,64 @@ class Automaton:
     """The part of the model that a block's texts can reach."""
 
     def __init__(self, block: Block, totals: np.ndarray, n: int, v: int, mu: float = MU) -> None:
-        half = block.at.size // 2
-        self.word, self.pair = block.at[:half], block.at[half:]  # of each token: its word, its bigram
+        self.order, self.is_first, self.mu = block.order, block.is_first, mu
+        self.grams = np.split(block.at, block.order)  # of each token: its word, the pair that ends in it, and so on
         self.totals = totals.astype(np.float64)
         self.root = (self.totals + A) / (n + A * (v + 1))  # the root's arcs, for n-grams that are words
-        self.mu = mu
+        self._link()
+
+    def _link(self) -> None:
+        """States are n-grams by number; -1 is the root. fail[s]: the state of s without its first word."""
+        self.fail = np.full(self.totals.size, -1, np.int64)
+        for k in range(1, self.order - 1):
+            self.fail[self.grams[k]] = self.grams[k - 1]
+
+    def _states(self) -> np.ndarray:
+        """Of each token, the state before it: the longest context, by the n-gram that ends in the word before."""
+        longest = np.full(self.is_first.size, -1, np.int64)
+        longest[1:] = self.grams[max(0, self.order - 2)][:-1]
+        end = self.grams[0][-1]  # the last token of a block is an end
+        longest[self.is_first] = end
+        return longest
 
     def walk(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each token: log10 by the whole model, by the root alone, and whether it's known."""
-        end_state = self.word[-1]  # the last token of a block is an end
-        state = np.concatenate([[end_state], self.word[:-1]])  # contexts, by the word before; a text's first is an end
-        seen_state, seen_arc = self.totals[state], self.totals[self.pair]
-        root = self.root[self.word]
-        fail = self.mu / (seen_state + self.mu)  # 1 for a state that isn't there: the root itself
-        arc = (seen_arc + self.mu * root) / (seen_state + self.mu)
-        return np.log10(np.where(seen_arc > 0, arc, fail * root)), np.log10(root), self.totals[self.word] > 0
+        word, root = self.grams[0], self.root[self.grams[0]]
+        arcs, state = self._arcs(root), self._states()
+        weight, todo, length = np.zeros(word.size), np.arange(word.size), np.where(self.is_first, 1, self.order - 1)
+        while todo.size:
+            s, k = state[todo], length[todo]
+            seen = np.array([self.totals[g[todo]] for g in self.grams])[k, np.arange(todo.size)] > 0
+            done = seen | (k == 0)
+            out = todo[done]
+            weight[out] += np.log10(arcs[k[done], out])
+            todo, s = todo[~done], s[~done]
+            weight[todo] += np.log10(self.mu / (self.totals[s] + self.mu))  # the failure arc; 0 for a state that isn't there
+            state[todo] = self.fail[s]
+            length[todo] -= 1
+        return weight, np.log10(root), self.totals[word] > 0
+
+    def _arcs(self, root: np.ndarray) -> np.ndarray:
+        """Of each length of context and token, the weight that the token's arc has there if it's seen."""
+        arcs, state = np.empty((self.order, root.size)), self._states()
+        by_length = [state]
+        for _ in range(self.order - 2):
+            by_length.insert(0, np.where(self.is_first, state, self.fail[by_length[0]]))
+        arcs[0] = root
+        for k in range(1, self.order):
+            arcs[k] = (self.totals[self.grams[k]] + self.mu * arcs[k - 1]) / (self.totals[by_length[k - 1]] + self.mu)
+        return arcs
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(bits: int):
+def _score(bits: int, order: int = 2):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         text, told = pdf[pdf["part"] < 0].iloc[0], pdf[pdf["part"] >= 0].sort_values("part")
         body, lengths = zlib.decompress(text["body"]), np.frombuffer(text["lengths"], np.int64)
         ends = np.cumsum(lengths)
-        block = Block([body[e - k : e] for e, k in zip(ends, lengths, strict=True)], bits)
+        block = Block([body[e - k : e] for e, k in zip(ends, lengths, strict=True)], bits, order)
         n, v = int(told["n"].sum()), int(told["v"].sum())
         starts = np.cumsum(block.sizes) - block.sizes
         score, base, known = Automaton(block, np.concatenate([unpacked(zlib.decompress(x)) for x in told["counts"]]), n, v).walk()
@@ -184,19 +232,19 @@ def _score(bits: int):
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scores of all texts by a model of those whose crc32(id as text) mod 10 isn't 0."""
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, order: int = 2) -> DataFrame:
+    """Scores of all texts by a model, of n-grams of up to order (2 or 3) words, of those whose crc32(id as text) mod 10 isn't 0."""
     total = docs.agg(F.sum(F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)) + CHARS_PER_TOKEN)).first()[0] or 0
-    bits = min(MOST_BITS, max(0, int(total / CHARS_PER_TOKEN * NGRAMS_PER_TOKEN / RANGE).bit_length()))
+    bits = min(MOST_BITS, max(0, int(total / CHARS_PER_TOKEN * NGRAMS_PER_TOKEN[order] / RANGE).bit_length()))
     train = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 10 != 0
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), train.alias("train"))
-    dealt = texts.mapInPandas(_deal(bits), _DEALT)
+    dealt = texts.mapInPandas(_deal(bits, order), _DEALT)
     answered = dealt.groupBy("part").applyInPandas(_answer, _ANSWER)
-    return answered.groupBy("block").applyInPandas(_score(bits), SCORES)
+    return answered.groupBy("block").applyInPandas(_score(bits, order), SCORES)
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(common.read(spark, sf_dir, "documents"))
+    return score(common.read(spark, sf_dir, "documents"), order=ORDER)
 
 
 QUERIES = {"op7_language_model": op7_language_model}

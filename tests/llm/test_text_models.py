@@ -179,3 +179,31 @@ def test_estimates_are_unbiased():
 def test_short_texts_as_one_shingle():
     assert shingles.shingle_set("a b").size == 1 and shingles.shingle_set(None).size == 0
     assert shingles.shingle_set("a b") != shingles.shingle_set("b a")
+
+
+def test_language_model_of_three_words(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BLOCK", 500)
+    monkeypatch.setattr(language_model, "RANGE", 300)
+    rows = [*enumerate(texts()), (None, "no id here"), (3, "again")]
+    said = [(i, (t or "").encode().lower().split() + [None]) for i, t in rows]
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
+    grams = collections.Counter()
+    for i, w in said:
+        if not held(i):
+            w = [None, *w]
+            grams.update(tuple(w[j - k : j + 1]) for j in range(1, len(w)) for k in range(3) if j - k >= 0)
+    n, v, mu = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams), language_model.MU
+
+    def log_p(h, w):  # by arcs and failure arcs
+        if not h:
+            return math.log10((grams[(w,)] + 0.1) / (n + 0.1 * (v + 1)))
+        if grams[(*h, w)]:
+            return math.log10((grams[(*h, w)] + mu * 10 ** log_p(h[1:], w)) / (grams[h] + mu))
+        return math.log10(mu / (grams[h] + mu)) + log_p(h[1:], w)
+
+    want = []
+    for i, w in said:
+        w = [None, *w]
+        want.append((-1 if i is None else i, round(sum(log_p(tuple(w[max(0, j - 2) : j]), w[j]) for j in range(1, len(w))), 6)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, round(r.score, 6)) for r in language_model.score(docs, order=3).collect()) == sorted(want)
