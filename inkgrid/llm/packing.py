@@ -2,7 +2,7 @@
 
 Documents become pieces of at most `capacity` tokens (only longer ones are cut). Pieces are dealt by a hash
 of their ids into groups of about GROUP_PIECES, each packed in one task: best fit by decreasing length, then a
-local search over the underfull sequences, whose steps raise the sum of squared fills until sequences empty.
+local search over the underfull sequences, whose steps raise the sum of squared fills until no sequence has a step left.
 A group of that size leaves one sequence partly filled, so more groups cost next to nothing.
 
 Nulls: a null text is empty (its end id alone), a null doc_id is an id of its own. Repeated rows are packed
@@ -25,9 +25,6 @@ from . import common, tokens
 
 CAPACITY = 2048
 GROUP_PIECES = 20_000
-#: A bin may be tried so often by the local search without getting better.
-TRIES = 64
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -93,56 +90,79 @@ class Bins:
         self.fill[a] -= self.sizes[i]
         self.fill[b] += self.sizes[i]
 
-    def _give(self, b: int, others: list[int]) -> bool:
-        """One step that takes fill from bin b to a fuller one: a move, an exchange of one for one, or of one for two."""
-        size, cap = self.sizes, self.capacity
-        for o in others:
-            if o == b or self.fill[o] < self.fill[b] or not self.items[o]:
-                continue
-            room = cap - self.fill[o]
-            if not room:
-                continue
-            mine = sorted(self.items[b], key=size.__getitem__, reverse=True)
-            for i in mine:  # move
-                if size[i] <= room and size[i]:
-                    self._shift(i, b, o)
-                    return True
-            theirs = sorted(self.items[o], key=size.__getitem__)
-            their_sizes = [size[j] for j in theirs]
-            for i in mine:  # one for one: theirs is smaller, by no more than the room
-                k = bisect_left(their_sizes, size[i] - room)
-                if k < len(theirs) and their_sizes[k] < size[i]:
-                    self._shift(theirs[k], o, b)
+    def _give(self, b: int, o: int) -> bool:
+        """One step that takes fill from bin b to bin o, no less full: a move, an exchange of one for one, or of one for two."""
+        size, room = self.sizes, self.capacity - self.fill[o]
+        mine = sorted(self.items[b], key=size.__getitem__, reverse=True)
+        for i in mine:  # move
+            if size[i] <= room and size[i]:
+                self._shift(i, b, o)
+                return True
+        theirs = sorted(self.items[o], key=size.__getitem__)
+        their_sizes = [size[j] for j in theirs]
+        for i in mine:  # one for one: theirs is smaller, by no more than the room
+            k = bisect_left(their_sizes, size[i] - room)
+            if k < len(theirs) and their_sizes[k] < size[i]:
+                self._shift(theirs[k], o, b)
+                self._shift(i, b, o)
+                return True
+        for i in mine:  # one for two
+            lo, hi = 0, len(theirs) - 1
+            while lo < hi:
+                both = their_sizes[lo] + their_sizes[hi]
+                if both >= size[i]:
+                    hi -= 1
+                elif both < size[i] - room:
+                    lo += 1
+                else:
+                    x, y = theirs[lo], theirs[hi]
+                    self._shift(x, o, b)
+                    self._shift(y, o, b)
                     self._shift(i, b, o)
                     return True
-            for i in mine:  # one for two
-                lo, hi = 0, len(theirs) - 1
-                while lo < hi:
-                    both = their_sizes[lo] + their_sizes[hi]
-                    if both >= size[i]:
-                        hi -= 1
-                    elif both < size[i] - room:
-                        lo += 1
-                    else:
-                        x, y = theirs[lo], theirs[hi]
-                        self._shift(x, o, b)
-                        self._shift(y, o, b)
-                        self._shift(i, b, o)
-                        return True
         return False
 
     def search(self) -> None:
-        """Empties the least filled bins by steps that each raise the sum of squared fills."""
-        queue = [(f, b) for b, f in enumerate(self.fill) if f < self.capacity]
-        heapq.heapify(queue)
-        while queue:
-            f, b = heapq.heappop(queue)
-            if f != self.fill[b]:
-                continue
-            for _ in range(TRIES):
-                if not self.fill[b] or not self._give(b, sorted((o for _, o in queue if self.fill[o] < self.capacity), key=self.fill.__getitem__, reverse=True)[:256]):
-                    break
-            # What b couldn't give, it keeps; a bin that took from others is looked at when its turn comes.
+        """Empties the least filled bins by steps that each raise the sum of squared fills, until no two bins have one.
+
+        Each bin is tried with every fuller one, the fullest first, and again once either has changed. Left out are only partners
+        that can't have a step: those whose items are no smaller than the bin's and whose room is less than the bin's smallest.
+        """
+        sizes, cap = self.sizes, self.capacity
+        fill = np.array(self.fill, np.int64)
+        low = np.array([min((sizes[i] for i in x), default=0) for x in self.items], np.int64)
+        high = np.array([max((sizes[i] for i in x), default=0) for x in self.items], np.int64)
+        changed, searched, now = np.zeros(fill.size, np.int64), np.full(fill.size, -1, np.int64), 0
+
+        def step(b: int) -> int:
+            """The partner of a step taken, or -1."""
+            can = (fill >= fill[b]) & (fill < cap) & ((low < high[b]) | (cap - fill >= low[b]))
+            if changed[b] <= searched[b]:
+                can &= changed > searched[b]
+            can[b] = False
+            others = np.flatnonzero(can)
+            return next((o for o in others[np.argsort(-fill[others], kind="stable")].tolist() if self._give(b, o)), -1)
+
+        before = -1
+        while before != now:  # what was searched in vain may have a step with a bin that changed later
+            before = now
+            queue = [(f, x) for x, f in enumerate(self.fill) if 0 < f < cap]
+            heapq.heapify(queue)
+            while queue:
+                f, b = heapq.heappop(queue)
+                if f != self.fill[b]:
+                    continue
+                o = step(b)
+                if o < 0:
+                    searched[b] = now
+                    continue
+                now += 1
+                for x in (b, o):
+                    fill[x], changed[x] = self.fill[x], now
+                    low[x] = min((sizes[i] for i in self.items[x]), default=0)
+                    high[x] = max((sizes[i] for i in self.items[x]), default=0)
+                    if 0 < self.fill[x] < cap:
+                        heapq.heappush(queue, (self.fill[x], x))
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
         """The bin and the offset of each item."""

@@ -60,3 +60,18 @@ def test_documents(spark):
         s = s.sort_values("offset")
         assert s["offset"].tolist() == [0, *s["length"].cumsum()[:-1]] and s["length"].sum() <= 2048
     assert packing.pack_documents(docs.where("false"), path).count() == 0
+
+
+def test_search_leaves_no_step_between_any_two_bins():
+    bins = packing.Bins(np.array([90] * 300 + [60, 12, 10]), 100)
+    bins.items = [[i] for i in range(300)] + [[300], [301, 302]]
+    bins.fill = [90] * 300 + [60, 22]
+    bins.sizes[0], bins.fill[0] = 88, 88  # behind more than 256 fuller bins, the one with room for 12
+    bins.search()
+    assert sum(f > 0 for f in bins.fill) == 301
+    draw = np.random.default_rng(8)
+    for _ in range(10):
+        bins = packing.Bins(draw.integers(20, 60, 150), 64)
+        bins.search()
+        under = [b for b, f in enumerate(bins.fill) if 0 < f < 64]
+        assert not any(bins._give(b, o) for b in under for o in under if b != o and bins.fill[o] >= bins.fill[b])
