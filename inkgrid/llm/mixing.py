@@ -2,8 +2,8 @@
 
 A source's target is its weight's share of `ratio` times all words, at most `cap` times its own words; what a
 capped source leaves goes to the others by weight (water filling, in closed form over the sources sorted by the
-level at which they are full). A document is expected e times, e being its source's target over its words, times
-the document's own weight if there is one. It gets floor(e) copies for certain. The rest p = e - floor(e) is its
+level at which they are full). A document is expected e times, e being its source's target over its words; with a column
+of weights, times the document's own weight over the mean of its source's words (no weight: 1, below 0: 0). It gets floor(e) copies for certain. The rest p = e - floor(e) is its
 inclusion probability: documents are ranked by the Pareto key  u (1-p) / ((1-u) p),  u drawn by a hash of id and
 seed, and the first of them are taken until the source's words are used up. Fixed size here means words, so
 the sum is met, not just expected: one further document closes the gap, the one whose size comes nearest.
@@ -50,15 +50,16 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, ratio
     return out.withColumn("target", F.least(F.lit(cap) * F.col("source_size"), F.col("weight") * F.coalesce(level, F.lit(float("inf"))))).drop("__level", "__at")
 
 
-def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """size and __u in (0, 1) of every row."""
+def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, weight_col: str | None = None) -> DataFrame:
+    """size, __u in (0, 1) and __w, its own weight, of every row."""
     draw = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(2**53))
-    return docs.withColumns({"size": n_words(text_col), "__u": draw, "__source": F.col(source_col)})
+    own = F.lit(1.0) if weight_col is None else F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)), F.lit(0.0))
+    return docs.withColumns({"size": n_words(text_col), "__u": draw, "__source": F.col(source_col), "__w": own})
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """From size, __u, source_size, target: whole copies and the Pareto key (null: not in the draw) in (0, 1)."""
-    e = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    """From size, __u, __w, __mass, target: whole copies and the Pareto key (null: not in the draw) in (0, 1)."""
+    e = F.when(F.col("__mass") > 0, F.col("target") * F.col("__w") / F.col("__mass")).otherwise(F.lit(0.0))
     p = F.col("__e") - F.floor("__e")
     odds = F.col("__u") * (1 - F.col("__p")) / ((1 - F.col("__u")) * F.col("__p"))
     return (
@@ -68,10 +69,10 @@ def _ranked(rows: DataFrame) -> DataFrame:
     )
 
 
-def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[float, ...] = WEIGHTS, ratio: float = RATIO, cap: float = CAP, seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    """The drawn rows without texts (cut), and a row for each source: source, source_size, target, __cut (key up to which documents are taken), __closing (the key of the document that closes the gap)."""
-    thin = common.cut(_drawn(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed).select(F.col(id_col).alias("__id"), "__source", "size", "__u"))
-    sizes = thin.groupBy(F.col("__source").alias("source")).agg(F.sum("size").alias("source_size"))
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[float, ...] = WEIGHTS, ratio: float = RATIO, cap: float = CAP, seed: int = 1, weight_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The drawn rows without texts (cut), and a row for each source: source, source_size, __mass (words times weights), target, __cut (key up to which documents are taken), __closing (the key of the document that closes the gap)."""
+    thin = common.cut(_drawn(docs.select(*dict.fromkeys(c for c in (id_col, text_col, source_col, weight_col) if c)), id_col, text_col, source_col, seed, weight_col).select(F.col(id_col).alias("__id"), "__source", "size", "__u", "__w"))
+    sizes = thin.groupBy(F.col("__source").alias("source")).agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("__w")).alias("__mass"))
     sources = common.cut(source_targets(sizes, weights, ratio, cap))
     ranked = _ranked(thin.join(sources, thin["__source"].eqNullSafe(sources["source"])))
     ranked = ranked.withColumn("__bucket", F.floor(F.col("__key") * BUCKETS).cast("int"))
@@ -95,7 +96,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     near = F.struct(F.abs(F.col("size") - F.col("__gap")).alias("__off"), F.col("__key"))
     closing = late.groupBy(F.col("__source").alias("__s3")).agg(F.min(F.when(F.abs(F.col("size") - F.col("__gap")) < F.col("__gap"), near)).alias("__n"))
     done = cuts.join(closing, F.col("__s").eqNullSafe(F.col("__s3")), "left").select("__s", "__cut", F.col("__n.__key").alias("__closing"))
-    sources = sources.join(done, F.col("source").eqNullSafe(F.col("__s")), "left").select("source", "source_size", "target", F.coalesce("__cut", F.lit(1.0)).alias("__cut"), "__closing")
+    sources = sources.join(done, F.col("source").eqNullSafe(F.col("__s")), "left").select("source", "source_size", "__mass", "target", F.coalesce("__cut", F.lit(1.0)).alias("__cut"), "__closing")
     return thin, common.cut(sources)
 
 
@@ -104,11 +105,11 @@ def _copies(rows: DataFrame) -> DataFrame:
     return _ranked(rows).withColumn("copies", F.col("__whole") + extra.cast("long"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, seed: int = 1, **how) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, seed: int = 1, weight_col: str | None = None, **how) -> DataFrame:
     """docs with size, source_size, target and copies: how often the mix takes each row."""
     docs = docs.drop("size", "source_size", "target", "copies")
-    _, sources = plan(docs, id_col, text_col, source_col, seed=seed, **how)
-    rows = _drawn(docs, id_col, text_col, source_col, seed).join(sources.withColumnRenamed("source", "__name"), F.col("__source").eqNullSafe(F.col("__name")))
+    _, sources = plan(docs, id_col, text_col, source_col, seed=seed, weight_col=weight_col, **how)
+    rows = _drawn(docs, id_col, text_col, source_col, seed, weight_col).join(sources.withColumnRenamed("source", "__name"), F.col("__source").eqNullSafe(F.col("__name")))
     return _copies(rows).select(*docs.columns, "size", "source_size", "target", "copies")
 
 

@@ -131,3 +131,15 @@ def test_terms_are_counted_and_removed_in_whole_documents(spark):
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert not any("zorblatt" in t.lower() for t in clean.values())
     assert clean[0] == f"{words(0, 0)}  {words(0, 1)} [EMAIL] [EMAIL] {words(0, 2)} " and clean[100] == f"{words(100, 0)}  alone"
+
+
+def test_mixing_by_weights_of_documents(spark):
+    rows = [(i, "w " * (1 + i % 7), "ab"[i % 2], [None, 0.0, 3.0, 1.0][i // 2 % 4]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, own double")
+    got = mixing.mix(docs, weight_col="own", ratio=0.5).toPandas()
+    for _, g in got.groupby("source"):
+        assert (g["copies"] * g["size"]).sum() == pytest.approx(g["target"].iloc[0], abs=30)
+        own = g["own"].fillna(1.0)
+        mass = (own * g["size"]).sum()
+        for w in (0.0, 1.0, 3.0):
+            assert g["copies"][own == w].mean() == pytest.approx(g["target"].iloc[0] * w / mass, abs=0.12)
