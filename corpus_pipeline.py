@@ -16,9 +16,7 @@ from inkgrid.llm import common, jaccard, mixing, packing, pii, quality
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble gives a chance of THRESHOLD or more."""
     model = quality.train(docs, common.read(spark, sf_dir, "labels"))
-    (score,) = common.free_name(docs, "quality_score")
-    rows = docs.withColumns({f"__s_{k}": c for k, c in quality.statistics("text").items()})
-    return rows.withColumn(score, 1 / (1 + F.exp(-model.margin()))).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
+    return docs.where(model.chance("text") >= quality.THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.read(spark, sf_dir, "documents")
+    docs, before = common.read(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir))
+        docs, now = common.written(stage(spark, docs, sf_dir))
+        if before:
+            common.removed(spark, before)
+        before = now
     return STAGES[-1][1](spark, docs, sf_dir)

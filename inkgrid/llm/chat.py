@@ -61,7 +61,7 @@ def assembled(segments: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.n
 
 def _format(vocabulary: str, trained: tuple[str, ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = tokens.encoder(vocabulary)
+        encoder = tokens.encoder(vocabulary, specials_as_text=True)
         start, end = np.array([START], np.uint32), np.array([END], np.uint32)
         (newline,) = encoder.encode(["\n"])
         for pdf in batches:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +19,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, else one beside the warehouse."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it's unset and all of Spark runs on this machine, one beside the warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
 
 
@@ -30,11 +34,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, *by: str) -> DataFrame:
-    """As cut(), as Parquet: for wide rows, which it compresses."""
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """As cut(), as Parquet, which compresses wide rows: the table read again, and its path for removed()."""
     path = os.path.join(shared_dir(df.sparkSession), f"part-of-{uuid.uuid4().hex}")
-    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Takes a table of written() away, once nothing that is still to be computed reads it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def whole(text: str | Column) -> Column:
@@ -42,6 +52,11 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def free_name(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores before them as long as df has such a column."""
     have = {c.lower() for c in df.columns}

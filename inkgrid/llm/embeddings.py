@@ -171,7 +171,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     kind = "<f4" if isinstance(item, T.FloatType) else "<f8"
     rows = vectors.select(F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID)).alias("vec"), F.col(vector_col).cast(T.ArrayType(item if kind == "<f4" else T.DoubleType())).alias("embedding"))
     bits, tables = shape(rows.count(), threshold)
-    coded = common.written(rows.mapInPandas(_coded(bits, tables, kind), "vec long, dim int, name string, data binary, code binary, factor double, keys array<long>"))
+    coded, coded_path = common.written(rows.mapInPandas(_coded(bits, tables, kind), "vec long, dim int, name string, data binary, code binary, factor double, keys array<long>"))
     classes = coded.groupBy("name").agg(F.min("vec").alias("first"), F.count("*").alias("size"))
     members = common.cut(coded.select("vec", "name").join(classes, "name").select("vec", "first", "size"))
     leads = common.cut(members.where("vec = first and size > 1").select("vec", "size").distinct())
@@ -189,6 +189,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     met = met.withColumn("cell", F.explode(cells)).drop("parts")
     met = met.repartition("table", "key", "cell").sortWithinPartitions("table", "key", "cell")
     found = common.cut(met.mapInPandas(_compare(threshold, kind), "vec long, links long, other long"))
+    common.removed(vectors.sparkSession, coded_path)
     links = found.groupBy("vec").agg(F.sum("links").alias("links")).withColumnRenamed("vec", "first")
     comps = graphs.components(found.where("other is not null").select(F.col("vec").alias("a"), F.col("other").alias("b"))).withColumnsRenamed({"node": "first", "component": "comp"})
     told = members.join(links, "first", "left").join(comps, "first", "left")

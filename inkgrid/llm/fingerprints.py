@@ -13,12 +13,11 @@ Everything is built of SQL functions on one row; only the next document's text n
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
+from .common import let
 
 LANES = 64
 PIECE = 64
@@ -27,11 +26,6 @@ MASK = 0xFFFFFFFF
 RANGE_ROWS, MOST_RANGES = 1000, 4096
 
 
-def let(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f of a value that is computed once."""
-    return F.get(F.transform(F.array(value), f), 0)
-
-
 def paragraphs(text: str | Column) -> Column:
     return F.regexp_extract_all(common.whole(text), F.lit(rf"[^\n.!?]{{1,{PIECE}}}[\n.!?]*|[\n.!?]+"), F.lit(0))
 

@@ -317,7 +317,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     each = screen(texts)
     equal = each.where("n > 0").groupBy("name").agg(F.min("doc").alias("first"))
     able = common.cut(each.where("n > 0 and 5 * shared >= 4 * n").join(equal, "name").where("doc = first").select("doc"))
-    sets = common.written(texts.join(common.sent(able), "doc").mapInPandas(_sets, "doc long, n int, keys array<long>, set binary"))
+    sets, sets_path = common.written(texts.join(common.sent(able), "doc").mapInPandas(_sets, "doc long, n int, keys array<long>, set binary"))
 
     keys = sets.select("doc", F.explode(F.array_distinct("keys")).alias("key"))
     groups = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("lead")).where("size > 1")
@@ -349,6 +349,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             links = common.cut(links.union(verified(rest, sets)))
             comps = graphs.components(links)
 
+    common.removed(docs.sparkSession, sets_path)
     classes_of = comps.withColumnsRenamed({"node": "__rep", "component": "__c"})
     reps = each.join(equal, "name", "left").select("doc", F.col("n").alias("n_shingles"), F.coalesce("first", "doc").alias("rep"))
     return reps.join(classes_of, F.col("rep") == F.col("__rep"), "left").select("doc", "n_shingles", F.coalesce("__c", "rep").alias("component"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .fingerprints import let
+from .common import let
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns. A match starts where the last ended or where a run starts; later starts in a run would fail as its first did.

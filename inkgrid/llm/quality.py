@@ -27,34 +27,35 @@ THRESHOLD = 0.3
 TREES, DEPTH, LEAST_LEAF, RATE, BINS = 40, 3, 20, 0.3, 32
 PENALTY = 0.002
 FOLDS = 5
+#: Classes of characters whose shares of a text are statistics.
+SHARES = {"capitals": r"\p{Lu}", "symbols": r"#$%&*@^~=_+<>\\{}\[\]", "bars": "|", "cries": "!?", "digits": "0-9", "stops": ".,;:", "spaces": r"\s"}
+NAMES = ("chars", "words", "word_length", "distinct_words", "line_length", "distinct_lines", *SHARES)
 
 
 def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def statistics(text_col: str) -> dict[str, Column]:
-    """Statistics of a text, by name. Shares are of characters, or of words or lines where the name says so."""
+def statistics(text_col: str) -> Column:
+    """Statistics of a text as a struct. Shares are of characters, or of words or lines where the name says so."""
+
+    def of_parts(p: Column) -> Column:
+        t, n, words, lines = p["text"], p["n"], p["words"], p["lines"]
+        kept = lambda chars: F.length(F.regexp_replace(t, f"[^{chars}]+", ""))
+        of = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+        return F.struct(
+            n.cast("double").alias("chars"),
+            F.size(words).cast("double").alias("words"),
+            of(n, F.size(words)).alias("word_length"),
+            of(F.size(F.array_distinct(words)), F.size(words)).alias("distinct_words"),
+            of(n, F.size(lines)).alias("line_length"),
+            of(F.size(F.array_distinct(lines)), F.size(lines)).alias("distinct_lines"),
+            *(of(kept(chars), n).alias(name) for name, chars in SHARES.items()),
+        )
+
     t = common.whole(F.col(text_col).cast("string"))
-    n = F.length(t)
     words, lines = F.filter(F.split(t, r"\s+"), lambda w: w != ""), F.filter(F.split(t, "\n"), lambda x: x != "")
-    kept = lambda chars: F.length(F.regexp_replace(t, f"[^{chars}]+", ""))
-    of = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-    return {
-        "chars": n.cast("double"),
-        "words": F.size(words).cast("double"),
-        "word_length": of(n, F.size(words)),
-        "distinct_words": of(F.size(F.array_distinct(words)), F.size(words)),
-        "line_length": of(n, F.size(lines)),
-        "distinct_lines": of(F.size(F.array_distinct(lines)), F.size(lines)),
-        "capitals": of(kept(r"\p{Lu}"), n),
-        "symbols": of(kept(r"#$%&*@^~=_+<>\\{}\[\]"), n),
-        "bars": of(kept("|"), n),
-        "cries": of(kept("!?"), n),
-        "digits": of(kept("0-9"), n),
-        "stops": of(kept(".,;:"), n),
-        "spaces": of(kept(r"\s"), n),
-    }
+    return common.let(F.struct(t.alias("text"), F.length(t).alias("n"), words.alias("words"), lines.alias("lines")), of_parts)
 
 
 @dataclass(frozen=True)
@@ -69,10 +70,11 @@ class Rule:
             out &= (x[:, names.index(name)] > at) == above
         return out
 
-    def column(self) -> Column:
+    def column(self, stats: Column) -> Column:
+        """Whether the rule holds for a struct of statistics."""
         out = F.lit(True)
         for name, above, at in self.parts:
-            out = out & ((F.col(name) > at) if above else (F.col(name) <= at))
+            out = out & ((stats[name] > at) if above else (stats[name] <= at))
         return out
 
 
@@ -81,12 +83,16 @@ class Model:
     bias: float
     rules: tuple[tuple[Rule, float], ...]
 
-    def margin(self) -> Column:
+    def margin(self, stats: Column) -> Column:
         out = F.lit(self.bias)
         for rule, w in self.rules:
-            out = out + F.when(rule.column(), F.lit(w)).otherwise(F.lit(0.0))
+            out = out + F.when(rule.column(stats), F.lit(w)).otherwise(F.lit(0.0))
         return out
 
+    def chance(self, text_col: str) -> Column:
+        """The score of a text. Its statistics are computed once, wherever the optimizer moves this expression."""
+        return common.let(statistics(text_col), lambda stats: 1 / (1 + F.exp(-self.margin(stats))))
+
 
 def _grow(x: np.ndarray, edges: list[np.ndarray], binned: np.ndarray, grad: np.ndarray, hess: np.ndarray, names: list[str], path: tuple, rows: np.ndarray, rules: list[Rule], step: np.ndarray) -> None:
     """Splits rows where the second-order gain is largest; notes each node's path; leaves add their step."""
@@ -169,17 +175,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.select(F.col("doc_id").alias("__l"), F.col("quality").cast("int").alias("__y")).where(F.col("__y").isin(0, 1) & F.col("__l").isNotNull() & (fold("__l", FOLDS) != 0))
     share = min(1.0, sample / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64("__l", F.lit(8)), F.lit(2**20)) < F.lit(int(share * 2**20)))
-    stats = {f"__s_{k}": v for k, v in statistics(text_col).items()}
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col)).join(F.broadcast(known), F.col("__id") == F.col("__l"))
-    rows = rows.select("__id", "__y", *(c.alias(k) for k, c in stats.items())).toPandas().sort_values(["__id", "__y"])
-    names = list(stats)
-    return fit(rows[names].to_numpy(float), rows["__y"].to_numpy(float), names)
+    rows = rows.select("__id", "__y", statistics(text_col).alias("__s")).select("__id", "__y", "__s.*").toPandas().sort_values(["__id", "__y", *NAMES])
+    return fit(rows[list(NAMES)].to_numpy(float), rows["__y"].to_numpy(float), list(NAMES))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with score, the probability of quality 1."""
-    rows = docs.drop("score").withColumns({f"__s_{k}": c for k, c in statistics(text_col).items()})
-    return rows.withColumn("score", 1 / (1 + F.exp(-model.margin()))).select(*(c for c in docs.columns if c.lower() != "score"), "score")
+    """docs with score, the probability of quality 1; a column of that name is replaced."""
+    return docs.withColumn("score", model.chance(text_col))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

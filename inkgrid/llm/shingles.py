@@ -6,13 +6,16 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-KNOWN_WORDS = 400_000
+#: A worker forgets the hashes of words that it knows when there are so many. Longer words than KNOWN_LENGTH bytes aren't kept.
+KNOWN_WORDS, KNOWN_LENGTH = 200_000, 64
 _STEP, _SHORT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= KNOWN_LENGTH:
+            self[word] = h
         return h
 
 

@@ -16,10 +16,10 @@ from itertools import chain
 
 import numpy as np
 
-#: A worker forgets the words and pieces that it knows when they are more than this.
-KNOWN = 1_500_000
-#: So many characters of longer words count as one word more.
-LONG_WORD = 64
+#: A worker forgets the words and pieces that it knows when they take about so many bytes.
+KNOWN_BYTES = 150_000_000
+#: A known string takes so many bytes beside its characters: its entry, its number, its ids.
+ENTRY_BYTES = 200
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"[\\t-\\r -~{_LETTER}]*")
@@ -63,21 +63,25 @@ class _Lists:
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    """specials_as_text: whether the vocabulary's special tokens, where they stand in a text, are ordinary text (the library's default: no)."""
+
+    def __init__(self, path: str, specials_as_text: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = specials_as_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
         self.drops_space = any(x["type"] == "Split" for x in steps)
         self.cut = _CUTS["word" if self.drops_space else "byte"]
+        added = [] if specials_as_text else [re.escape(x["content"]) for x in spec.get("added_tokens") or []]
+        self.special = re.compile("|".join(added), re.IGNORECASE) if added else None
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.pieces, self.of_word, self.of_piece, self.long = _Numbered(), _Numbered(), _Lists(), _Lists(), 0
+        self.words, self.pieces, self.of_word, self.of_piece, self.bytes = _Numbered(), _Numbered(), _Lists(), _Lists(), 0
 
     def _learn(self) -> None:
         """Ids of the words that came since the last call, from those of their pieces."""
@@ -87,9 +91,10 @@ class Encoder:
         for word in self.words.new:
             cut = self.cut.findall(word if self.drops_space else word[1:] if word[:1] == _FIRST else " " + word)
             counts.append(len(cut))
-            self.long += len(word) // LONG_WORD
+            self.bytes += ENTRY_BYTES + 6 * len(word)
             found.extend(map(number, cut))
         if new := self.pieces.new:
+            self.bytes += sum(ENTRY_BYTES + 6 * len(p) for p in new)
             got = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             sizes = np.fromiter(map(len, got), np.int64, len(got))
             self.of_piece.add(np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum())), sizes)
@@ -101,13 +106,13 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, uint32."""
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
-        if len(self.words) + len(self.pieces) + self.long > KNOWN:
+        if self.bytes > KNOWN_BYTES:
             self._forget()
         number, owner, counts, parts, odd = self.words.__getitem__, [], [], [], []
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if not _PLAIN.fullmatch(text) or not self.drops_space and "  " in text:
+            if not _PLAIN.fullmatch(text) or not self.drops_space and "  " in text or self.special and self.special.search(text):
                 odd.append(i)
                 continue
             if self.drops_space:
@@ -130,14 +135,15 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials_as_text: bool = False) -> Encoder:
     """The one Encoder of this process for a file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = path, specials_as_text
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def in_batches(texts: Iterable[str | None], chars: int = 1_000_000) -> Iterable[list[str]]:
