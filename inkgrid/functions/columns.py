@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .replies import PRIMITIVE
+
 #: Fixed values of the annotation format.
 UNDECIDED = "LLM answered: non-determinable"
 NO_QUOTE = ("", "not found", "n/a")
@@ -15,11 +17,6 @@ ELLIPSIS = r"[.]{2,}|…"
 LEAST_ELLIPSIS_CHARS = 40
 
 
-def bare(text: Column) -> Column:
-    """Without quotation marks and backticks at its ends."""
-    return F.btrim(text, F.lit(QUOTE_MARKS))
-
-
 def ellipsis_parts(text: Column) -> Column:
     """The parts around ellipses, trimmed, empty ones left out."""
     return F.filter(F.transform(F.split(text, ELLIPSIS), lambda p: F.trim(p)), lambda p: p != "")
@@ -30,10 +27,6 @@ def long_enough(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda n, p: n + F.length(p)) >= LEAST_ELLIPSIS_CHARS
 
 
-def edit_budget(text: Column, rate: float) -> Column:
-    return F.greatest(F.lit(1), F.floor(F.length(text) * F.lit(rate)).cast("int"))
-
-
 def joined_quotes(quotes: Column) -> Column:
     """A list of quotes as one text, a blank line between them; none: empty."""
     return F.coalesce(F.array_join(quotes, "\n\n"), F.lit(""))
@@ -48,15 +41,9 @@ def n_quotes(quotes: Column) -> Column:
     return F.coalesce(F.size(F.filter(quotes, lambda q: q != "")), F.lit(0))
 
 
-def unfenced(text: Column) -> Column:
-    """The inside of a leading fenced block, if its fence is closed; else the text, trimmed."""
-    inside = F.regexp_extract(F.trim(text), r"(?s)^```[A-Za-z]*\s*\n(.*?)\n?```", 1)
-    return F.when(F.trim(text).rlike(r"(?s)^```[A-Za-z]*\s*\n.*?```"), F.trim(inside)).otherwise(F.trim(text))
-
-
 def primitive_value(line: Column) -> Column:
     """The first true, false, null or number after "value": in a line; null if there's none."""
-    found = F.regexp_extract(line, r'"value"\s*:\s*(true|false|null|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)', 1)
+    found = F.regexp_extract(line, PRIMITIVE, 1)
     return F.when(found != "", found)
 
 
@@ -72,22 +59,7 @@ def provider_and_model(name: Column) -> tuple[Column, Column]:
     return F.when(has, F.substring_index(name, "/", 1)), F.when(has, F.substr(name, F.instr(name, "/") + 1)).otherwise(name)
 
 
-# -- typed values. A value comes as JSON type (null, boolean, number, string, array, object) and raw token.
-
-
-def json_type(token: Column) -> Column:
-    t = F.trim(token)
-    return (
-        F.when(token.isNull() | (t == "null"), "null").when(t.isin("true", "false"), "boolean").when(t.startswith('"'), "string")
-        .when(t.startswith("["), "array").when(t.startswith("{"), "object").otherwise("number")
-    )
-
-
-def python_text(token: Column) -> Column:
-    """A scalar token as the mapping writes it: true as True, strings without quotes, numbers as they stand."""
-    kind = json_type(token)
-    said = F.get_json_object(F.concat(F.lit('{"v":'), token, F.lit("}")), "$.v")
-    return F.when(kind == "null", F.lit(None)).when(kind == "boolean", F.initcap(F.trim(token))).when(kind == "string", said).otherwise(F.trim(token))
+# -- typed values, from a value as replies.VALUE: kind, said (as Python writes it), items, truth.
 
 
 def mapped(status: Column, detail: Column, **fields: Column) -> Column:
@@ -95,50 +67,44 @@ def mapped(status: Column, detail: Column, **fields: Column) -> Column:
     return F.struct(*(fields.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()), status.cast("string").alias("extraction_status"), detail.cast("string").alias("extraction_detail"))
 
 
-def map_boolean(token: Column) -> Column:
-    kind, said = json_type(token), F.lower(python_text(token))
-    empty = F.regexp_replace(F.trim(token), r"\s", "").isin("[]", "{}")
-    value = (
-        F.when(kind == "boolean", F.trim(token) == "true")
-        .when((kind == "string") & said.isin(*TRUE_WORDS), True).when((kind == "string") & said.isin(*FALSE_WORDS), False)
-        .when(kind == "number", F.trim(token).try_cast("double") != 0).when(kind.isin("array", "object"), ~empty)
-    )
-    bad = (kind == "string") & value.isNull()
-    detail = F.when(kind == "null", UNDECIDED).when(bad, python_text(token)).otherwise("")
+def map_boolean(v: Column) -> Column:
+    said = F.lower(v["said"])
+    of_text = F.when(said.isin(*TRUE_WORDS), True).when(said.isin(*FALSE_WORDS), False)
+    value = F.when(v["kind"] == "string", of_text).otherwise(v["truth"])
+    bad = (v["kind"] == "string") & value.isNull()
+    detail = F.when(v["kind"] == "null", UNDECIDED).when(bad, v["said"]).otherwise("")
     return mapped(F.when(bad, "invalid").otherwise("ok"), detail, value_boolean=value)
 
 
-def map_categorical(token: Column, options: Column) -> Column:
-    said = python_text(token)
-    valid = F.array_contains(options, said)
-    detail = F.when(said.isNull(), UNDECIDED).when(valid, "").otherwise(said)
-    return mapped(F.when(said.isNull() | valid, "ok").otherwise("invalid"), detail, value_categorical=F.when(valid, said))
+def map_categorical(v: Column, options: Column) -> Column:
+    """The text of any value, of a list too, is looked for among the options."""
+    valid = F.array_contains(options, v["said"])
+    detail = F.when(v["said"].isNull(), UNDECIDED).when(valid, "").otherwise(v["said"])
+    return mapped(F.when(v["said"].isNull() | valid, "ok").otherwise("invalid"), detail, value_categorical=F.when(valid, v["said"]))
 
 
-def map_multi(token: Column, options: Column) -> Column:
-    """A list keeps its valid elements, with repetitions; a scalar is a list of one; null is the empty list."""
-    kind = json_type(token)
-    items = F.coalesce(F.from_json(token, "array<string>"), F.array().cast("array<string>"))
-    given = F.when(kind == "array", items).when(kind == "null", F.array().cast("array<string>")).otherwise(F.array(python_text(token)))
-    valid = F.filter(given, lambda v: F.array_contains(options, v))
+def map_multi(v: Column, options: Column) -> Column:
+    """A list keeps its valid elements, with repetitions; another value is a list of one; null is the empty list."""
+    none = F.array().cast("array<string>")
+    given = F.when(v["kind"] == "array", v["items"]).when(v["kind"] == "null", none).otherwise(F.array(v["said"]))
+    valid = F.filter(given, lambda x: F.array_contains(options, x))
     bad = F.size(valid) < F.size(given)
-    listed = F.concat(F.lit("["), F.array_join(F.transform(given, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
-    detail = F.when(kind == "null", UNDECIDED).when(bad & (kind == "array"), listed).when(bad, python_text(token)).otherwise("")
+    detail = F.when(v["kind"] == "null", UNDECIDED).when(bad, v["said"]).otherwise("")
     return mapped(F.when(bad, "invalid").otherwise("ok"), detail, value_categorical_multi=valid)
 
 
-def map_text(token: Column) -> Column:
-    return mapped(F.lit("ok"), F.lit(""), value_text=python_text(token))
+def map_text(v: Column) -> Column:
+    return mapped(F.lit("ok"), F.lit(""), value_text=v["said"])
 
 
-def map_value(question_type: Column, allow_multiple: Column, token: Column, options: Column) -> Column:
+def map_value(question_type: Column, allow_multiple: Column, v: Column, options: Column) -> Column:
     """The typed columns of an answer; an unknown question type is an error."""
     unknown = F.raise_error(F.concat(F.lit("unknown question type: "), question_type))
     none = mapped(unknown.cast("string"), F.lit(""))
     return (
-        F.when(question_type == "boolean", map_boolean(token))
-        .when((question_type == "categorical") & allow_multiple, map_multi(token, options)).when(question_type == "categorical", map_categorical(token, options))
-        .when(question_type.isin("text", "integer", "float"), map_text(token)).otherwise(none)
+        F.when(question_type == "boolean", map_boolean(v))
+        .when((question_type == "categorical") & allow_multiple, map_multi(v, options)).when(question_type == "categorical", map_categorical(v, options))
+        .when(question_type.isin("text", "integer", "float"), map_text(v)).otherwise(none)
     )
 
 
@@ -189,3 +155,34 @@ def html_safe(text: Column) -> Column:
     for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         text = F.replace(text, F.lit(raw), F.lit(safe))
     return text
+
+
+def shown_percent(part: Column, whole: Column) -> Column:
+    """One digit after the point; of nothing: n/a."""
+    return F.when(whole == 0, "n/a").otherwise(F.format_string("%.1f%%", F.lit(100.0) * part / whole))
+
+
+def shown_cost(total: Column) -> Column:
+    """Dollars: six digits below a tenth of a cent, else four."""
+    return F.when((total == 0) | (total < 0.001), F.format_string("$%.6f", total)).otherwise(F.format_string("$%.4f", total))
+
+
+def shown_latency(ms: Column) -> Column:
+    return (
+        F.when(ms.isNull(), "n/a").when(ms >= 60_000, F.format_string("%.1fm", ms / 60_000.0))
+        .when(ms >= 1_000, F.format_string("%.1fs", ms / 1_000.0)).otherwise(F.format_string("%.0fms", ms.cast("double")))
+    )
+
+
+def cache_tokens(provider: Column, usage: Column) -> Column:
+    """struct<cached_read, cached_write> of a provider's usage JSON; missing numbers are 0."""
+    own = F.lower(provider) == "anthropic"
+    n = lambda path: F.coalesce(F.get_json_object(usage, path).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.struct(
+        F.when(own, n("$.cache_read_input_tokens")).otherwise(n("$.prompt_tokens_details.cached_tokens")).alias("cached_read"),
+        F.when(own, n("$.cache_creation_input_tokens")).otherwise(F.lit(0).cast("bigint")).alias("cached_write"),
+    )
+
+
+def shortened(text: Column, n: int) -> Column:
+    return F.substring(text, 1, n)

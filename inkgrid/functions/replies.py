@@ -10,25 +10,60 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Markers for "no quote", and what a missing key is reported as.
-SENTINELS = ("not found", "n/a")
-MISSING = "missing from the reply"
-_PRIMITIVE = re.compile(r'"value"\s*:\s*(true|false|null|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)')
-
+#: The marker of an answer without a quote, and the texts of errors.
+NO_DIRECT_QUOTE = "[NO DIRECT QUOTE]"
+MISSING = "key {key!r} not found in pass-2 output"
+EXTRACTION_FAILED = "Pass-2 extraction failed for "
+#: A JSON literal other than a text, a list or an object, after "value": (fixed value).
+PRIMITIVE = r'"value"\s*:\s*(true|false|null|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
+_PRIMITIVE = re.compile(PRIMITIVE)
+
+#: A JSON value as the typed columns need it: its kind, its text as Python writes it, the texts of a list's elements, its truth.
+VALUE = T.StructType([T.StructField("kind", T.StringType()), T.StructField("said", T.StringType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("truth", T.BooleanType())])
 RESULT = T.StructType([
-    T.StructField("key", T.StringType()), T.StructField("value_json", T.StringType()), T.StructField("cited", T.ArrayType(T.StringType())), T.StructField("cited_kind", T.StringType()),
+    T.StructField("key", T.StringType()), T.StructField("value_json", T.StringType()), T.StructField("value", VALUE), T.StructField("cited", T.ArrayType(T.StringType())), T.StructField("cited_kind", T.StringType()),
     T.StructField("comment", T.StringType()), T.StructField("confidence", T.IntegerType()), T.StructField("parse_error", T.StringType()),
 ])
 
 
+def value_of(x: object) -> dict:
+    kinds = {bool: "boolean", int: "number", float: "number", str: "string", list: "array", dict: "object"}
+    return {"kind": kinds.get(type(x), "null"), "said": None if x is None else str(x), "items": [str(i) for i in x] if isinstance(x, list) else None, "truth": None if x is None else bool(x)}
+
+
+@F.pandas_udf(VALUE)
+def value_column(tokens: pd.Series) -> pd.DataFrame:
+    """The VALUE of a JSON token; no token is null."""
+    known: dict[str, dict] = {}
+    rows = []
+    for t in tokens:
+        if t is None:
+            rows.append(value_of(None))
+            continue
+        if t not in known:
+            known[t] = value_of(json.loads(t))
+        rows.append(known[t])
+    return pd.DataFrame(rows, columns=["kind", "said", "items", "truth"])
+
+
+def canonical(token: str | None) -> str | None:
+    """A JSON token with sorted keys and one spelling; 1 and 1.0 differ, as they do in the text; what isn't JSON stays as it is."""
+    try:
+        return None if token is None else json.dumps(json.loads(token), sort_keys=True)
+    except ValueError:
+        return token
+
+
+@F.pandas_udf(T.StringType())
+def canonical_column(tokens: pd.Series) -> pd.Series:
+    return tokens.map(canonical, na_action="ignore")
+
+
 def unfenced(text: str) -> str:
-    """The inside of a leading fenced block whose fence is closed; else the text."""
-    lines = text.strip().split("\n")
-    if lines[0].startswith("```"):
-        for i, line in enumerate(lines[1:], 1):
-            if line.strip().startswith("```"):
-                return "\n".join(lines[1:i]).strip()
-    return text.strip()
+    """The inside of a leading fenced block up to the last bare fence; a text without either stays as it is."""
+    first, *rest = text.strip().splitlines() or [""]
+    bare = [i for i, line in enumerate(rest) if line.strip() == "```"]
+    return "\n".join(rest[: bare[-1]]) if first.startswith("```") and bare else text
 
 
 def tolerant(line: str) -> object:
@@ -66,70 +101,62 @@ def tolerant(line: str) -> object:
 
 
 def repaired(line: str) -> dict | None:
-    """A damaged line's object, if it has a key and its value agrees with the one that stands in the line."""
+    """A damaged line's object, if it names a key and its value is the literal that stands in the line (null where none does)."""
     try:
         got = tolerant(line)
     except ValueError:
         return None
-    if not isinstance(got, dict) or not got.get("key"):
-        return None
-    seen = _PRIMITIVE.search(line)
-    value = got.get("value")
-    if isinstance(value, (str, list, dict)):
-        return got
-    if seen is None:
-        return got if value is None else None
-    return got if json.loads(seen[1]) == value else None
-
-
-def cited_of(raw: object) -> tuple[list[str] | None, str]:
-    """Quotes and whether they came as a text, a list or not at all."""
-    if raw is None or raw == "" or raw == []:
-        return [], "text"
-    if isinstance(raw, str):
-        return (None, "none") if raw.strip() in SENTINELS else ([raw], "text")
+    literal = _PRIMITIVE.search(line)
+    expected = None if literal is None else {"true": True, "false": False, "null": None}.get(literal[1], literal[1])
+    if isinstance(expected, str):
+        expected = int(expected) if expected.lstrip("-").isdigit() else float(expected)
+    agrees = isinstance(got, dict) and bool(got.get("key")) and got.get("value") == expected
+    return got if agrees else None
+
+
+def cited_of(raw: object) -> tuple[list[str], str]:
+    """Quotes, and whether they came as a text, a list, or the marker that says there is none."""
     if isinstance(raw, list):
-        quotes = [str(x) for x in raw]
-        return (None, "none") if len(quotes) == 1 and quotes[0].strip() in SENTINELS else (quotes, "list")
-    return [str(raw)], "text"
+        quotes = ["" if x is None else str(x) for x in raw]
+        return ([], "none") if [q.strip() for q in quotes] == [NO_DIRECT_QUOTE] else (quotes, "list")
+    if not raw:
+        return [], "text"
+    return ([], "none") if isinstance(raw, str) and raw.strip() == NO_DIRECT_QUOTE else ([str(raw)], "text")
 
 
-def _items(text: str) -> Iterable[dict]:
+def _lines(body: str) -> Iterable[object]:
+    for line in body.splitlines():
+        if line.strip().startswith("{"):
+            try:
+                yield json.loads(line)
+            except ValueError:
+                yield repaired(line)
+
+
+def _items(text: str) -> Iterable[object]:
     body = unfenced(text)
     try:
         whole = json.loads(body)
     except ValueError:
-        whole = None
-    if isinstance(whole, dict) and isinstance(whole.get("results"), list):
-        return [x for x in whole["results"] if isinstance(x, dict)]
-    if isinstance(whole, list):
-        return [x for x in whole if isinstance(x, dict)]
-    found = []
-    for line in body.split("\n"):
-        if line.strip().startswith("{"):
-            try:
-                x = json.loads(line)
-            except ValueError:
-                x = repaired(line)
-            if isinstance(x, dict):
-                found.append(x)
-    return found
+        return _lines(body)
+    found = whole.get("results") if isinstance(whole, dict) and "results" in whole else whole
+    if isinstance(found, list):
+        return found
+    return [] if found is not whole else _lines(body)
 
 
 def results(text: str | None, keys: Iterable[str]) -> list[dict]:
     """One result for each key asked for, in order; the last of several answers counts, a missing one is an error."""
-    got = {x["key"]: x for x in _items(text or "") if x.get("key")}
+    got = {x["key"]: x for x in _items(text or "") if isinstance(x, dict) and x.get("key")}
     out = []
     for key in keys:
         x = got.get(key)
-        if x is None:
-            out.append({"key": key, "value_json": None, "cited": [], "cited_kind": "text", "comment": "", "confidence": None, "parse_error": MISSING})
-            continue
-        cited, kind = cited_of(x.get("cited_text"))
-        confidence = x.get("confidence")
+        value = (x or {}).get("value")
+        cited, kind = cited_of((x or {}).get("cited_text"))
+        confidence = (x or {}).get("confidence")
         out.append({
-            "key": key, "value_json": json.dumps(x.get("value"), ensure_ascii=False), "cited": cited, "cited_kind": kind, "comment": x.get("comment") or "",
-            "confidence": int(confidence) if isinstance(confidence, (int, float)) and not isinstance(confidence, bool) else None, "parse_error": None,
+            "key": key, "value_json": None if x is None else json.dumps(value, ensure_ascii=False), "value": value_of(value), "cited": cited, "cited_kind": kind, "comment": str((x or {}).get("comment") or ""),
+            "confidence": int(confidence) if isinstance(confidence, (int, float)) and not isinstance(confidence, bool) else None, "parse_error": MISSING.format(key=key) if x is None else None,
         })
     return out
 
@@ -139,9 +166,46 @@ def results_column(text: pd.Series, keys: pd.Series) -> pd.Series:
     return pd.Series([results(t, list(k) if k is not None else []) for t, k in zip(text, keys, strict=True)])
 
 
-#: The schema that a reply is asked for.
+@F.pandas_udf(T.StringType())
+def json_over(old: pd.Series, new: pd.Series) -> pd.Series:
+    """An object's JSON with the keys of another laid over it; an old text that isn't an object counts as empty."""
+
+    def one(a: str | None, b: str) -> str:
+        try:
+            base = json.loads(a or "{}")
+        except ValueError:
+            base = {}
+        return json.dumps((base if isinstance(base, dict) else {}) | json.loads(b), ensure_ascii=False)
+
+    return pd.Series([one(a, b) for a, b in zip(old, new, strict=True)])
+
+
+def failed_keys(results_: object) -> object:
+    """Column of the keys without a result of an array of RESULT; empty: the group is good."""
+    return F.filter(results_, lambda r: r["parse_error"].isNotNull())
+
+
+def extraction_error(results_: object) -> object:
+    """Column: what is said of a group with missing keys; null if none is. One missing key spoils its whole group."""
+    bad = failed_keys(results_)
+    said = F.array_join(F.transform(bad, lambda r: F.concat(F.lit("'"), r["key"], F.lit("': "), r["parse_error"])), ", ")
+    return F.when(F.size(bad) > 0, F.concat(F.lit(EXTRACTION_FAILED), F.size(bad).cast("string"), F.lit(" key(s): "), said))
+
+
+#: The schema that a reply is asked for: the five fields of a result, all required.
 REPLY_SCHEMA = {
     "type": "object",
-    "properties": {"results": {"type": "array", "items": {"type": "object", "required": ["key", "value", "cited_text", "comment", "confidence"], "additionalProperties": False}}},
+    "properties": {
+        "results": {
+            "type": "array",
+            "items": {
+                "type": "object", "required": ["key", "value", "cited_text", "comment", "confidence"], "additionalProperties": False,
+                "properties": {
+                    "key": {"type": "string"}, "value": {}, "cited_text": {"anyOf": [{"type": "string"}, {"type": "array", "items": {"type": "string"}}]},
+                    "comment": {"type": "string"}, "confidence": {"type": ["integer", "null"]},
+                },
+            },
+        }
+    },
     "required": ["results"],
-}
+}

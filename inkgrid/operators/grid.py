@@ -13,6 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COMPLETE = ("done", "posted")
+#: Plans (runs, questions, groups of one document) are sent to all executors up to so many rows; a larger one is joined by an exchange.
+SENT_ROWS = 10_000
+
+
+def small(plan: DataFrame) -> DataFrame:
+    """A plan's side of a join, marked for broadcast if it has SENT_ROWS at most."""
+    return F.broadcast(plan) if len(plan.select(F.lit(1)).limit(SENT_ROWS + 1).collect()) <= SENT_ROWS else plan
 
 
 def question_groups(keys: Sequence[str], batching: str | dict | list | None = "all") -> list[list[str]]:
@@ -52,7 +59,7 @@ def groups_frame(questions: DataFrame, batching: str | dict | list | None = "all
     if not of:
         return questions.where("false").selectExpr("0 as group_idx", "0 as pos", "*")
     places = spark.createDataFrame([(k, g, p) for k, (g, p) in of.items()], "key string, group_idx int, pos int")
-    return F.broadcast(places).join(questions, "key").select("group_idx", "pos", *questions.columns)
+    return small(places).join(questions, "key").select("group_idx", "pos", *questions.columns)
 
 
 def chunks(papers: DataFrame, size: int, order: str = "p_order") -> DataFrame:
@@ -80,8 +87,10 @@ def cid(run: Column, paper: Column, group: Column) -> Column:
 
 def cells(runs: DataFrame, papers: DataFrame, groups: DataFrame) -> DataFrame:
     """Every cell: run_id, paper_id, group_idx, pos, version_id, key, cid. Papers stay where they are; the other sides are plans."""
-    plan = runs.select("run_id").crossJoin(groups.select("group_idx", "pos", "version_id", "key"))
-    grid = papers.select("paper_id").crossJoin(F.broadcast(plan))
+    if "paper_id" in groups.columns:
+        grid = papers.select("paper_id").join(groups.select("paper_id", "group_idx", "pos", "version_id", "key"), "paper_id").crossJoin(small(runs.select("run_id")))
+    else:
+        grid = papers.select("paper_id").crossJoin(small(runs.select("run_id").crossJoin(groups.select("group_idx", "pos", "version_id", "key"))))
     return grid.withColumn("cid", cid(F.col("run_id"), F.col("paper_id"), F.col("group_idx")))
 
 
@@ -94,16 +103,28 @@ def parse_ids(text: str | None) -> list[int] | None:
     return None if text is None else [int(x) for x in text.split(",") if x.strip()]
 
 
-def pending(grid: DataFrame, states: DataFrame, complete: Sequence[str] = COMPLETE) -> DataFrame:
-    """Cells of groups of which some cell isn't complete. states: run_id, paper_id, version_id, status, one row a cell."""
-    known = states.where(F.col("status").isin(*complete)).select("run_id", "paper_id", "version_id", F.lit(True).alias("__done"))
-    marked = grid.join(known, ["run_id", "paper_id", "version_id"], "left")
-    whole = Window.partitionBy("run_id", "paper_id", "group_idx")
-    return marked.withColumn("__all", F.min(F.coalesce("__done", F.lit(False))).over(whole)).where("not __all").drop("__all", "__done")
+def full_groups(groups: DataFrame, states: DataFrame, complete: Sequence[str] = COMPLETE) -> DataFrame:
+    """run_id, paper_id and group_idx of groups whose cells are all complete: counts of complete states, no look at the grid.
+
+    groups: group_idx and version_id, and paper_id where papers have groups of their own. states: one row a cell.
+    """
+    own = ["paper_id"] if "paper_id" in groups.columns else []
+    sizes = groups.groupBy(*own, "group_idx").agg(F.count("*").alias("__size"))
+    members = small(groups.select(*own, "group_idx", "version_id").join(small(sizes), [*own, "group_idx"]))
+    done = states.where(F.col("status").isin(*complete)).select("run_id", "paper_id", "version_id").join(members, [*own, "version_id"])
+    counted = done.groupBy("run_id", "paper_id", "group_idx").agg(F.count("*").alias("__n"), F.first("__size").alias("__size"))
+    return counted.where("__n >= __size").select("run_id", "paper_id", "group_idx")
+
+
+def pending(grid: DataFrame, groups: DataFrame, states: DataFrame, complete: Sequence[str] = COMPLETE) -> DataFrame:
+    """Rows of a grid (run_id, paper_id, group_idx, ...) of groups of which some cell isn't complete."""
+    return grid.join(full_groups(groups, states, complete), ["run_id", "paper_id", "group_idx"], "left_anti")
 
 
 def with_source(papers: DataFrame, source_text: DataFrame, text_source: str = "full_text") -> tuple[DataFrame, DataFrame]:
-    """Papers with their source text, and those without one. text_source "abstract" takes the abstract."""
+    """Papers with their source text, and those without one. "abstract" takes the abstract, "candidates_only" no text at all."""
+    if text_source == "candidates_only":
+        return papers.withColumn("source", F.lit("")), papers.where("false")
     if text_source == "abstract":
         found = papers.withColumn("source", F.nullif(F.col("abstract"), F.lit("")))
     else:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,11 @@ MESSAGES = "array<struct<role:string,blocks:array<struct<text:string,cache_ttl:s
 SYSTEM = "You answer questions about one document. Rely on its text alone and quote the passages that support each answer."
 #: Fixed value: below so many characters one provider doesn't cache a prompt.
 LEAST_CACHED_CHARS = 4096
+#: Tokens that the two passes may take where a run doesn't say.
+MOST_TOKENS = {1: 4096, 2: 1024}
+ARBITER = "You settle disputes between raters of one document. Weigh each candidate's value, reasoning and evidence and decide."
+INCLUSION = "This question decides whether the paper is included: a wrong answer can flip that."
+NO_TEXT = "No text of the document is given: decide by the candidates alone."
 
 
 def option_lines(options: Column, many: Column) -> Column:
@@ -24,11 +32,18 @@ def question_block() -> Column:
     return F.concat(F.lit("- key='"), F.col("key"), F.lit("': "), F.col("label"), helped, option_lines(F.col("options"), F.col("allow_multiple")))
 
 
-def questions_text(groups: DataFrame) -> DataFrame:
-    """group_idx, keys and questions (blocks in their order), one row a group."""
-    listed = F.array_sort(F.collect_list(F.struct("pos", F.col("key").alias("key"), question_block().alias("block"), F.col("version_id").alias("version_id"))))
-    rows = groups.groupBy("group_idx").agg(listed.alias("q"))
-    return rows.select("group_idx", F.col("q.key").alias("keys"), F.col("q.version_id").alias("version_ids"), F.array_join(F.col("q.block"), "\n").alias("questions"))
+def dispute_block(anonymous: bool) -> Column:
+    """question_block() with a notice of inclusion criteria and the candidates, from is_ic and candidates besides."""
+    notice = F.when(F.coalesce(F.col("is_ic"), F.lit(False)), F.concat(F.lit("\n  "), F.lit(INCLUSION))).otherwise("")
+    return F.concat(question_block(), notice, F.lit("\n  Candidates:\n"), candidate_lines(F.col("candidates"), F.lit(anonymous)))
+
+
+def questions_text(groups: DataFrame, block: Column | None = None) -> DataFrame:
+    """group_idx (and paper_id, where papers have their own groups), keys and questions (blocks in their order), one row a group."""
+    own = ["paper_id"] if "paper_id" in groups.columns else []
+    listed = F.array_sort(F.collect_list(F.struct("pos", F.col("key").alias("key"), (question_block() if block is None else block).alias("block"), F.col("version_id").alias("version_id"))))
+    rows = groups.groupBy(*own, "group_idx").agg(listed.alias("q"))
+    return rows.select(*own, "group_idx", F.col("q.key").alias("keys"), F.col("q.version_id").alias("version_ids"), F.array_join(F.col("q.block"), "\n").alias("questions"))
 
 
 def message(role: str, *texts: Column) -> Column:
@@ -36,14 +51,13 @@ def message(role: str, *texts: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), blocks.alias("blocks"))
 
 
-def pass1_messages(source: Column, questions: Column, cache_first: Column, system: str | None = None, notice: Column | None = None) -> Column:
-    """System message, then the text and the questions as two user messages; cache_first says which comes first. No text: the questions alone."""
-    text, asked = F.concat(F.lit("Document:\n"), source), F.concat(F.lit("Questions:\n"), questions)
-    if notice is not None:
-        asked = F.concat_ws("\n\n", notice, asked)
+def pass1_messages(source: Column, questions: Column, cache_first: Column, system: str | None = None, without: str | None = None) -> Column:
+    """System message, then the text and the questions as two user messages; cache_first says which comes first. No text: `without` instead, or the questions alone."""
+    asked, none = F.concat(F.lit("Questions:\n"), questions), F.coalesce(source, F.lit("")) == ""
+    text = F.concat(F.lit("Document:\n"), source) if without is None else F.when(none, without).otherwise(F.concat(F.lit("Document:\n"), source))
     head = message("system", F.lit(system or SYSTEM))
     both = F.when(cache_first == "questions", F.array(head, message("user", asked), message("user", text))).otherwise(F.array(head, message("user", text), message("user", asked)))
-    return F.when(F.coalesce(source, F.lit("")) == "", F.array(head, message("user", asked))).otherwise(both)
+    return both if without is not None else F.when(none, F.array(head, message("user", asked))).otherwise(both)
 
 
 def pass2_messages(pass1_text: Column, specs: Column) -> Column:
@@ -92,14 +106,36 @@ def split_system(messages: Column) -> tuple[Column, Column]:
     return text, F.filter(messages, lambda m, i: i != at - 1)
 
 
-def request_body(cid: Column, messages: Column, model: Column, max_tokens: int, provider: str) -> Column:
-    """The line of a batch file for one call."""
-    plain = F.transform(messages, lambda m: F.struct(m["role"].alias("role"), F.array_join(F.transform(m["blocks"], lambda b: b["text"]), "").alias("content")))
+def _literal(value: object) -> Column:
+    """A setting of a run as a column; nested ones by their JSON."""
+    if isinstance(value, (dict, list)):
+        said = F.lit(json.dumps(value))
+        return F.from_json(said, F.schema_of_json(said))
+    return F.lit(value)
+
+
+def request_body(cid: Column, messages: Column, model: Column, provider: str, *, number: int = 1, temperature: float | None = None, params: Mapping | None = None, response_format: Mapping | None = None) -> Column:
+    """The line of a batch file for one call of pass 1 or 2. params win over what else would stand in the body; one provider takes no response format."""
+    content = lambda ms: F.transform(ms, lambda m: F.struct(m["role"].alias("role"), F.array_join(F.transform(m["blocks"], lambda b: b["text"]), "").alias("content")))
+    extra = dict(params or {})
+    fields = {"model": model, "max_tokens": F.lit(extra.pop("max_tokens", MOST_TOKENS[number]))}
+    if provider not in ("anthropic", "openai", "azure"):
+        raise ValueError(f"no batch requests for {provider!r}")
+    system, rest = split_system(messages)
+    fields["messages"] = content(rest if provider == "anthropic" else messages)
+    if temperature is not None:
+        fields["temperature"] = F.lit(temperature)
+    fields |= {k: _literal(v) for k, v in extra.items()}
     if provider == "anthropic":
-        system, rest = split_system(messages)
-        rest = F.transform(rest, lambda m: F.struct(m["role"].alias("role"), F.array_join(F.transform(m["blocks"], lambda b: b["text"]), "").alias("content")))
-        return F.to_json(F.struct(cid.alias("custom_id"), F.struct(model.alias("model"), F.lit(max_tokens).alias("max_tokens"), system.alias("system"), rest.alias("messages")).alias("params")))
-    if provider in ("openai", "azure"):
-        body = F.struct(model.alias("model"), F.lit(max_tokens).alias("max_tokens"), plain.alias("messages"))
-        return F.to_json(F.struct(cid.alias("custom_id"), F.lit("POST").alias("method"), F.lit("/v1/chat/completions").alias("url"), body.alias("body")))
-    raise ValueError(f"no batch requests for {provider!r}")
+        fields["system"] = F.nullif(system, F.lit(""))
+    elif response_format is not None:
+        fields["response_format"] = _literal(response_format)
+    body = F.struct(*(c.alias(k) for k, c in fields.items()))
+    if provider == "anthropic":
+        return F.to_json(F.struct(cid.alias("custom_id"), body.alias("params")))
+    return F.to_json(F.struct(cid.alias("custom_id"), F.lit("POST").alias("method"), F.lit("/v1/chat/completions").alias("url"), body.alias("body")))
+
+
+def preview(calls: DataFrame, number: int = 1) -> DataFrame:
+    """What would be sent: cid, pass, n_chars and the messages as one text."""
+    return calls.select("cid", F.lit(number).alias("pass"), flat(F.col("messages")).alias("prompt")).withColumn("n_chars", F.length("prompt"))

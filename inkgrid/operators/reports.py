@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import evidence, replies
 
 COUNTED = ("tokens_total", "tokens_input", "tokens_output", "tokens_cached", "fmt_tokens_total", "fmt_tokens_input", "fmt_tokens_output", "fmt_tokens_cached")
 
@@ -34,13 +35,14 @@ def named(rows: DataFrame, names: DataFrame, key: str, name: str, out: str) -> D
 
 
 def compared(tests: DataFrame, reference: DataFrame) -> DataFrame:
-    """Rows of format models beside the reference row of their cell: value_match, cites_match, similarity inputs."""
+    """Rows of format models beside the reference row of their cell: value_match (by canonical JSON), cites_match, similarity of the quotes (null where the reference has none)."""
     ref = reference.select("run_id", "paper_id", "version_id", F.col("value_json").alias("ref_value"), F.col("cited").alias("ref_cited"), F.col("verified").alias("ref_verified"))
     rows = tests.join(ref, ["run_id", "paper_id", "version_id"])
-    return rows.withColumns({
-        "value_match": F.col("value_json").eqNullSafe(F.col("ref_value")), "cites_match": C.n_quotes(F.col("cited")) == C.n_quotes(F.col("ref_cited")),
+    rows = rows.withColumns({
+        "value_match": replies.canonical_column("value_json").eqNullSafe(replies.canonical_column("ref_value")), "cites_match": C.n_quotes(F.col("cited")) == C.n_quotes(F.col("ref_cited")),
         "has_ref": C.n_quotes(F.col("ref_cited")) > 0, "test_text": C.simple_text(F.col("cited")), "ref_text": F.when(C.n_quotes(F.col("ref_cited")) > 0, C.simple_text(F.col("ref_cited"))),
     })
+    return rows.withColumn("similarity", evidence.similarity("test_text", "ref_text"))
 
 
 def bench_summary(rows: DataFrame, *by: str) -> DataFrame:
@@ -54,12 +56,24 @@ def bench_summary(rows: DataFrame, *by: str) -> DataFrame:
     aggs = [
         F.count("*").alias("n"), F.count_if(F.col("error").isNotNull()).alias("n_errors"), share("value_match").alias("value_match_pct"), share("cites_match").alias("cites_match_pct"),
         C.percent(F.count_if(F.col("has_ref") & F.col("verified")), F.count_if(F.col("has_ref"))).alias("verified_pct"), C.percent(F.count_if(F.col("has_ref") & F.col("ref_verified")), F.count_if(F.col("has_ref"))).alias("ref_verified_pct"),
-        F.sum("cost").alias("cost"), F.avg(F.nullif(F.col("latency_ms"), F.lit(0))).alias("mean_latency_ms"),
+        F.avg("similarity").alias("mean_similarity"), F.sum("cost").alias("cost"), F.avg(F.nullif(F.col("latency_ms"), F.lit(0))).alias("mean_latency_ms"),
     ]
     out = rows.groupingSets([[F.col(c) for c in s] for s in sets], *keys).agg(*aggs)
     return out.withColumn("flagged", (F.col("cites_match_pct") < 99) | (F.abs(F.col("verified_pct") - F.col("ref_verified_pct")) > 2))
 
 
+def reference_stats(reference: DataFrame) -> DataFrame:
+    """Of reference answers (cited, verified, fmt_cost): answers, those with quotes, of these the verified, in percent too, and formatting's cost."""
+    quoted = C.n_quotes(F.col("cited")) > 0
+    good = F.count_if(quoted & F.col("verified"))
+    return reference.agg(F.count("*").alias("n"), F.count_if(quoted).alias("n_quoted"), good.alias("n_verified"), C.percent(good, F.count_if(quoted)).alias("verified_pct"), F.sum(F.coalesce("fmt_cost", F.lit(0.0))).alias("cost"))
+
+
+def extent(rows: DataFrame) -> DataFrame:
+    """How many runs, papers and versions rows are of."""
+    return rows.agg(*(F.count_distinct(f"{c}_id").alias(f"n_{c}s") for c in ("run", "paper", "version")))
+
+
 def usage_totals(results: DataFrame) -> DataFrame:
     """Of a batch: results by kind, tokens, cached share of input."""
     ok = F.col("type") == "succeeded"

@@ -1,33 +1,37 @@
 """State of cells as an append-only log: each change is a row, the last row of a key is its state.
 
-Every change is one append of Parquet files (an atomic commit), nothing is rewritten, and the history is an audit. A
-sequence number, not a clock, says which row is the last.
+Every change is one append of Parquet files (an atomic commit), nothing is rewritten, and the history is an audit. The last
+row is that of the highest sequence number; of writers that took the same one, that of the larger writer's name; of rows
+of one append, the later one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, MutableMapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STATUSES = ("pending", "pass1_done", "done", "posted", "failed", "skipped")
+_BODY = (("status", T.StringType()), ("payload_json", T.StringType()), ("batch_group_id", T.StringType()), ("error", T.StringType()))
+_ORDER = (("updated_at", T.TimestampType()), ("seq", T.LongType()), ("writer", T.StringType()), ("row_no", T.LongType()), ("gone", T.BooleanType()))
 
 
-def latest(log: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
+def latest(log: DataFrame, keys: Sequence[str], order: Column | str = "seq") -> DataFrame:
     """The last row of each key: one aggregation with partial maxima, no sort."""
     rest = [c for c in log.columns if c not in keys]
     return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row")).select(*keys, "__row.*").select(*log.columns)
 
 
 class StateTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = ("run_id", "paper_id", "version_id")) -> None:
-        self.spark, self.path, self.keys = spark, path, list(keys)
-        self.schema = T.StructType([
-            *(T.StructField(k, T.LongType()) for k in self.keys), T.StructField("status", T.StringType()), T.StructField("payload_json", T.StringType()),
-            T.StructField("batch_group_id", T.StringType()), T.StructField("error", T.StringType()), T.StructField("updated_at", T.TimestampType()), T.StructField("seq", T.LongType()), T.StructField("gone", T.BooleanType()),
-        ])
+    """The log at a path. Keys are bigints, but those of `texts`; `carried` are further bigints of a row, such as the paper of a disputed item."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = ("run_id", "paper_id", "version_id"), carried: Sequence[str] = (), texts: Sequence[str] = ()) -> None:
+        self.spark, self.path, self.keys, self.carried = spark, path, list(keys), list(carried)
+        kind = {k: T.StringType() if k in texts else T.LongType() for k in (*self.keys, *self.carried)}
+        self.schema = T.StructType([T.StructField(k, t) for k, t in (*kind.items(), *_BODY, *_ORDER)])
 
     def log(self) -> DataFrame:
         try:
@@ -38,29 +42,43 @@ class StateTable:
             return self.spark.createDataFrame([], self.schema)
 
     def view(self) -> DataFrame:
-        return latest(self.log(), self.keys).where("not gone").drop("gone")
+        return latest(self.log(), self.keys, F.struct("seq", "writer", "row_no")).where("not gone").drop("gone", "writer", "row_no")
+
+    def ordered(self) -> DataFrame:
+        """The state in the order of its keys."""
+        return self.view().orderBy(*self.keys)
 
-    def _append(self, rows: DataFrame, status: Column | str, *, payload: Column | None = None, group: Column | None = None, error: Column | None = None, gone: bool = False) -> None:
+    def _append(self, rows: DataFrame, status: Column | str, *, payload: Column | None = None, group: Column | None = None, error: Column | None = None, gone: bool = False) -> int:
+        """Returns the sequence number of the append, for appended()."""
         seq = (self.log().agg(F.max("seq")).first()[0] or 0) + 1
         none = F.lit(None).cast("string")
-        cols = [F.col(k).cast("long").alias(k) for k in self.keys]
         status = F.lit(status) if isinstance(status, str) else status
-        out = rows.select(*cols, status.alias("status"), (none if payload is None else payload).alias("payload_json"), (none if group is None else group).alias("batch_group_id"), (none if error is None else error).alias("error"), F.current_timestamp().alias("updated_at"), F.lit(seq).cast("long").alias("seq"), F.lit(gone).alias("gone"))
+        given = {"status": status, "payload_json": payload, "batch_group_id": group, "error": error}
+        given |= {"updated_at": F.current_timestamp(), "seq": F.lit(seq), "writer": F.lit(uuid.uuid4().hex), "row_no": F.monotonically_increasing_id(), "gone": F.lit(gone)}
+        known = {c.lower() for c in rows.columns}
+        given |= {k: F.col(k) if k.lower() in known else None for k in (*self.keys, *self.carried)}
+        out = rows.select(*((none if given[f.name] is None else given[f.name]).cast(f.dataType).alias(f.name) for f in self.schema))
         out.write.mode("append").parquet(self.path)
+        return seq
+
+    def appended(self, seq: int) -> DataFrame:
+        """The rows of an append."""
+        return self.log().where(F.col("seq") == seq)
 
     def _known(self, rows: DataFrame) -> DataFrame:
         return self.view().join(rows.select(*self.keys).distinct(), self.keys)
 
-    def save(self, rows: DataFrame, status: Column | str = "done") -> None:
-        """rows: keys, payload_json, batch_group_id. Replaces whole rows, so an error is gone."""
-        self._append(rows, status, payload=F.col("payload_json"), group=F.col("batch_group_id"))
+    def save(self, rows: DataFrame, status: Column | str = "done") -> int:
+        """rows: keys, payload_json, batch_group_id, perhaps error. Replaces whole rows, so an earlier error is gone."""
+        error = F.col("error") if "error" in rows.columns else None
+        return self._append(rows, status, payload=F.col("payload_json"), group=F.col("batch_group_id"), error=error)
 
-    def save_pass1(self, rows: DataFrame) -> None:
-        self.save(rows, "pass1_done")
+    def save_pass1(self, rows: DataFrame) -> int:
+        return self.save(rows, "pass1_done")
 
     def upsert_pending(self, rows: DataFrame) -> None:
         """Only keys that have no row."""
-        self._append(rows.select(*self.keys).distinct().join(self.view(), self.keys, "left_anti"), "pending")
+        self._append(rows.dropDuplicates(self.keys).join(self.view().select(*self.keys), self.keys, "left_anti"), "pending")
 
     def mark_skipped(self, rows: DataFrame, reason: str = "") -> None:
         self._append(rows, "skipped", error=F.lit(reason))
@@ -72,10 +90,10 @@ class StateTable:
     def mark_posted(self, rows: DataFrame) -> None:
         self._append(self._known(rows), "posted", payload=F.col("payload_json"), group=F.col("batch_group_id"), error=F.col("error"))
 
-    def replace_payload(self, rows: DataFrame) -> None:
+    def replace_payload(self, rows: DataFrame) -> int:
         """rows: keys, payload_json. Only keys that have a row; they are done again."""
         known = self._known(rows).drop("payload_json").join(rows.select(*self.keys, "payload_json"), self.keys)
-        self._append(known, "done", payload=F.col("payload_json"), group=F.col("batch_group_id"), error=F.col("error"))
+        return self._append(known, "done", payload=F.col("payload_json"), group=F.col("batch_group_id"), error=F.col("error"))
 
     def reset(self, run_ids: Sequence[int]) -> None:
         """Forgets the rows of runs (the first key); no runs: nothing happens."""
@@ -89,7 +107,17 @@ class StateTable:
         return postable(self.view())
 
     def pass1(self) -> DataFrame:
-        return self.view().where("status = 'pass1_done' and payload_json is not null")
+        return pass1(self.view())
+
+
+def resolutions(spark: SparkSession, path: str) -> StateTable:
+    """The state of disputed items: one row an arbiter run and item, with the item's paper and question version."""
+    return StateTable(spark, path, ("arbiter_run_id", "dispute_item_id"), ("paper_id", "version_id"))
+
+
+def by_paper_version(resolved: DataFrame) -> DataFrame:
+    """Resolutions as states of cells: run_id, paper_id, version_id, status. A cell of several items is as complete as the last of them."""
+    return latest(resolved.select(F.col("arbiter_run_id").alias("run_id"), "paper_id", "version_id", "status", "dispute_item_id"), ("run_id", "paper_id", "version_id"), "dispute_item_id")
 
 
 def unposted(states: DataFrame) -> DataFrame:
@@ -100,10 +128,65 @@ def postable(states: DataFrame) -> DataFrame:
     return states.where("status in ('done', 'posted') and payload_json is not null")
 
 
+def pass1(states: DataFrame) -> DataFrame:
+    return states.where("status = 'pass1_done' and payload_json is not null")
+
+
+def filtered(states: DataFrame, **ids: int | None) -> DataFrame:
+    """Rows of the ids that are given (run_id=, paper_id=, ...), in the order of the keys."""
+    for column, value in ids.items():
+        if value is not None:
+            states = states.where(F.col(column) == value)
+    return states.orderBy(*(c for c in ("run_id", "paper_id", "version_id") if c in states.columns))
+
+
 def regrouped(states: DataFrame) -> DataFrame:
     """Rows with group_key: their batch_group_id, or one of their own."""
     return states.withColumn("group_key", F.coalesce(F.nullif(F.col("batch_group_id"), F.lit("")), F.concat(F.lit("solo_"), F.col("version_id").cast("string"))))
 
 
-def first_of_group(order: str, *keys: str) -> Column:
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(order)) == 1
+class JobState(MutableMapping):
+    """Names and values that outlast a session, such as the ids of submitted batches: a mapping over a StateTable of texts."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.table = StateTable(spark, path, ("name",), texts=("name",))
+
+    def _put(self, name: str, value: str | None, gone: bool = False) -> None:
+        row = self.table.spark.createDataFrame([(name, value)], "name string, value string")
+        self.table._append(row, "done", payload=F.col("value"), gone=gone)
+
+    def __getitem__(self, name: str) -> str:
+        found = self.table.view().where(F.col("name") == name).first()
+        if found is None:
+            raise KeyError(name)
+        return found["payload_json"]
+
+    def __setitem__(self, name: str, value: str) -> None:
+        self._put(name, value)
+
+    def __delitem__(self, name: str) -> None:
+        self[name]
+        self._put(name, None, gone=True)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(sorted(r["name"] for r in self.table.view().select("name").collect()))
+
+    def __len__(self) -> int:
+        return self.table.view().count()
+
+
+class SourceTexts:
+    """Texts of papers that were looked up; the last lookup counts, and one that found none is a miss, to be tried again."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.table = StateTable(spark, path, ("paper_id",))
+
+    def save(self, rows: DataFrame) -> None:
+        """rows: paper_id, markdown."""
+        self.table._append(rows, "done", payload=F.col("markdown"))
+
+    def view(self) -> DataFrame:
+        return self.table.view().select("paper_id", F.col("payload_json").alias("markdown"))
+
+    def count(self) -> int:
+        return self.table.view().count()

@@ -1,4 +1,4 @@
-"""The registered queries, each with its SQL counterpart where SQL can express it.
+"""Queries of the grid, states and reports, each with its SQL counterpart where SQL can express it.
 
 The driver's tables stand for the domain: documents are papers with their texts, labels are two raters' boolean answers,
 benchmark holds quotes to verify, and events are a log of answers (event_id the sequence, user_id the run, event_type the
@@ -7,36 +7,27 @@ status, value the cost, props.k the tokens).
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions import evidence, replies
+from ..functions import replies
 from ..operators import complete, disputes, grid, payload, prompts, reports, state
 from ..sources import documents as S
 from ..streaming import progress
 from . import engine
+from .registry import ORACLES, QUERIES, query
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
+__all__ = ["ORACLES", "QUERIES"]
 
-    return add
+def by(key: str, *order) -> Window:
+    return Window.partitionBy(key).orderBy(*order)
 
 
 QUESTIONS = [
-    (1, "quality", 1, 14, "Is the text good?", "", "boolean", False, []),
-    (2, "kind", 1, 15, "Which kind is it?", "One of the list.", "categorical", False, [("rct", "Trial"), ("obs", "Observation")]),
-    (3, "size", 1, 16, "How large was it?", "", "integer", False, []),
+    (1, "quality", 1, 14, "Is the text good?", "", "boolean", False, True, []),
+    (2, "kind", 1, 15, "Which kind is it?", "One of the list.", "categorical", False, False, [("rct", "Trial"), ("obs", "Observation")]),
+    (3, "size", 1, 16, "How large was it?", "", "integer", False, False, []),
 ]
 
 
@@ -45,7 +36,7 @@ def runs(spark: SparkSession) -> DataFrame:
 
 
 def questions(spark: SparkSession) -> DataFrame:
-    fields = "question_id long, key string, version int, version_id long, label string, help_text string, question_type string, allow_multiple boolean, options array<struct<value:string,label:string>>, q_order int"
+    fields = "question_id long, key string, version int, version_id long, label string, help_text string, question_type string, allow_multiple boolean, is_ic boolean, options array<struct<value:string,label:string>>, q_order int"
     return spark.createDataFrame([(*q, i) for i, q in enumerate(QUESTIONS)], fields)
 
 
@@ -105,14 +96,14 @@ _RATED = "rated as (select 10 as run_id, doc_id as paper_id, v as version_id fro
 
 @query(f"with {_RATED} select r.run_id, d.doc_id as paper_id, cast(q.version_id as bigint) as version_id from (values (cast(10 as bigint)), (11)) r(run_id), documents d, {_Q} where not exists (select 1 from rated x where x.run_id = r.run_id and x.paper_id = d.doc_id and x.version_id = q.version_id)")
 def resume_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = grid.groups_frame(questions(spark), {"size": 2})
-    return grid.cells(runs(spark), S.papers_of(spark, sf_dir), groups).join(_rated(spark, sf_dir), list(_STATE_KEYS), "left_anti").select(*_STATE_KEYS)
+    groups = grid.groups_frame(questions(spark), "per_question")
+    return grid.pending(grid.cells(runs(spark), S.papers_of(spark, sf_dir), groups), groups, _rated(spark, sf_dir)).select(*_STATE_KEYS)
 
 
 @query(f"with {_RATED}, g as (select r.run_id, d.doc_id as paper_id, q.group_idx, q.version_id, x.paper_id is not null as complete from (values (cast(10 as bigint)), (11)) r(run_id) cross join documents d cross join {_Q} left join rated x on x.run_id = r.run_id and x.paper_id = d.doc_id and x.version_id = q.version_id) select run_id, paper_id, group_idx from g group by all having not bool_and(complete)")
 def group_skip_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = grid.groups_frame(questions(spark), {"size": 2})
-    open_ = grid.pending(grid.cells(runs(spark), S.papers_of(spark, sf_dir), groups), _rated(spark, sf_dir))
+    open_ = grid.pending(grid.cells(runs(spark), S.papers_of(spark, sf_dir), groups), groups, _rated(spark, sf_dir))
     return open_.select("run_id", "paper_id", "group_idx").distinct()
 
 
@@ -125,18 +116,18 @@ def source_resolve_no_ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with g(group_idx, asked) as (values (0, '- key=''quality'': Is the text good?' || chr(10) || '- key=''kind'': Which kind is it?' || chr(10) || '  Help: One of the list.' || chr(10) || '  Options:' || chr(10) || '  - ''rct'' — Trial' || chr(10) || '  - ''obs'' — Observation'), (1, '- key=''size'': How large was it?')),
-m as (select doc_id as paper_id, group_idx, '[system]' || chr(10) || '{prompts.SYSTEM}' || chr(10) || chr(10) || '[user]' || chr(10) || 'Questions:' || chr(10) || asked || case when substring(text, 1, 300) = '' then '' else chr(10) || chr(10) || '[user]' || chr(10) || 'Document:' || chr(10) || substring(text, 1, 300) end as p from documents, g)
+m as (select doc_id as paper_id, group_idx, '[system]' || chr(10) || '{prompts.SYSTEM}' || chr(10) || chr(10) || '[user]' || chr(10) || 'Questions:' || chr(10) || asked || case when text = '' then '' else chr(10) || chr(10) || '[user]' || chr(10) || 'Document:' || chr(10) || text end as p from documents, g)
 select paper_id, cast(group_idx as int) as group_idx, md5(p) as digest, cast(length(p) as int) as n from m""")
 def prompt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = prompts.questions_text(grid.groups_frame(questions(spark), {"size": 2}))
-    rows = S.papers_of(spark, sf_dir).crossJoin(F.broadcast(asked))
-    flat = prompts.flat(prompts.pass1_messages(F.col("abstract"), F.col("questions"), F.lit("questions")))
+    rows = S.source_text_of(spark, sf_dir).crossJoin(grid.small(asked))
+    flat = prompts.flat(prompts.pass1_messages(F.col("markdown"), F.col("questions"), F.lit("questions")))
     return rows.withColumn("p", flat).select("paper_id", "group_idx", F.md5("p").alias("digest"), F.length("p").alias("n"))
 
 
 def _disputes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's two labels as a dispute of the question quality, and one of an unknown question."""
-    docs = S.table(spark, sf_dir, "documents").select("doc_id", "source", F.substring("text", 1, 40).alias("start"))
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", "source", F.col("text").alias("start"))
     rows = S.table(spark, sf_dir, "labels").join(docs, "doc_id")
     rater = lambda name, value: F.struct(F.lit(name).alias("rater_key"), F.col(value).cast("string").alias("value"), F.lit("").alias("comment"), F.when(F.col(value) == 1, F.col("start")).otherwise("").alias("cited_text"))
     two = F.array(F.struct(F.lit(0).alias("n"), F.lit("quality").alias("question_key"), F.lit(14).alias("version_id")), F.struct(F.lit(1).alias("n"), F.lit("unknown").alias("question_key"), F.lit(99).alias("version_id")))
@@ -144,13 +135,13 @@ def _disputes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select((F.col("doc_id") * 2 + F.col("q.n")).alias("dispute_item_id"), F.col("doc_id").alias("paper_id"), F.concat("source", F.lit(" "), F.col("q.question_key")).alias("paper_title"), F.col("start").alias("abstract"), F.col("q.question_key").alias("question_key"), F.col("q.version_id").cast("long").alias("version_id"), F.array(rater("anna", "quality"), rater("ben", "toxic")).alias("candidates"), (F.col("doc_id") * 2 + F.col("q.n")).alias("d_order"))
 
 
-@query("select l.doc_id as paper_id, d.source || ' quality' as title, substring(d.text, 1, 40) as abstract, l.doc_id * 2 as p_order from labels l join documents d using (doc_id)")
+@query("select l.doc_id as paper_id, d.source || ' quality' as title, d.text as abstract, l.doc_id * 2 as p_order from labels l join documents d using (doc_id)")
 def dispute_papers_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disputes.papers(_disputes(spark, sf_dir))
 
 
 def _candidates_sql(a: str, b: str) -> str:
-    one = lambda name, c: f"'Candidate {name}: ' || l.{c} || case when l.{c} = 1 and substring(d.text, 1, 40) <> '' then chr(10) || '  Evidence: ' || substring(d.text, 1, 40) else '' end"
+    one = lambda name, c: f"'Candidate {name}: ' || l.{c} || case when l.{c} = 1 and d.text <> '' then chr(10) || '  Evidence: ' || d.text else '' end"
     return f"select l.doc_id as paper_id, l.doc_id * 2 as dispute_item_id, {one(a, 'quality')} || chr(10) || {one(b, 'toxic')} as candidates from labels l join documents d using (doc_id)"
 
 
@@ -187,7 +178,7 @@ def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.table(spark, sf_dir, "labels").select("doc_id", text.alias("reply"))
 
 
-@query("select doc_id as paper_id, key, case when key = 'quality' then cast(quality as varchar) when toxic = 1 then '1' end as value_json, case when key = 'toxic' and toxic = 0 then 'missing from the reply' end as parse_error from labels, (values ('quality'), ('toxic')) k(key)")
+@query("select doc_id as paper_id, key, case when key = 'quality' then cast(quality as varchar) when toxic = 1 then '1' end as value_json, case when key = 'toxic' and toxic = 0 then 'key ''toxic'' not found in pass-2 output' end as parse_error from labels, (values ('quality'), ('toxic')) k(key)")
 def parse_results_fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = F.explode(replies.results_column(F.col("reply"), F.array(F.lit("quality"), F.lit("toxic")))).alias("r")
     return _replies(spark, sf_dir).select(F.col("doc_id").alias("paper_id"), got).select("paper_id", "r.key", "r.value_json", "r.parse_error")
@@ -200,51 +191,11 @@ def parse_value_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", C.primitive_value(line).alias("found"))
 
 
-@query("select doc_id as paper_id, case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then source else source || chr(10) || chr(10) || lang end as cited_text, cast(case doc_id % 3 when 0 then 0 when 1 then 1 else 2 end as int) as n from documents")
-def cited_text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = F.col("doc_id") % 3
-    quotes = F.when(m == 1, F.array("source")).when(m == 2, F.array("source", "lang"))
-    return S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("paper_id"), C.joined_quotes(quotes).alias("cited_text"), C.n_quotes(quotes).alias("n"))
-
-
-_TOKEN = "case event_type when 'view' then 'true' when 'click' then '\"Yes\"' when 'signup' then 'null' when 'error' then '\"maybe\"' else json_extract_string(props, '$.k') end"
-
-
-def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("event_type")
-    token = F.when(t == "view", "true").when(t == "click", '"Yes"').when(t == "signup", "null").when(t == "error", '"maybe"').otherwise(F.get_json_object("props", "$.k"))
-    return S.table(spark, sf_dir, "events").select("event_id", "event_type", token.alias("token"))
-
-
-@query(f"select event_id, case event_type when 'view' then true when 'click' then true when 'purchase' then {_TOKEN} <> '0' end as value, case when event_type = 'error' then 'invalid' else 'ok' end as status, case event_type when 'signup' then '{C.UNDECIDED}' when 'error' then 'maybe' else '' end as detail from events")
-def map_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tokens(spark, sf_dir).withColumn("m", C.map_boolean(F.col("token"))).select("event_id", F.col("m.value_boolean").alias("value"), F.col("m.extraction_status").alias("status"), F.col("m.extraction_detail").alias("detail"))
-
-
-@query(f"select event_id, case event_type when 'click' then 'Yes' when 'view' then 'True' end as value, case when event_type in ('error', 'purchase') then 'invalid' else 'ok' end as status, case event_type when 'signup' then '{C.UNDECIDED}' when 'error' then 'maybe' when 'purchase' then {_TOKEN} else '' end as detail from events")
-def map_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = C.map_categorical(F.col("token"), F.array(F.lit("Yes"), F.lit("True")))
-    return _tokens(spark, sf_dir).withColumn("m", m).select("event_id", F.col("m.value_categorical").alias("value"), F.col("m.extraction_status").alias("status"), F.col("m.extraction_detail").alias("detail"))
-
-
-@query(f"select event_id, case event_type when 'click' then 'rct,rct' when 'error' then 'obs' else '' end as value, case when event_type in ('view', 'error', 'purchase') then 'invalid' else 'ok' end as status, case event_type when 'signup' then '{C.UNDECIDED}' when 'view' then 'bad' when 'error' then '[''obs'', ''bad'']' when 'purchase' then json_extract_string(props, '$.k') else '' end as detail from events")
-def map_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("event_type")
-    token = F.when(t == "click", '["rct","rct"]').when(t == "error", '["obs", "bad"]').when(t == "view", '"bad"').when(t == "signup", "null").otherwise(F.get_json_object("props", "$.k"))
-    m = C.map_multi(token, F.array(F.lit("rct"), F.lit("obs")))
-    return S.table(spark, sf_dir, "events").withColumn("m", m).select("event_id", F.array_join("m.value_categorical_multi", ",").alias("value"), F.col("m.extraction_status").alias("status"), F.col("m.extraction_detail").alias("detail"))
-
-
-@query(f"select event_id, case event_type when 'view' then 'True' when 'click' then 'Yes' when 'error' then 'maybe' when 'purchase' then {_TOKEN} end as value, 'ok' as status, '' as detail from events")
-def map_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tokens(spark, sf_dir).withColumn("m", C.map_text(F.col("token"))).select("event_id", F.col("m.value_text").alias("value"), F.col("m.extraction_status").alias("status"), F.col("m.extraction_detail").alias("detail"))
-
-
-@query(f"select doc_id as paper_id, cast(version_id as bigint) as version_id, cast(case when pos = 0 then 15 else 0 end as bigint) as tokens_total, cast(case when pos = 0 then 1 else 0 end as bigint) as latency_ms from documents, {_Q}")
+@query(f"select doc_id as paper_id, cast(version_id as bigint) as version_id, cast(case when pos = 0 then 15 else 0 end as bigint) as tokens_total, cast(case when pos = 0 then 15 else 0 end as bigint) as fmt_tokens_total, cast(case when pos = 0 then 2 else 0 end as bigint) as latency_ms from documents, {_Q}")
 def first_in_group_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = grid.groups_frame(questions(spark), {"size": 2}).select("group_idx", "pos", "version_id")
-    rows = complete.dummy(S.papers_of(spark, sf_dir).select("paper_id").crossJoin(F.broadcast(groups)))
-    return payload.attributed(rows).select("paper_id", "version_id", "tokens_total", "latency_ms")
+    rows = complete.dummy(S.papers_of(spark, sf_dir).select("paper_id").crossJoin(grid.small(groups))).withColumn("p1", F.col("completion"))
+    return payload.attributed(rows).select("paper_id", "version_id", "tokens_total", "fmt_tokens_total", "latency_ms")
 
 
 @query(f"{_LATEST} select run_id as run, paper_id as paper, version_id as question_version, printf('%.6f', cast(printf('%.2f', value) as double)) as cost from last where status in ('done', 'posted') and version_id in (14, 15, 16)")
@@ -258,7 +209,10 @@ def heartbeat_json_omit_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.table(spark, sf_dir, "labels").select("doc_id", beat.alias("beat"))
 
 
-@query()
+_BEATS = "b as (select user_id % 5 as run_id, ts, event_id from events), beat as (select run_id, ts, min(event_id) as event_id from b group by run_id, ts)"
+
+
+@query(f"with recursive {_BEATS}, sent as (select run_id, min(ts) as ts from beat group by run_id union all select s.run_id, (select min(a.ts) from beat a where a.run_id = s.run_id and a.ts >= s.ts + interval 3600 second) from sent s where s.ts is not null) select a.run_id, a.ts, a.event_id from sent s join beat a on a.run_id = s.run_id and a.ts = s.ts")
 def heartbeat_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     beats = S.table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("run_id"), "ts", "event_id")
     return progress.throttled(beats, seconds=3600.0)
@@ -304,55 +258,9 @@ def group_by_batch_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("run_id", "group_key", F.array_join(F.transform("m", lambda x: F.concat_ws(":", x["paper_id"].cast("string"), x["version_id"].cast("string"))), ",").alias("members"))
 
 
-def quotes_in(texts: DataFrame, quotes: DataFrame) -> DataFrame:
-    """item_id and doc_id of each quote that stands in a text as it is.
-
-    Words 2 to 6 of a quote are whole words of any text it stands in, so candidates come from an equi-join on five
-    words; the few quotes of under seven words are looked for in each text.
-    """
-    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    q = quotes.select("item_id", F.col("text").alias("quote"), words(F.col("text")).alias("w")).where("quote <> ''")
-    long = q.where("size(w) >= 7").select("item_id", "quote", F.xxhash64(F.array_join(F.slice("w", 2, 5), " ")).alias("anchor"))
-    runs_of = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(5)), " ")))
-    t = texts.select("doc_id", "text", words(F.col("text")).alias("w"))
-    at = t.where("size(w) >= 5").select("doc_id", F.explode(F.array_distinct(runs_of(F.col("w")))).alias("anchor"))
-    pairs = at.join(long, "anchor").select("doc_id", "item_id", "quote").distinct()
-    found = pairs.join(texts.select("doc_id", "text"), "doc_id").where(F.contains("text", "quote")).select("item_id", "doc_id")
-    short = q.where("size(w) < 7").select("item_id", "quote")
-    return found.union(texts.join(short, F.contains("text", "quote")).select("item_id", "doc_id"))
-
-
-@query("select b.item_id, d.doc_id from benchmark b, documents d where contains(d.text, b.text)")
-def citation_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes_in(S.table(spark, sf_dir, "documents").select("doc_id", "text"), S.table(spark, sf_dir, "benchmark"))
-
-
-def _own_quotes(spark: SparkSession, sf_dir: str, make: Callable[[Column], Column], kind: str = "list") -> DataFrame:
-    docs = S.table(spark, sf_dir, "documents").where(F.length("text") > 400).select("doc_id", "text")
-    rows = docs.withColumn("quotes", make(F.col("text")))
-    checked = evidence.verify_column()(F.col("quotes"), F.lit(kind), evidence.normalised_column("text"))
-    return rows.withColumn("v", checked).select("doc_id", F.col("v.ok").alias("ok"), F.array_join(F.transform("v.each", lambda x: x.cast("string")), ",").alias("each"))
-
-
-@query()
-def citation_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A passage of each text with one character replaced."""
-    return _own_quotes(spark, sf_dir, lambda t: F.array(F.overlay(F.substring(t, 100, 80), F.lit("#"), F.lit(40), F.lit(1))), "text")
-
-
-@query()
-def citation_ellipsis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _own_quotes(spark, sf_dir, lambda t: F.array(F.concat(F.substring(t, 50, 40), F.lit(" ... "), F.substring(t, 150, 40))), "text")
-
-
-@query()
-def citation_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _own_quotes(spark, sf_dir, lambda t: F.array(F.substring(t, 20, 60), F.substring(t, 200, 60), F.lit("short")))
-
-
-@query("select doc_id, len(p) as n, coalesce(list_sum(list_transform(p, lambda x: length(x))), 0) >= 40 as enough from (select doc_id, list_filter(list_transform(regexp_split_to_array(substring(text, 1, 40) || ' ... ' || source || '…' || lang, '[.]{2,}|…'), lambda x: trim(x)), lambda x: x <> '') as p from documents)")
+@query("select doc_id, len(p) as n, coalesce(list_sum(list_transform(p, lambda x: length(x))), 0) >= 40 as enough from (select doc_id, list_filter(list_transform(regexp_split_to_array(text || ' ... ' || source || '…' || lang, '[.]{2,}|…'), lambda x: trim(x)), lambda x: x <> '') as p from documents)")
 def ellipsis_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.substring("text", 1, 40), F.lit(" ... "), F.col("source"), F.lit("…"), F.col("lang"))
+    text = F.concat(F.col("text"), F.lit(" ... "), F.col("source"), F.lit("…"), F.col("lang"))
     return S.table(spark, sf_dir, "documents").select("doc_id", C.ellipsis_parts(text).alias("p")).select("doc_id", F.size("p").cast("long").alias("n"), C.long_enough(F.col("p")).alias("enough"))
 
 
@@ -379,14 +287,14 @@ def _bench_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.compared(test, reference)
 
 
-_BENCH = """with t as (select event_id, event_id % 3 as version_id, m as format_model, m = 'm1' or event_id % 5 <> 0 as vm, m = 'm2' or event_id % 5 <> 0 as cm, event_id % 2 = 0 as ver, event_id % 50 = 0 as err, value as cost, event_id % 4 as lat from events, (values ('m1'), ('m2')) x(m)),
-s as (select format_model, version_id, count(*) as n, count(*) filter (err) as n_errors, avg(vm::int) * 100 as value_match_pct, avg(cm::int) * 100 as cites_match_pct, avg(ver::int) * 100 as verified_pct, sum(cost) as cost, avg(nullif(lat, 0)) as mean_latency_ms from t group by grouping sets ((format_model), (format_model, version_id)))"""
+_BENCH_ROWS = """with t as (select event_id, event_id % 3 as version_id, m as format_model, m = 'm1' or event_id % 5 <> 0 as vm, m = 'm2' or event_id % 5 <> 0 as cm, event_id % 2 = 0 as ver, event_id % 50 = 0 as err, value as cost, event_id % 4 as lat from events, (values ('m1'), ('m2')) x(m))"""
+_BENCH = f"""{_BENCH_ROWS}, s as (select format_model, version_id, count(*) as n, count(*) filter (err) as n_errors, avg(vm::int) * 100 as value_match_pct, avg(cm::int) * 100 as cites_match_pct, avg(ver::int) * 100 as verified_pct, avg(cm::int) as sim, sum(cost) as cost, avg(nullif(lat, 0)) as mean_latency_ms from t group by grouping sets ((format_model), (format_model, version_id)))"""
 
 
-@query(f"{_BENCH} select format_model, n, n_errors, round(value_match_pct, 6) as value_match_pct, round(cites_match_pct, 6) as cites_match_pct, round(cost, 2) as cost, round(mean_latency_ms, 6) as mean_latency_ms, cites_match_pct < 99 as flagged from s where version_id is null")
+@query(f"{_BENCH} select format_model, n, n_errors, round(value_match_pct, 6) as value_match_pct, round(cites_match_pct, 6) as cites_match_pct, round(sim, 6) as mean_similarity, round(cost, 2) as cost, round(mean_latency_ms, 6) as mean_latency_ms, cites_match_pct < 99 as flagged from s where version_id is null")
 def bench_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reports.bench_summary(_bench_rows(spark, sf_dir))
-    return rows.select("format_model", "n", "n_errors", F.round("value_match_pct", 6).alias("value_match_pct"), F.round("cites_match_pct", 6).alias("cites_match_pct"), F.round("cost", 2).alias("cost"), F.round("mean_latency_ms", 6).alias("mean_latency_ms"), "flagged")
+    return rows.select("format_model", "n", "n_errors", F.round("value_match_pct", 6).alias("value_match_pct"), F.round("cites_match_pct", 6).alias("cites_match_pct"), F.round("mean_similarity", 6).alias("mean_similarity"), F.round("cost", 2).alias("cost"), F.round("mean_latency_ms", 6).alias("mean_latency_ms"), "flagged")
 
 
 @query(f"{_BENCH} select format_model, version_id, n, round(verified_pct, 6) as verified_pct from s")
@@ -394,10 +302,9 @@ def bench_by_question(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.bench_summary(_bench_rows(spark, sf_dir), "version_id").select("format_model", "version_id", "n", F.round("verified_pct", 6).alias("verified_pct"))
 
 
-@query()
+@query(f"{_BENCH_ROWS} select event_id as paper_id, format_model, cast(cm as double) as similarity from t")
 def bench_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _bench_rows(spark, sf_dir)
-    return rows.select("paper_id", "format_model", evidence.similarity("test_text", "ref_text").alias("similarity"))
+    return _bench_rows(spark, sf_dir).select("paper_id", "format_model", "similarity")
 
 
 @query("select doc_id, case when quality = 1 then 'true' when toxic = 1 then 'rct' else 'plain' end as in_list, case when quality = 1 then 'true' when toxic = 1 then 'rct' else 'a, b' end as in_detail from labels")
@@ -436,11 +343,7 @@ def batch_status_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select r.run_id, cast(q.version_id as bigint) as version_id, 'done' as status, count(*) as n, cast(sum(case when q.pos = 0 and d.text <> '' then 15 else 0 end) as bigint) as tokens from (values (cast(10 as bigint)), (11)) r(run_id), documents d, {_Q} group by all")
 def annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over all documents from plan to payload with the deterministic model."""
+    """Two runs over all documents from plan to payload with the deterministic model: the flagship."""
     rows = engine.run(runs(spark), S.papers_of(spark, sf_dir), questions(spark), S.source_text_of(spark, sf_dir), batching={"size": 2})
     tokens = F.coalesce(F.get_json_object("payload_json", "$.tokens_total").try_cast("long"), F.lit(0))
     return rows.groupBy("run_id", "version_id", "status").agg(F.count("*").alias("n"), F.sum(tokens).alias("tokens"))
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate(spark, sf_dir)

@@ -1,21 +1,31 @@
 """The annotation engine: plan the grid, reason (pass 1), format (pass 2), parse, map, verify, keep, post.
 
-One engine serves annotation and arbitration; they differ in the notice before the questions, the text and the kind of
-payload. A model call is a function from a DataFrame with cid, messages and keys to the same with `completion`.
+One engine serves annotation and arbitration. They differ in the groups (of all papers, or of each paper), the block of a
+question, the text and the kind of payload, all held by a Task. A model call is a function from a DataFrame with cid,
+messages and keys to the same with `completion`.
+
+Cells are planned by their keys alone; texts are joined last, and only to groups that are still to be asked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+import math
+import uuid
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import evidence, replies
-from ..operators import complete, grid, payload, prompts, state
+from ..operators import complete, grid, payload, prompts, sinks, state
+from ..sources import documents as S
+from ..streaming import progress
 
 Model = Callable[[DataFrame], DataFrame]
+LOG = logging.getLogger("inkgrid")
 
 
 def reason_dummy(rows: DataFrame) -> DataFrame:
@@ -26,61 +36,295 @@ def format_dummy(rows: DataFrame) -> DataFrame:
     return complete.dummy(rows, "keys")
 
 
-def calls(runs: DataFrame, papers: DataFrame, groups: DataFrame, *, states: DataFrame | None = None) -> DataFrame:
-    """One row a group to ask: cid, run_id, paper_id, group_idx, source, keys, messages. papers have source; done groups are left out."""
-    asked = prompts.questions_text(groups)
-    each = papers.crossJoin(F.broadcast(runs.select("run_id").crossJoin(asked)))
+@dataclass(frozen=True)
+class Task:
+    """What is asked, and how: groups (with paper_id where papers have their own), the run's settings, the two models."""
+
+    groups: DataFrame
+    config: Mapping = field(default_factory=lambda: S.RUN_DEFAULTS)
+    kind: str = "answer"
+    block: Column | None = None
+    reason: Model = reason_dummy
+    format_: Model = format_dummy
+    system: str | None = None
+    without: str | None = None
+
+    @property
+    def of_paper(self) -> list[str]:
+        return ["paper_id"] if "paper_id" in self.groups.columns else []
+
+
+def pass1_messages(task: Task, source: Column, questions: Column) -> Column:
+    return prompts.pass1_messages(source, questions, F.lit(task.config["cache_first"]), task.config["system_prompt"] or task.system, task.without)
+
+
+def calls(runs: DataFrame, papers: DataFrame, task: Task, *, states: DataFrame | None = None, complete_: tuple[str, ...] = grid.COMPLETE) -> DataFrame:
+    """One row a group to ask: cid, run_id, paper_id, group_idx, source, keys, messages. papers have source; groups that are done are left out."""
+    asked = prompts.questions_text(task.groups, task.block)
+    thin = papers.select("paper_id")
+    each = thin.join(asked, "paper_id") if task.of_paper else thin.crossJoin(grid.small(asked))
+    each = each.crossJoin(grid.small(runs.select("run_id")))
     if states is not None:
-        open_ = grid.pending(grid.cells(runs, papers, groups), states).select("run_id", "paper_id", "group_idx").distinct()
-        each = each.join(open_, ["run_id", "paper_id", "group_idx"], "left_semi")
-    each = each.withColumn("cid", grid.cid(F.col("run_id"), F.col("paper_id"), F.col("group_idx")))
-    notice = F.col("notice") if "notice" in papers.columns else None
-    return each.withColumn("messages", prompts.pass1_messages(F.col("source"), F.col("questions"), F.lit("questions"), notice=notice))
+        each = grid.pending(each, task.groups, states, complete_)
+    each = each.withColumn("cid", grid.cid(F.col("run_id"), F.col("paper_id"), F.col("group_idx"))).join(papers.select("paper_id", "source"), "paper_id")
+    return each.withColumn("messages", pass1_messages(task, F.col("source"), F.col("questions")))
 
 
 def pass1(asked: DataFrame, reason: Model = reason_dummy) -> DataFrame:
     return reason(asked).withColumnRenamed("completion", "p1").withColumn("pass1_text", F.col("p1.text"))
 
 
-def pass2(done: DataFrame, groups: DataFrame, format_: Model = format_dummy) -> DataFrame:
-    specs = groups.groupBy("group_idx").agg(F.array_sort(F.collect_list(F.struct("pos", F.concat(F.lit("- "), F.col("key"), F.lit(" ("), F.col("question_type"), F.lit(")")).alias("t")))).alias("s"))
-    asked = done.join(F.broadcast(specs.select("group_idx", F.col("s.t").alias("specs"))), "group_idx")
+def pass2(done: DataFrame, task: Task) -> DataFrame:
+    by = [*task.of_paper, "group_idx"]
+    spec = F.concat(F.lit("- "), F.col("key"), F.lit(" ("), F.col("question_type"), F.lit(")"))
+    specs = task.groups.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("pos", spec.alias("t")))).alias("s"))
+    asked = done.join(grid.small(specs.select(*by, F.col("s.t").alias("specs"))), by)
     asked = asked.withColumn("messages", prompts.pass2_messages(F.coalesce("pass1_text", F.lit("")), F.col("specs"))).drop("specs")
-    return format_(asked)
-
-
-def answers(formatted: DataFrame, groups: DataFrame, *, rate: float = evidence.RATE, gap: int = evidence.GAP, check: bool = True) -> DataFrame:
-    """A row a cell from a row a group: parsed, mapped, verified and with the call's cost on its first answer."""
-    rows = formatted
-    parsed = rows.withColumn("__r", replies.results_column(F.col("completion.text"), F.col("keys")))
-    each = parsed.select(*[c for c in rows.columns if c not in ("messages", "questions", "keys", "version_ids")], F.posexplode("__r").alias("pos", "result"))
-    q = groups.select("group_idx", F.col("pos").alias("__p"), "version_id", "key", "question_type", "allow_multiple", F.transform("options", lambda o: o["value"]).alias("valid"))
-    each = each.join(F.broadcast(q), ["group_idx"]).where("pos = __p").drop("__p")
-    each = payload.attributed(each)
-    failed = F.coalesce(F.col("p1.error"), F.col("completion.error"), F.col("result.parse_error"))
-    answer = C.map_value(F.col("question_type"), F.col("allow_multiple"), F.col("result.value_json"), F.col("valid"))
-    each = each.withColumn("answer", F.when(failed.isNull(), answer).otherwise(C.mapped(F.lit("error"), failed)))
-    each = each.withColumns({"comment": F.col("result.comment"), "confidence": F.col("result.confidence"), "cited": F.coalesce("result.cited", F.array().cast("array<string>"))})
+    return task.format_(asked)
+
+
+def _lost(call: str, said: str) -> Column:
+    """The error of a call: its own, or that it gave nothing."""
+    return F.coalesce(F.col(f"{call}.error"), F.when(F.col(f"{call}.text").isNull(), F.lit(said)))
+
+
+def answers(formatted: DataFrame, task: Task, *, check: bool = True) -> DataFrame:
+    """A row a cell from a row a group: parsed, verified, mapped, with the calls' costs on its first answer.
+
+    Quotes are verified a group at a time, before its answers become rows, so a text is normalised once and goes no further.
+    failed: a call's error (the cell is to be tried again); spoiled: a reply without one of the keys, which spoils its group.
+    """
+    rows = formatted.withColumn("__r", replies.results_column(F.col("completion.text"), F.col("keys")))
+    rows = rows.withColumns({"failed": F.coalesce(_lost("p1", "pass 1 gave no text"), _lost("completion", "pass 2 gave no text")), "spoiled": replies.extraction_error(F.col("__r"))})
     if check:
-        each = each.withColumn("checked", evidence.verify_column(rate, gap)(F.col("cited"), F.col("result.cited_kind"), evidence.normalised_column("source")))
-        each = each.withColumn("verified", F.when(F.col("checked.note") != "no citation provided", F.col("checked.ok"))).withColumn("citations", C.citations(F.col("cited"), F.col("checked.each")))
+        how = evidence.verify_columns(task.config["citation_max_error_rate"], task.config["citation_max_ellipsis_gap"])
+        rows = rows.withColumn("__v", how(F.transform("__r", lambda r: r["cited"]), F.transform("__r", lambda r: r["cited_kind"]), F.col("source")))
     else:
-        each = each.withColumns({"verified": F.lit(None).cast("boolean"), "citations": C.citations(F.col("cited"), F.array().cast("array<boolean>"))})
-    raw = F.to_json(F.struct(F.col("cid").alias("batch_group_id"), F.when(F.col("pos") == 0, F.col("pass1_text")).alias("pass1_text"), F.col("result").alias("parse_result")))
-    return each.withColumn("raw_response", raw)
-
-
-def run(runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, *, batching: str | dict | list = "all", states: DataFrame | None = None, reason: Model = reason_dummy, format_: Model = format_dummy, text_source: str = "full_text", kind: str = "answer") -> DataFrame:
-    """Rows to keep: run_id, paper_id, version_id, status, payload_json, batch_group_id. Papers without a text get error rows, unless they're done."""
-    groups = grid.groups_frame(questions, batching)
-    have, none = grid.with_source(papers, source_text, text_source)
-    done = answers(pass2(pass1(calls(runs, have, groups, states=states), reason), groups, format_), groups)
-    kept = done.select("run_id", "paper_id", "version_id", F.when(F.col("answer.extraction_status") == "error", F.when(F.coalesce(F.col("p1.error"), F.col("completion.error")).isNotNull(), "failed").otherwise("done")).otherwise("done").alias("status"), payload.payload_json(kind).alias("payload_json"), F.col("cid").alias("batch_group_id"))
-    lost = grid.cells(runs, none, groups)
+        rows = rows.withColumn("__v", F.transform("__r", lambda r: F.lit(None).cast(evidence.CHECKED[6:-1])))
+    kept = [c for c in rows.columns if c not in ("messages", "questions", "keys", "version_ids", "source", "__r", "__v")]
+    each = rows.select(*kept, F.posexplode(F.arrays_zip("__r", "__v")).alias("pos", "__x")).withColumns({"result": F.col("__x.__r"), "checked": F.col("__x.__v")}).drop("__x")
+    by = [*task.of_paper, "group_idx"]
+    more = [c for c in ("dispute_item_id",) if c in task.groups.columns]
+    q = task.groups.select(*by, "pos", "version_id", "key", "question_type", "allow_multiple", F.transform("options", lambda o: o["value"]).alias("valid"), *more)
+    each = payload.attributed(each.join(grid.small(q), [*by, "pos"]))
+    bad = F.coalesce("failed", "spoiled")
+    answer = C.map_value(F.col("question_type"), F.col("allow_multiple"), F.col("result.value"), F.coalesce("valid", F.array().cast("array<string>")))
+    each = each.withColumn("answer", F.when(bad.isNull(), answer).otherwise(C.mapped(F.lit("error"), bad)))
+    each = each.withColumns({"comment": F.col("result.comment"), "confidence": F.col("result.confidence"), "cited": F.coalesce("result.cited", F.array().cast("array<string>"))})
+    each = each.withColumn("verified", F.when(F.col("checked.note") != evidence.NO_CITATION, F.col("checked.ok")))
+    each = each.withColumn("citations", C.citations(F.col("cited"), F.coalesce("checked.each", F.array().cast("array<boolean>"))))
+    first = F.col("pos") == 0
+    raw = F.struct(
+        F.col("cid").alias("batch_group_id"), F.when(first, F.col("pass1_text")).alias("pass1_text"), F.when(first, F.col("completion.text")).alias("pass2_text"), F.when(first, F.col("p1.usage")).alias("p1_usage"),
+        F.lit(task.config["text_source"]).alias("text_source"), F.col("result").alias("parse_result"), F.struct("checked.ok", "checked.note").alias("verify"),
+    )
+    return each.withColumn("raw_response", F.to_json(raw))
+
+
+KEPT = ("run_id", "paper_id", "version_id", "status", "payload_json", "batch_group_id", "error")
+
+
+def kept(done: DataFrame, kind: str = "answer") -> DataFrame:
+    """Rows for the state: answers, and the errors of cells that have none. Failed calls are `failed`, to be tried again; spoiled replies are `done` errors."""
+    bad = F.coalesce("failed", "spoiled")
+    more = [c for c in ("dispute_item_id",) if c in done.columns]
+    rows = done.withColumns({
+        "status": F.when(F.col("failed").isNotNull(), "failed").otherwise("done"),
+        "payload_json": F.when(bad.isNull(), payload.payload_json(kind)).otherwise(payload.error_json(bad, kind)),
+        "batch_group_id": F.when(bad.isNull(), F.col("cid")), "error": F.col("failed"),
+    })
+    rows = rows.select(*KEPT, *more)
+    return rows.where("dispute_item_id is not null") if more else rows
+
+
+def _without_text(lost: DataFrame, kind: str) -> DataFrame:
+    more = [c for c in ("dispute_item_id",) if c in lost.columns]
+    none = F.lit(None).cast("string")
+    return lost.select("run_id", "paper_id", "version_id", F.lit("done").alias("status"), payload.error_json(F.lit(payload.NO_TEXT), kind).alias("payload_json"), none.alias("batch_group_id"), none.alias("error"), *more)
+
+
+def perform(runs: DataFrame, papers: DataFrame, source_text: DataFrame, task: Task, *, states: DataFrame | None = None, checkpoint: Checkpoint | None = None, chunk: int = 0, note_lost: bool = True) -> DataFrame:
+    """Rows to keep of all groups that aren't complete. Papers without a text get error rows, unless they're complete (or note_lost says no)."""
+    have, none = grid.with_source(papers, source_text, task.config["text_source"])
+    asked = calls(runs, have, task, states=states)
+    reasoned = checkpoint.through(asked, chunk, task.reason) if checkpoint else pass1(asked, task.reason)
+    done = kept(answers(pass2(reasoned, task), task), task.kind)
+    if not note_lost:
+        return done
+    lost = grid.cells(runs, none, task.groups)
+    if "dispute_item_id" in task.groups.columns:
+        lost = lost.join(grid.small(task.groups.select("paper_id", "group_idx", "pos", "dispute_item_id")), ["paper_id", "group_idx", "pos"])
     if states is not None:
-        lost = grid.pending(lost, states)
-    blank = F.to_json(F.struct(F.lit("error").alias("extraction_status"), F.lit("no_ocr").alias("extraction_detail")))
-    return kept.unionByName(lost.select("run_id", "paper_id", "version_id", F.lit("done").alias("status"), blank.alias("payload_json"), F.lit(None).cast("string").alias("batch_group_id")))
+        lost = grid.pending(lost, task.groups, states)
+    return done.unionByName(_without_text(lost, task.kind))
+
+
+class Checkpoint:
+    """Pass-1 texts of a run, a table a chunk, kept until the chunk's answers are: what a lost driver had paid for isn't asked again."""
+
+    def __init__(self, path: str, run_id: int) -> None:
+        self.path, self.run_id = path, run_id
+
+    def at(self, chunk: int) -> str:
+        return f"{self.path}/run={self.run_id}/chunk={chunk}"
+
+    def read(self, like: DataFrame, chunk: int) -> DataFrame | None:
+        try:
+            return like.sparkSession.read.parquet(self.at(chunk))
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            return None
+
+    def through(self, asked: DataFrame, chunk: int, reason: Model) -> DataFrame:
+        """asked with p1 and pass1_text: those that the table has (by cid, as asked for now), and those that are asked for now, which it has afterwards."""
+        known = self.read(asked, chunk)
+        rest = asked if known is None else asked.join(known.select("cid"), "cid", "left_anti")
+        pass1(rest, reason).where("pass1_text is not null and p1.error is null").select("cid", "p1", "pass1_text").write.mode("append").parquet(self.at(chunk))
+        told = self.read(asked, chunk)
+        kind = reason(asked.limit(0)).schema["completion"].dataType
+        if told is None:
+            return asked.withColumn("p1", F.lit(None).cast(kind)).withColumn("pass1_text", F.lit(None).cast("string"))
+        return asked.join(told, "cid", "left")
+
+
+# -- a run by chunks: plan, ask, keep, post, tell
+
+
+@dataclass
+class Hooks:
+    """What a run calls outside: report (a heartbeat, as a dict), cancelled, send (a bulk endpoint) or dry_run, which posts nothing."""
+
+    report: Callable[[dict], None] | None = None
+    cancelled: Callable[[], bool] | None = None
+    send: sinks.Send | None = None
+    dry_run: bool = False
+    saved: Callable[[DataFrame], None] | None = None
+
+    def tell(self, **beat: object) -> None:
+        """A heartbeat, without what is None. A reporter that fails is no reason to stop."""
+        if self.report:
+            try:
+                self.report({k: v for k, v in beat.items() if v is not None})
+            except Exception as e:
+                LOG.warning("heartbeat failed: %s", complete.error_text(e))
+
+
+@dataclass
+class Outcome:
+    """Of a run: its status (succeeded, failed, canceled), cells in all, those with a row now, those with an error, and groups without pass-1 text."""
+
+    run_id: int
+    status: str
+    total: int
+    done: int = 0
+    errors: int = 0
+    failed: int = 0
+    lines: list[str] = field(default_factory=list)
+
+
+def counters(saved: DataFrame, kind: str = "answer") -> DataFrame:
+    """done, errors and failed of rows that were kept: all, those whose payload says error, those to be tried again."""
+    name = "extraction_status" if kind == "answer" else "resolution_status"
+    status = F.get_json_object("payload_json", f"$.{name}")
+    return saved.agg(F.count("*").alias("done"), F.count_if(status == "error").alias("errors"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if((status == "error") & (F.col("status") == "done") & (F.get_json_object("payload_json", f"$.{name.replace('status', 'detail')}") != payload.NO_TEXT)).alias("spoiled"))
+
+
+def message(said: str, number: int, of: int, name: str) -> str:
+    """What a heartbeat says; with several runs, which one it is of."""
+    return said if of <= 1 else f"run {number}/{of} ({name}): {said}"
+
+
+def to_post(table: state.StateTable, questions: DataFrame, papers: DataFrame, run_id: int, kind: str) -> DataFrame:
+    """Stored rows of a run and some papers that are done and not posted, with their question."""
+    run = "run_id" if kind == "answer" else "arbiter_run_id"
+    rows = table.unposted().where(F.col(run) == run_id).join(papers.select("paper_id").distinct(), "paper_id", "left_semi")
+    return repost(rows, questions)[0]
+
+
+def post(table: state.StateTable, rows: DataFrame, hooks: Hooks, kind: str = "answer") -> list[str]:
+    """Posts stored rows; those of calls that went through are posted from now on. Returns the lines of a dry run, or none."""
+    items = payload.wire_items(rows, kind)
+    if hooks.dry_run or hooks.send is None:
+        return [f"run={r['run']} {r['line']}" for r in sinks.dry_run(items).orderBy("run", "line").limit(1000).collect()] if hooks.dry_run else []
+    path = f"{table.path}-posts/{uuid.uuid4().hex}"
+    sinks.post(sinks.as_json(items, kind), hooks.send).write.parquet(path)
+    told = rows.sparkSession.read.schema(sinks.OUTCOME).parquet(path)
+    for r in told.where("error is not null or n_rejected > 0").limit(100).collect():
+        LOG.error("post of run %s, paper %s: %s", r["run"], r["paper"], r["error"] or r["rejected"])
+    run = "run_id" if kind == "answer" else "arbiter_run_id"
+    fine = told.where("error is null").select(F.col("run").alias(run), F.col("paper").alias("paper_id"))
+    table.mark_posted(rows.join(fine, [run, "paper_id"], "left_semi"))
+    return []
+
+
+def run_chunk(table: state.StateTable, runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, task: Task, hooks: Hooks, *, checkpoint: Checkpoint | None = None, chunk: int = 0, run_id: int = 0) -> tuple:
+    """One chunk: asked, kept, posted. Returns the counters of what was kept, and a dry run's lines."""
+    states = table.view() if task.kind == "answer" else state.by_paper_version(table.view())
+    rows = perform(runs, papers, source_text, task, states=states, checkpoint=checkpoint, chunk=chunk)
+    if task.kind != "answer":
+        rows = rows.withColumnRenamed("run_id", "arbiter_run_id")
+    seq = table.save(rows, F.col("status"))
+    saved = table.appended(seq)
+    if hooks.saved:
+        hooks.saved(saved)
+    return counters(saved, task.kind).first(), post(table, to_post(table, questions, papers, run_id, task.kind), hooks, task.kind)
+
+
+def run_all(table: state.StateTable, runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, make: Callable[[Mapping], Task], settings: Mapping | None = None, *, defaults: Mapping = S.RUN_DEFAULTS, hooks: Hooks | None = None, checkpoints: str | None = None, total: int | None = None) -> list[Outcome]:
+    """Runs in their order (r_order), each by chunks of papers (p_order): asked, kept and posted chunk by chunk.
+
+    make turns a run's settings into its Task. Heartbeats: at the start, after every chunk, at the end; only the last run that
+    is worked on says succeeded or failed. With fail_fast, a spoiled or failed group ends its run after the chunk, and all later runs.
+    Cancelling is asked for before each chunk. All that is kept stays: a later call goes on with what isn't complete.
+    """
+    hooks = hooks or Hooks()
+    listed = runs.orderBy("r_order").collect()
+    n_papers = papers.count()
+    cells = n_papers * questions.count() if total is None else total
+    out: list[Outcome] = []
+    for number, r in enumerate(listed, 1):
+        config = S.overlaid(r["config"], settings, defaults)
+        task, now = make(config), Outcome(r["run_id"], "succeeded", cells)
+        out.append(now)
+        size = int(config["chunk_papers"] or 0)
+        chunks = (math.ceil(n_papers / size) if size > 0 else 1) if n_papers else 0
+        placed = grid.chunks(papers, size)
+        one = runs.where(F.col("run_id") == r["run_id"])
+        keep = Checkpoint(checkpoints, r["run_id"]) if checkpoints else None
+
+        def beat(status: str, said: str, now: Outcome = now, r: object = r, number: int = number) -> None:
+            hooks.tell(run_id=now.run_id, status=status, cells_total=now.total, cells_done=now.done, cells_error=now.errors, message=message(said, number, len(listed), r["name"]))
+
+        beat("running", "starting")
+        for c in range(chunks):
+            if hooks.cancelled and hooks.cancelled():
+                now.status = "canceled"
+                beat("canceled", "canceled")
+                return out
+            got, lines = run_chunk(table, one, placed.where(F.col("chunk") == c).drop("chunk"), questions, source_text, task, hooks, checkpoint=keep, chunk=c, run_id=r["run_id"])
+            now.done, now.errors, now.failed, now.lines = now.done + got["done"], now.errors + got["errors"], now.failed + got["failed"], now.lines + lines
+            beat("running", f"chunk {c + 1}/{chunks}")
+            if config["fail_fast"] and (got["spoiled"] or got["failed"]):
+                now.status = "failed"
+                break
+        if now.status == "failed":
+            beat("failed", "failed")
+            break
+        last = number == len(listed)
+        beat("succeeded" if last else "running", "succeeded" if last else "done, moving to next run")
+    return out
+
+
+def annotation(questions: DataFrame, reason: Model = reason_dummy, format_: Model = format_dummy) -> Callable[[Mapping], Task]:
+    """The Task of annotation for a run's settings."""
+    return lambda config: Task(grid.groups_frame(questions, config["batching"]), config, reason=reason, format_=format_)
+
+
+def run(runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, *, batching: str | dict | list = "all", states: DataFrame | None = None, reason: Model = reason_dummy, format_: Model = format_dummy, text_source: str = "full_text") -> DataFrame:
+    """Rows to keep of all runs at once, as one plan without chunks."""
+    config = S.RUN_DEFAULTS | {"batching": batching, "text_source": text_source}
+    return perform(runs, papers, source_text, annotation(questions, reason, format_)(config), states=states)
 
 
 def resume(table: state.StateTable, *plan, **how) -> DataFrame:
@@ -89,25 +333,125 @@ def resume(table: state.StateTable, *plan, **how) -> DataFrame:
     return table.view()
 
 
-def reformat(table: state.StateTable, groups: DataFrame, source_text: DataFrame, format_: Model = format_dummy) -> DataFrame:
-    """Formats stored reasoning again: groups regrouped by their batch_group_id, those without pass-1 text left as they are."""
-    rows = state.regrouped(table.postable()).join(F.broadcast(groups.select("version_id", "group_idx", "pos", "key")), "version_id")
-    text = F.nullif(C.pass1_text(F.get_json_object("payload_json", "$.raw_response")), F.lit(""))
-    packed = rows.groupBy("run_id", "paper_id", "group_key", "group_idx").agg(F.array_sort(F.collect_list(F.struct("pos", "key"))).alias("q"), F.min_by(text, F.when(text.isNotNull(), F.col("pos"))).alias("pass1_text"))
-    asked = packed.where("pass1_text is not null").select("run_id", "paper_id", "group_idx", F.col("group_key").alias("cid"), F.col("q.key").alias("keys"), "pass1_text", F.lit(None).cast("struct<error:string>").alias("p1"))
-    asked = asked.join(source_text.select("paper_id", F.col("markdown").alias("source")), "paper_id", "left")
-    return answers(pass2(asked, groups, format_), groups)
+# -- the passes apart: the state is what they exchange
+
+
+def run_pass1(table: state.StateTable, runs: DataFrame, papers: DataFrame, source_text: DataFrame, task: Task) -> int:
+    """Reasons over groups that aren't complete or reasoned over, and keeps one row a question; returns the questions whose group got none.
+
+    Papers without a text are left out. The reasoning stands in the first row of a group, its usage too.
+    """
+    states = table.view() if task.kind == "answer" else state.by_paper_version(table.view())
+    have, _ = grid.with_source(papers, source_text, task.config["text_source"])
+    asked = calls(runs, have, task, states=states, complete_=(*grid.COMPLETE, "pass1_done"))
+    done = pass1(asked, task.reason)
+    more = [c for c in ("dispute_item_id",) if c in task.groups.columns]
+    by = [*task.of_paper, "group_idx"]
+    each = done.drop("messages", "source").join(grid.small(task.groups.select(*by, "pos", "version_id", *more)), by)
+    first = F.col("pos") == 0
+    raw = F.to_json(F.struct(F.when(first, F.col("pass1_text")).alias("pass1_text"), F.when(first, F.col("p1")).alias("p1"), F.col("cid").alias("batch_group_id")))
+    lost = _lost("p1", "pass 1 gave no text")
+    body = F.when(lost.isNull(), F.to_json(F.struct(raw.alias("raw_response")))).otherwise(payload.error_json(lost, task.kind))
+    rows = each.select("run_id", "paper_id", "version_id", *more, F.when(lost.isNull(), "pass1_done").otherwise("failed").alias("status"), body.alias("payload_json"), F.when(lost.isNull(), F.col("cid")).alias("batch_group_id"), lost.alias("error"))
+    if task.kind != "answer":
+        rows = rows.withColumnRenamed("run_id", "arbiter_run_id")
+    return table.appended(table.save(rows, F.col("status"))).where("status = 'failed'").count()
+
+
+def regrouped(rows: DataFrame, raw: Column) -> DataFrame:
+    """Stored rows as groups: run_id, paper_id, group_idx, cid, keys and q, the questions in their order and with their stored payload; pass1_text, p1.
+
+    Rows that share a batch_group_id are a group, whatever groups are asked for now; their questions keep the plan's order.
+    """
+    kind = reason_dummy(rows.limit(0)).schema["completion"].dataType
+    text = F.nullif(C.pass1_text(raw), F.lit(""))
+    usage = F.from_json(F.get_json_object(raw, "$.p1"), kind)
+    part = F.struct("group_idx", "pos", "key", "version_id", "payload_json")
+    rows = rows.withColumns({"__t": text, "__u": usage})
+    have = F.when(F.col("__t").isNotNull(), F.struct("group_idx", "pos"))
+    packed = rows.groupBy("run_id", "paper_id", "group_key").agg(F.array_sort(F.collect_list(part)).alias("q"), F.min_by("__t", have).alias("pass1_text"), F.min_by("__u", have).alias("p1"))
+    return packed.withColumns({"cid": F.col("group_key"), "keys": F.col("q.key"), "group_idx": F.get("q", 0)["group_idx"]})
+
+
+def run_pass2(table: state.StateTable, source_text: DataFrame, task: Task, *, run_ids: list[int] | None = None) -> int:
+    """Formats what was reasoned over and keeps the answers; returns the sequence number of what was kept."""
+    states = table.pass1() if run_ids is None else table.pass1().where(F.col(table.keys[0]).isin(run_ids))
+    if task.kind != "answer":
+        states = states.withColumnRenamed("arbiter_run_id", "run_id")
+    rows = with_plan(state.regrouped(states), task)
+    groups = regrouped(rows, F.get_json_object("payload_json", "$.raw_response"))
+    done = kept(answers(pass2(with_text(groups, source_text, task), of_rows(task, groups)), of_rows(task, groups)), task.kind)
+    if task.kind != "answer":
+        done = done.withColumnRenamed("run_id", "arbiter_run_id")
+    return table.save(done, F.col("status"))
+
+
+def with_plan(rows: DataFrame, task: Task) -> DataFrame:
+    """Stored rows with the group_idx, pos and key of their question; those of a question that isn't known are left out."""
+    by = [*task.of_paper, "version_id"]
+    return rows.join(grid.small(task.groups.select(*by, "group_idx", "pos", "key")), by)
+
+
+def of_rows(task: Task, groups: DataFrame) -> Task:
+    """The task for groups as they were stored: each run's and paper's own questions at their places."""
+    at = groups.select("paper_id", F.col("group_key").alias("__g"), "group_idx", F.posexplode("q").alias("pos", "x")).select("paper_id", "group_idx", "pos", F.col("x.version_id").alias("version_id")).distinct()
+    known = task.groups.drop("group_idx", "pos")
+    return replace(task, groups=at.join(grid.small(known), [*task.of_paper, "version_id"]))
+
+
+def with_text(groups: DataFrame, source_text: DataFrame, task: Task) -> DataFrame:
+    if task.config["text_source"] == "candidates_only":
+        return groups.withColumn("source", F.lit(""))
+    return groups.join(source_text.select("paper_id", F.col("markdown").alias("source")), "paper_id", "left")
+
+
+def reformat(table: state.StateTable, source_text: DataFrame, task: Task) -> tuple[int, int]:
+    """Formats stored reasoning again and replaces the answers; returns how many rows were replaced and how many weren't.
+
+    Reasoning's tokens, cost and latency stay, and so does the stored raw response but for what is new: the result, the
+    check and, in a group's first row, the reply. A group without reasoning, or whose new reply lacks a key, stays as it is.
+    """
+    stored = table.postable() if task.kind == "answer" else table.postable().withColumnRenamed("arbiter_run_id", "run_id")
+    rows = with_plan(state.regrouped(stored), task)
+    groups = regrouped(rows, F.get_json_object("payload_json", "$.raw_response"))
+    own = of_rows(task, groups)
+    able = groups.where("pass1_text is not null").withColumn("p1", F.struct(F.col("pass1_text").alias("text"), *(F.col(f"p1.{n}").alias(n) for n in ("usage", "cost", "latency_ms")), F.lit(None).cast("string").alias("error")))
+    done = answers(pass2(with_text(able, source_text, task), own), own).where("failed is null and spoiled is null")
+    old = F.get(F.col("q"), F.col("pos"))["payload_json"]
+    was, raw = payload.body(old), F.get_json_object(old, "$.raw_response")
+    new = F.to_json(F.struct(F.col("result").alias("parse_result"), F.struct("checked.ok", "checked.note").alias("verify"), F.when(F.col("pos") == 0, F.col("completion.text")).alias("pass2_text"), F.when(F.col("pos") == 0, F.col("completion.usage")).alias("p2_raw")))
+    done = done.withColumns({"__was": was, "raw_response": replies.json_over(raw, new)})
+    zero = F.lit(0).cast("long")
+    done = done.withColumns({**{n: F.coalesce(f"__was.{n}", zero) for n in (*payload.TOKENS, "latency_ms")}, "cost": F.col("__was.cost")})
+    more = [c for c in ("dispute_item_id",) if c in done.columns]
+    bodies = done.select("run_id", "paper_id", "version_id", *more, payload.payload_json(task.kind).alias("payload_json"))
+    if task.kind != "answer":
+        bodies = bodies.withColumnRenamed("run_id", "arbiter_run_id")
+    n_rows = rows.count()
+    replaced = table.appended(table.replace_payload(bodies)).count()
+    return replaced, n_rows - replaced
+
+
+# -- posting what is stored
 
 
 def repost(rows: DataFrame, questions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored rows with their question, and those of a version that isn't known."""
-    known = F.broadcast(questions.select("version_id", "key", "question_type", "allow_multiple"))
+    known = grid.small(questions.select("version_id", "key", "question_type", "allow_multiple").distinct())
     return rows.join(known, "version_id"), rows.join(known, "version_id", "left_anti")
 
 
-def wire(rows: DataFrame, questions: DataFrame) -> DataFrame:
-    """Items to post, from stored answers: typed value, wire cost, raw response."""
-    known, _ = repost(rows, questions)
-    body = F.from_json("payload_json", "value_text string, value_boolean boolean, value_categorical string, value_categorical_multi array<string>, extraction_status string, comment string, cited_text string, cost string, raw_response string")
-    known = known.withColumn("p", body)
-    return known.select(F.col("run_id").alias("run"), F.col("paper_id").alias("paper"), F.col("version_id").alias("question_version"), payload.value_on_wire(F.col("question_type"), F.col("allow_multiple"), F.col("p")).alias("value"), F.coalesce("p.comment", F.lit("")).alias("comment"), F.coalesce("p.cited_text", F.lit("")).alias("cited_text"), C.wire_cost(F.col("p.cost")).alias("cost"), C.pass1_text(F.col("p.raw_response")).alias("reasoning"))
+def repost_all(table: state.StateTable, questions: DataFrame, hooks: Hooks, *, run_ids: list[int] | None = None, paper_ids: list[int] | None = None, kind: str = "answer") -> list[str]:
+    """Posts all that is done or posted once more."""
+    rows = grid.selected(grid.selected(table.postable(), table.keys[0], run_ids), "paper_id", paper_ids)
+    return post(table, repost(rows, questions)[0], hooks, kind)
+
+
+def wire(rows: DataFrame, questions: DataFrame, kind: str = "answer") -> DataFrame:
+    """Items to post, from stored rows: typed value, wire cost, reasoning."""
+    return payload.wire_items(repost(rows, questions)[0], kind)
+
+
+def throttled_report(report: Callable[[dict], None], **how) -> Callable[[dict], None]:
+    """A reporter that leaves out heartbeats that come too soon after the last one sent."""
+    return progress.Throttle(report, **how)

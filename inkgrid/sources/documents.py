@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tomllib
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -21,6 +23,7 @@ PIPELINE = f"review_id bigint, setup_id bigint, api_base string, papers array<{P
 DISPUTES = f"review_id bigint, dispute_set_id bigint, review_name string, dispute_set_name string, api_base string, rater_keys array<string>, runs array<{RUN}>, questions array<{QUESTION}>, disputes array<{DISPUTE}>"
 
 #: The defaults of a run, in effect where neither settings nor the document say otherwise.
+SETTINGS_VARIABLE = "INKGRID_SETTINGS"
 RUN_DEFAULTS = {
     "concurrency": 8, "rpm": None, "drop_params": False, "citation_max_error_rate": 0.05, "citation_max_ellipsis_gap": 600, "text_source": "full_text", "batching": "all",
     "temperature": None, "reasoning_effort": None, "format_model": None, "format_model_provider": None, "format_temperature": None, "format_model_params": {},
@@ -67,7 +70,8 @@ class Settings:
 
     @classmethod
     def load(cls, path: str | None = None) -> Settings:
-        """From a TOML file; without one, the defaults. Keys that no section knows are errors."""
+        """From a TOML file: the given one, or that which SETTINGS_VARIABLE names; without one, the defaults. Keys that no section knows are errors."""
+        path = path or os.environ.get(SETTINGS_VARIABLE)
         if not path or not os.path.exists(path):
             return cls()
         with open(path, "rb") as f:
@@ -79,8 +83,13 @@ class Settings:
 
     def api_key(self, provider: str) -> str | None:
         """A key as given, or from the environment variable that's named; it never enters a DataFrame."""
-        own = self.providers.get(provider, {})
-        return own.get("api_key") or os.environ.get(own.get("api_key_env", ""), None)
+        mine = own(self.providers, provider)
+        return mine.get("api_key") or os.environ.get(mine.get("api_key_env", ""), None)
+
+
+def own(settings: Mapping, provider: str | None) -> dict:
+    """A provider's settings; of one without any, none."""
+    return dict(settings.get((provider or "").lower(), {}))
 
 
 RESULT_LINE = "custom_id string, response struct<status_code:int, body:struct<choices:array<struct<message:struct<content:string>>>, usage:struct<prompt_tokens:bigint, completion_tokens:bigint, total_tokens:bigint>>>, error struct<message:string>"
@@ -95,9 +104,33 @@ def batch_results(spark: SparkSession, *paths: str) -> DataFrame:
     return rows.select(F.col("r.custom_id").alias("cid"), F.when(failed.isNull(), text).alias("text"), F.col("r.response.body.usage.prompt_tokens").alias("input_tokens"), F.col("r.response.body.usage.completion_tokens").alias("output_tokens"), failed.alias("error"))
 
 
+MESSAGE_LINE = "custom_id string, result struct<type:string, message:struct<content:array<struct<type:string,text:string>>, usage:struct<input_tokens:bigint, output_tokens:bigint, cache_read_input_tokens:bigint, cache_creation_input_tokens:bigint>>, error:struct<type:string, message:string>>"
+
+
+def message_results(lines: DataFrame) -> DataFrame:
+    """cid, type, text, tokens and error of the other provider's result lines (column value); blank and malformed ones are skipped."""
+    rows = lines.where(F.trim("value") != "").select(F.from_json("value", MESSAGE_LINE).alias("r")).where("r.custom_id is not null")
+    said = F.filter("r.result.message.content", lambda c: c["type"] == "text")
+    good, use = F.col("r.result.type") == "succeeded", F.col("r.result.message.usage")
+    n = lambda c: F.when(good, F.coalesce(use[c], F.lit(0).cast("bigint")))
+    failed = F.when(~good, F.concat_ws(": ", "r.result.type", "r.result.error.message"))
+    return rows.select(
+        F.col("r.custom_id").alias("cid"), F.col("r.result.type").alias("type"), F.when(good, F.array_join(F.transform(said, lambda c: c["text"]), "")).alias("text"), n("input_tokens").alias("input_tokens"),
+        n("output_tokens").alias("output_tokens"), n("cache_read_input_tokens").alias("cached_tokens"), n("cache_creation_input_tokens").alias("cache_write_tokens"), failed.alias("error"),
+    )
+
+
 # -- the driver's tables in their roles
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path that all executors share: in spark.checkpoint.dir, or beside the warehouse where all of Spark runs on this machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(found or spark.conf.get("spark.sql.warehouse.dir"), f"{name}-{uuid.uuid4().hex}")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,11 +14,11 @@ HEARTBEAT_SECONDS = 1.5
 WINDOW_MICROS = 60_000_000
 
 
-def throttled(beats: DataFrame, key: str = "run_id", ts: str = "ts", seconds: float = HEARTBEAT_SECONDS) -> DataFrame:
+def throttled(beats: DataFrame, key: str = "run_id", ts: str = "ts", tie: str = "event_id", seconds: float = HEARTBEAT_SECONDS) -> DataFrame:
     """The heartbeats that are sent: each run's first, then the next at least `seconds` after the last one sent.
 
     Whether one is sent depends on those sent before, which no window function tells: runs are streamed in time order,
-    a partition at a time, and only the last time sent is kept.
+    a partition at a time (equal times by `tie`), and only the last time sent is kept.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in beats.schema)
     step = pd.Timedelta(seconds=seconds)
@@ -33,7 +34,21 @@ def throttled(beats: DataFrame, key: str = "run_id", ts: str = "ts", seconds: fl
                 keep.append(send)
             yield pdf[keep]
 
-    return beats.repartition(key).sortWithinPartitions(key, ts).mapInPandas(run, fields)
+    return beats.repartition(key).sortWithinPartitions(key, ts, tie).mapInPandas(run, fields)
+
+
+class Throttle:
+    """A reporter that sends running heartbeats at least `seconds` apart; the first, and any that ends a run, are always sent."""
+
+    def __init__(self, report: Callable[[dict], None], seconds: float = HEARTBEAT_SECONDS, clock: Callable[[], float] = time.monotonic) -> None:
+        self.report, self.seconds, self.clock, self.last = report, seconds, clock, None
+
+    def __call__(self, beat: dict) -> None:
+        now = self.clock()
+        if beat.get("status") == "running" and self.last is not None and now - self.last < self.seconds:
+            return
+        self.last = now
+        self.report(beat)
 
 
 def calls_in_window(calls: DataFrame, provider: str = "provider", ts: str = "ts") -> DataFrame:

@@ -22,12 +22,52 @@ def test_occurs_like_the_edit_distance_table():
     for _ in range(1500):
         p, t = "".join(draw.choices("ab c", k=draw.randint(1, 30))), "".join(draw.choices("ab c", k=draw.randint(1, 50)))
         rate = draw.choice([0.05, 0.1, 0.25])
-        assert evidence.occurs(p, t, rate) == (distance(p, t) <= evidence.budget_of(p, rate))
-    assert not evidence.occurs("", "x") and not evidence.occurs("x", "")
+        assert evidence.Source(t, rate).occurs(p) == (distance(p, t) <= evidence.budget_of(p, rate))
+    assert not evidence.Source("x").occurs("") and not evidence.Source("").occurs("x")
 
 
 def test_places_of_matches():
-    assert evidence.matches("hello world", "xx hello wurld yy hello world", 0.1) == [(3, 14), (18, 29)]
+    assert evidence.Source("xx hello wurld yy hello world", 0.1).matches("hello world") == [(3, 14), (18, 29)]
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        now = [i]
+        for j, d in enumerate(b, 1):
+            now.append(min(row[j] + 1, now[-1] + 1, row[j - 1] + (c != d)))
+        row = now
+    return row[-1]
+
+
+def test_inside_like_all_substrings():
+    draw = random.Random(2)
+    for _ in range(150):
+        p, t = "".join(draw.choices("abc", k=draw.randint(2, 9))), "".join(draw.choices("abc", k=draw.randint(0, 16)))
+        low, high = sorted((draw.randint(-2, 18), draw.randint(-2, 18)))
+        window = t[max(0, low) : max(0, high)]
+        want = bool(window) and any(edits(window[a:b], p) <= 1 for a in range(len(window) + 1) for b in range(a, len(window) + 1))
+        assert evidence.Source(t, 0.1).inside(p, low, high) == want, (p, t, low, high)
+
+
+def test_parts_like_their_definition():
+    """Every part stands around some best match of the longest: windows cut from the text, searched one by one."""
+    draw = random.Random(3)
+    seen = set()
+    for _ in range(300):
+        words = ["".join(draw.choices("abcdefgh", k=draw.randint(8, 26))) for _ in range(4)]
+        text = "".join(draw.choice([*words, "zz", "yyyyyyyy"]) for _ in range(12))
+        parts, gap = draw.sample(words, draw.randint(2, 3)), draw.choice([0, 10, 40])
+        source = evidence.Source(text, 0.1, gap)
+        at = max(range(len(parts)), key=lambda i: len(parts[i]))
+        want = False
+        if sum(map(len, parts)) >= 40:
+            for s, e in source.matches(parts[at]):
+                windows = [text[max(0, s - gap - len(p)) : s] if i < at else text[e : e + gap + len(p)] for i, p in enumerate(parts)]
+                want |= all(distance(p, w) <= evidence.budget_of(p, 0.1) and w != "" for i, (p, w) in enumerate(zip(parts, windows)) if i != at)
+        assert source.holds_parts(parts) == want
+        seen.add(want)
+    assert seen == {True, False}
 
 
 SOURCE = evidence.normalised("The first sentence of the source stands here. " + "filler words " * 80 + "A later sentence closes the whole document well.")
@@ -41,15 +81,19 @@ SOURCE = evidence.normalised("The first sentence of the source stands here. " +
         ("The first sentence of the source ... filler words filler", True), ("first sentence of the source ... A later sentence closes", False),
         ("The first sentence of the source stands here.\nA later sentence closes the whole document well.", True),
         (["short"], True), (["“The first sentence of the source”", "nothing like this is there at all"], False), (["`first sentence of the source`"], True),
+        ("“The first sentence of the source stands” … “here. filler words filler”", True), (["“The first sentence of the” ... “source stands here. filler”"], True),
         ("ﬁrst sentence of the source", True), ("nothing like this stands in there", False),
     ],
 )
 def test_verify(cited, ok):
-    assert evidence.verify(cited, SOURCE)[0] is ok
+    assert evidence.Source(SOURCE).verify(cited)[0] is ok
+
+
+MISSING = replies.MISSING.format(key="a")
 
 
 def test_verify_each_skips_short_quotes():
-    assert [x for x, _ in evidence.verify_each(["", "short one", "x" * 19, "x" * 20], SOURCE)] == [True, True, True, False]
+    assert [x for x, _ in evidence.Source(SOURCE).verify_each(["", "short one", "x" * 19, "x" * 20])] == [True, True, True, False]
 
 
 @pytest.mark.parametrize(
@@ -57,8 +101,8 @@ def test_verify_each_skips_short_quotes():
     [
         ('{"results":[{"key":"a","value":true}]}', "true", None), ('[{"key":"a","value":1},{"key":"a","value":2}]', "2", None),
         ('```json\n{"results":[{"key":"a","value":"x"}]}\n```', '"x"', None), ('thoughts\n{"key":"a","value":1.0}\nmore', "1.0", None),
-        ('{"key": "a", "value": true, "comment": "it', "true", None), ("{'key': 'a', 'value': 5", None, replies.MISSING), ("", None, replies.MISSING), (None, None, replies.MISSING),
-        ('{"results":[{"key":"","value":1}]}', None, replies.MISSING),
+        ('{"key": "a", "value": true, "comment": "it', "true", None), ("{'key': 'a', 'value': 5", None, MISSING), ("", None, MISSING), (None, None, MISSING),
+        ('{"results":[{"key":"","value":1}]}', None, MISSING),
     ],
 )
 def test_replies(text, value, error):
@@ -66,8 +110,11 @@ def test_replies(text, value, error):
     assert (got["value_json"], got["parse_error"]) == (value, error)
 
 
-def test_sentinels():
-    assert replies.cited_of("not found") == (None, "none") and replies.cited_of(["n/a"]) == (None, "none") and replies.cited_of(["a", "n/a"]) == (["a", "n/a"], "list") and replies.cited_of(None) == ([], "text")
+def test_quotes_of_a_reply():
+    marker = replies.NO_DIRECT_QUOTE
+    assert replies.cited_of(f" {marker} ") == ([], "none") and replies.cited_of([marker]) == ([], "none") and replies.cited_of(["a", marker]) == (["a", marker], "list")
+    assert replies.cited_of("not found") == (["not found"], "text") and replies.cited_of(None) == ([], "text") and replies.cited_of([]) == ([], "list")
+    assert evidence.Source("x").verify_each("n/a") == [] and evidence.Source("x").verify("n/a") == (True, evidence.NO_CITATION)
 
 
 def test_groups():
