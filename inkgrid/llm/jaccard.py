@@ -2,19 +2,23 @@
 
 1. Screen. A document with a partner at 4/5 shares 4/5 of its own shingles with others. Shingles are dealt by
    hash range in arrays (32 bits each within their range; a rare false match only keeps a document longer), each
-   range counts which of them occur twice, and documents with too few shared ones are done: no links.
-2. Equal sets become one, the smallest doc_id standing for them.
+   range counts in how many rows they occur, and documents with too few shared ones are done: no links. Each document
+   is also told which of its shingles are frequent, and in what power of two of rows.
+2. Equal sets become one, a node with a number of its own; a row of the smallest doc_id stands for them.
 3. Near groups. Sets that agree in one of GROUP_KEYS minima meet and are compared one after another. A set joined
    to a leader is not compared with the leader's other partners; where it isn't joined, the overlap with each of
    them is first bounded by the leader's known overlap, plus their difference (answer-level skipping).
-4. The rest. Any two linked sets share an element of their prefixes (the smallest fifth of the hashes). Prefixes are
+4. The rest. Any two linked sets share an element of their prefixes (the first fifth, the rarest first, then by hash), so
+   that what many documents share is in the prefixes of few. Prefixes are
    dealt by hash range; each list is ordered by size and read in blocks, which are skipped whole when their best
    position leaves too little room for the needed overlap (index-level skipping). Bitmaps of the sets bound from
    below in how many elements two sets differ. Pairs inside one component are no longer needed. The others are all verified, the most promising of each set first.
 Components are built from verified links alone, so they are those of all links.
 
-Nulls: null and empty texts have the empty set and link with nothing; a null doc_id is an id of its own. Rows
-that repeat a doc_id are one document with one result, n_shingles being the largest of them.
+There is a result for each row, also of repeated ids and of none: rows are known by id and a hash of their text. Nulls: null and
+empty texts have the empty set and link with nothing; a null doc_id is no id, so a component's smallest id is that of its
+rows with one, null if it has none. Ties don't matter. An empty table gives an empty result. Other columns are not read
+(one_of_each keeps them). A very long text is one set in memory; nothing else grows with a text's length.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common, graphs, shingles
@@ -32,6 +36,10 @@ from . import common, graphs, shingles
 #: Shingles of a block that is dealt at once, and of a hash range, about. Many ranges make larger blocks, so that a block has LEAST shingles in each.
 BLOCK, RANGE, MOST_BITS, LEAST = 1_000_000, 1_500_000, 18, 64
 CHARS_PER_WORD = 5
+#: Prefix elements of a task, about.
+PREFIX_RANGE = 100_000
+#: Shingles in 2 ** FREQUENT rows or more are frequent.
+FREQUENT = 6
 GROUP_KEYS = 2
 GROUP_ROWS = 1500
 INDEX_BLOCK = 64
@@ -45,33 +53,45 @@ def least_overlap(n: int | np.ndarray, m: int | np.ndarray):
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc"), _text_key(text).alias("key"), text.alias("text"))
 
 
-_PARTS = "part long, block long, docs binary, counts binary, hashes binary"
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(common.whole(text), F.length(common.whole(text)))
+
+
+_PARTS = "part long, block long, docs binary, counts binary, hashes binary, levels binary"
 _PART_COLUMNS = [x.split()[0] for x in _PARTS.split(", ")]
 
 
+def _cut(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of hashes, and 32 bits of each within its range."""
+    part = h >> np.uint64(64 - bits) if bits else np.zeros_like(h)
+    return part, ((h << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+
+
 def _deal(bits: int):
-    """Blocks of sets, cut by the first bits of the hashes: a row a range and block. Below 0: the block's documents, their sets' sizes and names."""
+    """Blocks of sets, cut by the first bits of the hashes: a row a range and block. Below 0: the block's rows, their sets' sizes and names."""
 
-    def rows(block: int, ids: list[int], sets: list[np.ndarray]) -> Iterator[tuple]:
+    def rows(block: int, ids: list[tuple], sets: list[np.ndarray]) -> Iterator[tuple]:
         sizes = np.array([s.size for s in sets], np.int32)
         names = "".join(xxhash.xxh128_hexdigest(s.tobytes()) for s in sets).encode()
-        yield -1 - block, block, np.array(ids, np.int64).tobytes(), sizes.tobytes(), names
+        known = np.array([(0 if i is None or i != i else int(i), k, not (i is None or i != i)) for i, k in ids], np.int64).reshape(-1, 3)
+        yield -1 - block, block, known.tobytes(), sizes.tobytes(), names, None
         h = np.concatenate(sets)
         at = np.repeat(np.arange(len(sets)), sizes)
-        part = (h >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32) if bits else np.zeros(h.size, np.uint16)
+        part, low = _cut(h, bits)
+        part = part.astype(np.uint16 if bits <= 16 else np.uint32)
         order = np.argsort(part, kind="stable")
-        low = ((h << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)[order]
-        at, part = at[order], part[order]
+        at, part, low = at[order], part[order], low[order]
         cuts = np.searchsorted(part, np.arange(2**bits + 1))
         for p in range(2**bits):
             a, b = cuts[p], cuts[p + 1]
             if a < b:
                 counts = np.bincount(at[a:b], minlength=len(sets))
                 some = counts.nonzero()[0]
-                yield p, block, some.astype(np.int32).tobytes(), counts[some].astype(np.int32).tobytes(), low[a:b].tobytes()
+                yield p, block, some.astype(np.int32).tobytes(), counts[some].astype(np.int32).tobytes(), low[a:b].tobytes(), None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -79,8 +99,8 @@ def _deal(bits: int):
         block = TaskContext.get().partitionId() << 24
         ids, sets, total = [], [], 0
         for pdf in batches:
-            for doc, text in zip(pdf["doc"], pdf["text"], strict=True):
-                ids.append(doc)
+            for doc, key, text in zip(pdf["doc"].astype(object), pdf["key"], pdf["text"], strict=True):
+                ids.append((doc, key))
                 sets.append(shingles.shingle_set(text))
                 total += sets[-1].size + 1
                 if total >= max(BLOCK, LEAST << bits):
@@ -88,12 +108,14 @@ def _deal(bits: int):
                     ids, sets, total, block = [], [], 0, block + 1
         if ids:
             yield pd.DataFrame(rows(block, ids, sets), columns=_PART_COLUMNS)
+        shingles.forget()
 
     return run
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For a range: of each block's documents that have some there, how many shingles others have too. What blocks tell of themselves passes."""
+    """For a range: of each block's rows that have some there, how many shingles others have too, and the frequent ones with their levels.
+    What blocks tell of themselves passes."""
     if pdf["part"].iloc[0] < 0:
         return pdf
     counts = [np.frombuffer(x, np.int32) for x in pdf["counts"]]
@@ -102,43 +124,84 @@ def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
     at = np.repeat(np.arange(sizes.sum(), dtype=np.int32), np.concatenate(counts))
     order = np.argsort(h)
     h, at = h[order], at[order]
-    same = np.concatenate([[False], h[1:] == h[:-1], [False]])
-    shared = np.bincount(at[same[1:] | same[:-1]], minlength=sizes.sum()).astype(np.int32)
-    told = np.split(shared, np.cumsum(sizes)[:-1])
-    docs = [np.frombuffer(x, np.int32)[n > 0].tobytes() for x, n in zip(pdf["docs"], told, strict=True)]
-    return pdf.assign(docs=docs, counts=[n[n > 0].tobytes() for n in told], hashes=None)
+    edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
+    often = np.diff(edges)
+    shared = np.bincount(at[np.repeat(often > 1, often)], minlength=sizes.sum()).astype(np.int32)
+    level = np.repeat(np.maximum(0, np.frexp(often)[1] - FREQUENT).astype(np.uint8), often)
+    hot = np.flatnonzero(level)
+    hot = hot[np.argsort(at[hot], kind="stable")]
+    cuts = np.cumsum(sizes)[:-1]
+    told, spots = np.split(shared, cuts), np.searchsorted(at[hot], np.concatenate([[0], cuts, [sizes.sum()]]))
+    out = []
+    for i, (x, n) in enumerate(zip(pdf["docs"], told, strict=True)):
+        mine, docs = hot[spots[i] : spots[i + 1]], np.frombuffer(x, np.int32)
+        first = int(cuts[i - 1]) if i else 0
+        out.append((docs[n > 0].tobytes(), n[n > 0].tobytes(), docs[at[mine] - first].tobytes() + h[mine].tobytes(), level[mine].tobytes()))
+    return pdf[["part", "block"]].assign(**dict(zip(_PART_COLUMNS[2:], map(list, zip(*out, strict=True)), strict=True)))
+
+
+_SCREENED = "doc long, key long, n long, name string, shared long, hot binary"
 
 
 def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For a block: its documents with their sets' sizes and names, and the sums of what the ranges told."""
+    """For a block: its rows with their sets' sizes and names, the sums of what the ranges told, and the frequent shingles of those that may have partners."""
     own = pdf[pdf["part"] < 0].iloc[0]
-    docs, sizes, names = np.frombuffer(own["docs"], np.int64), np.frombuffer(own["counts"], np.int32), own["hashes"].decode()
-    shared = np.zeros(docs.size, np.int64)
+    known, sizes, names = np.frombuffer(own["docs"], np.int64).reshape(-1, 3), np.frombuffer(own["counts"], np.int32), own["hashes"].decode()
+    shared = np.zeros(len(known), np.int64)
     told = pdf[pdf["part"] >= 0]
     for at, n in zip(told["docs"], told["counts"], strict=True):
         shared[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int32)
-    return pd.DataFrame({"doc": docs, "n": sizes.astype(np.int64), "name": [names[i : i + 32] for i in range(0, len(names), 32)], "shared": shared})
-
-
-def screen(texts: DataFrame) -> DataFrame:
-    """doc, n, name (of its set), shared: how many of its shingles other rows have too, or slightly more. Cut."""
+    able = 5 * shared >= 4 * sizes
+    each = [(np.frombuffer(x, np.int32, len(y)), np.uint64(p) << np.uint64(32) | np.frombuffer(x, np.uint32, len(y), 4 * len(y)).astype(np.uint64), np.frombuffer(y, np.uint8)) for p, x, y in zip(told["part"], told["hashes"], told["levels"], strict=True)]
+    at, keys, levels = (np.concatenate([np.zeros(0, kind), *(e[i] for e in each)]) for i, kind in enumerate((np.int32, np.uint64, np.uint8)))
+    some = np.flatnonzero(able[at])
+    some = some[np.argsort(at[some], kind="stable")]
+    cuts = np.searchsorted(at[some], np.arange(len(known) + 1))
+    keys, levels = keys[some].astype("<u8"), levels[some]
+    frequent = [(keys[a:b].tobytes() + levels[a:b].tobytes()) or None for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    docs = pd.array(known[:, 0], "Int64")
+    docs[known[:, 2] == 0] = pd.NA
+    return pd.DataFrame({"doc": docs, "key": known[:, 1], "n": sizes.astype(np.int64), "name": [names[i : i + 32] for i in range(0, len(names), 32)], "shared": shared, "hot": frequent})
+
+
+def screen(texts: DataFrame) -> tuple[DataFrame, int]:
+    """A row for each of texts: doc, key, n, name (of its set), shared: how many of its shingles other rows have too, or slightly more; hot. Cut. And the bits of a range."""
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(MOST_BITS, max(0, int(total / CHARS_PER_WORD / RANGE).bit_length()))
     counted = texts.mapInPandas(_deal(bits), _PARTS).groupBy("part").applyInPandas(_shared, _PARTS)
-    each = counted.groupBy("block").applyInPandas(_summed, "doc long, n long, name string, shared long")
-    return common.cut(each.groupBy("doc").agg(F.max("n").alias("n"), F.max("name").alias("name"), F.sum("shared").alias("shared")))
+    return common.cut(counted.groupBy("block").applyInPandas(_summed, _SCREENED)), bits
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The sets, with GROUP_KEYS minima under different orders."""
-    for pdf in batches:
-        rows = []
-        for doc, text in zip(pdf["doc"], pdf["text"], strict=True):
-            s = shingles.shingle_set(text)
-            if s.size:
+def prefix(s: np.ndarray, hot: bytes | None, bits: int) -> np.ndarray:
+    """The first fifth (and one more) of a set in the order of rarity: by level, then by hash."""
+    take = s.size - (4 * s.size + 4) // 5 + 1
+    if not hot:
+        return s[:take]
+    n = len(hot) // 9
+    keys, levels = np.frombuffer(hot, "<u8", n), np.frombuffer(hot, np.uint8, n, 8 * n)
+    order = np.argsort(keys)
+    keys, levels = keys[order], levels[order]
+    part, low = _cut(s, bits)
+    mine = (part << np.uint64(32)) | low.astype(np.uint64)
+    at = np.minimum(np.searchsorted(keys, mine), n - 1)
+    level = np.where(keys[at] == mine, levels[at], 0)
+    return s[np.lexsort((s, level))[:take]]
+
+
+def _sets(bits: int):
+    """The sets, with GROUP_KEYS minima under different orders, and their prefixes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for node, hot, text in zip(pdf["node"], pdf["hot"], pdf["text"], strict=True):
+                s = shingles.shingle_set(text)
                 keys = [int((s if not k else shingles.mixed(s * np.uint64(2 * k + 1))).min().astype(np.int64)) for k in range(GROUP_KEYS)]
-                rows.append((doc, s.size, keys, s.tobytes()))
-        yield pd.DataFrame(rows, columns=["doc", "n", "keys", "set"])
+                rows.append((node, s.size, keys, s.tobytes(), prefix(s, hot, bits).tobytes()))
+            yield pd.DataFrame(rows, columns=["doc", "n", "keys", "set", "prefix"])
+        shingles.forget()
+
+    return run
 
 
 def _linked(n: int, m: int, both: int) -> bool:
@@ -206,8 +269,9 @@ def _prefixes(bits: int):
             n, doc, comp = (pdf[k].to_numpy(np.int64) for k in ("n", "doc", "component"))
             sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
             maps = [bitmap(s, k) for s, k in zip(sets, _level(n), strict=True)]
-            take = n - (4 * n + 4) // 5 + 1
-            h = np.concatenate([s[:k] for s, k in zip(sets, take, strict=True)])
+            firsts = [np.frombuffer(x, np.uint64) for x in pdf["prefix"]]
+            take = np.array([x.size for x in firsts])
+            h = np.concatenate(firsts)
             pos = (np.arange(h.size) - np.repeat(np.cumsum(take) - take, take)).astype(np.int32)
             at = np.repeat(np.arange(n.size), take)
             part = (h >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(h.size, np.int32)
@@ -311,14 +375,37 @@ def _relabelled(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs.where("ca <> cb")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, n_shingles, component of every document (a null id as common.NO_ID)."""
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A row for each of docs: doc, key, n, and first, the (doc, key) that stands for its component; null for an empty set."""
     texts = _texts(docs, id_col, text_col)
-    each = screen(texts)
-    equal = each.where("n > 0").groupBy("name").agg(F.min("doc").alias("first"))
-    able = common.cut(each.where("n > 0 and 5 * shared >= 4 * n").join(equal, "name").where("doc = first").select("doc"))
-    sets, sets_path = common.written(texts.join(common.sent(able), "doc").mapInPandas(_sets, "doc long, n int, keys array<long>, set binary"))
+    each, bits = screen(texts)
+    real = each.where("n > 0")
+    lead = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "key"))
+    names = common.cut(real.groupBy("name").agg(F.max("n").alias("n"), F.max("shared").alias("shared"), lead.alias("first"), F.max("hot").alias("hot"), F.count("*").alias("rows")))
+    able = names.where("5 * shared >= 4 * n").withColumn("node", F.monotonically_increasing_id())
+    able = common.cut(able.select("node", "name", "first", "hot"))
+    wanted = able.select(F.col("first.doc").alias("__doc"), F.col("first.key").alias("__key"), "node", "hot")
+    found = texts.join(common.sent(wanted), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("key") == F.col("__key"))).select("node", "hot", "text")
+    if real.groupBy("doc", "key").agg(F.count("*").alias("k")).where("k > 1").head(1):
+        found = found.dropDuplicates(["node"])  # repeated rows of one id and text
+    sets, sets_path = common.written(found.mapInPandas(_sets(bits), "doc long, n int, keys array<long>, set binary, prefix binary"))
+    comps = _components(sets)
+    common.removed(docs.sparkSession, sets_path)
+    labelled = able.join(common.sent(comps), F.col("node") == F.col("of"), "left").select("name", "first", F.coalesce("component", "node").alias("component"))
+    least = common.cut(labelled.groupBy("component").agg(F.min("first").alias("first"), F.count("*").alias("sets")).where("sets > 1").select("component", F.col("first").alias("least")))
+    moved = common.cut(labelled.join(common.sent(least), "component").select("name", "least"))
+    firsts = names.select("name", "first").join(common.sent(moved), "name", "left").select("name", F.coalesce("least", "first").alias("first"))
+    return each.select("doc", "key", "n", "name").join(firsts, "name", "left").select("doc", "key", "n", "first")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, n_shingles, component of every row."""
+    rows = _rows(docs, id_col, text_col)
+    return rows.select("doc", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first.doc")).otherwise(F.col("doc")).alias("component"))
+
 
+def _components(sets: DataFrame) -> DataFrame:
+    """of, component: the smallest node of each node that has a smaller one."""
     keys = sets.select("doc", F.explode(F.array_distinct("keys")).alias("key"))
     groups = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("lead")).where("size > 1")
     groups = groups.withColumn("parts", F.ceil(F.col("size") / GROUP_ROWS).cast("int"))
@@ -330,10 +417,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     links = common.cut(met.distinct())
     comps = graphs.components(links)
 
-    labelled = sets.select("doc", "n", "set").join(common.sent(comps.select(F.col("node").alias("doc"), "component")), "doc", "left")
+    labelled = sets.select("doc", "n", "set", "prefix").join(common.sent(comps.select(F.col("node").alias("doc"), "component")), "doc", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "doc"))
     n_prefix = (sets.agg(F.sum("n")).first()[0] or 0) // 5
-    bits = min(MOST_BITS, max(0, int(n_prefix / RANGE * 4).bit_length()))
+    bits = min(MOST_BITS, max(0, int(n_prefix / PREFIX_RANGE).bit_length()))
     dealt = labelled.mapInPandas(_prefixes(bits), _DEALT)
     pairs = dealt.groupBy("part").applyInPandas(_pairs, "a long, b long, hits long").groupBy("a", "b").agg(F.sum("hits").alias("hits"))
     pairs = common.cut(pairs)
@@ -349,23 +436,26 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             links = common.cut(links.union(verified(rest, sets)))
             comps = graphs.components(links)
 
-    common.removed(docs.sparkSession, sets_path)
-    classes_of = comps.withColumnsRenamed({"node": "__rep", "component": "__c"})
-    reps = each.join(equal, "name", "left").select("doc", F.col("n").alias("n_shingles"), F.coalesce("first", "doc").alias("rep"))
-    return reps.join(classes_of, F.col("rep") == F.col("__rep"), "left").select("doc", "n_shingles", F.coalesce("__c", "rep").alias("component"))
+    return comps.select(F.col("node").alias("of"), "component")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without those that are linked, directly or not, to one of a smaller id."""
-    gone = common.cut(classes(docs, id_col, text_col).where("doc <> component").select(F.col("doc").alias("__gone")))
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID))
-    return docs.join(common.sent(gone), key == F.col("__gone"), "left_anti")
+    """docs, of each group of linked ones the row of the smallest id alone (of rows of one id, that of the smallest hash of its text)."""
+    rows = common.cut(_rows(docs, id_col, text_col).where("n > 0"))
+    gone = rows.where("not (doc <=> first.doc and key = first.key)").select(F.col("doc").alias("__doc"), F.col("key").alias("__key")).distinct()
+    (mark,) = common.free_name(docs, "text_key")
+    key = F.col(id_col).cast("long")
+    kept = docs.withColumn(mark, _text_key(F.col(text_col).cast("string"))).join(common.sent(common.cut(gone)), key.eqNullSafe(F.col("__doc")) & (F.col(mark) == F.col("__key")), "left_anti")
+    again = common.cut(rows.groupBy("doc", "key").agg(F.count("*").alias("k")).where("k > 1").select(F.col("doc").alias("__doc"), F.col("key").alias("__key")))
+    if again.head(1):  # repeated rows of one id and text
+        same = key.eqNullSafe(F.col("__doc")) & (F.col(mark) == F.col("__key"))
+        once = kept.join(common.sent(again), same, "left_semi").dropDuplicates([id_col, mark])
+        kept = kept.join(common.sent(again), same, "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = classes(common.read(spark, sf_dir, "documents"))
-    real = lambda c: F.when(F.col(c) != common.NO_ID, F.col(c))
-    return rows.select(real("doc").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+    return classes(common.read(spark, sf_dir, "documents")).select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
 QUERIES = {"op9_jaccard": op9_jaccard}

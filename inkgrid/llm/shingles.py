@@ -22,6 +22,11 @@ class _Words(dict):
 _words = _Words()
 
 
+def forget() -> None:
+    """Frees what this worker knows, at the end of a task."""
+    _words.clear()
+
+
 def words(text: str | None) -> list[bytes]:
     """ASCII capitals in lower case, cut at ASCII white space: bytes.lower() and bytes.split() do just this."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
