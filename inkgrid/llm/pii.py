@@ -1,11 +1,15 @@
 """Personal data: pattern spans, and terms that give protected entities away.
 
 Base spans are e-mail addresses, IP addresses, card numbers and telephone numbers. The entities to protect are
-the strings found. Over the whole corpus, a term t discloses an entity e by
-PMI(t; e) / IC(e) = log(N n_te / (n_t n_e)) / log(N / n_e),  which is 1 if t occurs only with e and 0 if they are
-independent (n: documents with t, with e, with both, anywhere in them; N: all documents; rows are documents).
-Terms at DISCLOSES or more, seen with e in at least SUPPORT documents and SUPPORT independent surroundings (of e or of t:
-those of its first place in a document), are spans too, wherever they stand in any document: surroundings that share
+the strings found, each kind as such (that a text holds an address or a card number), and any of them at all. Over the whole corpus, a term t
+discloses an entity e by  PMI(t; e) / IC(e) = log(N n_te / (n_t n_e)) / log(N / n_e),  which is 1 if t occurs only with e
+and 0 if they are independent (n: documents with t, with e, with both, anywhere in them; N: all documents; rows are
+documents). Terms are words and, as strings of letters and digits mixed (keys, hashes, serial numbers) hardly ever
+come twice, the shapes of those from SHAPED characters on: hexadecimal or not, and how long.
+
+Terms at DISCLOSES or more, seen with a string in SUPPORT documents at least (with a kind: KIND_SUPPORT, as a kind is so
+frequent that rare words meet it by chance) and in SUPPORT independent surroundings (of e or of t: those of its first
+place in a document), are spans too, wherever they stand in any document: surroundings that share
 COPIED of their terms or more are copies, exact or near, of one passage, in which any rare word goes with any other, and
 count once. Further surroundings only add to a term's evidence. Terms are of kind term: base kinds are generalised to
 their kind's name, terms are removed.
@@ -25,6 +29,7 @@ from . import common
 from .common import let
 
 KINDS = ("email", "ip", "card", "phone")
+KIND = "kind:"
 #: The contract's patterns. A match starts where the last ended or where a run starts; later starts in a run would fail as its first did.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -34,17 +39,21 @@ PATTERNS = {
 }
 #: A text without a match of these has none of the kind.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-TERM = r"\p{L}[\p{L}\p{N}]{2,63}"
+TOKEN = r"[\p{L}\p{N}]{3,}+"
+#: A token of letters and digits of so many characters or more is known by its shape.
+SHAPED = 8
 #: Surroundings: so many characters beside an entity, so many terms beside a term.
 NEAR, NEAR_TERMS = 80, 12
-SUPPORT = 3
+SUPPORT, KIND_SUPPORT = 3, 20
 DISCLOSES = 0.8
 #: Surroundings whose terms have this Jaccard similarity are copies. They are looked for by BANDS pairs of smallest hashes.
 COPIED = 0.5
 BANDS = 10
 BLOCK = 64
 #: So many terms at most are sent to all executors; more are joined by an exchange.
-SENT_TERMS = 50_000
+SENT_TERMS = 200_000
+#: So many disclosing terms at most are looked for as a list in each row; more are joined.
+LISTED_TERMS = 1000
 
 
 def _digits(m: Column) -> Column:
@@ -130,8 +139,15 @@ def _masked(text: Column) -> Column:
     return F.when(text.rlike(NEEDS["email"]), let(cut, lambda x: F.array_join(F.zip_with(x["gaps"], x["said"], blank), ""))).otherwise(text)
 
 
+def _term(token: Column) -> Column:
+    """The term of a token: its shape or itself in lower case; null for a number."""
+    shape = F.concat(F.when(token.rlike("^[0-9A-Fa-f]++$"), F.lit("#hex ")).otherwise("#mixed "), F.length(token).cast("string"))
+    mixed = (F.length(token) >= SHAPED) & token.rlike("[0-9]")
+    return F.when(mixed, F.when(token.rlike(r"\p{L}"), shape)).when(token.rlike(r"\p{L}"), F.lower(token))
+
+
 def _terms(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(_masked(text), F.lit(TERM), F.lit(0)), lambda m: F.lower(m))
+    return F.filter(F.transform(F.regexp_extract_all(_masked(text), F.lit(TOKEN), F.lit(0)), _term), lambda t: t.isNotNull())
 
 
 def _entity(kind: str) -> Callable[[Column], Column]:
@@ -142,9 +158,13 @@ def _with_entity(kind: str) -> Callable[[Column], Column]:
     return lambda s: F.struct(_entity(kind)(s).alias("entity"), s["start"].alias("start"), s["end"].alias("end"))
 
 
+def _with_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda s: F.struct(F.lit(f"{KIND}{kind}").alias("entity"), s["start"].alias("start"), s["end"].alias("end"))
+
+
 def entities(spans: DataFrame) -> DataFrame:
-    """A row for each text and entity: __key, entity, rows (documents with this text), start and end of the entity's first place."""
-    each = F.concat(*(F.transform(F.col(k), _with_entity(k)) for k in KINDS))
+    """A row for each text and entity (strings, and kinds and "any" after KIND): __key, entity, rows (documents with this text), start and end of the entity's first place."""
+    each = F.concat(*(F.transform(F.col(k), _with_entity(k)) for k in KINDS), *(F.transform(F.slice(k, 1, 1), _with_kind(k)) for k in KINDS), F.transform(F.slice(F.concat(*KINDS), 1, 1), _with_kind("any")))
     texts = spans.where(F.size(each) > 0).groupBy("__key").agg(F.count("*").alias("rows"), F.first(each).alias("each"))
     return texts.select("__key", "rows", F.explode("each").alias("s")).groupBy("__key", "rows", "s.entity").agg(F.min("s.start").alias("start"), F.min("s.end").alias("end"))
 
@@ -174,29 +194,33 @@ def _some(terms: DataFrame) -> DataFrame:
     return F.broadcast(terms) if terms.count() <= SENT_TERMS else terms
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, text_col: str = "text", *, support: int = SUPPORT, discloses: float = DISCLOSES) -> DataFrame:
+def disclosing(docs: DataFrame, spans: DataFrame, text_col: str = "text", *, support: int = SUPPORT, kind_support: int = KIND_SUPPORT, discloses: float = DISCLOSES) -> DataFrame:
     """entity, term, disclosure of the terms that give an entity away."""
     n = float(spans.count())
     every = entities(spans)
-    with_entity = every.groupBy("entity").agg(F.sum("rows").alias("n_e")).where(F.col("n_e") >= support)
-    held = common.cut(every.join(with_entity, "entity"))
+    enough = F.when(F.col("entity").startswith(KIND), F.lit(kind_support)).otherwise(F.lit(support))
+    with_entity = every.groupBy("entity").agg(F.sum("rows").alias("n_e")).where(F.col("n_e") >= enough)
+    held = common.cut(every.join(_some(common.cut(with_entity)), "entity"))
     none = held.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("disclosure")).where("false")
-    most = held.agg(F.max("n_e")).first()[0]
-    if most is None:
+    if not held.head(1):
         return none
-    # told() >= discloses means n_t <= n_te (N / n_e) ^ (1 - discloses), and n_te is n_e at most.
+    # told >= discloses means n_t <= n_te (N / n_e) ^ (1 - discloses). Terms that share enough documents with an entity come
+    # first; only these are counted over the corpus.
     text = common.whole(F.col(text_col).cast("string"))
-    at_most = lambda n_e: n_e * F.pow(F.lit(n) / n_e, F.lit(1.0 - discloses)) + 1e-6
-    words = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
-    known = words.groupBy("term").agg(F.count("*").alias("n_t")).where((F.col("n_t") >= support) & (F.col("n_t") <= at_most(F.lit(float(most)))))
-    known = _some(common.cut(known))
-    texts = docs.select(_key(text_col).alias("__key"), text.alias("text")).join(held.select("__key").distinct(), "__key", "left_semi")
+    texts = docs.select(_key(text_col).alias("__key"), text.alias("text")).join(_some(common.cut(held.select("__key").distinct())), "__key", "left_semi")
     texts = common.cut(texts.groupBy("__key").agg(F.first("text").alias("text")))
-    here = texts.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(known, "term")
-    both = here.join(held.select("__key", "entity", "rows", "n_e"), "__key").where(F.col("n_t") <= at_most(F.col("n_e")))
+    here = texts.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+    both = here.join(held.select("__key", "entity", "rows", "n_e"), "__key").groupBy("entity", "term", "n_e").agg(F.sum("rows").alias("n_te"))
+    at_most = F.col("n_te") * F.pow(F.lit(n) / F.col("n_e"), F.lit(1.0 - discloses)) + 1e-6
+    able = common.cut(both.where(F.col("n_te") >= enough).withColumn("at_most", at_most))
+    wanted = common.cut(able.groupBy("term").agg(F.max("at_most").alias("most")))
+    words = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
+    few = wanted.count() <= SENT_TERMS  # then other terms end at the scan; else all terms are counted before any exchange
+    counted = (words.join(F.broadcast(wanted.select("term")), "term", "left_semi") if few else words).groupBy("term").agg(F.count("*").alias("n_t"))
+    known = counted.join(wanted, "term").where("n_t <= most").select("term", "n_t")
     told = F.lit(1.0) + F.log(F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))) / F.greatest(F.log(F.lit(n) / F.col("n_e")), F.lit(1e-9))
-    shown = both.groupBy("entity", "term", "n_e", "n_t").agg(F.sum("rows").alias("n_te")).where(F.col("n_te") >= support)
-    shown = common.cut(shown.select("entity", "term", told.alias("disclosure")).where(F.col("disclosure") >= discloses))
+    shown = able.join(_some(common.cut(known)), "term").where("n_t <= at_most").select("entity", "term", told.alias("disclosure")).where(F.col("disclosure") >= discloses)
+    shown = common.cut(shown)
     if not shown.head(1):
         return none
     evidence = _independent(texts, held, shown)
@@ -206,7 +230,7 @@ def disclosing(docs: DataFrame, spans: DataFrame, text_col: str = "text", *, sup
 def _independent(texts: DataFrame, held: DataFrame, shown: DataFrame) -> DataFrame:
     """entity, term, n_around: in how many surroundings that aren't copies of each other e or t stand, in the texts with both."""
     words = texts.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(_some(common.cut(shown.select("term").distinct())), "term", "left_semi")
-    pairs = common.cut(held.select("__key", "entity", "start", "end").join(shown.select("entity", "term"), "entity").join(words, ["__key", "term"]))
+    pairs = common.cut(held.select("__key", "entity", "start", "end").join(_some(shown.select("entity", "term")), "entity").join(words, ["__key", "term"]))
     of_e = pairs.groupBy("__key", F.col("entity").alias("owner")).agg(F.first("start").alias("start"), F.first("end").alias("end"))
     of_t = pairs.select("__key", F.concat(F.lit("term:"), "term").alias("owner"), "term").distinct()
     left = F.substring(F.substr("text", F.lit(1), F.col("start").cast("int")), -NEAR, NEAR)
@@ -228,26 +252,33 @@ def _independent(texts: DataFrame, held: DataFrame, shown: DataFrame) -> DataFra
     return found.groupBy("entity", "term").agg(F.greatest(F.count_distinct("copy_e"), F.count_distinct("copy_t")).alias("n_around"))
 
 
-def term_spans(docs: DataFrame, told: DataFrame, text_col: str = "text") -> DataFrame | None:
-    """__key, terms (all places of disclosing terms in a text), or None if there are none."""
-    told = common.cut(told.select("term").distinct())
-    if not told.head(1):
+def _told_here(docs: DataFrame, told: DataFrame, text_col: str) -> DataFrame | None:
+    """__key and told, the disclosing terms that stand in a text, of the texts that have some; None if no term discloses anything."""
+    terms = common.cut(told.select("term").distinct())
+    n = terms.count()
+    if not n:
         return None
     text = common.whole(F.col(text_col).cast("string"))
-    rows = docs.select(_key(text_col).alias("__key"), text.alias("text"))
-    here = rows.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(_some(told), "term", "left_semi")
-    here = common.cut(here.groupBy("__key").agg(F.collect_set("term").alias("told")))
-    mine = F.filter(placed(_masked(F.col("text")), TERM), lambda s: F.array_contains(F.col("told"), F.lower(s["said"])))
-    spans = rows.join(here, "__key").select("__key", F.transform(mine, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("terms"))
-    return spans.groupBy("__key").agg(F.first("terms").alias("terms"))
+    if n <= LISTED_TERMS:  # looked for within each row
+        listed = F.array(*(F.lit(r["term"]) for r in terms.orderBy("term").collect()))
+        rows = docs.select(_key(text_col).alias("__key"), F.array_intersect(_terms(text), listed).alias("told")).where(F.size("told") > 0)
+        return common.cut(rows.dropDuplicates(["__key"]))
+    rows = docs.select(_key(text_col).alias("__key"), F.explode(F.array_distinct(_terms(text))).alias("term")).join(_some(terms), "term", "left_semi")
+    return common.cut(rows.groupBy("__key").agg(F.collect_set("term").alias("told")))
+
+
+_PLACES = "array<struct<start:bigint,end:bigint>>"
 
 
-def _with_terms(rows: DataFrame, terms: DataFrame | None) -> DataFrame:
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    if terms is None:
+def _with_places(rows: DataFrame, told: DataFrame | None, text: Column) -> DataFrame:
+    """rows (with __key) with terms: all places of disclosing terms in the text."""
+    none = F.array().cast(_PLACES)
+    if told is None:
         return rows.withColumn("terms", none)
-    terms = terms.withColumnsRenamed({"__key": "__k", "terms": "__t"})
-    return rows.join(terms, F.col("__key") == F.col("__k"), "left").withColumn("terms", F.coalesce("__t", none)).drop("__k", "__t")
+    rows = rows.join(_some(told.withColumnsRenamed({"__key": "__k", "told": "__told"})), F.col("__key") == F.col("__k"), "left")
+    mine = F.filter(placed(_masked(text), TOKEN), lambda s: F.array_contains(F.col("__told"), _term(s["said"])))
+    places = F.when(F.col("__told").isNotNull(), F.transform(mine, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return rows.withColumn("terms", F.coalesce(places.cast(_PLACES), none)).drop("__k", "__told")
 
 
 def _said(kind: str, spans: str) -> Column:
@@ -257,16 +288,22 @@ def _said(kind: str, spans: str) -> Column:
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each of docs: doc_id, the base kinds' spans, terms."""
     spans = found(docs, id_col, text_col)
-    return _with_terms(spans, term_spans(docs, disclosing(docs, spans, text_col), text_col)).withColumnRenamed("__id", "doc_id")
+    told = _told_here(docs, disclosing(docs, spans, text_col), text_col)
+    if told is None:
+        return spans.withColumn("terms", F.array().cast(_PLACES)).withColumnRenamed("__id", "doc_id")
+    text = common.whole(F.col(text_col).cast("string"))
+    rows = docs.select(_key(text_col).alias("__key"), text.alias("__text")).join(_some(told.select("__key")), "__key", "left_semi")
+    places = _with_places(rows, told, F.col("__text")).groupBy("__key").agg(F.first("terms").alias("terms"))
+    rows = spans.join(_some(common.cut(places)), "__key", "left").withColumn("terms", F.coalesce("terms", F.array().cast(_PLACES)))
+    return rows.withColumnRenamed("__id", "doc_id")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with base spans of their texts replaced by [KIND] and disclosing terms removed."""
-    spans = found(docs, id_col, text_col)
-    terms = term_spans(docs, disclosing(docs, spans, text_col), text_col)
+    told = _told_here(docs, disclosing(docs, found(docs, id_col, text_col), text_col), text_col)
     text = common.whole(F.col(text_col).cast("string"))
-    rows = docs.withColumns({"__id": F.col(id_col), "__key": _key(text_col), **{f"__{k}": base_spans(text, k) for k in KINDS}})
-    rows = _with_terms(rows, terms)
+    rows = docs.withColumns({"__key": _key(text_col), **{f"__{k}": base_spans(text, k) for k in KINDS}})
+    rows = _with_places(rows, told, text)
     mark = lambda spans, what: F.transform(F.col(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(what).alias("what")))
     every = F.array_sort(F.concat(*(mark(f"__{k}", f"[{k.upper()}]") for k in KINDS), mark("terms", "")))
 
