@@ -13,8 +13,13 @@ vectors so that a bucket holds about BUCKET; the work then grows much slower tha
 rows is split into parts, and pairs of parts are compared in tasks of their own. No pair leaves its task: only
 counts and the links of a spanning forest do.
 
-Equal vectors are one class, compared once. Nulls: a vector that is null, zero or holds null or non-finite numbers
-links with nothing; vectors of different lengths don't link; a null vec_id is an id of its own.
+A pair that shares several keys belongs to the first table in which it does. Keys come from sums of whole numbers, exact in
+doubles in any order, so they can be found again for the few vectors of verified pairs and needn't travel with all.
+
+Equal vectors are one class, compared once. There is a result for each row, also of repeated ids (rows of their own) and of
+none (a component's smallest id is that of its rows with one; null if it has none). Nulls: a vector that is null, zero or holds null or
+non-finite numbers links with nothing; vectors of different lengths don't link. An empty table gives an empty result.
+Other columns are not read. Very long vectors only make wider rows.
 """
 
 from __future__ import annotations
@@ -35,8 +40,10 @@ THRESHOLD = 0.9
 EPSILON = 4.0
 QUERY_BITS = 4
 MISS = 1e-3
-BUCKET, SPLIT = 128, 2000
+BUCKET, SPLIT = 512, 2000
 WORD = 64
+#: Components of unit vectors and rotations are whole numbers of 1 / GRID where keys are made.
+GRID = float(2**22)
 
 
 def rotation(dim: int, number: int) -> np.ndarray:
@@ -57,18 +64,37 @@ def _words(signs: np.ndarray) -> np.ndarray:
     return np.packbits(np.pad(signs, ((0, 0), (0, pad))), axis=1, bitorder="little").view("<u8")
 
 
-def _coded(bits: int, tables: int, kind: str):
-    """Rows with the code, the factor and the keys of each vector that can link."""
-    cache: dict[tuple[int, int], np.ndarray] = {}
+_rotations: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _turn(dim: int, number: int) -> np.ndarray:
+    if (dim, number) not in _rotations:
+        _rotations[dim, number] = rotation(dim, number)
+    return _rotations[dim, number]
+
+
+def keys_of(unit: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """The keys of unit vectors, a column a table."""
+    dim, need = unit.shape[1], bits * tables
+    whole = np.rint(unit * GRID)
+    signs = np.concatenate([whole @ np.rint(_turn(dim, k) * GRID).T >= 0 for k in range(1, 1 + -(-need // dim))], 1)
+    return signs[:, :need].reshape(len(unit), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
+
 
-    def keys_of(x: np.ndarray) -> np.ndarray:
-        dim, need = x.shape[1], bits * tables
-        signs = np.concatenate([x @ cache.setdefault((dim, k), rotation(dim, k)).T >= 0 for k in range(1, 1 + -(-need // dim))], 1)
-        weights = 1 << np.arange(bits, dtype=np.int64)
-        return signs[:, :need].reshape(len(x), tables, bits) @ weights
+_CODED = "row long, vec long, dim int, name string, data binary, code binary, factor double, keys array<long>"
+
+
+def _coded(bits: int, tables: int, kind: str):
+    """Rows by number, with the code, the factor and the keys of each vector that can link; the others have no name."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        start = (task.partitionId() if task else 0) << 33
         for pdf in batches:
+            pdf = pdf.assign(row=np.arange(start, start + len(pdf)), vec=pdf["vec"].astype("Int64"))
+            start += len(pdf)
             good, raw = [], []
             for i, e in enumerate(pdf["embedding"]):
                 if e is not None and len(e):
@@ -76,23 +102,28 @@ def _coded(bits: int, tables: int, kind: str):
                     if np.isfinite(v).all() and v.any() and math.isfinite(float(v @ v)) and float(v @ v) > 0:
                         good.append(i)
                         raw.append(v)
+            bad = np.setdiff1d(np.arange(len(pdf)), good)
+            yield pdf.iloc[bad][["row", "vec"]].assign(dim=0, name=None, data=None, code=None, factor=0.0, keys=None)
             for dim in sorted({v.size for v in raw}):
                 here = [k for k, v in enumerate(raw) if v.size == dim]
                 x = np.stack([raw[k] for k in here])
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                turned = unit @ cache.setdefault((dim, 0), rotation(dim, 0)).T
-                out = pdf.iloc[[good[k] for k in here]][["vec"]].reset_index(drop=True)
+                turned = unit @ _turn(dim, 0).T
+                out = pdf.iloc[[good[k] for k in here]][["row", "vec"]].reset_index(drop=True)
                 data = x.astype(kind)
-                out["dim"], out["data"] = dim, [d.tobytes() for d in data]
-                out["name"] = [f"{dim}:{xxhash.xxh128_hexdigest((d + 0.0).tobytes())}" for d in data]
-                out["code"] = [c.tobytes() for c in _words(turned >= 0)]
+                out["dim"], out["name"] = dim, [f"{dim}:{xxhash.xxh128_hexdigest((d + 0.0).tobytes())}" for d in data]
+                out["data"], out["code"] = [d.tobytes() for d in data], [c.tobytes() for c in _words(turned >= 0)]
                 out["factor"] = np.abs(turned).sum(1) / math.sqrt(dim)
-                out["keys"] = list(keys_of(unit))
-                yield out[["vec", "dim", "name", "data", "code", "factor", "keys"]]
+                out["keys"] = list(keys_of(_unit(data.astype(np.float64)), bits, tables))
+                yield out
 
     return run
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return np.stack([v / math.sqrt(float((v * v).sum())) for v in x])
+
+
 class Codes:
     """Vectors of one bucket, ready to be estimated against each other."""
 
@@ -106,7 +137,7 @@ class Codes:
 
     def queries(self, rows: slice, draw: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bit planes of rotated unit vectors, rounded at random; their lowest values and steps."""
-        q = (self.x[rows] / self.norms[rows, None]) @ rotation(self.dim, 0).T
+        q = (self.x[rows] / self.norms[rows, None]) @ _turn(self.dim, 0).T
         low = q.min(1, keepdims=True)
         step = np.maximum((q.max(1, keepdims=True) - low) / (2**QUERY_BITS - 1), 1e-12)
         level = np.minimum(np.floor((q - low) / step + draw.random(q.shape)).astype(np.int64), 2**QUERY_BITS - 1)
@@ -122,14 +153,13 @@ class Codes:
         return (2 * with_one - (low * self.dim + step * total)[:, None]) / math.sqrt(self.dim) / self.factor[None]
 
 
-def _compare(threshold: float, kind: str):
+def _compare(threshold: float, kind: str, bits: int, tables: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in common.runs(batches, "table", "key", "cell"):
             if len(g) < 2:
                 continue
             codes, draw = Codes(g, kind), np.random.default_rng(1)
-            vec, size, slot, cell, table = g["vec"].to_numpy(), g["size"].to_numpy(), g["slot"].to_numpy(), g["cell"].iloc[0], int(g["table"].iloc[0])
-            keys = np.stack(g["keys"].to_list())
+            row, size, slot, cell, table = g["row"].to_numpy(), g["size"].to_numpy(), g["slot"].to_numpy(), g["cell"].iloc[0], int(g["table"].iloc[0])
             across = cell // 2**20 != cell % 2**20
             links = np.zeros(len(g), np.int64)
             root = np.arange(len(g))
@@ -147,61 +177,64 @@ def _compare(threshold: float, kind: str):
                 i += a
                 keep = (i < j) & ((slot[i] != slot[j]) if across else True)
                 i, j = i[keep], j[keep]
-                first = (keys[i] == keys[j]).argmax(1) == table  # other tables leave the pair to their first
-                i, j = i[first], j[first]
                 for b in range(0, i.size, 65536):
                     x, y = i[b : b + 65536], j[b : b + 65536]
                     hit = np.einsum("ij,ij->i", codes.x[x], codes.x[y]) / (codes.norms[x] * codes.norms[y]) >= threshold
                     x, y = x[hit], y[hit]
+                    if table and x.size:  # other tables leave a pair to its first
+                        some, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+                        keys = keys_of(_unit(codes.x[some]), bits, table + 1)
+                        first = (keys[at[: x.size]] == keys[at[x.size :]]).argmax(1) == table
+                        x, y = x[first], y[first]
                     np.add.at(links, x, size[y])
                     np.add.at(links, y, size[x])
                     for p, q in zip(x.tolist(), y.tolist(), strict=True):
                         if (s := top(p)) != (t := top(q)):
                             root[max(s, t)] = min(s, t)
-                            forest.append((vec[p], 0, vec[q]))
+                            forest.append((row[p], 0, row[q]))
             some = links.nonzero()[0]
-            yield pd.DataFrame([*((vec[k], links[k], None) for k in some), *forest], columns=["vec", "links", "other"]).astype({"vec": "int64", "links": "int64", "other": "Int64"})
+            yield pd.DataFrame([*((row[k], links[k], None) for k in some), *forest], columns=["row", "links", "other"]).astype({"row": "int64", "links": "int64", "other": "Int64"})
 
     return run
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """vec, n_links, component of every row (a null id as common.NO_ID)."""
+    """vec, n_links, component of every row."""
     item = vectors.schema[vector_col].dataType.elementType
     kind = "<f4" if isinstance(item, T.FloatType) else "<f8"
-    rows = vectors.select(F.coalesce(F.col(id_col).cast("long"), F.lit(common.NO_ID)).alias("vec"), F.col(vector_col).cast(T.ArrayType(item if kind == "<f4" else T.DoubleType())).alias("embedding"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec"), F.col(vector_col).cast(T.ArrayType(item if kind == "<f4" else T.DoubleType())).alias("embedding"))
     bits, tables = shape(rows.count(), threshold)
-    coded, coded_path = common.written(rows.mapInPandas(_coded(bits, tables, kind), "vec long, dim int, name string, data binary, code binary, factor double, keys array<long>"))
-    classes = coded.groupBy("name").agg(F.min("vec").alias("first"), F.count("*").alias("size"))
-    members = common.cut(coded.select("vec", "name").join(classes, "name").select("vec", "first", "size"))
-    leads = common.cut(members.where("vec = first and size > 1").select("vec", "size").distinct())
-    copies = common.cut(members.where("vec <> first").select(F.col("vec").alias("gone")))
-    alone = coded.join(common.sent(copies), F.col("vec") == F.col("gone"), "left_anti").dropDuplicates(["vec"]) if copies.head(1) else coded.dropDuplicates(["vec"])
-    alone = alone.join(common.sent(leads), "vec", "left").withColumn("size", F.coalesce("size", F.lit(1)))
-
-    met = alone.select("vec", "size", "dim", "data", "code", "factor", "keys", F.posexplode("keys").alias("table", "key"))
+    coded, coded_path = common.written(rows.mapInPandas(_coded(bits, tables, kind), _CODED))
+    named = coded.where("name is not null")
+    classes = named.groupBy("name").agg(F.min("row").alias("first"), F.count("*").alias("size"), F.min("vec").alias("least"))
+    members = common.cut(coded.select("row", "vec", "name").join(classes, "name", "left").select("row", "vec", "first", "size", "least"))
+    leads = common.cut(members.where("row = first and size > 1").select("row", "size"))
+    copies = common.cut(members.where("row <> first").select(F.col("row").alias("gone")))
+    alone = named.join(common.sent(copies), F.col("row") == F.col("gone"), "left_anti").join(common.sent(leads), "row", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+
+    met = alone.select("row", "size", "dim", "data", "code", "factor", F.posexplode("keys").alias("table", "key"))
     met = met.withColumn("key", F.xxhash64("dim", "key")).drop("dim")
-    counts = coded.select("dim", F.posexplode("keys").alias("table", "key")).groupBy("dim", "table", "key").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT)
+    counts = named.select("dim", F.posexplode("keys").alias("table", "key")).groupBy("dim", "table", "key").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT)
     large = common.cut(counts.select("table", F.xxhash64("dim", "key").alias("key"), F.ceil(F.col("n") / SPLIT).alias("parts")))
     met = met.join(common.sent(large), ["table", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    met = met.withColumn("slot", F.pmod(F.xxhash64("vec", F.lit(3)), F.col("parts")))
+    met = met.withColumn("slot", F.pmod(F.xxhash64("row", F.lit(3)), F.col("parts")))
     cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.least(o, F.col("slot")) * 2**20 + F.greatest(o, F.col("slot")))
     met = met.withColumn("cell", F.explode(cells)).drop("parts")
     met = met.repartition("table", "key", "cell").sortWithinPartitions("table", "key", "cell")
-    found = common.cut(met.mapInPandas(_compare(threshold, kind), "vec long, links long, other long"))
+    found = common.cut(met.mapInPandas(_compare(threshold, kind, bits, tables), "row long, links long, other long"))
     common.removed(vectors.sparkSession, coded_path)
-    links = found.groupBy("vec").agg(F.sum("links").alias("links")).withColumnRenamed("vec", "first")
-    comps = graphs.components(found.where("other is not null").select(F.col("vec").alias("a"), F.col("other").alias("b"))).withColumnsRenamed({"node": "first", "component": "comp"})
-    told = members.join(links, "first", "left").join(comps, "first", "left")
-    told = told.select("vec", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("comp", "first").alias("component"))
-    told = told.groupBy("vec").agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
-    return rows.select("vec").join(told, "vec", "left").select("vec", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec").alias("component"))
+    links = found.groupBy("row").agg(F.sum("links").alias("links")).withColumnRenamed("row", "first")
+    comps = graphs.components(found.where("other is not null").select(F.col("row").alias("a"), F.col("other").alias("b"))).withColumnsRenamed({"node": "first", "component": "comp"})
+    told = members.where("row = first").select("first", "least").join(links, "first", "left").join(comps, "first", "left").withColumn("comp", F.coalesce("comp", "first"))
+    smallest = told.groupBy("comp").agg(F.min("least").alias("component"))
+    told = common.cut(told.join(smallest, "comp").select("first", "links", "component"))
+    out = members.join(told, "first", "left")
+    return out.select("vec", F.coalesce(F.col("size") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"), F.when(F.col("first").isNull(), F.col("vec")).otherwise(F.col("component")).alias("component"))
 
 
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(common.read(spark, sf_dir, "embeddings"))
-    real = lambda c: F.when(F.col(c) != common.NO_ID, F.col(c))
-    return rows.select(real("vec").alias("vec_id"), "n_links", real("component").alias("component_id"), (F.col("vec") == F.col("component")).alias("kept"))
+    return rows.select(F.col("vec").alias("vec_id"), "n_links", F.col("component").alias("component_id"), F.col("vec").eqNullSafe(F.col("component")).alias("kept"))
 
 
 QUERIES = {"op6_embeddings": op6_embeddings}
