@@ -1,10 +1,11 @@
 """Language-model scores: a backoff model of ORDER words as a weighted automaton, learnt from the corpus itself.
 
 Model. Tokens are words (ASCII capitals in lower case) and one end a text. Unigrams: (c + A) / (N + A (V + 1)).
-An n-gram has a Dirichlet prior on the next shorter one: p(w|h) = (c(hw) + MU p(w|h')) / (c(h) + MU), h' being h without its
-first word; sums over w are one. As an automaton: a state for each context of up to ORDER - 1 words of the training texts (a
+An n-gram has a Dirichlet prior on the next shorter one: p(w|h) = (c(hw) + mu p(w|h')) / (c(h) + mu), h' being h without its
+first word, mu the entry of MU for the length; sums over w are one. Long contexts have a small mu: one that was seen twice before the same word
+says more than what its last word alone would. As an automaton: a state for each context of up to ORDER - 1 words of the training texts (a
 text starts after an end; what would lie before it isn't context), and the root, of no words. A state's arc for a seen w weighs
-log p(w|h) and leads to the longest known suffix of hw; its failure arc leads to the state of h' and weighs log MU / (c(h) + MU),
+log p(w|h) and leads to the longest known suffix of hw; its failure arc leads to the state of h' and weighs log mu / (c(h) + mu),
 and is followed until a state has an arc for w (the root has one for every word). Texts are walked from left to right, all
 tokens of a block at once: each step of the walk is one array operation for those that still fail. c(h) counts h in the training texts, ends of texts
 included as the start of the next context.
@@ -14,23 +15,25 @@ Distribution. The model is never gathered anywhere: blocks of texts send the sor
 answers every block with the totals of its n-grams. A block's texts travel beside, compressed. So each n-gram is
 counted over all texts, frequent ones come once a block, and a task holds one range or one block.
 
-Nulls: a null text is empty and has its end token; a null doc_id hashes as the empty text. Rows stay rows.
+Nulls: a null text is empty and has its end token; a null doc_id hashes as the empty text. Rows stay rows, repeated ones too, each
+counted. An empty table gives an empty result. Other columns are not read. A very long text is a block of its own.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, shingles
 
 A = 0.1
-MU = 64.0
+#: By the words of a context; chosen by the log-probability of held-out texts (README).
+MU = {1: 256.0, 2: 4.0}
 #: Words of the longest n-grams that op7_language_model asks for.
 ORDER = 3
 #: Tokens of a block and n-grams of a range, about. Many ranges make larger blocks, so that a block has LEAST n-grams in each.
@@ -40,6 +43,7 @@ NGRAMS_PER_TOKEN = {2: 1.1, 3: 1.8}
 _END = np.uint64(0x5EED0000000000E2)
 _TAGS = {1: np.uint64(3), 2: np.uint64(7), 3: np.uint64(11)}
 _LOW = np.uint64(2**40 - 1)
+_ZIP = zstandard.ZstdCompressor(3)
 
 
 class Block:
@@ -110,10 +114,10 @@ def _deal(bits: int, order: int = 2):
         none = [None] * 5
         for p in range(2**bits):
             x, y = b.cuts[p], b.cuts[p + 1]
-            yield p, block, packed(b.keys[x:y] & np.uint64(2**42 - 1)), zlib.compress(packed(counts[x:y]), 1), *none
+            yield p, block, packed(b.keys[x:y] & np.uint64(2**42 - 1)), _ZIP.compress(packed(counts[x:y])), *none
         known = [i is not None and i == i for i in ids]
         numbers = np.array([int(i) if k else 0 for i, k in zip(ids, known, strict=True)], np.int64)
-        yield -1 - block, block, None, None, numbers.tobytes(), np.array(known).tobytes(), np.array(train, bool).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), zlib.compress(b"".join(texts), 1)
+        yield -1 - block, block, None, None, numbers.tobytes(), np.array(known).tobytes(), np.array(train, bool).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), _ZIP.compress(b"".join(texts))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -132,6 +136,7 @@ def _deal(bits: int, order: int = 2):
                     ids, train, texts, size = [], [], [], 0
         if ids:
             yield pd.DataFrame(rows(block, ids, train, texts), columns=_COLUMNS)
+        shingles.forget()
 
     return run
 
@@ -147,21 +152,22 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("block", kind="stable")
     grams = [unpacked(x) for x in pdf["grams"]]
     sizes = np.array([g.size for g in grams])
-    counts = np.concatenate([unpacked(zlib.decompress(x)) for x in pdf["counts"]])
+    counts = np.concatenate([unpacked(zstandard.decompress(x)) for x in pdf["counts"]])
     every, at = np.unique(np.concatenate(grams), return_inverse=True)
     totals = np.bincount(at, weights=counts.astype(np.float64), minlength=every.size).astype(np.uint64)
     is_word = every < np.uint64(2**40)
     n, v = int(totals[is_word].sum()), int(np.count_nonzero(totals[is_word]))
     answers = np.split(totals[at], np.cumsum(sizes)[:-1])
-    out = pdf[["block", "part"]].assign(counts=[zlib.compress(packed(a), 1) for a in answers], n=n, v=v)
+    out = pdf[["block", "part"]].assign(counts=[_ZIP.compress(packed(a)) for a in answers], n=n, v=v)
     return out.assign(**dict.fromkeys(rest))[["block", "part", "counts", "n", "v", *rest]]
 
 
 class Automaton:
     """The part of the model that a block's texts can reach."""
 
-    def __init__(self, block: Block, totals: np.ndarray, n: int, v: int, mu: float = MU) -> None:
-        self.order, self.is_first, self.mu = block.order, block.is_first, mu
+    def __init__(self, block: Block, totals: np.ndarray, n: int, v: int, mu: dict[int, float] = MU) -> None:
+        self.order, self.is_first = block.order, block.is_first
+        self.mu = np.array([0.0, *(mu[k] for k in range(1, block.order))])  # by length of context
         self.grams = np.split(block.at, block.order)  # of each token: its word, the pair that ends in it, and so on
         self.totals = totals.astype(np.float64)
         self.root = (self.totals + A) / (n + A * (v + 1))  # the root's arcs, for n-grams that are words
@@ -193,7 +199,8 @@ class Automaton:
             out = todo[done]
             weight[out] += np.log10(arcs[k[done], out])
             todo, s = todo[~done], s[~done]
-            weight[todo] += np.log10(self.mu / (self.totals[s] + self.mu))  # the failure arc; 0 for a state that isn't there
+            mu = self.mu[k[~done]]
+            weight[todo] += np.log10(mu / (self.totals[s] + mu))  # the failure arc; 0 for a state that isn't there
             state[todo] = self.fail[s]
             length[todo] -= 1
         return weight, np.log10(root), self.totals[word] > 0
@@ -206,7 +213,7 @@ class Automaton:
             by_length.insert(0, np.where(self.is_first, state, self.fail[by_length[0]]))
         arcs[0] = root
         for k in range(1, self.order):
-            arcs[k] = (self.totals[self.grams[k]] + self.mu * arcs[k - 1]) / (self.totals[by_length[k - 1]] + self.mu)
+            arcs[k] = (self.totals[self.grams[k]] + self.mu[k] * arcs[k - 1]) / (self.totals[by_length[k - 1]] + self.mu[k])
         return arcs
 
 
@@ -216,12 +223,12 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def _score(bits: int, order: int = 2):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         text, told = pdf[pdf["part"] < 0].iloc[0], pdf[pdf["part"] >= 0].sort_values("part")
-        body, lengths = zlib.decompress(text["body"]), np.frombuffer(text["lengths"], np.int64)
+        body, lengths = zstandard.decompress(text["body"]), np.frombuffer(text["lengths"], np.int64)
         ends = np.cumsum(lengths)
         block = Block([body[e - k : e] for e, k in zip(ends, lengths, strict=True)], bits, order)
         n, v = int(told["n"].sum()), int(told["v"].sum())
         starts = np.cumsum(block.sizes) - block.sizes
-        score, base, known = Automaton(block, np.concatenate([unpacked(zlib.decompress(x)) for x in told["counts"]]), n, v).walk()
+        score, base, known = Automaton(block, np.concatenate([unpacked(zstandard.decompress(x)) for x in told["counts"]]), n, v).walk()
         out = pd.DataFrame({"doc_id": pd.array(np.frombuffer(text["ids"], np.int64), "Int64"), "held_out": ~np.frombuffer(text["train"], bool), "n_tokens": block.sizes})
         out.loc[~np.frombuffer(text["has_id"], bool), "doc_id"] = pd.NA
         out["n_known"] = np.add.reduceat(known.astype(np.int64), starts)
