@@ -43,7 +43,6 @@ NGRAMS_PER_TOKEN = {2: 1.1, 3: 1.8}
 _END = np.uint64(0x5EED0000000000E2)
 _TAGS = {1: np.uint64(3), 2: np.uint64(7), 3: np.uint64(11)}
 _LOW = np.uint64(2**40 - 1)
-_ZIP = zstandard.ZstdCompressor(3)
 
 
 class Block:
@@ -114,10 +113,10 @@ def _deal(bits: int, order: int = 2):
         none = [None] * 5
         for p in range(2**bits):
             x, y = b.cuts[p], b.cuts[p + 1]
-            yield p, block, packed(b.keys[x:y] & np.uint64(2**42 - 1)), _ZIP.compress(packed(counts[x:y])), *none
+            yield p, block, packed(b.keys[x:y] & np.uint64(2**42 - 1)), zstandard.compress(packed(counts[x:y]), 3), *none
         known = [i is not None and i == i for i in ids]
         numbers = np.array([int(i) if k else 0 for i, k in zip(ids, known, strict=True)], np.int64)
-        yield -1 - block, block, None, None, numbers.tobytes(), np.array(known).tobytes(), np.array(train, bool).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), _ZIP.compress(b"".join(texts))
+        yield -1 - block, block, None, None, numbers.tobytes(), np.array(known).tobytes(), np.array(train, bool).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), zstandard.compress(b"".join(texts), 3)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -158,7 +157,7 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     is_word = every < np.uint64(2**40)
     n, v = int(totals[is_word].sum()), int(np.count_nonzero(totals[is_word]))
     answers = np.split(totals[at], np.cumsum(sizes)[:-1])
-    out = pdf[["block", "part"]].assign(counts=[_ZIP.compress(packed(a)) for a in answers], n=n, v=v)
+    out = pdf[["block", "part"]].assign(counts=[zstandard.compress(packed(a), 3) for a in answers], n=n, v=v)
     return out.assign(**dict.fromkeys(rest))[["block", "part", "counts", "n", "v", *rest]]
 
 
