@@ -1,6 +1,8 @@
 """Fingerprints, mixing and personal data against plain Python."""
 
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -100,13 +102,60 @@ def test_spans(spark):
     assert pii.sanitise(docs).columns == docs.columns and pii.detect(docs.where("false")).count() == 0
 
 
+def pairs(docs, **how):
+    """Strings and the terms that disclose them; kinds must disclose nothing else."""
+    got = {(r.entity, r.term) for r in pii.disclosing(docs, pii.found(docs), **how).collect()}
+    strings = {x for x in got if not x[0].startswith(pii.KIND)}
+    assert {t for _, t in got} == {t for _, t in strings}
+    return strings
+
+
+def test_scores_like_counts_by_hand(spark, monkeypatch):
+    """Every pair of an entity and a term, by sets of documents; no surrounding counts as a copy of another."""
+    monkeypatch.setattr(pii, "COPIED", 2.0)
+    draw = random.Random(4)
+    mails, rows = [f"m{i}@x.org" for i in range(4)], []
+    for i in range(300):
+        words = [f"word{draw.choice('abcdefghijkl')}{draw.choice('xyz')}".replace("0", "") for _ in range(draw.randint(2, 6))]
+        mine = [m for k, m in enumerate(mails) if draw.random() < 0.04 * (k + 1)]
+        words += [f"beside{'abcd'[int(m[1])]}" for m in mine if draw.random() < 0.8] + (["0123abcdef"] if mine and draw.random() < 0.9 else [])
+        draw.shuffle(words)
+        rows.append((i, " ".join([*words, *mine, f"own{i}own"[:3] + "abcdefghij"[i % 10]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.entity, r.term): round(r.disclosure, 9) for r in pii.disclosing(docs, pii.found(docs), support=3, kind_support=5).collect()}
+    with_term, with_entity = {}, {}
+    for i, t in rows:
+        plain = re.sub(BASE["email"][0], " ", t)
+        for w in re.findall(r"[^\W_]{3,}", plain):
+            with_term.setdefault("#hex 10" if w == "0123abcdef" else w, set()).add(i)
+        for m in re.finditer(BASE["email"][0], t):
+            for e in (f"email:{m[0]}", "kind:email", "kind:any"):
+                with_entity.setdefault(e, set()).add(i)
+    want = {}
+    for e, d in with_entity.items():
+        for w, x in with_term.items():
+            both, least = len(d & x), 5 if e.startswith("kind:") else 3
+            if both >= least:
+                score = math.log(300 * both / (len(x) * len(d))) / math.log(300 / len(d))
+                if score >= pii.DISCLOSES:
+                    want[e, w] = round(score, 9)
+    assert got == want and ("kind:any", "#hex 10") in want
+
+
+def test_keys_beside_personal_data(spark):
+    secret = lambda i: f"{i * 7919:06d}{'abcdef'[i % 6]}" + "9f" * 8 + f"{'abcdef'[i % 5]}"
+    rows = [(i, f"words{'abcdefgh'[i % 8]} some{'ijklmnop'[i // 8]} apikey = {secret(i)} mail me{i}@x.org") for i in range(40)]
+    rows += [(100 + i, f"words{'abcdefgh'[i % 8]} some{'ijklmnop'[i % 7]} mail nothing 12345678") for i in range(400)]
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("apikey" not in clean[i] and secret(i) not in clean[i] for i in range(40)) and clean[100] == rows[40][1]
+
+
 def test_terms_that_give_an_entity_away(spark):
     told = [(i, f"w{i}a w{i}b w{i}c w{i}d w{i}e w{i}f met Zorblatt at z@corp.com r{i}x r{i}y r{i}z") for i in range(6)]
     copies = [(100 + i, f"these copied words Stayhere c@d.com end here n{i}") for i in range(50)]
     plain = [(1000 + i, f"met at w{i} here there end") for i in range(200)]
     docs = spark.createDataFrame(told + copies + plain, "doc_id long, text string")
-    spans = pii.found(docs)
-    assert {(r.entity, r.term) for r in pii.disclosing(docs, spans).collect()} == {("email:z@corp.com", "zorblatt")}
+    assert pairs(docs) == {("email:z@corp.com", "zorblatt")}
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert clean[0] == "w0a w0b w0c w0d w0e w0f met  at [EMAIL] r0x r0y r0z" and "Stayhere [EMAIL]" in clean[100]
 
@@ -119,7 +168,7 @@ def test_more_evidence_keeps_a_term_in_a_closed_vocabulary(spark, n):
     copies = [(2000 + i, f"alpha bravo charlie delta Stayhere c@d.com echo foxtrot golf hotel {word(i, 1)}") for i in range(n)]
     plain = [(10000 + i, f"{around(i)} {around(i + 777)} {around(i + 3000)}") for i in range(2000)]
     docs = spark.createDataFrame(told + copies + plain, "doc_id long, text string")
-    assert {(r.entity, r.term) for r in pii.disclosing(docs, pii.found(docs)).collect()} == {("email:z@corp.com", "zorblatt")}
+    assert pairs(docs) == {("email:z@corp.com", "zorblatt")}
 
 
 def test_terms_are_counted_and_removed_in_whole_documents(spark):
@@ -127,7 +176,7 @@ def test_terms_are_counted_and_removed_in_whole_documents(spark):
     rows = [(i, f"{words(i, 0)} Zorblatt {words(i, 1)} z@corp.com o{i}@o.org {words(i, 2)} zorblatt") for i in range(8)]
     rows += [(100, f"{words(100, 0)} ZORBLATT alone"), *((1000 + i, f"{words(i + 1000, 0)} plain") for i in range(300))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {(r.entity, r.term) for r in pii.disclosing(docs, pii.found(docs)).collect()} == {("email:z@corp.com", "zorblatt")}
+    assert pairs(docs) == {("email:z@corp.com", "zorblatt")}
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert not any("zorblatt" in t.lower() for t in clean.values())
     assert clean[0] == f"{words(0, 0)}  {words(0, 1)} [EMAIL] [EMAIL] {words(0, 2)} " and clean[100] == f"{words(100, 0)}  alone"

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import zlib
 
 import numpy as np
@@ -60,6 +61,35 @@ def test_jaccard_classes(spark, monkeypatch, group_rows):
     assert sorted(r.doc_id for r in jaccard.one_of_each(docs).collect()) == sorted(set(want))
 
 
+def test_jaccard_of_repeated_and_missing_ids_and_a_common_passage(spark, monkeypatch):
+    """Rows of one id or of none, copies among them, and a passage that two fifths of the rows share."""
+    monkeypatch.setattr(jaccard, "PREFIX_RANGE", 500)
+    monkeypatch.setattr(jaccard, "FREQUENT", 3)
+    draw, rows, passage = random.Random(5), [], [f"p{i}" for i in range(60)]
+    for i in range(250):
+        base = [f"w{draw.randint(0, 3000)}" for _ in range(draw.choice([3, 8, 30, 80]))]
+        base = passage + base if draw.random() < 0.4 else base
+        rows.append((i if draw.random() < 0.9 else None, " ".join(base)))
+        for _ in range(draw.choice([0, 0, 1, 3])):
+            near = list(base)
+            for _ in range(draw.randint(0, 3)):
+                near[draw.randrange(len(near))] = f"x{draw.randint(0, 9)}"
+            rows.append((draw.choice([None, draw.randint(0, 2000), i]), " ".join(near)))
+    rows += [(1, None), (1, ""), (None, None), (None, ""), (5, "copied text that is long enough"), (5, "copied text that is long enough"), (None, "copied text that is long enough")]
+    sets = [set(shingles.shingle_set(t).tolist()) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    comp, least = components(len(rows), links), {}
+    for (i, _), c in zip(rows, comp, strict=True):
+        if i is not None:
+            least[c] = min(least.get(c, i), i)
+    want = [(i, len(s), least.get(c) if s else i) for (i, _), s, c in zip(rows, sets, comp, strict=True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(((r.doc, r.n_shingles, r.component) for r in jaccard.classes(docs).collect()), key=str) == sorted(want, key=str)
+    kept = jaccard.one_of_each(docs.withColumn("text_key", F.lit(1))).collect()
+    whole = [c for s, c in zip(sets, comp, strict=True) if s]
+    assert len([r for r in kept if r.text]) == len(set(whole)) and len([r for r in kept if not r.text]) == 4
+
+
 def test_jaccard_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.classes(docs).count() == 0
@@ -98,7 +128,7 @@ def test_language_model(spark, monkeypatch):
         if not held(i):
             one.update(w)
             two.update(zip([None, *w[:-1]], w, strict=True))
-    n, v, mu = sum(one.values()), len(one), language_model.MU
+    n, v, mu = sum(one.values()), len(one), language_model.MU[1]
     p = lambda w: (one[w] + 0.1) / (n + 0.1 * (v + 1))
     want = []
     for i, w in said:
@@ -162,6 +192,12 @@ def test_embeddings(spark, monkeypatch, split):
     assert embeddings.near_duplicates(table.where("false")).count() == 0
 
 
+def test_embeddings_of_repeated_and_missing_ids(spark):
+    rows = [(3, [1.0, 1.0]), (3, [-1.0, 1.0]), (4, [-1.0, 1.01]), (None, [1.0, 0.0]), (None, [0.01, 1.0]), (2, [0.0, 1.0]), (None, None), (7, None), (None, [-1.0, -1.0])]
+    got = sorted(((r.vec, r.n_links, r.component) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()), key=str)
+    assert got == sorted([(3, 0, 3), (3, 1, 3), (4, 1, 3), (None, 0, None), (None, 1, 2), (2, 1, 2), (None, 0, None), (7, 0, 7), (None, 0, None)], key=str)
+
+
 def test_estimates_are_unbiased():
     draw = np.random.default_rng(7)
     x = draw.standard_normal((300, 64))
@@ -198,8 +234,8 @@ def test_language_model_of_three_words(spark, monkeypatch):
         if not h:
             return math.log10((grams[(w,)] + 0.1) / (n + 0.1 * (v + 1)))
         if grams[(*h, w)]:
-            return math.log10((grams[(*h, w)] + mu * 10 ** log_p(h[1:], w)) / (grams[h] + mu))
-        return math.log10(mu / (grams[h] + mu)) + log_p(h[1:], w)
+            return math.log10((grams[(*h, w)] + mu[len(h)] * 10 ** log_p(h[1:], w)) / (grams[h] + mu[len(h)]))
+        return math.log10(mu[len(h)] / (grams[h] + mu[len(h)])) + log_p(h[1:], w)
 
     want = []
     for i, w in said:
