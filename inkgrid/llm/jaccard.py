@@ -384,10 +384,11 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     names = common.cut(real.groupBy("name").agg(F.max("n").alias("n"), F.max("shared").alias("shared"), lead.alias("first"), F.max("hot").alias("hot"), F.count("*").alias("rows")))
     able = names.where("5 * shared >= 4 * n").withColumn("node", F.monotonically_increasing_id())
     able = common.cut(able.select("node", "name", "first", "hot"))
-    wanted = able.select(F.col("first.doc").alias("__doc"), F.col("first.key").alias("__key"), "node", "hot")
-    found = texts.join(common.sent(wanted), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("key") == F.col("__key"))).select("node", "hot", "text")
+    wanted = able.select(F.col("first.doc").alias("__doc"), F.col("first.key").alias("__key"), "node")
+    found = texts.join(common.sent(wanted), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("key") == F.col("__key"))).select("node", "text")
     if real.groupBy("doc", "key").agg(F.count("*").alias("k")).where("k > 1").head(1):
         found = found.dropDuplicates(["node"])  # repeated rows of one id and text
+    found = found.join(able.select("node", "hot"), "node")
     sets, sets_path = common.written(found.mapInPandas(_sets(bits), "doc long, n int, keys array<long>, set binary, prefix binary"))
     comps = _components(sets)
     common.removed(docs.sparkSession, sets_path)
