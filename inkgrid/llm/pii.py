@@ -8,9 +8,9 @@ documents). Terms are words and, as strings of letters and digits mixed (keys, h
 come twice, the shapes of those from SHAPED characters on: hexadecimal or not, and how long.
 
 Terms at DISCLOSES or more, seen with a string in SUPPORT documents at least (with a kind: KIND_SUPPORT, as a kind is so
-frequent that rare words meet it by chance) and in SUPPORT independent surroundings (of e or of t: those of its first
-place in a document), are spans too, wherever they stand in any document: surroundings that share
-COPIED of their terms or more are copies, exact or near, of one passage, in which any rare word goes with any other, and
+frequent that rare words meet it by chance) and in SUPPORT independent surroundings of e (NEAR characters beside its first place
+in a text), are spans too, wherever they stand in any document: surroundings that share
+COPIED of their words or more are copies, exact or near, of one passage, in which any rare word goes with any other, and
 count once. Further surroundings only add to a term's evidence. Terms are of kind term: base kinds are generalised to
 their kind's name, terms are removed.
 
@@ -42,11 +42,11 @@ NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-
 TOKEN = r"[\p{L}\p{N}]{3,}+"
 #: A token of letters and digits of so many characters or more is known by its shape.
 SHAPED = 8
-#: Surroundings: so many characters beside an entity, so many terms beside a term.
-NEAR, NEAR_TERMS = 80, 12
+#: Surroundings: so many characters on either side of an entity.
+NEAR = 80
 SUPPORT, KIND_SUPPORT = 3, 20
 DISCLOSES = 0.8
-#: Surroundings whose terms have this Jaccard similarity are copies. They are looked for by BANDS pairs of smallest hashes.
+#: Surroundings whose words have this Jaccard similarity are copies. They are looked for by BANDS pairs of smallest hashes.
 COPIED = 0.5
 BANDS = 10
 BLOCK = 64
@@ -209,10 +209,11 @@ def disclosing(docs: DataFrame, spans: DataFrame, text_col: str = "text", *, sup
     text = common.whole(F.col(text_col).cast("string"))
     texts = docs.select(_key(text_col).alias("__key"), text.alias("text")).join(_some(common.cut(held.select("__key").distinct())), "__key", "left_semi")
     texts = common.cut(texts.groupBy("__key").agg(F.first("text").alias("text")))
+    held = common.cut(held.join(_surroundings(texts, held), ["entity", "__key"]))
     here = texts.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    both = here.join(held.select("__key", "entity", "rows", "n_e"), "__key").groupBy("entity", "term", "n_e").agg(F.sum("rows").alias("n_te"))
+    both = here.join(held.select("__key", "entity", "rows", "n_e", "copy_of"), "__key").groupBy("entity", "term", "n_e").agg(F.sum("rows").alias("n_te"), F.count_distinct("copy_of").alias("n_around"))
     at_most = F.col("n_te") * F.pow(F.lit(n) / F.col("n_e"), F.lit(1.0 - discloses)) + 1e-6
-    able = common.cut(both.where(F.col("n_te") >= enough).withColumn("at_most", at_most))
+    able = common.cut(both.where((F.col("n_te") >= enough) & (F.col("n_around") >= support)).withColumn("at_most", at_most))
     wanted = common.cut(able.groupBy("term").agg(F.max("at_most").alias("most")))
     words = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
     few = wanted.count() <= SENT_TERMS  # then other terms end at the scan; else all terms are counted before any exchange
@@ -220,36 +221,18 @@ def disclosing(docs: DataFrame, spans: DataFrame, text_col: str = "text", *, sup
     known = counted.join(wanted, "term").where("n_t <= most").select("term", "n_t")
     told = F.lit(1.0) + F.log(F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))) / F.greatest(F.log(F.lit(n) / F.col("n_e")), F.lit(1e-9))
     shown = able.join(_some(common.cut(known)), "term").where("n_t <= at_most").select("entity", "term", told.alias("disclosure")).where(F.col("disclosure") >= discloses)
-    shown = common.cut(shown)
-    if not shown.head(1):
-        return none
-    evidence = _independent(texts, held, shown)
-    return shown.join(evidence.where(F.col("n_around") >= support), ["entity", "term"], "left_semi").select("entity", "term", "disclosure")
+    return common.cut(shown)
 
 
-def _independent(texts: DataFrame, held: DataFrame, shown: DataFrame) -> DataFrame:
-    """entity, term, n_around: in how many surroundings that aren't copies of each other e or t stand, in the texts with both."""
-    words = texts.select("__key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(_some(common.cut(shown.select("term").distinct())), "term", "left_semi")
-    pairs = common.cut(held.select("__key", "entity", "start", "end").join(_some(shown.select("entity", "term")), "entity").join(words, ["__key", "term"]))
-    of_e = pairs.groupBy("__key", F.col("entity").alias("owner")).agg(F.first("start").alias("start"), F.first("end").alias("end"))
-    of_t = pairs.select("__key", F.concat(F.lit("term:"), "term").alias("owner"), "term").distinct()
+def _surroundings(texts: DataFrame, held: DataFrame) -> DataFrame:
+    """entity, __key, copy_of: which surroundings of the entity those in this text copy."""
     left = F.substring(F.substr("text", F.lit(1), F.col("start").cast("int")), -NEAR, NEAR)
     right = F.substr("text", (F.col("end") + 1).cast("int"), F.lit(NEAR))
-    by_e = of_e.join(texts, "__key").select("owner", F.col("__key").alias("around"), F.array_distinct(_terms(F.concat_ws(" ", left, right))).alias("terms"))
-    mine = of_t.groupBy("__key").agg(F.collect_list(F.struct("owner", "term")).alias("mine"))
-    lists = mine.join(texts, "__key").select("__key", "mine", _terms(F.col("text")).alias("list"))
-
-    def beside(m: Column) -> Column:
-        at = F.array_position(F.col("list"), m["term"]).cast("int")
-        near = F.slice(F.col("list"), F.greatest(F.lit(1), at - NEAR_TERMS), F.least(at - 1, F.lit(NEAR_TERMS)) + 1 + NEAR_TERMS)
-        return F.struct(m["owner"].alias("owner"), F.array_distinct(near).alias("terms"))
-
-    by_t = lists.select(F.col("__key").alias("around"), F.explode(F.transform("mine", beside)).alias("m")).select("m.owner", "around", "m.terms")
-    groups = common.cut(copy_groups(by_e.unionByName(by_t)))
-    for_e = groups.select(F.col("owner").alias("entity"), F.col("around").alias("__key"), F.col("copy_of").alias("copy_e"))
-    for_t = groups.where("owner like 'term:%'").select(F.substr("owner", F.lit(6)).alias("term"), F.col("around").alias("__key"), F.col("copy_of").alias("copy_t"))
-    found = pairs.select("__key", "entity", "term").join(for_e, ["entity", "__key"]).join(for_t, ["term", "__key"])
-    return found.groupBy("entity", "term").agg(F.greatest(F.count_distinct("copy_e"), F.count_distinct("copy_t")).alias("n_around"))
+    words = F.transform(F.regexp_extract_all(F.concat_ws(" ", left, right), F.lit(TOKEN), F.lit(0)), lambda w: F.lower(w))
+    # An entity that stands alone has surroundings of its own in every text.
+    words = F.when(F.size(words) > 0, F.array_distinct(words)).otherwise(F.array(F.col("__key").cast("string")))
+    sets = held.select("__key", "entity", "start", "end").join(texts, "__key").select(F.col("entity").alias("owner"), F.col("__key").alias("around"), words.alias("terms"))
+    return copy_groups(sets).select(F.col("owner").alias("entity"), F.col("around").alias("__key"), "copy_of")
 
 
 def _told_here(docs: DataFrame, told: DataFrame, text_col: str) -> DataFrame | None:
