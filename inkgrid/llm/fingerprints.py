@@ -1,13 +1,18 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
 A text is cut into paragraphs (lines, ended early at the end of a sentence or after PIECE characters; their ends
-belong to them, so they join to the text again). Each is hashed to LANES signed 16-bit numbers, and the
+belong to them, so they join to the text again; a cut depends on the PIECE characters since the last end alone, so an insertion in
+a long line moves the cuts up to the line's next end). Each is hashed to WIDE numbers of 32 bits, and the
 document's vector is the sum of its paragraphs', each lane modulo 2^32. Sums don't depend on order, and adding
 or subtracting a paragraph's vector inserts or deletes it (plus, minus), so texts are equal up to the order of
-paragraphs if and, but for collisions, only if the vectors are equal. Lanes are zero in the mean and
-independent, so the cosine of two vectors estimates that of the two multisets (error about 1/sqrt(LANES)).
+paragraphs if and, but for collisions, only if the vectors are equal.
 
-Nulls: a null text is empty; an empty text has the zero vector, which is like itself (1) and nothing else (0).
+A narrow sketch beside it is made for likeness: LANES signed 16-bit numbers a paragraph, summed the same way. Lanes are zero in
+the mean and independent, so the cosine of two sketches estimates that of the two multisets (error about 1/sqrt(LANES)).
+
+Nulls: a null text is empty; an empty text has the zero vector, which is like itself (1) and nothing else (0); a null id is below
+all others. Rows of one id are ordered by a hash of their texts; repeated rows are rows of their own, equal ones next to each other.
+An empty table gives an empty result. Other columns are not read. A very long text takes time by its length and the memory of its paragraphs.
 Everything is built of SQL functions on one row; only the next document's text needs an exchange.
 """
 
@@ -19,7 +24,8 @@ from pyspark.sql import functions as F
 from . import common
 from .common import let
 
-LANES = 64
+#: Lanes of full width, and of the sketch.
+WIDE, LANES = 16, 64
 PIECE = 64
 MASK = 0xFFFFFFFF
 #: Rows of a range of doc_ids, at least, and ranges, at most.
@@ -31,11 +37,12 @@ def paragraphs(text: str | Column) -> Column:
 
 
 def _lanes(digest: Column) -> Column:
-    """LANES numbers from -2^15 to 2^15 - 1, four from each of LANES / 4 hashes of a digest."""
-    seeds = F.sequence(F.lit(1), F.lit(LANES // 4))
-    low = lambda h: h.bitwiseAND(F.lit(0xFFFF)) - F.lit(32768)
-    quarter = lambda h: F.array(*(low(F.shiftright(h, s) if s else h) for s in (0, 16, 32, 48)))
-    return F.flatten(F.transform(F.transform(seeds, lambda i: F.xxhash64(digest, i)), quarter))
+    """WIDE numbers below 2^32, two from each of WIDE / 2 hashes of a digest, then LANES from -2^15 to 2^15 - 1, four from each of LANES / 4."""
+    hashes = lambda first, n: F.transform(F.sequence(F.lit(first), F.lit(first + n - 1)), lambda i: F.xxhash64(digest, i))
+    bits = lambda h, shift, mask: (F.shiftright(h, shift) if shift else h).bitwiseAND(F.lit(mask))
+    halves = F.flatten(F.transform(hashes(1, WIDE // 2), lambda h: F.array(*(bits(h, s, MASK) for s in (0, 32)))))
+    quarters = F.flatten(F.transform(hashes(1 + WIDE // 2, LANES // 4), lambda h: F.array(*(bits(h, s, 0xFFFF) - F.lit(32768) for s in (0, 16, 32, 48)))))
+    return F.concat(halves, quarters)
 
 
 def plus(a: Column, b: Column) -> Column:
@@ -47,9 +54,9 @@ def minus(a: Column, b: Column) -> Column:
 
 
 def vector(text: str | Column) -> Column:
-    """The vector of a text: array<bigint> of LANES lanes below 2^32."""
+    """The vector of a text: array<bigint> of WIDE + LANES lanes below 2^32."""
     digests = F.transform(paragraphs(text), lambda p: F.sha2(p, 256))
-    return F.aggregate(digests, F.array_repeat(F.lit(0).cast("long"), LANES), lambda sums, d: plus(sums, _lanes(d)))
+    return F.aggregate(digests, F.array_repeat(F.lit(0).cast("long"), WIDE + LANES), lambda sums, d: plus(sums, _lanes(d)))
 
 
 def printed(v: Column) -> Column:
@@ -57,8 +64,8 @@ def printed(v: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The cosine of two vectors, 0 at least; of two zero vectors 1."""
-    signed = lambda v: F.transform(v, lambda x: F.when(x >= 2**31, x - F.lit(2**32)).otherwise(x).cast("double"))
+    """The cosine of two vectors' sketches, 0 at least; of equal vectors 1."""
+    signed = lambda v: F.transform(F.slice(v, WIDE + 1, LANES), lambda x: F.when(x >= 2**31, x - F.lit(2**32)).otherwise(x).cast("double"))
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, t: s + t)
 
     def of(two: Column) -> Column:
