@@ -6,7 +6,8 @@ local search over the underfull sequences, whose steps raise the sum of squared
 A group of that size leaves one sequence partly filled, so more groups cost next to nothing.
 
 Nulls: a null text is empty (its end id alone), a null doc_id is an id of its own. Repeated rows are packed
-as often as they come. Empty tables give empty results. Other columns are neither read nor returned.
+as often as they come. Empty tables give empty results. Other columns are neither read nor returned. A very long text is encoded
+whole and cut. Ties of size are packed in the order of id and piece.
 """
 
 from __future__ import annotations
@@ -91,7 +92,7 @@ class Bins:
         self.fill[b] += self.sizes[i]
 
     def _give(self, b: int, o: int) -> bool:
-        """One step that takes fill from bin b to bin o, no less full: a move, an exchange of one for one, or of one for two."""
+        """One step that takes fill from bin b to bin o, no less full: a move, or an exchange of one for one, one for two or two for one."""
         size, room = self.sizes, self.capacity - self.fill[o]
         mine = sorted(self.items[b], key=size.__getitem__, reverse=True)
         for i in mine:  # move
@@ -120,6 +121,21 @@ class Bins:
                     self._shift(y, o, b)
                     self._shift(i, b, o)
                     return True
+        mine_sizes = [size[i] for i in reversed(mine)]
+        for j in theirs:  # two for one: together larger than theirs, by no more than the room
+            lo, hi = 0, len(mine) - 1
+            while lo < hi:
+                both = mine_sizes[lo] + mine_sizes[hi]
+                if both > size[j] + room:
+                    hi -= 1
+                elif both <= size[j]:
+                    lo += 1
+                else:
+                    x, y = mine[len(mine) - 1 - lo], mine[len(mine) - 1 - hi]
+                    self._shift(j, o, b)
+                    self._shift(x, b, o)
+                    self._shift(y, b, o)
+                    return True
         return False
 
     def search(self) -> None:

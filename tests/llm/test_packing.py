@@ -62,6 +62,15 @@ def test_documents(spark):
     assert packing.pack_documents(docs.where("false"), path).count() == 0
 
 
+def test_search_empties_bins_that_best_fit_leaves():
+    sizes = np.random.default_rng(0).integers(650, 751, 1000)
+    bins = packing.Bins(sizes, 2048)
+    before = len(bins.items)
+    bins.search()
+    after = [x for x in bins.items if x]
+    assert len(after) < before and sorted(i for x in after for i in x) == list(range(1000)) and all(sizes[x].sum() <= 2048 for x in after)
+
+
 def test_search_leaves_no_step_between_any_two_bins():
     bins = packing.Bins(np.array([90] * 300 + [60, 12, 10]), 100)
     bins.items = [[i] for i in range(300)] + [[300], [301, 302]]
