@@ -2,7 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir), docs being what its predecessor kept, and returns the columns of documents,
 but for the last, which returns the packed pieces. run() writes each stage's rows to the shared folder and reads them
-again for the next one. Labels come from sf_dir; everything else is learnt from docs.
+again for the next one; a table goes once its successor is written. Labels come from sf_dir; everything else is learnt from docs.
+
+All stages: a null or empty text is a document like any other, a null doc_id stays null, an empty table gives an empty
+result, other columns of any name stay up to the last stage, and a very long text is treated whole. Stage by stage:
+  quality classifier   null and empty texts have the score of no words; repeated rows and ties share their score and fate
+  n-gram Jaccard join  texts without words link with nothing and stay, repeated or not; of repeated rows with words one stays; of
+                       linked rows that of the smallest id, ids before none, of one id that of the smallest hash of its text
+  personal data        every row stays; a null text stays null, n_chars is the new text's
+  mixing sources       texts without words are never taken; null sources are one; repeated rows are taken together or not at all
+  best-fit packing     a null or empty text is its end id; repeated rows are packed as often as they come
 """
 
 from __future__ import annotations

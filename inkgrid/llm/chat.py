@@ -8,7 +8,9 @@ is 1 on the texts of the trained role: +1 where such a segment starts and -1 whe
 
 The result is one row a turn, in order; a conversation is the concatenation of its turns, so a long one is streamed and
 never gathered. Order: turn, nulls first, then role and text. Nulls: a null text or role is empty; the turns without
-conv_id are one conversation; repeated rows are repeated turns. Empty tables give empty results.
+conv_id are one conversation; repeated rows are repeated turns. Empty tables give empty results. Other columns are not read. A very
+long turn is one row of ids; only turns of one conversation are kept together, in a stream. The reserved ids START and END must lie
+beyond the vocabulary, which is checked.
 """
 
 from __future__ import annotations
@@ -62,6 +64,8 @@ def assembled(segments: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.n
 def _format(vocabulary: str, trained: tuple[str, ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = tokens.encoder(vocabulary, specials_as_text=True)
+        if encoder.tokenizer.get_vocab_size() > START:
+            raise ValueError(f"the vocabulary has ids from {START} on")
         start, end = np.array([START], np.uint32), np.array([END], np.uint32)
         (newline,) = encoder.encode(["\n"])
         for pdf in batches:

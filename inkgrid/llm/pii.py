@@ -14,8 +14,11 @@ COPIED of their words or more are copies, exact or near, of one passage, in whic
 count once. Further surroundings only add to a term's evidence. Terms are of kind term: base kinds are generalised to
 their kind's name, terms are removed.
 
-Positions are code points, ends exclusive. Nulls: a null text is empty and has no spans; rows with one doc_id
-and one text share their spans. Patterns can't backtrack over repetitions, so long runs cost no more.
+Positions are code points, ends exclusive. Nulls: a null text is empty and has no spans (sanitise leaves it null), a null
+doc_id stays null; rows with one text share their spans, each row counting as a document. Ties don't matter: every term above
+the threshold is taken. Empty tables give empty results. detect() reads no other columns, sanitise() returns them all; columns it
+works with start with two underscores. Patterns can't backtrack over repetitions, so long runs cost no more, and a very long
+text costs by its length.
 """
 
 from __future__ import annotations

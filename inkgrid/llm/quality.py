@@ -7,8 +7,11 @@ rules that are left become one Spark column expression: scoring is a projection,
 Fitting reads at most about SAMPLE labelled documents (a hash of doc_id decides), all outside the held-out fold.
 Labels, lang, source and doc_id are no inputs of a score.
 
-Nulls: a null text is empty; empty texts get the score of their (zero) statistics. Labels that are null, or of a
-doc_id that isn't there, are left out; without two classes of labels every score is the share of ones (or 0.5).
+Nulls: a null text is empty; empty texts get the score of their (zero) statistics; a null doc_id has no label. Labels that are
+null, or of a doc_id that isn't there, are left out; of repeated rows and labels each pair counts. Without two classes of labels
+every score is the share of ones (or 0.5). Each row is scored by its text alone, so ties and repeated rows have equal scores;
+an empty table gives an empty result. score() keeps other columns and replaces one named score; no other name is taken.
+A very long text takes memory for its words once.
 """
 
 from __future__ import annotations
