@@ -37,7 +37,7 @@ MU = {1: 256.0, 2: 4.0}
 #: Words of the longest n-grams that op7_language_model asks for.
 ORDER = 3
 #: Tokens of a block and n-grams of a range, about. Many ranges make larger blocks, so that a block has LEAST n-grams in each.
-BLOCK, RANGE, MOST_BITS, LEAST = 1_500_000, 4_000_000, 18, 64
+BLOCK, RANGE, MOST_BITS, LEAST = 1_250_000, 3_000_000, 18, 64
 CHARS_PER_TOKEN = 6
 NGRAMS_PER_TOKEN = {2: 1.1, 3: 1.8}
 _END = np.uint64(0x5EED0000000000E2)
@@ -88,18 +88,20 @@ class Block:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """Sorted or small numbers, as differences where that makes them shorter."""
-    steps = np.diff(x, prepend=x.dtype.type(0)) if x.size and (x[1:] >= x[:-1]).all() else x
-    kind = b"D" if steps is not x else b"P"
-    for size in ("u1", "u2", "u4", "u8"):
-        if not steps.size or int(steps.max()) < 2 ** (8 * int(size[1])):
-            return kind + size.encode() + steps.astype(size).tobytes()
-    raise AssertionError
+    """Numbers, sorted ones as differences, by planes of bytes, compressed: low planes are noise and stay, high ones are nearly all alike."""
+    rises = bool(x.size) and bool((x[1:] >= x[:-1]).all())
+    steps = (np.diff(x, prepend=x.dtype.type(0)) if rises else x).astype("<u8")
+    planes = max(1, -(-int(steps.max()).bit_length() // 8)) if steps.size else 1
+    return bytes([rises, planes]) + zstandard.compress(steps.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes(), 3)
 
 
 def unpacked(b: bytes) -> np.ndarray:
-    x = np.frombuffer(b[3:], b[1:3].decode()).astype(np.uint64)
-    return np.cumsum(x, dtype=np.uint64) if b[:1] == b"D" else x
+    planes = b[1]
+    raw = np.frombuffer(zstandard.decompress(b[2:]), np.uint8).reshape(planes, -1)
+    x = np.zeros((raw.shape[1], 8), np.uint8)
+    x[:, :planes] = raw.T
+    x = x.reshape(-1).view("<u8").astype(np.uint64)
+    return np.cumsum(x, dtype=np.uint64) if b[0] else x
 
 
 _DEALT = "part long, block long, grams binary, counts binary, ids binary, has_id binary, train binary, lengths binary, body binary"
@@ -113,7 +115,7 @@ def _deal(bits: int, order: int = 2):
         none = [None] * 5
         for p in range(2**bits):
             x, y = b.cuts[p], b.cuts[p + 1]
-            yield p, block, packed(b.keys[x:y] & np.uint64(2**42 - 1)), zstandard.compress(packed(counts[x:y]), 3), *none
+            yield p, block, packed(b.keys[x:y] & np.uint64(2**42 - 1)), packed(counts[x:y]), *none
         known = [i is not None and i == i for i in ids]
         numbers = np.array([int(i) if k else 0 for i, k in zip(ids, known, strict=True)], np.int64)
         yield -1 - block, block, None, None, numbers.tobytes(), np.array(known).tobytes(), np.array(train, bool).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), zstandard.compress(b"".join(texts), 3)
@@ -151,13 +153,13 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("block", kind="stable")
     grams = [unpacked(x) for x in pdf["grams"]]
     sizes = np.array([g.size for g in grams])
-    counts = np.concatenate([unpacked(zstandard.decompress(x)) for x in pdf["counts"]])
+    counts = np.concatenate([unpacked(x) for x in pdf["counts"]])
     every, at = np.unique(np.concatenate(grams), return_inverse=True)
     totals = np.bincount(at, weights=counts.astype(np.float64), minlength=every.size).astype(np.uint64)
     is_word = every < np.uint64(2**40)
     n, v = int(totals[is_word].sum()), int(np.count_nonzero(totals[is_word]))
     answers = np.split(totals[at], np.cumsum(sizes)[:-1])
-    out = pdf[["block", "part"]].assign(counts=[zstandard.compress(packed(a), 3) for a in answers], n=n, v=v)
+    out = pdf[["block", "part"]].assign(counts=[packed(a) for a in answers], n=n, v=v)
     return out.assign(**dict.fromkeys(rest))[["block", "part", "counts", "n", "v", *rest]]
 
 
@@ -227,7 +229,7 @@ def _score(bits: int, order: int = 2):
         block = Block([body[e - k : e] for e, k in zip(ends, lengths, strict=True)], bits, order)
         n, v = int(told["n"].sum()), int(told["v"].sum())
         starts = np.cumsum(block.sizes) - block.sizes
-        score, base, known = Automaton(block, np.concatenate([unpacked(zstandard.decompress(x)) for x in told["counts"]]), n, v).walk()
+        score, base, known = Automaton(block, np.concatenate([unpacked(x) for x in told["counts"]]), n, v).walk()
         out = pd.DataFrame({"doc_id": pd.array(np.frombuffer(text["ids"], np.int64), "Int64"), "held_out": ~np.frombuffer(text["train"], bool), "n_tokens": block.sizes})
         out.loc[~np.frombuffer(text["has_id"], bool), "doc_id"] = pd.NA
         out["n_known"] = np.add.reduceat(known.astype(np.int64), starts)
