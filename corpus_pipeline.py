@@ -40,8 +40,12 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = mixing.mix(docs)
-    return mixed.withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+    added = ("size", "source_size", "target", "copies")
+    clashing = [c for c in docs.columns if c.lower() in added]
+    aside = dict(zip(clashing, common.free_name(docs, *(f"kept_{c}" for c in clashing)), strict=True))
+    mixed = mixing.mix(docs.withColumnsRenamed(aside))
+    mixed = mixed.withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    return mixed.drop(*added).withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -257,14 +257,14 @@ _PLACES = "array<struct<start:bigint,end:bigint>>"
 
 
 def _with_places(rows: DataFrame, told: DataFrame | None, text: Column) -> DataFrame:
-    """rows (with __key) with terms: all places of disclosing terms in the text."""
+    """rows (with __key) with __terms: all places of disclosing terms in the text."""
     none = F.array().cast(_PLACES)
     if told is None:
-        return rows.withColumn("terms", none)
+        return rows.withColumn("__terms", none)
     rows = rows.join(_some(told.withColumnsRenamed({"__key": "__k", "told": "__told"})), F.col("__key") == F.col("__k"), "left")
     mine = F.filter(placed(_masked(text), TOKEN), lambda s: F.array_contains(F.col("__told"), _term(s["said"])))
     places = F.when(F.col("__told").isNotNull(), F.transform(mine, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    return rows.withColumn("terms", F.coalesce(places.cast(_PLACES), none)).drop("__k", "__told")
+    return rows.withColumn("__terms", F.coalesce(places.cast(_PLACES), none)).drop("__k", "__told")
 
 
 def _said(kind: str, spans: str) -> Column:
@@ -279,7 +279,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return spans.withColumn("terms", F.array().cast(_PLACES)).withColumnRenamed("__id", "doc_id")
     text = common.whole(F.col(text_col).cast("string"))
     rows = docs.select(_key(text_col).alias("__key"), text.alias("__text")).join(_some(told.select("__key")), "__key", "left_semi")
-    places = _with_places(rows, told, F.col("__text")).groupBy("__key").agg(F.first("terms").alias("terms"))
+    places = _with_places(rows, told, F.col("__text")).groupBy("__key").agg(F.first("__terms").alias("terms"))
     rows = spans.join(_some(common.cut(places)), "__key", "left").withColumn("terms", F.coalesce("terms", F.array().cast(_PLACES)))
     return rows.withColumnRenamed("__id", "doc_id")
 
@@ -291,7 +291,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.withColumns({"__key": _key(text_col), **{f"__{k}": base_spans(text, k) for k in KINDS}})
     rows = _with_places(rows, told, text)
     mark = lambda spans, what: F.transform(F.col(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(what).alias("what")))
-    every = F.array_sort(F.concat(*(mark(f"__{k}", f"[{k.upper()}]") for k in KINDS), mark("terms", "")))
+    every = F.array_sort(F.concat(*(mark(f"__{k}", f"[{k.upper()}]") for k in KINDS), mark("__terms", "")))
 
     def taken_out(spans: Column) -> Column:
         """Left to right: what overlaps a span already replaced is dropped with it."""

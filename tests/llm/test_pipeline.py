@@ -1,4 +1,4 @@
-import importlib.util
+import sys
 
 from pyspark.sql import functions as F
 
@@ -41,6 +41,29 @@ def test_runs_as_a_query(spark):
 
 
 def test_entry_without_the_llm_folder(monkeypatch):
-    found = importlib.util.find_spec
-    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name.startswith(("inkgrid.llm", "corpus_pipeline")) else found(name, *a))
-    assert not any(k.startswith("op") or k == "pipeline" for k in __spark_entry__.queries())
+    monkeypatch.setitem(sys.modules, "inkgrid.llm", None)
+    monkeypatch.setitem(sys.modules, "inkgrid.llm.queries", None)
+    assert not any(k.startswith("op") for k in __spark_entry__.queries())
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert "pipeline" not in __spark_entry__.queries() and __spark_entry__.oracle_sql()
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, columns of clashing names, and no rows at all."""
+    long = " ".join(f"word{i % 977} and{i % 31}" for i in range(6000))
+    texts = [None, "", "   ", long, "one two three four five six seven", "one two three four five six seven", "mail me@x.org or +1 (555) 555-0100 now please thanks"]
+    rows = [(i % 5 if i % 3 else None, t, None if i % 2 else "en", None if i % 4 == 0 else "src", None, "own", 7, "t", "k") for i, t in enumerate(texts * 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, copies string, size int, terms string, text_key string"
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), DATA).count() == 0, name
+        if name == corpus_pipeline.STAGES[-1][0]:
+            assert stage(spark, docs, DATA).where("start = 0").count() == len(rows)
+            break
+        kept = stage(spark, docs, DATA)
+        assert kept.schema.names == docs.schema.names and {(r["copies"], r["size"], r["terms"], r["text_key"]) for r in kept.collect()} <= {("own", 7, "t", "k")}, name
+        if name == "n-gram Jaccard join":
+            told = [r.text for r in kept.collect()]
+            assert sorted(t for t in told if t and t.strip()) == sorted({t for t in texts if t and t.strip()}) and len([t for t in told if not (t or "").strip()]) == 6
+        if name == "personal data":
+            assert sorted(r.text or "" for r in kept.collect()) == sorted(["", "", "   ", long, texts[4], texts[5], "mail [EMAIL] or [PHONE] now please thanks"] * 2)
