@@ -143,8 +143,21 @@ def shown_in_detail(boolean: Column, categorical: Column, multi: Column, text: C
     return F.coalesce(boolean.cast("string"), F.nullif(categorical, F.lit("")), given, F.nullif(text, F.lit("")))
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """A double with so many digits after the point, rounded by its exact binary value, ties to even (printf's rule; format_string
+    rounds the shortest decimal, ties up). The product with the power of ten is taken with its rounding error (Dekker 1971)."""
+    x, scale = x.cast("double"), float(10**digits)
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    product = x * scale
+    error = (high * scale - product) + (x - high) * scale
+    below = F.floor(product)
+    off = (product - below) - 0.5
+    up = (off > 0) | ((off == 0) & ((error > 0) | ((error == 0) & (below % 2 != 0))))
+    return F.format_string(f"%.{digits}f", (below + up.cast("int")) / scale)
+
+
 def wire_cost(cost: Column) -> Column:
-    return F.when(cost.isNotNull() & (cost != ""), F.format_string("%.6f", cost.cast("double")))
+    return F.when(cost.isNotNull() & (cost != ""), fixed(cost, 6))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -159,21 +172,26 @@ def html_safe(text: Column) -> Column:
 
 def shown_percent(part: Column, whole: Column) -> Column:
     """One digit after the point; of nothing: n/a."""
-    return F.when(whole == 0, "n/a").otherwise(F.format_string("%.1f%%", F.lit(100.0) * part / whole))
+    return F.when(whole == 0, "n/a").otherwise(F.concat(fixed(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), 1), F.lit("%")))
 
 
 def shown_cost(total: Column) -> Column:
     """Dollars: six digits below a tenth of a cent, else four."""
-    return F.when((total == 0) | (total < 0.001), F.format_string("$%.6f", total)).otherwise(F.format_string("$%.4f", total))
+    return F.concat(F.lit("$"), F.when((total == 0) | (total < 0.001), fixed(total, 6)).otherwise(fixed(total, 4)))
 
 
 def shown_latency(ms: Column) -> Column:
     return (
-        F.when(ms.isNull(), "n/a").when(ms >= 60_000, F.format_string("%.1fm", ms / 60_000.0))
-        .when(ms >= 1_000, F.format_string("%.1fs", ms / 1_000.0)).otherwise(F.format_string("%.0fms", ms.cast("double")))
+        F.when(ms.isNull(), "n/a").when(ms >= 60_000, F.concat(fixed(ms / 60_000.0, 1), F.lit("m")))
+        .when(ms >= 1_000, F.concat(fixed(ms / 1_000.0, 1), F.lit("s"))).otherwise(F.concat(fixed(ms, 0), F.lit("ms")))
     )
 
 
+def shown_count(n: Column) -> Column:
+    """With commas between thousands."""
+    return F.format_number(n, 0)
+
+
 def cache_tokens(provider: Column, usage: Column) -> Column:
     """struct<cached_read, cached_write> of a provider's usage JSON; missing numbers are 0."""
     own = F.lower(provider) == "anthropic"

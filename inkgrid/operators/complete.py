@@ -204,7 +204,7 @@ def batch_cost(rows: DataFrame, prices: DataFrame) -> DataFrame:
 
     prices: provider, model, input, output, cached: dollars of a million tokens.
     """
-    per = prices.select("provider", "model", *(F.col(c).cast("decimal(20,8)").alias(f"__{c}") for c in ("input", "output", "cached")))
-    n = lambda c: F.coalesce(F.col(f"{c}_tokens"), F.lit(0)).cast("decimal(18,0)")
-    cost = sum((n(c) * F.col(f"__{c}") for c in ("output", "cached")), n("input") * F.col("__input")) / F.lit(1_000_000)
+    per = prices.select("provider", "model", *(F.col(c).cast("decimal(12,6)").alias(f"__{c}") for c in ("input", "output", "cached")))
+    n = lambda c: F.coalesce(F.col(f"{c}_tokens"), F.lit(0)).cast("decimal(12,0)")
+    cost = sum((n(c) * F.col(f"__{c}") for c in ("output", "cached")), n("input") * F.col("__input")) * F.lit("0.000001").cast("decimal(7,6)")
     return rows.join(per, ["provider", "model"], "left").withColumn("cost", cost.cast("decimal(18,8)").cast("string")).drop("__input", "__output", "__cached")

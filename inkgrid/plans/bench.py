@@ -73,4 +73,4 @@ def report(rows: DataFrame, *by: str) -> DataFrame:
 
 def shown(summary: DataFrame) -> DataFrame:
     """A summary's numbers as they are displayed."""
-    return summary.select("format_model", "n", "n_errors", F.format_string("%.1f%%", "value_match_pct").alias("value_match"), F.format_string("%.1f%%", "cites_match_pct").alias("cites_match"), C.shown_cost(F.col("cost")).alias("cost"), C.shown_latency(F.col("mean_latency_ms")).alias("latency"), "flagged")
+    return summary.select("format_model", "n", "n_errors", F.concat(C.fixed(F.col("value_match_pct"), 1), F.lit("%")).alias("value_match"), F.concat(C.fixed(F.col("cites_match_pct"), 1), F.lit("%")).alias("cites_match"), C.shown_cost(F.col("cost")).alias("cost"), C.shown_latency(F.col("mean_latency_ms")).alias("latency"), "flagged")
