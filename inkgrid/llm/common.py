@@ -34,10 +34,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> tuple[DataFrame, str]:
-    """As cut(), as Parquet, which compresses wide rows: the table read again, and its path for removed()."""
+def written(df: DataFrame, **options: str) -> tuple[DataFrame, str]:
+    """As cut(), as Parquet, which compresses wide rows: the table read again, and its path for removed(). options: the writer's."""
     path = os.path.join(shared_dir(df.sparkSession), f"part-of-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

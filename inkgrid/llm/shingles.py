@@ -32,13 +32,16 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def hashes_of(ws: list[bytes]) -> np.ndarray:
     if len(_words) > KNOWN_WORDS:
         _words.clear()
-    ws = words(text)
     return np.fromiter(map(_words.__getitem__, ws), np.uint64, len(ws))
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    return hashes_of(words(text))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
