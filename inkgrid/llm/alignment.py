@@ -10,7 +10,8 @@ which pairs each text holds, and how often. Blocks are written once; texts and t
 number of its texts, are added up by pair (a frequent pair comes once a block), the highest count of each first id is found (a row an
 id of the vocabulary), and each block's pairs are told their counts. A block and its answers meet in one task.
 
-What a task holds: one block with its pairs, or one text. Groups of a block are known by number, so a frequent group costs a lookup.
+What a task holds: one block with its pairs, or one text. A block keeps the paths that groups took through the transducer, each
+token a step, so a group that was seen before is known by number where its path ends. A block is closed at MOST_GROUPS groups too.
 
 Nulls: a null or empty text has no tokens, nor has a text that either vocabulary doesn't give back byte by byte: its numbers are 0 and its
 groups are ''. A null doc_id stays null. Rows stay rows; repeated ones are documents of their own, each counted. An empty table gives an
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from . import common, tokens
 
-#: Tokens of a block, of the first vocabulary, about. States with their transitions that a worker keeps.
-BLOCK, KNOWN_STATES = 3_000_000, 200_000
+#: Tokens and groups of a block, of the first vocabulary, about. States with their transitions that a worker keeps.
+BLOCK, MOST_GROUPS, KNOWN_STATES = 3_000_000, 200_000, 200_000
 
 
 class State(dict):
@@ -76,24 +77,10 @@ class Transducer:
             return self.state(side + 1, said[len(ahead) :])
         raise ValueError("the sides' bytes differ")
 
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
-        """Where groups end: how many tokens of either side stand before. Both sides have the same bytes."""
+    def tidy(self) -> None:
+        """Between texts: starts anew where there are too many states."""
         if len(self.known) > KNOWN_STATES:
             self.forget()
-        start = state = self.start
-        i, j, n, out = 0, 0, len(a), []
-        while i < n:
-            state = start[a[i]]
-            i += 1
-            while state is not start:
-                if state.lead == 1:
-                    state = state[b[j]]
-                    j += 1
-                else:
-                    state = state[a[i]]
-                    i += 1
-            out.append((i, j))
-        return out
 
 
 def byte_level_vocabulary(path: str) -> list[bytes]:
@@ -139,22 +126,50 @@ def aligner(first: str, second: str) -> Aligner:
     return _aligners[first, second]
 
 
-class Groups(dict):
-    """Groups of a block by (ids, ids): their number, how they're written, and the id pairs that they link, with repetitions."""
+class Step(dict):
+    """A place on the paths of groups: the state there, what was read since the last group's end, the steps from here by token, and,
+    where a group ends, its number."""
+
+    __slots__ = ("group", "groups", "lead", "read", "state")
+
+    def __init__(self, groups: Groups, state: State, read: tuple[tuple[int, ...], tuple[int, ...]]) -> None:
+        self.groups, self.state, self.read, self.lead = groups, state, read, state.lead
+        self.group = groups.number(read) if state is groups.start and read != ((), ()) else -1
+
+    def __missing__(self, token: int) -> Step:
+        a, b = self.read
+        to = self[token] = Step(self.groups, self.state[token], (a, (*b, token)) if self.lead == 1 else ((*a, token), b))
+        return to
 
-    def __init__(self) -> None:
+
+class Groups:
+    """Groups of a block: how they're written, and the id pairs that they link, with repetitions."""
+
+    def __init__(self, transducer: Transducer) -> None:
+        self.start = transducer.start
         self.written: list[str] = []
         self.links: list[int] = []
         self.pairs: dict[tuple[int, int], int] = {}
         self.linked: list[int] = []
+        self.root = Step(self, self.start, ((), ()))
 
-    def __missing__(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
-        self[key] = n = len(self)
-        a, b = key
+    def number(self, ids: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
+        a, b = ids
         self.written.append(",".join(map(str, a)) + "|" + ",".join(map(str, b)))
         self.links.append(len(a) * len(b))
         self.linked += [self.pairs.setdefault((x, y), len(self.pairs)) for x in a for y in b]
-        return n
+        return len(self.written) - 1
+
+    def of(self, a: list[int], b: list[int]) -> list[int]:
+        """The groups of a text in order, by number. Both sides have the same bytes."""
+        root, of_b, out = self.root, iter(b).__next__, []
+        of_a = iter(a)
+        for token in of_a:
+            step = root[token]
+            while step.group < 0:
+                step = step[of_b() if step.lead == 1 else next(of_a)]
+            out.append(step.group)
+        return out
 
 
 ROWS = "block long, ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, digests array<string>, starts binary, pairs binary, times binary, pair_a binary, pair_b binary, n_docs binary"
@@ -173,23 +188,25 @@ def _expanded(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Block:
     """Texts of a block: their numbers, and which id pairs each links."""
 
-    def __init__(self, number: int) -> None:
-        self.number, self.groups, self.size = number, Groups(), 0
+    def __init__(self, number: int, transducer: Transducer) -> None:
+        transducer.tidy()
+        self.number, self.groups, self.size = number, Groups(transducer), 0
         self.ids: list[int | None] = []
         self.n_a, self.n_b, self.digests, self.found = [], [], [], []
 
-    def add(self, doc_id: int | None, a: list[int], b: list[int], ends: list[tuple[int, int]]) -> None:
-        number, i, j, mine = self.groups, 0, 0, []
-        for x, y in ends:
-            mine.append(number[(a[i],) if x - i == 1 else tuple(a[i:x]), (b[j],) if y - j == 1 else tuple(b[j:y])])
-            i, j = x, y
+    def add(self, doc_id: int | None, a: list[int], b: list[int]) -> None:
+        mine = self.groups.of(a, b)
         self.ids.append(doc_id)
         self.n_a.append(len(a))
         self.n_b.append(len(b))
-        self.digests.append(hashlib.sha256(";".join(map(number.written.__getitem__, mine)).encode()).hexdigest() if a else "")
+        self.digests.append(hashlib.sha256(";".join(map(self.groups.written.__getitem__, mine)).encode()).hexdigest() if a else "")
         self.found.append(np.array(mine, np.int64))
         self.size += len(a) + 1
 
+    @property
+    def full(self) -> bool:
+        return self.size >= BLOCK or len(self.groups.written) >= MOST_GROUPS
+
     def row(self) -> dict:
         g, n_docs = self.groups, len(self.ids)
         sizes = np.array([x.size for x in self.found], np.int64)
@@ -197,7 +214,7 @@ class Block:
         said, owner = np.concatenate(self.found) if self.found else np.zeros(0, np.int64), np.repeat(np.arange(n_docs), sizes)
         n_links = np.bincount(owner, of_group[said], minlength=n_docs).astype(np.int64)
         # each text's groups once, with how often; then their pairs once
-        width = max(1, len(g))
+        width = max(1, len(g.written))
         held, often = np.unique(owner * width + said, return_counts=True)
         places, spread = _expanded(np.concatenate([[0], np.cumsum(of_group)]), held % width)
         n_pairs = max(1, len(g.pairs))
@@ -215,7 +232,7 @@ class Block:
 
 def blocks(texts: Iterable[tuple[int | None, str | None]], found: Aligner, first: int = 0) -> Iterator[dict]:
     """Rows of ROWS, of the texts in their order, numbered from `first`."""
-    block = Block(first)
+    block = Block(first, found.transducer)
     ids: list[int | None] = []
 
     def seen() -> Iterator[str | None]:
@@ -225,10 +242,10 @@ def blocks(texts: Iterable[tuple[int | None, str | None]], found: Aligner, first
 
     for run in tokens.in_batches(seen()):
         for text_id, (a, b) in zip(ids[: len(run)], found.encode(run), strict=True):
-            block.add(text_id, a, b, found.transducer.groups(a, b))
-            if block.size >= BLOCK:
+            block.add(text_id, a, b)
+            if block.full:
                 yield block.row()
-                block = Block(block.number + 1)
+                block = Block(block.number + 1, found.transducer)
         del ids[: len(run)]
     if block.ids:
         yield block.row()

@@ -170,6 +170,7 @@ def aligned(rows):
 @pytest.mark.parametrize("block", [3_000_000, 100])
 def test_alignment(spark, docs, monkeypatch, block):
     monkeypatch.setattr(alignment, "BLOCK", block)
+    monkeypatch.setattr(alignment, "KNOWN_STATES", block // 10)
     rows = [(i, t[:3000] if t else t) for i, t in ROWS]
     short = docs.withColumn("text", F.substring("text", 1, 3000))
     want, counts = aligned(rows)
@@ -186,20 +187,22 @@ def test_alignment_of_nothing(spark, docs):
 
 def test_transducer_carries_residuals():
     t = alignment.Transducer([b"ab", b"c", b"d"], [b"a", b"bcd", b"ab"])
-    assert t.groups([0, 1, 2, 0], [0, 1, 2]) == [(3, 2), (4, 3)]
+    groups = alignment.Groups(t)
+    assert groups.of([0, 1, 2, 0, 0], [0, 1, 2, 2]) == [0, 1, 1] and groups.written == ["0,1,2|0,1", "0|2"]
     assert t.start[0] is t.start[0] and t.start[0].residual == b"ab" and t.start[0].lead == 1
     assert t.start[0][0].residual == b"b" and t.start[0][0][1].lead == 2 and t.start[0][0][1].residual == b"cd"
     assert t.start[0][2] is t.start
     with pytest.raises(ValueError, match="differ"):
-        t.groups([0], [1])
+        groups.of([0], [1])
 
 
 def test_long_text_is_whole():
     text = "Ab cd, efg. " * 40_000
     found = alignment.aligner(A, B)
     ((a, b),) = found.encode([text])
-    ends = found.transducer.groups(a, b)
-    assert ends[-1] == (len(a), len(b)) and len(ends) > 100_000
+    block = alignment.Block(0, found.transducer)
+    block.add(1, a, b)
+    assert len(block.found[0]) > 100_000 and block.full is False and len(block.groups.written) < 100
     assert resampling.features(resampling.words(text.encode())).size == 2 * 120_000 - 1
     assert outliers.counts_and_traits(text.encode())[0][0] == 120_000
     assert np.isfinite(outliers.counts_and_traits(text.encode())[1]).all()
