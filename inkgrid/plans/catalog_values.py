@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import evidence, replies
-from ..operators import complete, grid, payload, prompts, reports, sinks
+from ..operators import complete, grid, payload, prompts, quotes, reports, sinks
 from ..sources import documents as S
 from . import catalog
 from .registry import query
@@ -160,32 +160,19 @@ def fuzzy_find(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("a", "b", evidence.occurs_column(0.2)(pattern, F.lower(F.concat("n_a", F.lit(" and "), "n_b"))).alias("found"))
 
 
-def quotes_in(texts: DataFrame, quotes: DataFrame) -> DataFrame:
-    """item_id and doc_id of each quote that stands in a text as it is.
-
-    The inner words of a quote are whole words of any text it stands in, so texts are scanned for anchors: five inner words, or
-    one in quotes of three to six. Anchors are a plan's size and sent to the scan; what they find is few pairs, which
-    meet the texts again. Only quotes of one or two words, which may stand inside a word, are looked for in every text.
-    """
-    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    q = quotes.select("item_id", F.col("text").alias("quote"), words(F.col("text")).alias("w")).where("quote <> ''")
-    width = F.when(F.size("w") >= 7, 5).when(F.size("w") >= 3, 1)
-    q = q.withColumn("width", width)
-    anchored = q.where("width is not null").select("item_id", "quote", F.xxhash64("width", F.array_join(F.slice("w", F.lit(2), F.col("width")), " ")).alias("anchor"))
-    anchors = grid.small(anchored.select("anchor").distinct())
-    runs_of = lambda w, n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.lit(n), F.array_join(F.slice(w, i, F.lit(n)), " "))))
-    w = words(F.col("text"))
-    none = F.array().cast("array<bigint>")
-    at = texts.select("doc_id", F.explode(F.array_distinct(F.concat(*(F.coalesce(runs_of(w, n), none) for n in (1, 5))))).alias("anchor"))
-    pairs = at.join(anchors, "anchor", "left_semi").join(grid.small(anchored), "anchor").select("doc_id", "item_id", "quote").distinct()
-    found = texts.select("doc_id", "text").join(grid.small(pairs), "doc_id").where(F.contains("text", "quote")).select("item_id", "doc_id")
-    short = grid.small(q.where("width is null").select("item_id", "quote"))
-    return found.union(texts.select("doc_id", "text").join(short, F.contains("text", "quote")).select("item_id", "doc_id"))
-
-
 @query("select b.item_id, d.doc_id from benchmark b, documents d where contains(d.text, b.text)")
 def citation_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes_in(S.table(spark, sf_dir, "documents").select("doc_id", "text"), S.table(spark, sf_dir, "benchmark"))
+    """Passages of the benchmark in texts, as they are."""
+    return quotes.occurrences(S.table(spark, sf_dir, "documents"), S.table(spark, sf_dir, "benchmark"), rate=None).select("item_id", "doc_id")
+
+
+@query()
+def citation_fuzzy_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of the benchmark, and its words but every thirtieth, in every text that holds it within a twentieth of edits, with its place."""
+    items = S.table(spark, sf_dir, "benchmark")
+    words = F.filter(F.split("text", " "), lambda w, i: i % 30 != 14)
+    fewer = items.select((-F.col("item_id") - 1).alias("item_id"), F.array_join(words, " ").alias("text"))
+    return quotes.occurrences(S.table(spark, sf_dir, "documents"), items.select("item_id", "text").union(fewer))
 
 
 def _quoted(spark: SparkSession, sf_dir: str, make, kind: str = "list") -> DataFrame:
@@ -222,6 +209,22 @@ def citation_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(_quoted(spark, sf_dir, make, "text"))
 
 
+#: Texts whose normalised form has a character for each of their own.
+_ONE_TO_ONE = "[^\\x20-\\x7E\\nÀ-Þà-þ]|[ \\n]{2}|^[ \\n]|[ \\n]$"
+
+
+@query(f"""with t as (select doc_id, replace(lower(text), chr(10), ' ') as told, substring(text, cast(floor(length(text) * 0.3) as bigint) + 1, 60) as q from documents where not regexp_matches(text, '{_ONE_TO_ONE}') and length(text) > 200),
+u as (select doc_id, strpos(told, replace(lower(q), chr(10), ' ')) - 1 as start, length(q) as n from t where not regexp_matches(q, '^[ \\n]|[ \\n]$'))
+select doc_id, start, start + n as "end", 0 as distance from u""")
+def citation_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where in its text a passage stands whose case was changed: for texts where SQL can say so too."""
+    t = F.col("text")
+    rows = S.table(spark, sf_dir, "documents").withColumn("q", F.substr(t, F.floor(F.length(t) * 0.3).cast("int") + 1, F.lit(60)))
+    rows = rows.where(~F.regexp_like(t, F.lit(_ONE_TO_ONE)) & (F.length(t) > 200) & ~F.regexp_like("q", F.lit(r"^[ \n]|[ \n]$")))
+    place = F.get(quotes.place_columns()(F.array(F.upper("q")), t), 0)
+    return rows.select("doc_id", place["start"].cast("bigint").alias("start"), place["end"].cast("bigint").alias("end"), place["distance"].alias("distance"))
+
+
 @query()
 def citation_ellipsis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two passages around an ellipsis: near each other and in order, in quotation marks, in the wrong order, or too far apart."""
