@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .replies import PRIMITIVE
+from .replies import PRIMITIVE, SPACE
 
 #: Fixed values of the annotation format.
 UNDECIDED = "LLM answered: non-determinable"
@@ -17,9 +17,14 @@ ELLIPSIS = r"[.]{2,}|…"
 LEAST_ELLIPSIS_CHARS = 40
 
 
+def stripped(text: Column) -> Column:
+    """A text without white space at its ends, of whatever kind."""
+    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+
+
 def ellipsis_parts(text: Column) -> Column:
     """The parts around ellipses, trimmed, empty ones left out."""
-    return F.filter(F.transform(F.split(text, ELLIPSIS), lambda p: F.trim(p)), lambda p: p != "")
+    return F.filter(F.transform(F.split(text, ELLIPSIS), lambda p: stripped(p)), lambda p: p != "")
 
 
 def long_enough(parts: Column) -> Column:
@@ -34,7 +39,7 @@ def joined_quotes(quotes: Column) -> Column:
 
 def simple_text(quotes: Column) -> Column:
     """For comparisons: quotes joined by spaces, lower case, white space collapsed."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(F.array_join(quotes, " "), F.lit(""))), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(F.array_join(quotes, " "), F.lit(""))), rf"{SPACE}+", " "))
 
 
 def n_quotes(quotes: Column) -> Column:
@@ -117,7 +122,7 @@ CITATION = "array<struct<text:string,verified:boolean>>"
 def citations(quotes: Column, checks: Column) -> Column:
     """One citation a quote that isn't blank, verified as the check at its place says (none: null)."""
     pairs = F.zip_with(quotes, checks, lambda q, v: F.struct(q.alias("text"), v.alias("verified")))
-    return F.coalesce(F.filter(pairs, lambda c: F.trim(c["text"]) != ""), F.array().cast(CITATION))
+    return F.coalesce(F.filter(pairs, lambda c: stripped(c["text"]) != ""), F.array().cast(CITATION))
 
 
 def verified_of(found: Column) -> Column:

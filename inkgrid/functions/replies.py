@@ -1,12 +1,18 @@
-"""Structured replies of a model: JSON objects, lists, fenced blocks, JSON lines, damaged lines."""
+"""Structured replies of a model: JSON objects, lists, fenced blocks, JSON lines, damaged lines.
+
+A well-formed reply is read by variant expressions (plain_results), without Python. What those don't claim, a damaged
+reply, values that are lists, objects or numbers with a point, goes through results(), which reads everything. A reply that can't be
+read at all has no results, so it spoils its group and nothing else.
+"""
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +72,16 @@ def unfenced(text: str) -> str:
     return "\n".join(rest[: bare[-1]]) if first.startswith("```") and bare else text
 
 
+def loaded(text: str) -> object:
+    """A JSON text's value; ValueError where it isn't one, is nested too deeply, or holds half a surrogate pair, which no text can."""
+    try:
+        got = json.loads(text)
+        json.dumps(got, ensure_ascii=False).encode()
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+    return got
+
+
 def tolerant(line: str) -> object:
     """JSON with single quotes, trailing commas, Python's constants or missing ends; ValueError if it can't be read."""
     text = line.strip()
@@ -97,7 +113,7 @@ def tolerant(line: str) -> object:
     text = "".join(out) + ('"' if in_string else "")
     text = re.sub(r"[,\s:]+$", "", text) + "".join(reversed(closers))
     text = re.sub(r"\bTrue\b", "true", re.sub(r"\bFalse\b", "false", re.sub(r"\bNone\b", "null", text)))
-    return json.loads(text)
+    return loaded(text)
 
 
 def repaired(line: str) -> dict | None:
@@ -128,7 +144,7 @@ def _lines(body: str) -> Iterable[object]:
     for line in body.splitlines():
         if line.strip().startswith("{"):
             try:
-                yield json.loads(line)
+                yield loaded(line)
             except ValueError:
                 yield repaired(line)
 
@@ -136,7 +152,7 @@ def _lines(body: str) -> Iterable[object]:
 def _items(text: str) -> Iterable[object]:
     body = unfenced(text)
     try:
-        whole = json.loads(body)
+        whole = loaded(body)
     except ValueError:
         return _lines(body)
     found = whole.get("results") if isinstance(whole, dict) and "results" in whole else whole
@@ -145,25 +161,152 @@ def _items(text: str) -> Iterable[object]:
     return [] if found is not whole else _lines(body)
 
 
+def _whole_number(x: object) -> int | None:
+    """A number without what follows its point, if it's one that 32 bits hold."""
+    if not isinstance(x, (int, float)) or isinstance(x, bool) or x != x or abs(x) >= 2**31:
+        return None
+    return int(x)
+
+
 def results(text: str | None, keys: Iterable[str]) -> list[dict]:
-    """One result for each key asked for, in order; the last of several answers counts, a missing one is an error."""
-    got = {x["key"]: x for x in _items(text or "") if isinstance(x, dict) and x.get("key")}
+    """One result for each key asked for, in order; the last of several answers counts, a missing one is an error. A key that isn't a text is none."""
+    got = {x["key"]: x for x in _items(text or "") if isinstance(x, dict) and isinstance(x.get("key"), str) and x["key"]}
     out = []
     for key in keys:
         x = got.get(key)
         value = (x or {}).get("value")
         cited, kind = cited_of((x or {}).get("cited_text"))
-        confidence = (x or {}).get("confidence")
         out.append({
             "key": key, "value_json": None if x is None else json.dumps(value, ensure_ascii=False), "value": value_of(value), "cited": cited, "cited_kind": kind, "comment": str((x or {}).get("comment") or ""),
-            "confidence": int(confidence) if isinstance(confidence, (int, float)) and not isinstance(confidence, bool) else None, "parse_error": MISSING.format(key=key) if x is None else None,
+            "confidence": _whole_number((x or {}).get("confidence")), "parse_error": MISSING.format(key=key) if x is None else None,
         })
     return out
 
 
 @F.pandas_udf(T.ArrayType(RESULT))
-def results_column(text: pd.Series, keys: pd.Series) -> pd.Series:
-    return pd.Series([results(t, list(k) if k is not None else []) for t, k in zip(text, keys, strict=True)])
+def _results(text: pd.Series, keys: pd.Series) -> pd.Series:
+    """Of texts that aren't null."""
+    return pd.Series([None if t is None else results(t, list(k) if k is not None else []) for t, k in zip(text, keys, strict=True)], dtype=object)
+
+
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once."""
+    return F.get(F.transform(F.array(x), f), 0)
+
+
+#: Python's white space, and its ends of lines but for the line feed.
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+_LINE_ENDS = r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+def _kind(v: Column) -> Column:
+    """STRING, BIGINT, ..., ARRAY, OBJECT of a variant; null of none."""
+    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+
+
+def _field(v: Column, name: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(v, f"$.{name}", kind)
+
+
+def _parsed(body: Column) -> Column:
+    """The variant of a JSON text; null where it isn't one, or where anything follows it: inside brackets of either kind it's one value."""
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))), "$", "array<variant>")
+    named = F.try_parse_json(F.concat(F.lit('{"w":'), body, F.lit("}")))
+    return let(listed, lambda x: F.when((F.size(x) == 1) & named.isNotNull(), F.get(x, 0)))
+
+
+def _body(text: Column) -> Column:
+    """unfenced(), for texts whose only ends of lines are line feeds."""
+    bare = F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+    inside = F.regexp_extract(bare, r"(?s)^```[^\n]*\n((?:.*\n)?)[ \t]*```[ \t]*(?:\n.*)?$", 1)
+    return F.when(F.regexp_like(bare, F.lit(r"(?s)^```[^\n]*\n(?:.*\n)?[ \t]*```[ \t]*(?:\n.*)?$")), inside).otherwise(text)
+
+
+def _plain_items(body: Column) -> Column:
+    """The items of a well-formed reply: a list, an object with a list of results, or an object a line; null: not one of these."""
+    none = F.array().cast("array<variant>")
+    lines = F.filter(F.split(body, "\n"), lambda x: F.regexp_like(x, F.lit(r"[^ \t]")))
+    objects = F.transform(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"^[ \t]*\{"))), lambda x: _parsed(x))
+    of_lines = let(objects, lambda o: F.when((F.size(o) == F.size(lines)) & F.forall(o, lambda v: v.isNotNull()), o))
+
+    def of_whole(v: Column) -> Column:
+        found = _field(v, "results")
+        return (
+            F.when(F.size(lines) == 0, none)
+            .when(_kind(v) == "ARRAY", F.try_variant_get(v, "$", "array<variant>"))
+            .when((_kind(v) == "OBJECT") & found.isNotNull(), F.when(_kind(found) == "ARRAY", F.try_variant_get(v, "$.results", "array<variant>")))
+            .when(v.isNull() & (F.size(lines) < 2), F.lit(None)).otherwise(of_lines)
+        )
+
+    return let(_parsed(body), of_whole)
+
+
+def _plain_value(x: Column) -> Column:
+    """VALUE and the token of an item's value; null where they take Python."""
+    v = _field(x, "value")
+    kind, token = _kind(v), F.to_json(v)
+    text = F.try_variant_get(v, "$", "string")
+    truth = F.when(kind == "STRING", text != "").when(kind == "BOOLEAN", text == "true").otherwise(text != "0")
+    said = F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+    shown = F.when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").otherwise("number")
+    pack = lambda kind_, said_, truth_, token_: F.struct(F.struct(kind_.alias("kind"), said_.alias("said"), F.lit(None).cast("array<string>").alias("items"), truth_.alias("truth")).alias("value"), token_.alias("token"))
+    none = F.lit(None).cast("string")
+    return F.when(v.isNull() | (kind == "VOID"), pack(F.lit("null"), none, F.lit(None).cast("boolean"), F.lit("null"))).when(kind.isin("STRING", "BOOLEAN", "BIGINT"), pack(shown, said, truth, token))
+
+
+def _plain_cited(x: Column) -> Column:
+    """An item's quotes and how they came; null where they take Python."""
+    v, none = _field(x, "cited_text"), F.array().cast("array<string>")
+    kind, text, several = _kind(v), F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "array<variant>")
+    is_marker = lambda q: F.regexp_like(q, F.lit(rf"^{SPACE}*\Q{NO_DIRECT_QUOTE}\E{SPACE}*$"))
+    pack = lambda quotes, how: F.struct(quotes.alias("cited"), F.lit(how).alias("kind"))
+    listed = F.transform(several, lambda q: F.coalesce(F.try_variant_get(q, "$", "string"), F.lit("")))
+    return (
+        F.when(v.isNull() | kind.isin("VOID") | ((kind == "BOOLEAN") & (text == "false")), pack(none, "text"))
+        .when(kind == "STRING", F.when(text == "", pack(none, "text")).when(is_marker(text), pack(none, "none")).otherwise(pack(F.array(text), "text")))
+        .when((kind == "ARRAY") & F.forall(several, lambda q: _kind(q).isin("STRING", "VOID")), F.when((F.size(listed) == 1) & is_marker(F.get(listed, 0)), pack(none, "none")).otherwise(pack(listed, "list")))
+    )
+
+
+def _plain_result(key: Column, x: Column) -> Column:
+    """RESULT of a key and its item (null: none); null where it takes Python."""
+    comment, sure = _field(x, "comment"), _field(x, "confidence")
+    said = F.when(comment.isNull() | (_kind(comment) == "VOID"), "").when(_kind(comment) == "STRING", F.try_variant_get(comment, "$", "string")).when((_kind(comment) == "BOOLEAN") & (F.try_variant_get(comment, "$", "string") == "false"), "")
+    number = F.when(_kind(sure).isin("BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get(sure, "$", "double"))
+    confidence = F.when(F.abs(number) < 2**31, F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("int"))
+    none = F.lit(None).cast("string")
+
+    def of(value: Column, cited: Column) -> Column:
+        fields = {"key": key, "value_json": value["token"], "value": value["value"], "cited": cited["cited"], "cited_kind": cited["kind"], "comment": said, "confidence": confidence, "parse_error": none}
+        return F.when(value.isNotNull() & cited.isNotNull() & said.isNotNull(), F.struct(*(fields[f.name].cast(f.dataType).alias(f.name) for f in RESULT)))
+
+    empty = F.array().cast("array<string>")
+    nothing = F.struct(F.lit("null").alias("kind"), none.alias("said"), empty.alias("items"), F.lit(None).cast("boolean").alias("truth"))
+    missed = {"key": key, "value_json": none, "value": nothing.withField("items", F.lit(None).cast("array<string>")), "cited": empty, "cited_kind": F.lit("text"), "comment": F.lit(""), "confidence": none.cast("int"), "parse_error": F.concat(F.lit("key '"), key, F.lit("' not found in pass-2 output"))}
+    simple_name = F.regexp_like(key, F.lit(r"^[ -&(-\[\]-~\p{L}]*$"))
+    lost = F.when(simple_name, F.struct(*(missed[f.name].cast(f.dataType).alias(f.name) for f in RESULT)))
+    return F.when(x.isNull(), lost).otherwise(let(F.struct(_plain_value(x).alias("v"), _plain_cited(x).alias("c")), lambda p: of(p["v"], p["c"])))
+
+
+def plain_results(text: Column, keys: Column) -> Column:
+    """results() of a well-formed reply as variant expressions, without Python; null where it takes Python."""
+    given = F.coalesce(text, F.lit(""))
+    odd = F.regexp_like(given, F.lit(rf"{_LINE_ENDS}|\\u[dD][89a-fA-F]"))
+
+    def of_items(items: Column) -> Column:
+        named = F.filter(items, lambda x: (_kind(x) == "OBJECT") & (_kind(_field(x, "key")) == "STRING"))
+        mine = lambda k: F.try_element_at(F.filter(named, lambda x: _field(x, "key", "string") == k), F.lit(-1))
+        found = F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.when(k != "", _plain_result(k, mine(k))))
+        return let(found, lambda r: F.when(items.isNotNull() & F.forall(r, lambda one: one.isNotNull()), r))
+
+    return F.when(~odd, let(_body(given), lambda body: let(_plain_items(body), of_items)))
+
+
+def with_results(rows: DataFrame, text: Column, keys: Column, into: str = "results") -> DataFrame:
+    """rows with an array of RESULT, one for each key. Python sees the texts that plain_results leaves, and none where it leaves none."""
+    rows = rows.withColumn("__plain", plain_results(text, keys))
+    left = F.col("__plain").isNull()
+    return rows.withColumn(into, F.coalesce("__plain", _results(F.when(left, F.coalesce(text, F.lit(""))), F.when(left, keys)))).drop("__plain")
 
 
 @F.pandas_udf(T.StringType())

@@ -180,8 +180,8 @@ def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select doc_id as paper_id, key, case when key = 'quality' then cast(quality as varchar) when toxic = 1 then '1' end as value_json, case when key = 'toxic' and toxic = 0 then 'key ''toxic'' not found in pass-2 output' end as parse_error from labels, (values ('quality'), ('toxic')) k(key)")
 def parse_results_fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = F.explode(replies.results_column(F.col("reply"), F.array(F.lit("quality"), F.lit("toxic")))).alias("r")
-    return _replies(spark, sf_dir).select(F.col("doc_id").alias("paper_id"), got).select("paper_id", "r.key", "r.value_json", "r.parse_error")
+    rows = replies.with_results(_replies(spark, sf_dir), F.col("reply"), F.array(F.lit("quality"), F.lit("toxic")))
+    return rows.select(F.col("doc_id").alias("paper_id"), F.explode("results").alias("r")).select("paper_id", "r.key", "r.value_json", "r.parse_error")
 
 
 @query("select event_id, case event_id % 3 when 0 then 'true' when 1 then json_extract_string(props, '$.k') end as found from events")

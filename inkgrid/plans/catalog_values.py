@@ -89,8 +89,8 @@ _MISSED = _sql(replies.MISSING.format(key="a"))
 
 
 def _read(spark: SparkSession, sf_dir: str, texts: list[str]) -> DataFrame:
-    got = F.get(replies.results_column(F.col("text"), F.array(F.lit("a"))), 0)
-    return _case(spark, sf_dir, texts).withColumn("r", got).select("event_id", "r.*")
+    rows = replies.with_results(_case(spark, sf_dir, texts), F.col("text"), F.array(F.lit("a")))
+    return rows.withColumn("r", F.get("results", 0)).select("event_id", "r.*")
 
 
 REPAIRS = [
@@ -105,6 +105,20 @@ def repair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, REPAIRS).select("event_id", "value_json", "parse_error")
 
 
+#: Replies that hold what no answer may: each with the token read for the key a, null where its group is spoiled, and its confidence.
+ODD = [
+    ('{"key":["a"],"value":K}', None, None), ('[{"key":{"x":1},"value":1},{"key":"a","value":2}]', "2", None), ('{"key":null,"value":1}', None, None), ('[7,null,"x",[],{"key":"a","value":true}]', "true", None),
+    ('{"key":"a","value":1,"confidence":NaN}', "1", None), ('{"key":"a","value":1,"confidence":Infinity}', "1", None), ('{"key":"a","value":1,"confidence":3000000000}', "1", None), ('{"key":"a","value":1,"confidence":-2.9}', "1", "-2"),
+    ("[" * 1200, None, None), ('{"key":"a","value":' + "[" * 1200 + "]" * 1200 + "}", "[" * 1200 + "]" * 1200, None), ('{"key":"a","value":"\\ud800"}', None, None), ('{"key":"a","value":"\\ud83d\\ude00"}', '"😀"', None), ('{"key":"a","value":1,"value":3}', "3", None),
+]
+
+
+@query(f"select event_id, case when event_id % {len(ODD)} <> 9 then c.value else repeat('[', 1200) || repeat(']', 1200) end as value_json, c.sure as confidence, c.value is null as spoiled from events join {_dealt([(v if i != 9 else 'long', c) for i, (_, v, c) in enumerate(ODD)], 'value, sure')} on event_id % {len(ODD)} = m")
+def odd_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that are lists, constants that JSON lacks, nesting without end, halves of characters: a spoiled group at most, never a failed job."""
+    return _read(spark, sf_dir, [r for r, _, _ in ODD]).select("event_id", "value_json", F.col("confidence").cast("string").alias("confidence"), F.col("parse_error").isNotNull().alias("spoiled"))
+
+
 FENCED = ['```json\n[{"key":"a","value":K}]\n```', '```json\n[\n```\n{"key":"a","value":K}\n```', '```json\n{"key":"a","value":K}', '```json\n[{"key":"a","value":K}]\n``` done']
 
 
@@ -128,7 +142,7 @@ def cited_text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing keys spoil their group, and say so."""
     one, two = '{"key":"a","value":K}', '{"key":"b","value":K}'
-    rows = _case(spark, sf_dir, ["nothing", one, f"{one}\n{two}"]).withColumn("r", replies.results_column(F.col("text"), F.array(F.lit("a"), F.lit("b"))))
+    rows = replies.with_results(_case(spark, sf_dir, ["nothing", one, f"{one}\n{two}"]), F.col("text"), F.array(F.lit("a"), F.lit("b")), "r")
     return rows.select("event_id", F.size(replies.failed_keys(F.col("r"))).cast("bigint").alias("n_failed"), replies.extraction_error(F.col("r")).alias("detail"))
 
 
