@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from . import common, tokens
 
 #: Tokens and groups of a block, of the first vocabulary, about. States with their transitions that a worker keeps.
-BLOCK, MOST_GROUPS, KNOWN_STATES = 3_000_000, 200_000, 200_000
+BLOCK, MOST_GROUPS, KNOWN_STATES = 1_500_000, 200_000, 200_000
+#: Of the words whose ids a worker keeps.
+KNOWN_BYTES = 40_000_000
 
 
 class State(dict):
@@ -100,11 +102,16 @@ class Aligner:
     def __init__(self, first: str, second: str) -> None:
         import sentencepiece
 
-        self.encoder = tokens.encoder(first, specials_as_text=True)
+        self.encoder = tokens.Encoder(first, specials_as_text=True, known_bytes=KNOWN_BYTES)
         self.processor = sentencepiece.SentencePieceProcessor(model_file=second)
         self.bytes = byte_level_vocabulary(first), piece_vocabulary(self.processor)
         self.transducer = Transducer(*self.bytes)
 
+    def forget(self) -> None:
+        """Frees what this worker knows of words and residuals, at the end of a task."""
+        self.encoder.forget()
+        self.transducer.forget()
+
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """The ids of either side; none where a text is empty or a side's bytes are others than a space and the text."""
         first, second = self.bytes[0].__getitem__, self.bytes[1].__getitem__
@@ -256,8 +263,10 @@ def _aligned(first: str, second: str):
         from pyspark import TaskContext
 
         texts = (x for b in batches for x in zip(b.column("doc_id").to_pylist(), map(pa.StringScalar.as_py, b.column("text")), strict=True))
-        for row in blocks(texts, aligner(first, second), TaskContext.get().partitionId() << 32):
+        found = aligner(first, second)
+        for row in blocks(texts, found, TaskContext.get().partitionId() << 32):
             yield pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
+        found.forget()
 
     return run
 

@@ -63,9 +63,11 @@ class _Lists:
 
 
 class Encoder:
-    """specials_as_text: whether the vocabulary's special tokens, where they stand in a text, are ordinary text (the library's default: no)."""
+    """specials_as_text: whether the vocabulary's special tokens, where they stand in a text, are ordinary text (the library's default: no).
+    known_bytes: as KNOWN_BYTES."""
 
-    def __init__(self, path: str, specials_as_text: bool = False) -> None:
+    def __init__(self, path: str, specials_as_text: bool = False, known_bytes: int = KNOWN_BYTES) -> None:
+        self.known_bytes = known_bytes
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -78,9 +80,9 @@ class Encoder:
         self.cut = _CUTS["word" if self.drops_space else "byte"]
         added = [] if specials_as_text else [re.escape(x["content"]) for x in spec.get("added_tokens") or []]
         self.special = re.compile("|".join(added), re.IGNORECASE) if added else None
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.words, self.pieces, self.of_word, self.of_piece, self.bytes = _Numbered(), _Numbered(), _Lists(), _Lists(), 0
 
     def _learn(self) -> None:
@@ -106,8 +108,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, uint32."""
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
-        if self.bytes > KNOWN_BYTES:
-            self._forget()
+        if self.bytes > self.known_bytes:
+            self.forget()
         number, owner, counts, parts, odd = self.words.__getitem__, [], [], [], []
         for i, text in enumerate(texts):
             if not text:
