@@ -150,14 +150,17 @@ class BatchPending(Exception):
     """A batch isn't ready; a later call with the same key goes on with it."""
 
 
-def park_or_collect(state: MutableMapping[str, str], key: str, submit: Callable[[], str], poll: Callable[[str], str], collect: Callable[[str], DataFrame]) -> DataFrame:
-    """Submits a batch once, asks for it once a call; its key stays while it runs and goes when it's done or has failed."""
+def park_or_collect(state: MutableMapping[str, str], key: str, submit: Callable[[], str], poll: Callable[[str], str], collect: Callable[[str], DataFrame], keep: bool = False) -> DataFrame:
+    """Submits a batch once, asks for it once a call; its key stays while it runs and goes when it has failed or is done, unless keep says that the
+    caller takes it away once it has kept the results."""
     if key not in state:
         state[key] = submit()
-    status = poll(state[key])
+    batch = state[key]
+    status = poll(batch)
     if status == "running":
-        raise BatchPending(f"batch {state[key]} is running")
-    batch = state.pop(key)
+        raise BatchPending(f"batch {batch} is running")
+    if status == "failed" or not keep:
+        del state[key]
     if status == "failed":
         raise RuntimeError(f"batch {batch} failed")
     return collect(batch)
@@ -180,9 +183,34 @@ def provider_of(name: str, known: dict[str, Callable[[], BatchProvider]]) -> Bat
     return known[name.lower()]()
 
 
-def batched(state: MutableMapping[str, str], key: str, provider: BatchProvider, lines: DataFrame) -> DataFrame:
+def batched(state: MutableMapping[str, str], key: str, provider: BatchProvider, lines: DataFrame, keep: bool = False) -> DataFrame:
     """A batch's results, once it is done; before, BatchPending is raised and the next call with the key goes on."""
-    return park_or_collect(state, key, lambda: provider.submit(lines), provider.poll, provider.collect)
+    return park_or_collect(state, key, lambda: provider.submit(lines), provider.poll, provider.collect, keep)
+
+
+def without(rows: DataFrame, error: str) -> DataFrame:
+    """rows with a completion that is an error."""
+    none = lambda kind: F.lit(None).cast(kind)
+    return rows.withColumn("completion", F.struct(none("string").alias("text"), none(USAGE).alias("usage"), none("string").alias("cost"), none("bigint").alias("latency_ms"), F.lit(error).alias("error")))
+
+
+def with_batch_results(rows: DataFrame, results: DataFrame, provider: str, model: str, prices: DataFrame | None = None) -> DataFrame:
+    """rows with completion, by a batch's results (cid, text, error, and counts of tokens that it tells); a cid without one is an error."""
+    n = lambda c: (F.coalesce(F.col(c), F.lit(0)) if c in results.columns else F.lit(0)).cast("bigint")
+    told = results.select("cid", "text", "error", n("input_tokens").alias("input_tokens"), n("output_tokens").alias("output_tokens"), n("cached_tokens").alias("cached_tokens"))
+    told = told.withColumns({"provider": F.lit(provider), "model": F.lit(model)})
+    told = told.withColumn("cost", F.lit(None).cast("string")) if prices is None else batch_cost(told, prices)
+    usage = F.struct("input_tokens", "output_tokens", "cached_tokens", (F.col("input_tokens") + F.col("output_tokens")).alias("total_tokens"))
+    said = told.select("cid", F.struct("text", usage.cast(USAGE).alias("usage"), "cost", F.lit(None).cast("bigint").alias("latency_ms"), "error").alias("__c"))
+    lost = without(rows.limit(0), "").schema["completion"].dataType
+    nothing = F.struct(*(F.lit("no result in the batch" if f.name == "error" else None).cast(f.dataType).alias(f.name) for f in lost))
+    return rows.join(said, "cid", "left").withColumn("completion", F.coalesce("__c", nothing)).drop("__c")
+
+
+def submitted_lines(lines: DataFrame, path: str) -> str:
+    """Writes a batch's request lines (column value) as text files; the path that a provider uploads."""
+    lines.select("value").write.text(path)
+    return path
 
 
 def worth_warming(*, cache: bool, cache_first: str, n_requests: int, provider: str, submitted: bool) -> bool:

@@ -93,6 +93,12 @@ def cached(messages: Column, provider: Column, enabled: Column, ttl: Column) ->
     return F.when(able, marked).otherwise(messages)
 
 
+def warming(messages: Column) -> Column:
+    """Messages that write a shared start into the provider's cache: the last one, which is a paper's own, is a placeholder."""
+    block = F.array(F.struct(F.lit("warmup").alias("text"), F.lit(None).cast("string").alias("cache_ttl")))
+    return F.transform(messages, lambda m, i: F.when(i == F.size(messages) - 1, F.struct(m["role"].alias("role"), block.alias("blocks"))).otherwise(m))
+
+
 def flat(messages: Column) -> Column:
     """Role and text of each message, for previews."""
     return F.array_join(F.transform(messages, lambda m: F.concat(F.lit("["), m["role"], F.lit("]\n"), F.array_join(F.transform(m["blocks"], lambda b: b["text"]), ""))), "\n\n")

@@ -44,5 +44,5 @@ def run_pass1(table: state.StateTable, runs: DataFrame, disputes: DataFrame, sou
 run_pass2, reformat = engine.run_pass2, engine.reformat
 
 
-def repost(table: state.StateTable, questions: DataFrame, hooks: engine.Hooks, run_ids: list[int] | None = None) -> list[str]:
+def repost(table: state.StateTable, questions: DataFrame, hooks: engine.Hooks, run_ids: list[int] | None = None) -> DataFrame | None:
     return engine.repost_all(table, questions, hooks, run_ids=run_ids, kind="resolution")

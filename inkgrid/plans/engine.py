@@ -9,13 +9,16 @@ Cells are planned by their keys alone; texts are joined last, and only to groups
 
 from __future__ import annotations
 
+import json
 import logging
 import math
+import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping, MutableMapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -48,6 +51,11 @@ class Task:
     format_: Model = format_dummy
     system: str | None = None
     without: str | None = None
+    #: Whether groups are a plan's, known beforehand; groups that follow from stored rows are joined as adaptive execution sees fit.
+    planned: bool = True
+
+    def sent(self, groups: DataFrame) -> DataFrame:
+        return grid.small(groups) if self.planned else groups
 
     @property
     def of_paper(self) -> list[str]:
@@ -78,7 +86,7 @@ def pass2(done: DataFrame, task: Task) -> DataFrame:
     by = [*task.of_paper, "group_idx"]
     spec = F.concat(F.lit("- "), F.col("key"), F.lit(" ("), F.col("question_type"), F.lit(")"))
     specs = task.groups.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("pos", spec.alias("t")))).alias("s"))
-    asked = done.join(grid.small(specs.select(*by, F.col("s.t").alias("specs"))), by)
+    asked = done.join(task.sent(specs.select(*by, F.col("s.t").alias("specs"))), by)
     asked = asked.withColumn("messages", prompts.pass2_messages(F.coalesce("pass1_text", F.lit("")), F.col("specs"))).drop("specs")
     return task.format_(asked)
 
@@ -106,7 +114,7 @@ def answers(formatted: DataFrame, task: Task, *, check: bool = True) -> DataFram
     by = [*task.of_paper, "group_idx"]
     more = [c for c in ("dispute_item_id",) if c in task.groups.columns]
     q = task.groups.select(*by, "pos", "version_id", "key", "question_type", "allow_multiple", F.transform("options", lambda o: o["value"]).alias("valid"), *more)
-    each = payload.attributed(each.join(grid.small(q), [*by, "pos"]))
+    each = payload.attributed(each.join(task.sent(q), [*by, "pos"]))
     bad = F.coalesce("failed", "spoiled")
     answer = C.map_value(F.col("question_type"), F.col("allow_multiple"), F.col("result.value"), F.coalesce("valid", F.array().cast("array<string>")))
     each = each.withColumn("answer", F.when(bad.isNull(), answer).otherwise(C.mapped(F.lit("error"), bad)))
@@ -143,11 +151,11 @@ def _without_text(lost: DataFrame, kind: str) -> DataFrame:
     return lost.select("run_id", "paper_id", "version_id", F.lit("done").alias("status"), payload.error_json(F.lit(payload.NO_TEXT), kind).alias("payload_json"), none.alias("batch_group_id"), none.alias("error"), *more)
 
 
-def perform(runs: DataFrame, papers: DataFrame, source_text: DataFrame, task: Task, *, states: DataFrame | None = None, checkpoint: Checkpoint | None = None, chunk: int = 0, note_lost: bool = True) -> DataFrame:
+def perform(runs: DataFrame, papers: DataFrame, source_text: DataFrame, task: Task, *, states: DataFrame | None = None, checkpoint: Checkpoint | None = None, chunk: int = 0, ask: bool = True, note_lost: bool = True) -> DataFrame:
     """Rows to keep of all groups that aren't complete. Papers without a text get error rows, unless they're complete (or note_lost says no)."""
     have, none = grid.with_source(papers, source_text, task.config["text_source"])
     asked = calls(runs, have, task, states=states)
-    reasoned = checkpoint.through(asked, chunk, task.reason) if checkpoint else pass1(asked, task.reason)
+    reasoned = checkpoint.through(asked, chunk, task.reason, ask) if checkpoint else pass1(asked, task.reason)
     done = kept(answers(pass2(reasoned, task), task), task.kind)
     if not note_lost:
         return done
@@ -176,11 +184,13 @@ class Checkpoint:
                 raise
             return None
 
-    def through(self, asked: DataFrame, chunk: int, reason: Model) -> DataFrame:
-        """asked with p1 and pass1_text: those that the table has (by cid, as asked for now), and those that are asked for now, which it has afterwards."""
+    def through(self, asked: DataFrame, chunk: int, reason: Model, ask: bool = True) -> DataFrame:
+        """asked with p1 and pass1_text: those that the table has (by cid, as asked for now), and those that are asked for now, which it has
+        afterwards. ask False: only those that it has."""
         known = self.read(asked, chunk)
         rest = asked if known is None else asked.join(known.select("cid"), "cid", "left_anti")
-        pass1(rest, reason).where("pass1_text is not null and p1.error is null").select("cid", "p1", "pass1_text").write.mode("append").parquet(self.at(chunk))
+        if ask:
+            pass1(rest, reason).where("pass1_text is not null and p1.error is null").select("cid", "p1", "pass1_text").write.mode("append").parquet(self.at(chunk))
         told = self.read(asked, chunk)
         kind = reason(asked.limit(0)).schema["completion"].dataType
         if told is None:
@@ -188,18 +198,122 @@ class Checkpoint:
         return asked.join(told, "cid", "left")
 
 
+# -- calls: what a run's settings say of them
+
+
+def options(config: Mapping, number: int) -> dict:
+    """What a call of pass 1 or 2 is asked with beside its messages; settings that are unset are left out, a pass's own params win."""
+    if number == 1:
+        said = {"temperature": config["temperature"], "reasoning_effort": config["reasoning_effort"], **config["model_params"]}
+    else:
+        said = {"provider": config["format_model_provider"], "model": config["format_model"], "temperature": config["format_temperature"]}
+        said |= {"response_schema": replies.REPLY_SCHEMA if config["format_structured_output"] else None, **config["format_model_params"]}
+    said |= {"timeout": config["request_timeout"], "drop_params": config["drop_params"] or None}
+    return {k: v for k, v in said.items() if v is not None}
+
+
+def marked(rows: DataFrame, config: Mapping, provider: str) -> DataFrame:
+    """rows with messages marked for the provider's prompt cache, if the run says so."""
+    return rows.withColumn("messages", prompts.cached(F.col("messages"), F.lit(provider), F.lit(bool(config["cache"])), F.lit(config["cache_ttl"])))
+
+
+def online(call: Callable[[dict], dict], config: Mapping, number: int, provider: str = "", *, probe: bool = True, tasks: int = 1) -> Model:
+    """The model of a pass by a callable of cid, messages and options. The run's concurrency and rpm hold for all `tasks` together; the first
+    call is made alone if probe says so, and a failing one is the only one."""
+    asked_with = options(config, number)
+    how = {"rpm": config["rpm"], "concurrency": config["concurrency"], "tasks": tasks}
+
+    def model(rows: DataFrame) -> DataFrame:
+        rows = marked(rows, config, provider) if number == 1 else rows
+        return (complete.probed if probe else complete.complete)(rows, lambda row: call(row | {"options": asked_with}), **how)
+
+    return model
+
+
+@dataclass
+class Batches:
+    """Asynchronous batches: a provider by name, the ids of those that were submitted, the model, and the call that warms a prompt cache.
+
+    A chunk's batch is submitted once and asked for once a run; while it isn't done its chunk is parked and the others go on. Its id is
+    forgotten once its results are kept, so a lost driver asks for them again instead of paying twice.
+    """
+
+    jobs: MutableMapping[str, str]
+    providers: dict[str, Callable[[], complete.BatchProvider]]
+    provider: str
+    model: str
+    warm: Callable[[dict], object] | None = None
+    prices: DataFrame | None = None
+
+    def key(self, run_id: int, number: int, chunk: int) -> str:
+        return f"{run_id}:p{number}:{chunk}"
+
+    def of(self, config: Mapping, number: int, key: str) -> Model:
+        provider = (config["format_model_provider"] if number == 2 else None) or self.provider
+        name = (config["format_model"] if number == 2 else None) or self.model
+        params = {k: v for k, v in options(config, number).items() if k not in ("temperature", "timeout", "drop_params", "provider", "model", "response_schema")}
+        schema = {"type": "json_schema", "json_schema": {"name": "results", "schema": replies.REPLY_SCHEMA}} if number == 2 and config["format_structured_output"] and provider != "anthropic" else None
+
+        def body(messages: Column, cid: Column, **more) -> Column:
+            return prompts.request_body(cid, messages, F.lit(name), provider, number=number, temperature=config["temperature" if number == 1 else "format_temperature"], params=params | more, response_format=schema)
+
+        def warm(rows: DataFrame) -> None:
+            first = rows.orderBy("cid").limit(1).select(body(prompts.warming(F.col("messages")), F.concat(F.col("cid"), F.lit("-prewarm")), max_tokens=0)).first()[0]
+            complete.warmed(lambda: self.warm(json.loads(first)["params"]))
+
+        def model(rows: DataFrame) -> DataFrame:
+            few = rows.select("cid").limit(2).count()
+            if not few:
+                return complete.without(rows, "nothing to ask")
+            asked = marked(rows, config, provider) if number == 1 else rows
+            if number == 1 and self.warm and complete.worth_warming(cache=config["cache"], cache_first=config["cache_first"], n_requests=few, provider=provider, submitted=key in self.jobs):
+                warm(asked)
+            got = complete.batched(self.jobs, key, complete.provider_of(provider, self.providers), asked.select(body(F.col("messages"), F.col("cid")).alias("value")), keep=True)
+            return complete.with_batch_results(rows, got, provider, name, self.prices)
+
+        return model
+
+
 # -- a run by chunks: plan, ask, keep, post, tell
 
+#: Tables dealt by chunk have a folder for so many chunks.
+CHUNKS_A_SLOT = 32
+
+
+class Dealt:
+    """Tables dealt by their column chunk and written once, so that a chunk reads its own rows, whatever else there is. They go with close()."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path, self.files, self.schemas = spark, path, state.Files(spark, path), {}
+
+    def put(self, name: str, rows: DataFrame) -> None:
+        rows = rows.withColumn("slot", F.floor(F.col("chunk") / CHUNKS_A_SLOT))
+        rows.repartitionByRange("slot", "chunk").sortWithinPartitions("slot", "chunk").write.partitionBy("slot").parquet(f"{self.path}/{name}")
+        self.schemas[name] = rows.drop("slot").schema
+
+    def of(self, name: str, chunk: int) -> DataFrame:
+        slot = f"slot={chunk // CHUNKS_A_SLOT}"
+        if slot not in self.files.names(name):
+            return self.spark.createDataFrame([], self.schemas[name]).drop("chunk")
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.path}/{name}/{slot}").where(F.col("chunk") == chunk).drop("chunk")
+
+    def close(self) -> None:
+        self.files.remove("")
+
 
 @dataclass
 class Hooks:
-    """What a run calls outside: report (a heartbeat, as a dict), cancelled, send (a bulk endpoint) or dry_run, which posts nothing."""
+    """What a run calls outside: report (a heartbeat, as a dict), cancelled, send (a bulk endpoint) or dry_run, which posts nothing.
+
+    cancelled is asked before each chunk, and while one runs every watch_seconds (0: not then); a chunk that is running is interrupted.
+    """
 
     report: Callable[[dict], None] | None = None
     cancelled: Callable[[], bool] | None = None
     send: sinks.Send | None = None
     dry_run: bool = False
     saved: Callable[[DataFrame], None] | None = None
+    watch_seconds: float = 0.0
 
     def tell(self, **beat: object) -> None:
         """A heartbeat, without what is None. A reporter that fails is no reason to stop."""
@@ -210,9 +324,43 @@ class Hooks:
                 LOG.warning("heartbeat failed: %s", complete.error_text(e))
 
 
+class Cancelled(Exception):
+    """A chunk was interrupted: nothing of it is kept but what was appended before."""
+
+
+@contextmanager
+def interruptible(spark: SparkSession, hooks: Hooks) -> Iterator[None]:
+    """Jobs inside are cancelled, and Cancelled is raised, once hooks.cancelled says so."""
+    if not hooks.cancelled or hooks.watch_seconds <= 0:
+        yield
+        return
+    sc, tag, over, hit = spark.sparkContext, f"inkgrid-{uuid.uuid4().hex}", threading.Event(), threading.Event()
+
+    def watch() -> None:
+        while not over.wait(hooks.watch_seconds):
+            if hit.is_set() or hooks.cancelled():
+                hit.set()
+                sc.cancelJobsWithTag(tag)  # again and again: the next job of the chunk has the tag too
+
+    watching = threading.Thread(target=watch, daemon=True)
+    sc.addJobTag(tag)
+    watching.start()
+    try:
+        yield
+    except Exception as e:
+        if hit.is_set():
+            raise Cancelled from e
+        raise
+    finally:
+        over.set()
+        watching.join()
+        sc.removeJobTag(tag)
+
+
 @dataclass
 class Outcome:
-    """Of a run: its status (succeeded, failed, canceled), cells in all, those with a row now, those with an error, and groups without pass-1 text."""
+    """Of a run: its status (succeeded, failed, canceled, parked), cells in all, those with a row now, those with an error, groups without
+    pass-1 text, chunks that wait for a batch, and what a dry run would post (run, line)."""
 
     run_id: int
     status: str
@@ -220,14 +368,24 @@ class Outcome:
     done: int = 0
     errors: int = 0
     failed: int = 0
-    lines: list[str] = field(default_factory=list)
+    parked: int = 0
+    lines: DataFrame | None = None
 
 
-def counters(saved: DataFrame, kind: str = "answer") -> DataFrame:
-    """done, errors and failed of rows that were kept: all, those whose payload says error, those to be tried again."""
+def counted(kind: str = "answer") -> dict[str, Column]:
+    """Of rows that are kept: all, those whose payload says error, those to be tried again, and those of spoiled groups."""
     name = "extraction_status" if kind == "answer" else "resolution_status"
     status = F.get_json_object("payload_json", f"$.{name}")
-    return saved.agg(F.count("*").alias("done"), F.count_if(status == "error").alias("errors"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if((status == "error") & (F.col("status") == "done") & (F.get_json_object("payload_json", f"$.{name.replace('status', 'detail')}") != payload.NO_TEXT)).alias("spoiled"))
+    detail = F.get_json_object("payload_json", f"$.{name.replace('status', 'detail')}")
+    return {
+        "done": F.count(F.lit(1)), "errors": F.count_if(status == "error"), "failed": F.count_if(F.col("status") == "failed"),
+        "spoiled": F.count_if((status == "error") & (F.col("status") == "done") & (detail != payload.NO_TEXT)),
+    }
+
+
+def counters(saved: DataFrame, kind: str = "answer") -> DataFrame:
+    """done, errors, failed and spoiled of stored rows. A run observes the same while it writes them."""
+    return saved.agg(*(c.alias(n) for n, c in counted(kind).items()))
 
 
 def message(said: str, number: int, of: int, name: str) -> str:
@@ -235,76 +393,169 @@ def message(said: str, number: int, of: int, name: str) -> str:
     return said if of <= 1 else f"run {number}/{of} ({name}): {said}"
 
 
-def to_post(table: state.StateTable, questions: DataFrame, papers: DataFrame, run_id: int, kind: str) -> DataFrame:
-    """Stored rows of a run and some papers that are done and not posted, with their question."""
-    run = "run_id" if kind == "answer" else "arbiter_run_id"
-    rows = table.unposted().where(F.col(run) == run_id).join(papers.select("paper_id").distinct(), "paper_id", "left_semi")
-    return repost(rows, questions)[0]
-
+def post(table: state.StateTable, rows: DataFrame, hooks: Hooks, kind: str = "answer", runs: list[int] | None = None) -> DataFrame | None:
+    """Posts stored rows with their question; those of calls that went through are posted from now on. A dry run returns its lines: run, line.
 
-def post(table: state.StateTable, rows: DataFrame, hooks: Hooks, kind: str = "answer") -> list[str]:
-    """Posts stored rows; those of calls that went through are posted from now on. Returns the lines of a dry run, or none."""
+    What became of each call stands under the table's folder posts/, all of it.
+    """
     items = payload.wire_items(rows, kind)
-    if hooks.dry_run or hooks.send is None:
-        return [f"run={r['run']} {r['line']}" for r in sinks.dry_run(items).orderBy("run", "line").limit(1000).collect()] if hooks.dry_run else []
-    path = f"{table.path}-posts/{uuid.uuid4().hex}"
+    if hooks.dry_run:
+        return sinks.dry_run(items).select("run", F.concat(F.lit("run="), F.col("run").cast("string"), F.lit(" "), F.col("line")).alias("line"))
+    if hooks.send is None:
+        return None
+    path = f"{table.path}/posts/{uuid.uuid4().hex}"
     sinks.post(sinks.as_json(items, kind), hooks.send).write.parquet(path)
     told = rows.sparkSession.read.schema(sinks.OUTCOME).parquet(path)
-    for r in told.where("error is not null or n_rejected > 0").limit(100).collect():
-        LOG.error("post of run %s, paper %s: %s", r["run"], r["paper"], r["error"] or r["rejected"])
+    if bad := told.where("error is not null or n_rejected > 0").count():
+        LOG.error("%d posts failed or had items refused; each one's outcome is in %s", bad, path)
     run = "run_id" if kind == "answer" else "arbiter_run_id"
     fine = told.where("error is null").select(F.col("run").alias(run), F.col("paper").alias("paper_id"))
-    table.mark_posted(rows.join(fine, [run, "paper_id"], "left_semi"))
-    return []
+    table.mark_posted(rows.join(fine, [run, "paper_id"], "left_semi"), runs=runs, whole=True)
+    return None
 
 
-def run_chunk(table: state.StateTable, runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, task: Task, hooks: Hooks, *, checkpoint: Checkpoint | None = None, chunk: int = 0, run_id: int = 0) -> tuple:
-    """One chunk: asked, kept, posted. Returns the counters of what was kept, and a dry run's lines."""
-    states = table.view() if task.kind == "answer" else state.by_paper_version(table.view())
-    rows = perform(runs, papers, source_text, task, states=states, checkpoint=checkpoint, chunk=chunk)
+@dataclass
+class Chunk:
+    """One chunk of a run: its papers, their texts, and the rows of the log that its cells have."""
+
+    number: int
+    papers: DataFrame
+    texts: DataFrame
+    log: DataFrame
+
+
+def run_chunk(table: state.StateTable, runs: DataFrame, chunk: Chunk, questions: DataFrame, task: Task, hooks: Hooks, *, run_id: int, checkpoint: Checkpoint | None = None, ask: bool = True) -> tuple[dict, DataFrame | None]:
+    """Asked, kept, posted. Returns the counters of what was kept, and a dry run's lines. It reads the chunk's own rows alone."""
+    before = table.last(chunk.log)
+    states = before if task.kind == "answer" else state.by_paper_version(before)
+    rows = perform(runs, chunk.papers, chunk.texts, task, states=states, checkpoint=checkpoint, chunk=chunk.number, ask=ask)
     if task.kind != "answer":
         rows = rows.withColumnRenamed("run_id", "arbiter_run_id")
-    seq = table.save(rows, F.col("status"))
+    seq = table.save(rows, F.col("status"), runs=[run_id], observed=counted(task.kind))
     saved = table.appended(seq)
     if hooks.saved:
         hooks.saved(saved)
-    return counters(saved, task.kind).first(), post(table, to_post(table, questions, papers, run_id, task.kind), hooks, task.kind)
-
-
-def run_all(table: state.StateTable, runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, make: Callable[[Mapping], Task], settings: Mapping | None = None, *, defaults: Mapping = S.RUN_DEFAULTS, hooks: Hooks | None = None, checkpoints: str | None = None, total: int | None = None) -> list[Outcome]:
+    got = table.told(seq)
+    now = state.unposted(table.last(chunk.log.unionByName(saved)))
+    return got, post(table, repost(now, questions)[0], hooks, task.kind, [run_id])
+
+
+class _Papers:
+    """The papers of runs with their texts, by chunks of a size: as they are for one chunk, dealt for more."""
+
+    def __init__(self, table: state.StateTable, papers: DataFrame, texts: DataFrame) -> None:
+        self.table, self.papers, self.texts, self.n = table, papers, texts, papers.count()
+        self.by_size: dict[int, Dealt] = {}
+
+    def n_chunks(self, size: int) -> int:
+        return (math.ceil(self.n / size) if size > 0 else 1) if self.n else 0
+
+    def dealt(self, size: int) -> Dealt:
+        if size not in self.by_size:
+            out = self.by_size[size] = Dealt(self.table.spark, f"{self.table.path}/dealt/{uuid.uuid4().hex}")
+            out.put("papers", grid.chunks(self.papers, size))
+            chunk_of = self.table.spark.read.schema(out.schemas["papers"]).parquet(f"{out.path}/papers").select("paper_id", "chunk")
+            out.put("texts", self.texts.join(chunk_of, "paper_id"))
+        return self.by_size[size]
+
+    def chunks(self, run_id: int, size: int) -> Iterator[Chunk]:
+        """The run's chunks with the rows of the log that stand there when the run begins and those that other writers append meanwhile."""
+        table, n = self.table, self.n_chunks(size)
+        table.compact_if_long()
+        snapshot = table.snapshot()
+        names, seen = table.appends(snapshot, [run_id]), table.appends(None)
+        log = table.log([run_id], snapshot=snapshot, names=names)
+        if n <= 1:
+            if n:
+                yield Chunk(0, self.papers, self.texts, log)
+            return
+        dealt = self.dealt(size)
+        chunk_of = table.spark.read.schema(dealt.schemas["papers"]).parquet(f"{dealt.path}/papers").select("paper_id", "chunk")
+        states = f"states-{uuid.uuid4().hex}"
+        dealt.put(states, state.latest(log, table.keys, F.struct("seq", "writer", "row_no")).join(chunk_of, "paper_id"))
+        for c in range(n):
+            papers, rows = dealt.of("papers", c), dealt.of(states, c).select(*table.schema.names)
+            if later := table.others_since(seen, [run_id]):
+                rows = rows.unionByName(table._rows(later).where(F.col(table.keys[0]) == run_id).join(papers.select("paper_id"), "paper_id", "left_semi").select(*table.schema.names))
+            yield Chunk(c, papers, dealt.of("texts", c), rows)
+
+    def close(self) -> None:
+        for dealt in self.by_size.values():
+            dealt.close()
+
+
+def run_all(
+    table: state.StateTable, runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, make: Callable[[Mapping], Task], settings: Mapping | None = None, *,
+    defaults: Mapping = S.RUN_DEFAULTS, hooks: Hooks | None = None, checkpoints: str | None = None, total: int | None = None, batches: Batches | None = None,
+) -> list[Outcome]:
     """Runs in their order (r_order), each by chunks of papers (p_order): asked, kept and posted chunk by chunk.
 
     make turns a run's settings into its Task. Heartbeats: at the start, after every chunk, at the end; only the last run that
     is worked on says succeeded or failed. With fail_fast, a spoiled or failed group ends its run after the chunk, and all later runs.
-    Cancelling is asked for before each chunk. All that is kept stays: a later call goes on with what isn't complete.
+    All that is kept stays: a later call goes on with what isn't complete, and with chunks that are parked because their batch isn't done.
     """
     hooks = hooks or Hooks()
     listed = runs.orderBy("r_order").collect()
-    n_papers = papers.count()
-    cells = n_papers * questions.count() if total is None else total
+    source = _Papers(table, papers, source_text)
+    try:
+        return _run_each(table, runs, listed, source, questions, make, settings, defaults, hooks, checkpoints, source.n * questions.count() if total is None else total, batches)
+    finally:
+        source.close()
+
+
+def _with_batches(task: Task, batches: Batches | None, run_id: int, chunk: int, keep: Checkpoint | None) -> tuple[Task, list[str], bool]:
+    """The task whose passes go by batches where the run says so, the batches' keys, and whether pass 1 is still asked."""
+    config = task.config
+    if not (config["batch_p1"] or config["batch_p2"]):
+        return task, [], True
+    if batches is None or keep is None:
+        raise ValueError("batch_p1 and batch_p2 take batches= and checkpoints=")
+    keys = {n: batches.key(run_id, n, chunk) for n in (1, 2) if config[f"batch_p{n}"]}
+    models = {n: batches.of(config, n, k) for n, k in keys.items()}
+    return replace(task, reason=models.get(1, task.reason), format_=models.get(2, task.format_)), list(keys.values()), keys.get(2) not in batches.jobs
+
+
+def _run_each(table, runs, listed, source, questions, make, settings, defaults, hooks, checkpoints, cells, batches) -> list[Outcome]:
     out: list[Outcome] = []
+    lines = f"dry-runs/{uuid.uuid4().hex}"
     for number, r in enumerate(listed, 1):
         config = S.overlaid(r["config"], settings, defaults)
         task, now = make(config), Outcome(r["run_id"], "succeeded", cells)
         out.append(now)
         size = int(config["chunk_papers"] or 0)
-        chunks = (math.ceil(n_papers / size) if size > 0 else 1) if n_papers else 0
-        placed = grid.chunks(papers, size)
+        chunks = source.n_chunks(size)
         one = runs.where(F.col("run_id") == r["run_id"])
         keep = Checkpoint(checkpoints, r["run_id"]) if checkpoints else None
 
         def beat(status: str, said: str, now: Outcome = now, r: object = r, number: int = number) -> None:
             hooks.tell(run_id=now.run_id, status=status, cells_total=now.total, cells_done=now.done, cells_error=now.errors, message=message(said, number, len(listed), r["name"]))
 
+        def stopped(now: Outcome = now) -> list[Outcome]:
+            now.status = "canceled"
+            beat("canceled", "canceled")
+            return out
+
         beat("running", "starting")
-        for c in range(chunks):
+        for chunk in source.chunks(r["run_id"], size):
             if hooks.cancelled and hooks.cancelled():
-                now.status = "canceled"
-                beat("canceled", "canceled")
-                return out
-            got, lines = run_chunk(table, one, placed.where(F.col("chunk") == c).drop("chunk"), questions, source_text, task, hooks, checkpoint=keep, chunk=c, run_id=r["run_id"])
-            now.done, now.errors, now.failed, now.lines = now.done + got["done"], now.errors + got["errors"], now.failed + got["failed"], now.lines + lines
-            beat("running", f"chunk {c + 1}/{chunks}")
+                return stopped()
+            mine, keys, ask = _with_batches(task, batches, r["run_id"], chunk.number, keep)
+            try:
+                with interruptible(table.spark, hooks):
+                    got, told = run_chunk(table, one, chunk, questions, mine, hooks, run_id=r["run_id"], checkpoint=keep, ask=ask)
+            except complete.BatchPending:
+                now.parked += 1
+                beat("running", f"chunk {chunk.number + 1}/{chunks} parked")
+                continue
+            except Cancelled:
+                return stopped()
+            for k in keys:
+                batches.jobs.pop(k, None)
+            now.done, now.errors, now.failed = now.done + got["done"], now.errors + got["errors"], now.failed + got["failed"]
+            if told is not None:
+                told.write.mode("append").parquet(f"{table.path}/{lines}/run_id={now.run_id}")
+                now.lines = table.spark.read.schema(told.schema).parquet(f"{table.path}/{lines}/run_id={now.run_id}")
+            beat("running", f"chunk {chunk.number + 1}/{chunks}")
             if config["fail_fast"] and (got["spoiled"] or got["failed"]):
                 now.status = "failed"
                 break
@@ -312,13 +563,22 @@ def run_all(table: state.StateTable, runs: DataFrame, papers: DataFrame, questio
             beat("failed", "failed")
             break
         last = number == len(listed)
-        beat("succeeded" if last else "running", "succeeded" if last else "done, moving to next run")
+        if now.parked:
+            now.status = "parked"
+            beat("running", f"{now.parked} chunks wait for a batch")
+        else:
+            beat("succeeded" if last else "running", "succeeded" if last else "done, moving to next run")
     return out
 
 
-def annotation(questions: DataFrame, reason: Model = reason_dummy, format_: Model = format_dummy) -> Callable[[Mapping], Task]:
-    """The Task of annotation for a run's settings."""
-    return lambda config: Task(grid.groups_frame(questions, config["batching"]), config, reason=reason, format_=format_)
+def annotation(questions: DataFrame, reason: Model = reason_dummy, format_: Model = format_dummy, call: Callable[[dict], dict] | None = None, **how) -> Callable[[Mapping], Task]:
+    """The Task of annotation for a run's settings. With call, both passes are made by it as the settings say (see online, which takes `how`)."""
+
+    def make(config: Mapping) -> Task:
+        models = (reason, format_) if call is None else tuple(online(call, config, n, **how) for n in (1, 2))
+        return Task(grid.groups_frame(questions, config["batching"]), config, reason=models[0], format_=models[1])
+
+    return make
 
 
 def run(runs: DataFrame, papers: DataFrame, questions: DataFrame, source_text: DataFrame, *, batching: str | dict | list = "all", states: DataFrame | None = None, reason: Model = reason_dummy, format_: Model = format_dummy, text_source: str = "full_text") -> DataFrame:
@@ -396,7 +656,7 @@ def of_rows(task: Task, groups: DataFrame) -> Task:
     """The task for groups as they were stored: each run's and paper's own questions at their places."""
     at = groups.select("paper_id", F.col("group_key").alias("__g"), "group_idx", F.posexplode("q").alias("pos", "x")).select("paper_id", "group_idx", "pos", F.col("x.version_id").alias("version_id")).distinct()
     known = task.groups.drop("group_idx", "pos")
-    return replace(task, groups=at.join(grid.small(known), [*task.of_paper, "version_id"]))
+    return replace(task, groups=at.join(task.sent(known), [*task.of_paper, "version_id"]), planned=False)
 
 
 def with_text(groups: DataFrame, source_text: DataFrame, task: Task) -> DataFrame:
@@ -441,10 +701,10 @@ def repost(rows: DataFrame, questions: DataFrame) -> tuple[DataFrame, DataFrame]
     return rows.join(known, "version_id"), rows.join(known, "version_id", "left_anti")
 
 
-def repost_all(table: state.StateTable, questions: DataFrame, hooks: Hooks, *, run_ids: list[int] | None = None, paper_ids: list[int] | None = None, kind: str = "answer") -> list[str]:
-    """Posts all that is done or posted once more."""
-    rows = grid.selected(grid.selected(table.postable(), table.keys[0], run_ids), "paper_id", paper_ids)
-    return post(table, repost(rows, questions)[0], hooks, kind)
+def repost_all(table: state.StateTable, questions: DataFrame, hooks: Hooks, *, run_ids: list[int] | None = None, paper_ids: list[int] | None = None, kind: str = "answer") -> DataFrame | None:
+    """Posts all that is done or posted once more. A dry run returns its lines: run, line."""
+    rows = grid.selected(state.postable(table.view(run_ids)), "paper_id", paper_ids)
+    return post(table, repost(rows, questions)[0], hooks, kind, run_ids)
 
 
 def wire(rows: DataFrame, questions: DataFrame, kind: str = "answer") -> DataFrame:

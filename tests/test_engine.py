@@ -158,7 +158,7 @@ def test_posting_that_fails_leaves_rows_unposted(spark, table):
     engine.run_all(table, runs_of(spark, {}, 1), papers, asked, texts, engine.annotation(asked))
     engine.repost_all(table, asked, engine.Hooks(send=lambda run, bodies: (200, {"errors": ["refused"]}) if '"paper":1,' in bodies[0] else (404, {})))
     assert {r.paper_id for r in table.view().where("status = 'posted'").collect()} == {1}
-    lines = engine.repost_all(table, asked, engine.Hooks(dry_run=True), paper_ids=[2])
+    lines = [r.line for r in engine.repost_all(table, asked, engine.Hooks(dry_run=True), paper_ids=[2]).collect()]
     assert len(lines) == 3 and lines[0].startswith("run=10 paper=2 q=") and table.view().where("status = 'posted'").count() == 3
 
 
