@@ -32,6 +32,11 @@ _CUTS = {
 _FIRST = "\x00"
 
 
+def is_plain(text: str) -> bool:
+    """Whether a text has ASCII and Latin letters alone."""
+    return _PLAIN.fullmatch(text) is not None
+
+
 class _Numbered(dict):
     """Numbers for strings, in the order in which they come."""
 

@@ -8,12 +8,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from inkgrid.llm import alignment, common, outliers, resampling
+from inkgrid.llm import alignment, common, outliers, resampling, tokens
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -196,6 +197,28 @@ def test_transducer_carries_residuals():
         groups.of([0], [1])
 
 
+def test_plain_texts_have_the_librarys_ids():
+    """All texts of sf0.1, and odd runs of printable characters."""
+    found, draw = alignment.aligner(A, B), np.random.default_rng(7)
+    first = Tokenizer.from_file(A)
+    first.encode_special_tokens = True
+    alphabet = [*map(chr, range(32, 127)), *"\t\n\r\x0b ", *"   ", *"éÀßÿ's"]
+    texts = ["".join(draw.choice(alphabet, int(n))) for n in draw.integers(1, 60, 4000)]
+    texts += [r.as_py() or "" for r in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"]][:3000]
+    assert sum(map(tokens.is_plain, texts)) > 5000
+    want = [x.ids for x in first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    assert list(found.firsts(texts)) == want
+
+
+def test_sides_that_differ_have_no_tokens():
+    t = alignment.Transducer([b"ab", b"c", b"d"], [b"a", b"bcd", b"ab"])
+    block = alignment.Block(0, t)
+    for a, b in (([0], [2]), ([0, 1], [0]), ([0], [2, 2]), ([0, 0], [2, 0, 1]), ([0, 1, 2], [0, 1])):
+        block.add(1, a, b)
+    row = block.row()
+    assert row["n_groups"] == [1, 0, 0, 0, 1] and row["n_a"] == [1, 0, 0, 0, 3] and [bool(d) for d in row["digests"]] == [True, False, False, False, True]
+
+
 def test_long_text_is_whole():
     text = "Ab cd, efg. " * 40_000
     found = alignment.aligner(A, B)
