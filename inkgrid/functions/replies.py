@@ -217,89 +217,116 @@ def _parsed(body: Column) -> Column:
 
 def _body(text: Column) -> Column:
     """unfenced(), for texts whose only ends of lines are line feeds."""
-    bare = F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
-    inside = F.regexp_extract(bare, r"(?s)^```[^\n]*\n((?:.*\n)?)[ \t]*```[ \t]*(?:\n.*)?$", 1)
-    return F.when(F.regexp_like(bare, F.lit(r"(?s)^```[^\n]*\n(?:.*\n)?[ \t]*```[ \t]*(?:\n.*)?$")), inside).otherwise(text)
+    fenced = r"(?s)^```[^\n]*\n((?:.*\n)?)[ \t]*```[ \t]*(?:\n.*)?$"
+    inside = let(F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", ""), lambda bare: F.when(F.regexp_like(bare, F.lit(fenced)), F.regexp_extract(bare, fenced, 1)))
+    return F.when(F.contains(text, F.lit("```")), F.coalesce(inside, text)).otherwise(text)
 
 
 def _plain_items(body: Column) -> Column:
     """The items of a well-formed reply: a list, an object with a list of results, or an object a line; null: not one of these."""
     none = F.array().cast("array<variant>")
     lines = F.filter(F.split(body, "\n"), lambda x: F.regexp_like(x, F.lit(r"[^ \t]")))
-    objects = F.transform(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"^[ \t]*\{"))), lambda x: _parsed(x))
-    of_lines = let(objects, lambda o: F.when((F.size(o) == F.size(lines)) & F.forall(o, lambda v: v.isNotNull()), o))
+    of_lines = let(lines, lambda all_: F.when(F.forall(all_, lambda x: F.regexp_like(x, F.lit(r"^[ \t]*\{"))), let(F.transform(all_, _parsed), lambda o: F.when(F.forall(o, lambda v: v.isNotNull()), o))))
+
+    is_list, listed = F.regexp_like(body, F.lit(r"^[ \t\n]*\[")), lambda v, path: F.try_variant_get(v, path, "array<variant>")
 
     def of_whole(v: Column) -> Column:
-        found = _field(v, "results")
         return (
-            F.when(F.size(lines) == 0, none)
-            .when(_kind(v) == "ARRAY", F.try_variant_get(v, "$", "array<variant>"))
-            .when((_kind(v) == "OBJECT") & found.isNotNull(), F.when(_kind(found) == "ARRAY", F.try_variant_get(v, "$.results", "array<variant>")))
-            .when(v.isNull() & (F.size(lines) < 2), F.lit(None)).otherwise(of_lines)
+            F.when(v.isNull(), F.when(F.regexp_like(body, F.lit(r"\}[ \t\n]*\n[ \t\n]*\{")), of_lines))
+            .when(is_list, listed(v, "$")).when(_field(v, "results").isNotNull(), listed(v, "$.results")).otherwise(of_lines)
         )
 
-    return let(_parsed(body), of_whole)
+    return F.when(F.regexp_like(body, F.lit(r"^[ \t\n]*$")), none).otherwise(let(_parsed(body), of_whole))
+
+
+def _typed(v: Column) -> Column:
+    """A variant with its kind and its text, each computed once."""
+    return F.struct(v.alias("v"), _kind(v).alias("kind"), F.try_variant_get(v, "$", "string").alias("text"))
 
 
 def _plain_value(x: Column) -> Column:
     """VALUE and the token of an item's value; null where they take Python."""
-    v = _field(x, "value")
-    kind, token = _kind(v), F.to_json(v)
-    text = F.try_variant_get(v, "$", "string")
-    truth = F.when(kind == "STRING", text != "").when(kind == "BOOLEAN", text == "true").otherwise(text != "0")
-    said = F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
-    shown = F.when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").otherwise("number")
-    pack = lambda kind_, said_, truth_, token_: F.struct(F.struct(kind_.alias("kind"), said_.alias("said"), F.lit(None).cast("array<string>").alias("items"), truth_.alias("truth")).alias("value"), token_.alias("token"))
-    none = F.lit(None).cast("string")
-    return F.when(v.isNull() | (kind == "VOID"), pack(F.lit("null"), none, F.lit(None).cast("boolean"), F.lit("null"))).when(kind.isin("STRING", "BOOLEAN", "BIGINT"), pack(shown, said, truth, token))
+
+    def of(t: Column) -> Column:
+        kind, text = t["kind"], t["text"]
+        truth = F.when(kind == "STRING", text != "").when(kind == "BOOLEAN", text == "true").otherwise(text != "0")
+        said = F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+        shown = F.when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").otherwise("number")
+        pack = lambda kind_, said_, truth_, token_: F.struct(F.struct(kind_.alias("kind"), said_.alias("said"), F.lit(None).cast("array<string>").alias("items"), truth_.alias("truth")).alias("value"), token_.alias("token"))
+        none = F.lit(None).cast("string")
+        return F.when(kind.isNull() | (kind == "VOID"), pack(F.lit("null"), none, F.lit(None).cast("boolean"), F.lit("null"))).when(kind.isin("STRING", "BOOLEAN", "BIGINT"), pack(shown, said, truth, F.to_json(t["v"])))
+
+    return let(_typed(_field(x, "value")), of)
 
 
 def _plain_cited(x: Column) -> Column:
     """An item's quotes and how they came; null where they take Python."""
-    v, none = _field(x, "cited_text"), F.array().cast("array<string>")
-    kind, text, several = _kind(v), F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "array<variant>")
+    none = F.array().cast("array<string>")
     is_marker = lambda q: F.regexp_like(q, F.lit(rf"^{SPACE}*\Q{NO_DIRECT_QUOTE}\E{SPACE}*$"))
     pack = lambda quotes, how: F.struct(quotes.alias("cited"), F.lit(how).alias("kind"))
-    listed = F.transform(several, lambda q: F.coalesce(F.try_variant_get(q, "$", "string"), F.lit("")))
-    return (
-        F.when(v.isNull() | kind.isin("VOID") | ((kind == "BOOLEAN") & (text == "false")), pack(none, "text"))
-        .when(kind == "STRING", F.when(text == "", pack(none, "text")).when(is_marker(text), pack(none, "none")).otherwise(pack(F.array(text), "text")))
-        .when((kind == "ARRAY") & F.forall(several, lambda q: _kind(q).isin("STRING", "VOID")), F.when((F.size(listed) == 1) & is_marker(F.get(listed, 0)), pack(none, "none")).otherwise(pack(listed, "list")))
-    )
+
+    def of_list(several: Column) -> Column:
+        listed = F.transform(several, lambda q: F.coalesce(F.try_variant_get(q, "$", "string"), F.lit("")))
+        return F.when(F.forall(several, lambda q: _kind(q).isin("STRING", "VOID")), F.when((F.size(several) == 1) & is_marker(F.get(listed, 0)), pack(none, "none")).otherwise(pack(listed, "list")))
+
+    def of(t: Column) -> Column:
+        kind, text = t["kind"], t["text"]
+        return (
+            F.when(kind.isNull() | (kind == "VOID") | ((kind == "BOOLEAN") & (text == "false")), pack(none, "text"))
+            .when(kind == "STRING", F.when(text == "", pack(none, "text")).when(is_marker(text), pack(none, "none")).otherwise(pack(F.array(text), "text")))
+            .when(kind == "ARRAY", let(F.try_variant_get(t["v"], "$", "array<variant>"), of_list))
+        )
+
+    return let(_typed(_field(x, "cited_text")), of)
+
+
+def _plain_comment(x: Column) -> Column:
+    """An item's comment; null where it takes Python."""
+    return let(_typed(_field(x, "comment")), lambda t: F.when(t["kind"].isNull() | (t["kind"] == "VOID") | ((t["kind"] == "BOOLEAN") & (t["text"] == "false")), "").when(t["kind"] == "STRING", t["text"]))
+
+
+def _plain_confidence(x: Column) -> Column:
+    def of(t: Column) -> Column:
+        number = F.when(t["kind"].isin("BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get(t["v"], "$", "double"))
+        return F.when(F.abs(number) < 2**31, F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("int"))
+
+    return let(_typed(_field(x, "confidence")), of)
+
+
+def _packed(**fields: Column) -> Column:
+    return F.struct(*(fields[f.name].cast(f.dataType).alias(f.name) for f in RESULT))
 
 
 def _plain_result(key: Column, x: Column) -> Column:
     """RESULT of a key and its item (null: none); null where it takes Python."""
-    comment, sure = _field(x, "comment"), _field(x, "confidence")
-    said = F.when(comment.isNull() | (_kind(comment) == "VOID"), "").when(_kind(comment) == "STRING", F.try_variant_get(comment, "$", "string")).when((_kind(comment) == "BOOLEAN") & (F.try_variant_get(comment, "$", "string") == "false"), "")
-    number = F.when(_kind(sure).isin("BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get(sure, "$", "double"))
-    confidence = F.when(F.abs(number) < 2**31, F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("int"))
-    none = F.lit(None).cast("string")
-
-    def of(value: Column, cited: Column) -> Column:
-        fields = {"key": key, "value_json": value["token"], "value": value["value"], "cited": cited["cited"], "cited_kind": cited["kind"], "comment": said, "confidence": confidence, "parse_error": none}
-        return F.when(value.isNotNull() & cited.isNotNull() & said.isNotNull(), F.struct(*(fields[f.name].cast(f.dataType).alias(f.name) for f in RESULT)))
-
-    empty = F.array().cast("array<string>")
-    nothing = F.struct(F.lit("null").alias("kind"), none.alias("said"), empty.alias("items"), F.lit(None).cast("boolean").alias("truth"))
-    missed = {"key": key, "value_json": none, "value": nothing.withField("items", F.lit(None).cast("array<string>")), "cited": empty, "cited_kind": F.lit("text"), "comment": F.lit(""), "confidence": none.cast("int"), "parse_error": F.concat(F.lit("key '"), key, F.lit("' not found in pass-2 output"))}
+    none, empty = F.lit(None).cast("string"), F.array().cast("array<string>")
+
+    def of(p: Column) -> Column:
+        found = _packed(key=key, value_json=p["v"]["token"], value=p["v"]["value"], cited=p["c"]["cited"], cited_kind=p["c"]["kind"], comment=p["said"], confidence=p["sure"], parse_error=none)
+        return F.when(p["v"].isNotNull() & p["c"].isNotNull() & p["said"].isNotNull(), found)
+
+    nothing = F.struct(F.lit("null").alias("kind"), none.alias("said"), F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("boolean").alias("truth"))
+    missed = F.concat(F.lit("key '"), key, F.lit("' not found in pass-2 output"))
+    lost = _packed(key=key, value_json=none, value=nothing, cited=empty, cited_kind=F.lit("text"), comment=F.lit(""), confidence=none, parse_error=missed)
     simple_name = F.regexp_like(key, F.lit(r"^[ -&(-\[\]-~\p{L}]*$"))
-    lost = F.when(simple_name, F.struct(*(missed[f.name].cast(f.dataType).alias(f.name) for f in RESULT)))
-    return F.when(x.isNull(), lost).otherwise(let(F.struct(_plain_value(x).alias("v"), _plain_cited(x).alias("c")), lambda p: of(p["v"], p["c"])))
+    parts = F.struct(_plain_value(x).alias("v"), _plain_cited(x).alias("c"), _plain_comment(x).alias("said"), _plain_confidence(x).alias("sure"))
+    return F.when(x.isNull(), F.when(simple_name, lost)).otherwise(let(parts, of))
 
 
 def plain_results(text: Column, keys: Column) -> Column:
     """results() of a well-formed reply as variant expressions, without Python; null where it takes Python."""
-    given = F.coalesce(text, F.lit(""))
-    odd = F.regexp_like(given, F.lit(rf"{_LINE_ENDS}|\\u[dD][89a-fA-F]"))
+    is_odd = lambda t: F.regexp_like(t, F.lit(rf"{_LINE_ENDS}|\\u[dD][89a-fA-F]"))
+
+    def of_named(named: Column) -> Column:
+        mine = lambda k: F.try_element_at(F.filter(named, lambda x: x["key"] == k), F.lit(-1))["x"]
+        found = F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.when(k != "", let(mine(k), lambda x: _plain_result(k, x))))
+        return let(found, lambda r: F.when(F.forall(r, lambda one: one.isNotNull()), r))
 
     def of_items(items: Column) -> Column:
-        named = F.filter(items, lambda x: (_kind(x) == "OBJECT") & (_kind(_field(x, "key")) == "STRING"))
-        mine = lambda k: F.try_element_at(F.filter(named, lambda x: _field(x, "key", "string") == k), F.lit(-1))
-        found = F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.when(k != "", _plain_result(k, mine(k))))
-        return let(found, lambda r: F.when(items.isNotNull() & F.forall(r, lambda one: one.isNotNull()), r))
+        named = F.transform(items, lambda x: F.struct(F.when(_kind(_field(x, "key")) == "STRING", _field(x, "key", "string")).alias("key"), x.alias("x")))
+        return F.when(items.isNotNull(), let(named, of_named))
 
-    return F.when(~odd, let(_body(given), lambda body: let(_plain_items(body), of_items)))
+    return let(F.coalesce(text, F.lit("")), lambda t: F.when(~is_odd(t), let(_body(t), lambda body: let(_plain_items(body), of_items))))
 
 
 def with_results(rows: DataFrame, text: Column, keys: Column, into: str = "results") -> DataFrame:

@@ -5,11 +5,11 @@ State is written to a new folder that all executors share, and the query is over
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import disputes, grid, payload, prompts, reports, sinks, state, views
+from ..operators import complete, disputes, grid, payload, prompts, reports, sinks, state, views
 from ..sources import documents as S
 from . import arbitration, bench, catalog, engine
 from .registry import query
@@ -65,6 +65,106 @@ def run_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "i int, run_id int, status string, message string, cells_total long, cells_done long, cells_error long")
 
 
+def _chunked(spark: SparkSession, sf_dir: str, table: state.StateTable, hooks: engine.Hooks | None = None, config: str = "", **how) -> list[engine.Outcome]:
+    """As _run(), by three chunks."""
+    papers, asked = S.papers_of(spark, sf_dir), catalog.questions(spark)
+    settings = f'{{"batching": {{"size": 2}}, "chunk_papers": {papers.count() // 3 + 1}{config}}}'
+    return engine.run_all(table, _runs(spark, settings), papers, asked, S.source_text_of(spark, sf_dir), engine.annotation(asked), hooks=hooks, **how)
+
+
+#: Of each row of the state: which of three chunks of papers its own is in.
+_THIRDS = f"(select r.run_id, d.doc_id, d.text, q.pos, least(2, (row_number() over (partition by r.run_id, q.version_id order by d.doc_id) - 1) // (n // 3 + 1)) as chunk from {_RUNS}, documents d, {catalog._Q}, (select count(*) as n from documents))"
+
+
+@query(f"select run_id, cast(chunk as bigint) as chunk, case when doc_id % 10 = 9 then 'done' else 'posted' end as status, cast(count(*) as bigint) as n, cast(sum(case when pos = 0 and text <> '' then 15 else 0 end) as bigint) as tokens from {_THIRDS} group by all")
+def run_three_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three chunks a run, each an append and, but for what the endpoint failed to take, an append of what was posted."""
+    table = _table(spark)
+    _chunked(spark, sf_dir, table, engine.Hooks(send=accepting))
+    tokens = F.coalesce(payload.body()["tokens_total"], F.lit(0).cast("bigint"))
+    first = table.log().where("status = 'done'").groupBy(*table.keys).agg(F.min("seq").alias("seq"))
+    of = first.select("run_id", "seq").distinct().withColumn("chunk", F.row_number().over(Window.partitionBy("run_id").orderBy("seq")).cast("bigint") - 1)
+    rows = table.view().drop("seq").join(first, table.keys).join(of, ["run_id", "seq"])
+    return rows.groupBy("run_id", "chunk", "status").agg(F.count("*").alias("n"), F.sum(tokens).alias("tokens"))
+
+
+@query(f"select i.step, r.run_id, i.status, cast(i.chunks * 3 as bigint) as chunk_cells from (values (cast(0 as int), 10, 'canceled', 1), (1, 10, 'succeeded', 2), (1, 11, 'succeeded', 3)) i(step, run_id, status, chunks), {_RUNS} where i.run_id = r.run_id")
+def run_canceled_and_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is canceled after its first chunk, and the call that goes on where it stopped: cells that each call kept, in chunks of papers, times three questions."""
+    table, beats = _table(spark), []
+    out = [(0, o) for o in _chunked(spark, sf_dir, table, engine.Hooks(report=beats.append, cancelled=lambda: len(beats) > 1))]
+    out += [(1, o) for o in _chunked(spark, sf_dir, table)]
+    size = S.papers_of(spark, sf_dir).count() // 3 + 1
+    return spark.createDataFrame([(step, o.run_id, o.status, 3 * -(-(o.done // 3) // size)) for step, o in out], "step int, run_id long, status string, chunk_cells long")
+
+
+class FiledBatches:
+    """A provider of batches whose requests are files: the first time it's asked a batch is running, then it's done, with the deterministic model's replies."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.asked = spark, {}
+
+    def submit(self, lines: DataFrame) -> str:
+        return complete.submitted_lines(lines, S.scratch(self.spark, "batch"))
+
+    def poll(self, batch: str) -> str:
+        self.asked[batch] = self.asked.get(batch, 0) + 1
+        return "running" if self.asked[batch] == 1 else "done"
+
+    def collect(self, batch: str) -> DataFrame:
+        line = "custom_id string, body struct<messages:array<struct<role:string,content:string>>>"
+        said = F.array_join(F.transform("r.body.messages", lambda m: m["content"]), "\n")
+        keys = F.regexp_extract_all(said, F.lit(r"(?m)^- (\w+) \("), F.lit(1))
+        rows = self.spark.read.text(batch).select(F.from_json("value", line).alias("r")).select(F.col("r.custom_id").alias("cid"), keys.alias("keys"))
+        text = F.when(F.size("keys") > 0, complete.dummy_reply(F.col("keys"))).otherwise("Dummy reasoning.")
+        return rows.select("cid", text.alias("text"), F.lit(10).cast("bigint").alias("input_tokens"), F.lit(5).cast("bigint").alias("output_tokens"), F.lit(None).cast("string").alias("error"))
+
+
+@query(f"""with c as (select chunk, run_id, count(*) as n, count(*) filter (text <> '') as have from {_THIRDS} group by all)
+select i.step, c.run_id, case when i.step < 2 then 'parked' else 'succeeded' end as status, cast(case when i.step < 2 then 3 else 0 end as bigint) as parked, cast(sum(case when i.step < 2 then 0 else c.n end) as bigint) as done, cast(sum(case when i.step < 2 then 0 else c.have end) as bigint) as answered from c, range(3) i(step) group by all""")
+def run_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both passes by batches, a batch a chunk and pass, over three calls: submitted; pass 1 collected and pass 2 submitted; pass 2 collected."""
+    table, provider, path = _table(spark), FiledBatches(spark), S.scratch(spark, "jobs")
+    jobs, out = state.JobState(spark, path), []
+    batches = engine.Batches(jobs, {"openai": lambda: provider}, "openai", "model")
+    for step in range(3):
+        done = _chunked(spark, sf_dir, table, config=', "batch_p1": true, "batch_p2": true', batches=batches, checkpoints=f"{path}-pass1")
+        answered = {r["run_id"]: r["n"] for r in table.view().where("batch_group_id is not null").groupBy("run_id").agg(F.count("*").alias("n")).collect()}
+        out += [(step, o.run_id, o.status, o.parked, o.done, answered.get(o.run_id, 0)) for o in done]
+    return spark.createDataFrame(out, "step long, run_id long, status string, parked long, done long, answered long")
+
+
+_KEY = "case q.version_id when 14 then 'quality' when 15 then 'kind' else 'size' end"
+
+
+@query(f"select run, cast(count(*) as bigint) as n, md5(string_agg(line, chr(10) order by line)) as digest from (select r.run_id as run, 'run=' || r.run_id || ' paper=' || d.doc_id || ' q=' || {_KEY} || ' value=null' as line from {_RUNS}, documents d, {catalog._Q}) group by all")
+def dry_run_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a dry run of several chunks."""
+    out = _chunked(spark, sf_dir, _table(spark), engine.Hooks(dry_run=True))
+    rows = out[0].lines.unionByName(out[1].lines)
+    return rows.groupBy("run").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("line")), "\n")).alias("digest"))
+
+
+@query(f"select cast(i.step as int) as step, r.run_id, cast(count(*) * 3 as bigint) as n, cast(case i.step when 0 then 3 when 1 then 0 else 1 end as bigint) as appends from {_RUNS}, documents d, (values (0), (1), (2)) i(step) group by all")
+def state_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells a run in the state, and appends that a run reads: before a snapshot, after it, after one more append and the removal of what the snapshot replaces."""
+    table, out = _table(spark), []
+
+    def look(step: int) -> None:
+        counts = table.view().groupBy("run_id").agg(F.count("*").alias("n")).collect()
+        out.extend((step, r["run_id"], r["n"], len(table.appends(table.snapshot(), [r["run_id"]]))) for r in counts)
+
+    _chunked(spark, sf_dir, table)
+    look(0)
+    table.compact()
+    look(1)
+    for run in (10, 11):
+        table.save(table.view([run]).where("paper_id = 1"), F.col("status"), runs=[run])
+    table.vacuum(0)
+    look(2)
+    return spark.createDataFrame(out, "step int, run_id long, n long, appends long")
+
+
 _ALL = f"{_RUNS}, documents d, {catalog._Q}"
 
 
