@@ -329,10 +329,21 @@ def plain_results(text: Column, keys: Column) -> Column:
     return let(F.coalesce(text, F.lit("")), lambda t: F.when(~is_odd(t), let(_body(t), lambda body: let(_plain_items(body), of_items))))
 
 
-def with_results(rows: DataFrame, text: Column, keys: Column, into: str = "results") -> DataFrame:
+#: Expressions of plain_results that this process has built, by Spark application and columns: a run uses them for every chunk.
+_built: dict[tuple[str, str, str], Column] = {}
+
+
+def with_results(rows: DataFrame, text: Column | str, keys: Column | str, into: str = "results") -> DataFrame:
     """rows with an array of RESULT, one for each key. Python sees the texts that plain_results leaves, and none where it leaves none."""
-    rows = rows.withColumn("__plain", plain_results(text, keys))
-    left = F.col("__plain").isNull()
+    named = isinstance(text, str) and isinstance(keys, str)
+    at = rows.sparkSession.sparkContext.applicationId, str(text), str(keys)
+    text, keys = (F.col(c) if isinstance(c, str) else c for c in (text, keys))
+    plain = _built.get(at) if named else None
+    if plain is None:
+        plain = plain_results(text, keys)
+    if named:
+        _built[at] = plain
+    rows, left = rows.withColumn("__plain", plain), F.col("__plain").isNull()
     return rows.withColumn(into, F.coalesce("__plain", _results(F.when(left, F.coalesce(text, F.lit(""))), F.when(left, keys)))).drop("__plain")
 
 

@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 
 COMPLETE = ("done", "posted")
 #: Plans (runs, questions, groups of one document) are sent to all executors up to so many rows; a larger one is joined by an exchange.
-SENT_ROWS = 10_000
+SENT_ROWS, SENT_BYTES = 10_000, 8_000_000
+
+
+def local(plan: DataFrame) -> DataFrame:
+    """A plan (runs, questions, groups) with its rows in it, so that what is made of it is known to be small without running anything."""
+    return plan.sparkSession.createDataFrame(plan.toArrow(), plan.schema)
 
 
 def small(plan: DataFrame) -> DataFrame:
-    """A plan's side of a join, marked for broadcast if it has SENT_ROWS at most."""
-    return F.broadcast(plan) if len(plan.select(F.lit(1)).limit(SENT_ROWS + 1).collect()) <= SENT_ROWS else plan
+    """A plan's side of a join, marked for broadcast if it takes SENT_BYTES at most by what is known of it, or else has SENT_ROWS at most, counted."""
+    known = int(str(plan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(plan) if known <= SENT_BYTES or len(plan.select(F.lit(1)).limit(SENT_ROWS + 1).collect()) <= SENT_ROWS else plan
 
 
 def question_groups(keys: Sequence[str], batching: str | dict | list | None = "all") -> list[list[str]]:
@@ -53,13 +59,14 @@ def question_groups(keys: Sequence[str], batching: str | dict | list | None = "a
 
 def groups_frame(questions: DataFrame, batching: str | dict | list | None = "all") -> DataFrame:
     """group_idx, pos, and the columns of questions (ordered by q_order)."""
+    questions = local(questions)
     rows = questions.orderBy("q_order").collect()
     of = {key: (g, p) for g, group in enumerate(question_groups([r["key"] for r in rows], batching)) for p, key in enumerate(group)}
     spark = questions.sparkSession
     if not of:
         return questions.where("false").selectExpr("0 as group_idx", "0 as pos", "*")
     places = spark.createDataFrame([(k, g, p) for k, (g, p) in of.items()], "key string, group_idx int, pos int")
-    return small(places).join(questions, "key").select("group_idx", "pos", *questions.columns)
+    return local(small(places).join(questions, "key").select("group_idx", "pos", *questions.columns))
 
 
 def chunks(papers: DataFrame, size: int, order: str = "p_order") -> DataFrame:

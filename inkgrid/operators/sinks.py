@@ -69,7 +69,7 @@ def dry_run(items: DataFrame) -> DataFrame:
 
 def quarantine(formatted: DataFrame) -> DataFrame:
     """Groups whose reply lacked a key: cid, the keys that failed, the reply, the reasoning before it."""
-    rows = replies.with_results(formatted, F.col("completion.text"), F.col("keys"), "__r")
+    rows = replies.with_results(formatted, "completion.text", "keys", "__r")
     failed = rows.where(F.col("completion.error").isNull() & (F.size(replies.failed_keys(F.col("__r"))) > 0))
     return failed.select("cid", F.transform(replies.failed_keys(F.col("__r")), lambda r: r["key"]).alias("failed_keys"), F.col("completion.text").alias("reply"), "pass1_text")
 

@@ -149,7 +149,7 @@ class StateTable:
             self._told[seq] = Observation()
             out = out.observe(self._told[seq], *(c.alias(n) for n, c in observed.items()))
         of = "all" if not runs or len(runs) > MOST_RUNS else ".".join(str(int(r)) for r in runs)
-        name = f"{seq:012d}~{self.writer}~{of}"
+        name = f"{seq:012d}~{self.writer}~{of}~{uuid.uuid4().hex[:8]}"  # a try that was lost may have left its folder
         out.write.parquet(f"{self.path}/log/{name}")
         self.files.put(f"commits/{name}")
         self._mine[seq] = name

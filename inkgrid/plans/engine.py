@@ -102,7 +102,7 @@ def answers(formatted: DataFrame, task: Task, *, check: bool = True) -> DataFram
     Quotes are verified a group at a time, before its answers become rows, so a text is normalised once and goes no further.
     failed: a call's error (the cell is to be tried again); spoiled: a reply without one of the keys, which spoils its group.
     """
-    rows = replies.with_results(formatted, F.col("completion.text"), F.col("keys"), "__r")
+    rows = replies.with_results(formatted, "completion.text", "keys", "__r")
     rows = rows.withColumns({"failed": F.coalesce(_lost("p1", "pass 1 gave no text"), _lost("completion", "pass 2 gave no text")), "spoiled": replies.extraction_error(F.col("__r"))})
     if check:
         how = evidence.verify_columns(task.config["citation_max_error_rate"], task.config["citation_max_ellipsis_gap"])
@@ -495,6 +495,7 @@ def run_all(
     All that is kept stays: a later call goes on with what isn't complete, and with chunks that are parked because their batch isn't done.
     """
     hooks = hooks or Hooks()
+    runs, questions = grid.local(runs), grid.local(questions)
     listed = runs.orderBy("r_order").collect()
     source = _Papers(table, papers, source_text)
     try:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 
@@ -9,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 HEARTBEAT_SECONDS = 1.5
 WINDOW_MICROS = 60_000_000
@@ -37,6 +39,41 @@ def throttled(beats: DataFrame, key: str = "run_id", ts: str = "ts", tie: str =
     return beats.repartition(key).sortWithinPartitions(key, ts, tie).mapInPandas(run, fields)
 
 
+def throttled_stream(beats: DataFrame, key: str = "run_id", ts: str = "ts", tie: str = "event_id", seconds: float = HEARTBEAT_SECONDS, late: str = "10 seconds") -> DataFrame:
+    """throttled() of a stream: the state of a run is when its last heartbeat was sent, and those that wait for the watermark.
+
+    Heartbeats may come out of order by `late` at most, later ones are left out. They wait until the watermark has passed them and are taken in time order then
+    (equal times by `tie`), so the same ones are sent as of a batch. Runs are groups, so each goes by itself; a restart goes on from the checkpoint.
+    """
+    fields = [(f.name, f.dataType.simpleString()) for f in beats.schema]
+    output = ", ".join(f"`{n}` {t}" for n, t in fields)
+    names, step = [n for n, _ in fields], pd.Timedelta(seconds=seconds)
+    place = names.index(ts)
+
+    def run(_: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        last, held = kept.get if kept.exists else (None, "[]")
+        rows = [pd.DataFrame(json.loads(held), columns=names)] if held != "[]" else []
+        for r in rows:
+            r[ts] = pd.to_datetime(r[ts], unit="us")
+        rows = pd.concat([*rows, *frames]) if not kept.hasTimedOut else (rows[0] if rows else pd.DataFrame(columns=names))
+        rows = rows.sort_values([ts, tie], kind="stable")
+        mark = pd.Timestamp(kept.getCurrentWatermarkMs(), unit="ms")
+        ready, rest = rows[rows[ts] <= mark], rows[rows[ts] > mark]
+        sent, then = [], None if last is None else pd.Timestamp(last, unit="us")
+        for t in ready[ts]:
+            send = then is None or t - then >= step
+            then = t if send else then
+            sent.append(send)
+        waiting = [[x.value // 1000 if i == place else x for i, x in enumerate(r)] for r in rest.astype(object).itertuples(index=False)]
+        kept.update((None if then is None else then.value // 1000, json.dumps(waiting, default=int)))
+        if waiting:
+            kept.setTimeoutTimestamp(max(waiting[0][place] // 1000 + 1, kept.getCurrentWatermarkMs() + 1))
+        yield ready[sent]
+
+    watched = beats.withWatermark(ts, late).groupBy(key)
+    return watched.applyInPandasWithState(run, output, "last long, held string", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 class Throttle:
     """A reporter that sends running heartbeats at least `seconds` apart; the first, and any that ends a run, are always sent."""
 
