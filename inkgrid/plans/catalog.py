@@ -212,12 +212,27 @@ def heartbeat_json_omit_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BEATS = "b as (select user_id % 5 as run_id, ts, event_id from events), beat as (select run_id, ts, min(event_id) as event_id from b group by run_id, ts)"
 
 
-@query(f"with recursive {_BEATS}, sent as (select run_id, min(ts) as ts from beat group by run_id union all select s.run_id, (select min(a.ts) from beat a where a.run_id = s.run_id and a.ts >= s.ts + interval 3600 second) from sent s where s.ts is not null) select a.run_id, a.ts, a.event_id from sent s join beat a on a.run_id = s.run_id and a.ts = s.ts")
+_SENT = f"with recursive {_BEATS}, sent as (select run_id, min(ts) as ts from beat group by run_id union all select s.run_id, (select min(a.ts) from beat a where a.run_id = s.run_id and a.ts >= s.ts + interval 3600 second) from sent s where s.ts is not null) select a.run_id, a.ts, a.event_id from sent s join beat a on a.run_id = s.run_id and a.ts = s.ts"
+
+
+@query(_SENT)
 def heartbeat_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     beats = S.table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("run_id"), "ts", "event_id")
     return progress.throttled(beats, seconds=3600.0)
 
 
+@query(_SENT)
+def heartbeat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a stream, whose last time sent of each run is its state; what it has sent when its input ends."""
+    path = S.scratch(spark, "heartbeats")
+    source = spark.readStream.schema(S.table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    beats = source.select((F.col("user_id") % 5).alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    sent = progress.throttled_stream(beats, seconds=3600.0, late="0 seconds")
+    sent.writeStream.format("parquet").option("path", f"{path}/sent").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    kind = S.table(spark, sf_dir, "events").schema["ts"].dataType
+    return spark.read.schema(sent.schema).parquet(f"{path}/sent").withColumn("ts", F.col("ts").cast(kind))
+
+
 @query(f"{_LATEST} select run_id, paper_id, version_id, status, seq from last")
 def answers_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _states(spark, sf_dir).select("run_id", "paper_id", "version_id", "status", "seq")

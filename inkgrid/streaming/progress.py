@@ -44,6 +44,7 @@ def throttled_stream(beats: DataFrame, key: str = "run_id", ts: str = "ts", tie:
 
     Heartbeats may come out of order by `late` at most, later ones are left out. They wait until the watermark has passed them and are taken in time order then
     (equal times by `tie`), so the same ones are sent as of a batch. Runs are groups, so each goes by itself; a restart goes on from the checkpoint.
+    A run's state is its rows of the last micro-batch and of `late`: bound the micro-batch (maxFilesPerTrigger) where much is read at once.
     """
     fields = [(f.name, f.dataType.simpleString()) for f in beats.schema]
     output = ", ".join(f"`{n}` {t}" for n, t in fields)
@@ -57,8 +58,9 @@ def throttled_stream(beats: DataFrame, key: str = "run_id", ts: str = "ts", tie:
             r[ts] = pd.to_datetime(r[ts], unit="us")
         rows = pd.concat([*rows, *frames]) if not kept.hasTimedOut else (rows[0] if rows else pd.DataFrame(columns=names))
         rows = rows.sort_values([ts, tie], kind="stable")
-        mark = pd.Timestamp(kept.getCurrentWatermarkMs(), unit="ms")
-        ready, rest = rows[rows[ts] <= mark], rows[rows[ts] > mark]
+        mark = kept.getCurrentWatermarkMs()
+        passed = rows[ts] < pd.Timestamp(mark + 1, unit="ms")  # a watermark counts whole milliseconds
+        ready, rest = rows[passed], rows[~passed]
         sent, then = [], None if last is None else pd.Timestamp(last, unit="us")
         for t in ready[ts]:
             send = then is None or t - then >= step
@@ -67,7 +69,7 @@ def throttled_stream(beats: DataFrame, key: str = "run_id", ts: str = "ts", tie:
         waiting = [[x.value // 1000 if i == place else x for i, x in enumerate(r)] for r in rest.astype(object).itertuples(index=False)]
         kept.update((None if then is None else then.value // 1000, json.dumps(waiting, default=int)))
         if waiting:
-            kept.setTimeoutTimestamp(max(waiting[0][place] // 1000 + 1, kept.getCurrentWatermarkMs() + 1))
+            kept.setTimeoutTimestamp(max(waiting[0][place] // 1000 - 1, mark + 1))
         yield ready[sent]
 
     watched = beats.withWatermark(ts, late).groupBy(key)
