@@ -37,8 +37,10 @@ MU = {1: 4096.0, 2: 4.0}
 #: Words of the longest n-grams that op7_language_model asks for.
 ORDER = 3
 #: Tokens of a block and n-grams of a range, about. Many ranges make larger blocks, so that a block has LEAST n-grams in each.
-BLOCK, RANGE, MOST_BITS, LEAST = 1_250_000, 3_000_000, 18, 64
+BLOCK, RANGE, MOST_BITS, LEAST = 1_100_000, 3_000_000, 18, 64
 CHARS_PER_TOKEN = 6
+#: Tokens that are walked at a time.
+STEP = 200_000
 NGRAMS_PER_TOKEN = {2: 1.1, 3: 1.8}
 _END = np.uint64(0x5EED0000000000E2)
 _TAGS = {1: np.uint64(3), 2: np.uint64(7), 3: np.uint64(11)}
@@ -64,18 +66,34 @@ class Block:
         starts = np.cumsum(self.sizes) - self.sizes
         self.order, self.is_first = order, np.zeros(tokens.size, bool)
         self.is_first[starts] = True
-        grams = [shingles.joined(back[order - k :], _TAGS[k]) for k in range(1, order + 1)]
+        n = tokens.size
+        key = np.empty(order * n, np.uint64)
+        for k in range(1, order + 1):
+            key[(k - 1) * n : k * n] = shingles.joined(back[order - k :], _TAGS[k])
         for k in range(2, order):
-            grams[k][self.is_first] = grams[1][self.is_first]
-        grams = np.concatenate(grams)
+            key[k * n : (k + 1) * n][self.is_first] = key[n : 2 * n][self.is_first]
         # The range comes first, then the length: words 0, longer ones 1, 2; then 40 bits. n-grams of different lengths don't mix.
-        key = ((grams >> np.uint64(64 - bits) if bits else np.zeros_like(grams)) << np.uint64(42)) | (grams & _LOW)
+        low = key & _LOW
+        key = key >> np.uint64(64 - bits) if bits else np.zeros_like(key)
+        key <<= np.uint64(42)
+        key |= low
         for k in range(1, order):
-            part = slice(k * tokens.size, (k + 1) * tokens.size)
-            key[part] |= np.where(self.is_first, np.uint64(1), np.uint64(k)) << np.uint64(40)
-        self.keys, self.at = np.unique(key, return_inverse=True)
+            key[k * n : (k + 1) * n] |= np.where(self.is_first, np.uint64(1), np.uint64(k)) << np.uint64(40)
+        del each, tokens, back, is_word, low
+        self._number(key)
         self.cuts = np.searchsorted(self.keys, np.arange(2**bits + 1, dtype=np.uint64) << np.uint64(42))
 
+    def _number(self, key: np.ndarray) -> None:
+        """keys: the distinct ones in order; at: where each one is among them. As np.unique, with places of 32 bits and no more copies than it takes."""
+        order = np.argsort(key, kind="stable").astype(np.uint32)
+        key = key[order]
+        new = np.empty(key.size, bool)
+        new[:1] = True
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        self.keys = key[new]
+        self.at = np.empty(key.size, np.int32)
+        self.at[order] = np.cumsum(new, dtype=np.int32) - 1
+
     @property
     def n_tokens(self) -> int:
         return int(self.sizes.sum())
@@ -189,13 +207,19 @@ class Automaton:
         return longest
 
     def walk(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each token: log10 by the whole model, by the root alone, and whether it's known."""
-        word, root = self.grams[0], self.root[self.grams[0]]
-        arcs, state = self._arcs(root), self._states()
-        weight, todo, length = np.zeros(word.size), np.arange(word.size), np.where(self.is_first, 1, self.order - 1)
+        """Of each token: log10 by the whole model, by the root alone, and whether it's known. So many tokens at a time as keeps arrays small."""
+        state, n = self._states(), self.is_first.size
+        parts = [self._walk(slice(a, min(a + STEP, n)), state[a : a + STEP].copy()) for a in range(0, n, STEP)]
+        return tuple(np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(3))
+
+    def _walk(self, part: slice, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        grams, is_first = [g[part] for g in self.grams], self.is_first[part]
+        word, root = grams[0], self.root[grams[0]]
+        arcs = self._arcs(root, state, grams, is_first)
+        weight, todo, length = np.zeros(word.size), np.arange(word.size), np.where(is_first, 1, self.order - 1)
         while todo.size:
             s, k = state[todo], length[todo]
-            seen = np.array([self.totals[g[todo]] for g in self.grams])[k, np.arange(todo.size)] > 0
+            seen = np.array([self.totals[g[todo]] for g in grams])[k, np.arange(todo.size)] > 0
             done = seen | (k == 0)
             out = todo[done]
             weight[out] += np.log10(arcs[k[done], out])
@@ -206,15 +230,14 @@ class Automaton:
             length[todo] -= 1
         return weight, np.log10(root), self.totals[word] > 0
 
-    def _arcs(self, root: np.ndarray) -> np.ndarray:
-        """Of each length of context and token, the weight that the token's arc has there if it's seen."""
-        arcs, state = np.empty((self.order, root.size)), self._states()
-        by_length = [state]
+    def _arcs(self, root: np.ndarray, state: np.ndarray, grams: list[np.ndarray], is_first: np.ndarray) -> np.ndarray:
+        """Of each length of context and token, the weight that the token's arc has there if it's seen. state: of each token, that before it."""
+        arcs, by_length = np.empty((self.order, root.size)), [state]
         for _ in range(self.order - 2):
-            by_length.insert(0, np.where(self.is_first, state, self.fail[by_length[0]]))
+            by_length.insert(0, np.where(is_first, state, self.fail[by_length[0]]))
         arcs[0] = root
         for k in range(1, self.order):
-            arcs[k] = (self.totals[self.grams[k]] + self.mu[k] * arcs[k - 1]) / (self.totals[by_length[k - 1]] + self.mu[k])
+            arcs[k] = (self.totals[grams[k]] + self.mu[k] * arcs[k - 1]) / (self.totals[by_length[k - 1]] + self.mu[k])
         return arcs
 
 
