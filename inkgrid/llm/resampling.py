@@ -211,4 +211,25 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op11_resampling": op11_resampling}
-ORACLES: dict[str, str] = {}
+#: The same rows in DuckDB, which has no crc32: its table of 256 steps and its rounds over a feature's bytes are written out.
+ORACLES = {
+    "op11_resampling": r"""
+with tab as (select list(c order by i) as t from (select i, list_reduce(list_prepend(i, [0,0,0,0,0,0,0,0]::bigint[]), lambda c, z: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as c from (select unnest(range(256)) as i))),
+d as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+df as (select doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as f from d),
+bf as (select unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as f from b),
+dn as (select doc_id, f, count(*) as n from df group by all),
+bn as (select f, count(*) as n from bf group by all),
+u as (select f, hex(encode(f)) as h from (select distinct f from dn union select f from bn)),
+k as (select f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h) + 1, 2), lambda i: (instr('0123456789ABCDEF', h[i]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 1)), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) % 10000 as bucket from u, tab),
+s as (select bucket, sum(n) as n from dn join k using (f) group by all),
+t as (select bucket, sum(n) as n from bn join k using (f) group by all),
+g as (select bucket, floor(1000 * ln((coalesce(t.n, 0)::double + 1) * ((select sum(n) from s)::double + 10000) / ((coalesce(s.n, 0)::double + 1) * ((select sum(n) from t)::double + 10000))))::bigint as gain from s full join t using (bucket)),
+wt as (select doc_id, sum(n)::bigint as n_features, floor(sum(n * gain)::double / sum(n)::double)::bigint as weight from dn join k using (f) join g using (bucket) group by all),
+x as (select d.doc_id, len(d.w) as n_words, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight, ('0x' || substring(sha256('7:' || d.doc_id), 1, 8))::bigint as h from d left join wt using (doc_id)),
+y as (select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from x),
+r as (select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from y where n_words >= 20)
+select y.doc_id, n_features, weight, score, case when place <= 25 * n // 100 then place end as rank from y left join r using (doc_id)
+"""
+}
