@@ -278,20 +278,28 @@ def regrouped(states: DataFrame) -> DataFrame:
 
 
 class JobState(MutableMapping):
-    """Names and values that outlast a session, such as the ids of submitted batches: a mapping over a StateTable of texts."""
+    """Names and values that outlast a session, such as the ids of submitted batches: a mapping over a StateTable of texts.
+
+    It's read anew whenever an append has come, this one's or another's.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.table = StateTable(spark, path, ("name",), texts=("name",))
+        self._seen: list[str] | None = None
+        self._known: dict[str, str] = {}
+
+    def _now(self) -> dict[str, str]:
+        names = self.table.files.names("commits")
+        if names != self._seen:
+            self._known, self._seen = {r["name"]: r["payload_json"] for r in self.table.view().collect()}, names
+        return self._known
 
     def _put(self, name: str, value: str | None, gone: bool = False) -> None:
         row = self.table.spark.createDataFrame([(name, value)], "name string, value string")
         self.table._append(row, "done", payload=F.col("value"), gone=gone)
 
     def __getitem__(self, name: str) -> str:
-        found = self.table.view().where(F.col("name") == name).first()
-        if found is None:
-            raise KeyError(name)
-        return found["payload_json"]
+        return self._now()[name]
 
     def __setitem__(self, name: str, value: str) -> None:
         self._put(name, value)
@@ -301,10 +309,10 @@ class JobState(MutableMapping):
         self._put(name, None, gone=True)
 
     def __iter__(self) -> Iterator[str]:
-        return iter(sorted(r["name"] for r in self.table.view().select("name").collect()))
+        return iter(sorted(self._now()))
 
     def __len__(self) -> int:
-        return self.table.view().count()
+        return len(self._now())
 
 
 class SourceTexts:

@@ -65,11 +65,12 @@ def run_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "i int, run_id int, status string, message string, cells_total long, cells_done long, cells_error long")
 
 
-def _chunked(spark: SparkSession, sf_dir: str, table: state.StateTable, hooks: engine.Hooks | None = None, config: str = "", **how) -> list[engine.Outcome]:
+def _chunked(spark: SparkSession, sf_dir: str, table: state.StateTable, hooks: engine.Hooks | None = None, config: str = "", n_runs: int = 2, **how) -> list[engine.Outcome]:
     """As _run(), by three chunks."""
     papers, asked = S.papers_of(spark, sf_dir), catalog.questions(spark)
     settings = f'{{"batching": {{"size": 2}}, "chunk_papers": {papers.count() // 3 + 1}{config}}}'
-    return engine.run_all(table, _runs(spark, settings), papers, asked, S.source_text_of(spark, sf_dir), engine.annotation(asked), hooks=hooks, **how)
+    runs = _runs(spark, settings).where(F.col("r_order") < n_runs)
+    return engine.run_all(table, runs, papers, asked, S.source_text_of(spark, sf_dir), engine.annotation(asked), hooks=hooks, **how)
 
 
 #: Of each row of the state: which of three chunks of papers its own is in.
@@ -121,14 +122,14 @@ class FiledBatches:
 
 
 @query(f"""with c as (select chunk, run_id, count(*) as n, count(*) filter (text <> '') as have from {_THIRDS} group by all)
-select i.step, c.run_id, case when i.step < 2 then 'parked' else 'succeeded' end as status, cast(case when i.step < 2 then 3 else 0 end as bigint) as parked, cast(sum(case when i.step < 2 then 0 else c.n end) as bigint) as done, cast(sum(case when i.step < 2 then 0 else c.have end) as bigint) as answered from c, range(3) i(step) group by all""")
+select i.step, c.run_id, case when i.step < 2 then 'parked' else 'succeeded' end as status, cast(case when i.step < 2 then 3 else 0 end as bigint) as parked, cast(sum(case when i.step < 2 then 0 else c.n end) as bigint) as done, cast(sum(case when i.step < 2 then 0 else c.have end) as bigint) as answered from c, range(3) i(step) where run_id = 10 group by all""")
 def run_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both passes by batches, a batch a chunk and pass, over three calls: submitted; pass 1 collected and pass 2 submitted; pass 2 collected."""
     table, provider, path = _table(spark), FiledBatches(spark), S.scratch(spark, "jobs")
     jobs, out = state.JobState(spark, path), []
     batches = engine.Batches(jobs, {"openai": lambda: provider}, "openai", "model")
     for step in range(3):
-        done = _chunked(spark, sf_dir, table, config=', "batch_p1": true, "batch_p2": true', batches=batches, checkpoints=f"{path}-pass1")
+        done = _chunked(spark, sf_dir, table, config=', "batch_p1": true, "batch_p2": true', n_runs=1, batches=batches, checkpoints=f"{path}-pass1")
         answered = {r["run_id"]: r["n"] for r in table.view().where("batch_group_id is not null").groupBy("run_id").agg(F.count("*").alias("n")).collect()}
         out += [(step, o.run_id, o.status, o.parked, o.done, answered.get(o.run_id, 0)) for o in done]
     return spark.createDataFrame(out, "step long, run_id long, status string, parked long, done long, answered long")
