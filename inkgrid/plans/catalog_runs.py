@@ -284,6 +284,27 @@ def arbitrate_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engine.wire(table.postable(), asked, "resolution").select("run", "paper", "dispute_item", "question_key", "status", "comment", "value")
 
 
+@query("select case when doc_id % 10 = 9 then 'done' else 'posted' end as status, 'ok' as resolution_status, cast(count(*) as bigint) as n from labels group by all")
+def resolutions_posted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolutions posted as they are kept, a call a paper; what the endpoint fails to take stays done."""
+    table = state.resolutions(spark, S.scratch(spark, "resolutions"))
+    arbitration.run(table, _arbiters(spark, "candidates_only"), catalog._disputes(spark, sf_dir), catalog.questions(spark), S.source_text_of(spark, sf_dir), hooks=engine.Hooks(send=accepting))
+    return table.view().groupBy("status", payload.body()["resolution_status"].alias("resolution_status")).agg(F.count("*").alias("n"))
+
+
+_FORMAT = "'[user]' || chr(10) || 'Write the answers below as JSON, an object with a list \"results\" of key, value, cited_text, comment, confidence.' || chr(10) || 'Keys:' || chr(10) || %s || chr(10) || chr(10) || 'Answers:' || chr(10) || 'Dummy reasoning.'"
+
+
+@query(f"select r.run_id, d.doc_id as paper_id, cast(g.group_idx as int) as group_idx, md5({_FORMAT % 'g.specs'}) as digest from {_RUNS}, documents d, (values (0, '- quality (boolean)' || chr(10) || '- kind (categorical)'), (1, '- size (integer)')) g(group_idx, specs) where d.text <> ''")
+def pass2_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What pass 2 would be asked, after the deterministic model's reasoning."""
+    task = engine.annotation(catalog.questions(spark), format_=lambda rows: rows)(S.overlaid(_CONFIG))
+    have, _ = grid.with_source(S.papers_of(spark, sf_dir), S.source_text_of(spark, sf_dir))
+    asked = engine.pass2(engine.pass1(engine.calls(_runs(spark), have, task)), task)
+    shown = prompts.preview(asked, 2).join(asked.select("cid", "run_id", "paper_id", "group_idx"), "cid")
+    return shown.select("run_id", "paper_id", F.col("group_idx").cast("int").alias("group_idx"), F.md5("prompt").alias("digest"))
+
+
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of answers as one of resolutions: the item is event_id % 400."""
     log = catalog.answer_log(spark, sf_dir).withColumn("dispute_item_id", F.col("seq") % 400).withColumnRenamed("run_id", "arbiter_run_id")
