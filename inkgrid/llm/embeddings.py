@@ -238,4 +238,15 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_embeddings": op6_embeddings}
-ORACLES: dict[str, str] = {}
+#: The same rows in DuckDB, by every pair of vectors.
+ORACLES = {
+    "op6_embeddings": r"""
+with recursive v as (select vec_id, embedding::double[] as x from embeddings),
+f as (select vec_id, x, sqrt(list_sum(list_transform(x, lambda y: y * y))) as n from v where x is not null and list_count(x) = len(x) and len(list_filter(x, lambda y: isfinite(y))) = len(x)),
+e as (select a.vec_id as a, b.vec_id as b from f a join f b on a.vec_id < b.vec_id where a.n > 0 and b.n > 0 and list_dot_product(a.x, b.x) / (a.n * b.n) >= 0.9),
+l as (select a, b from e union all select b, a from e),
+r as (select vec_id, vec_id as c from embeddings union select r.vec_id, l.b from r join l on l.a = r.c),
+d as (select a as vec_id, count(*) as n from l group by a)
+select r.vec_id, coalesce(any_value(d.n), 0)::bigint as n_links, min(r.c) as component_id, r.vec_id = min(r.c) as kept from r left join d using (vec_id) group by r.vec_id
+"""
+}

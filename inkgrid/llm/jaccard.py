@@ -460,4 +460,16 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_jaccard": op9_jaccard}
-ORACLES: dict[str, str] = {}
+#: The same rows in DuckDB: every pair that shares a shingle, and what links reach.
+ORACLES = {
+    "op9_jaccard": r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b using (g) where a.doc_id < b.doc_id group by all),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+l as (select a, b from e union all select b, a from e),
+r as (select doc_id, doc_id as c from documents union select r.doc_id, l.b from r join l on l.a = r.c)
+select r.doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles, min(r.c) as component_id from r left join n using (doc_id) group by r.doc_id
+"""
+}
