@@ -153,6 +153,12 @@ def encoder(path: str, specials_as_text: bool = False) -> Encoder:
     return _encoders[key]
 
 
+def forget() -> None:
+    """Frees the words and pieces that this worker knows, at the start of work that needs the memory and encodes nothing."""
+    for known in _encoders.values():
+        known.forget()
+
+
 def in_batches(texts: Iterable[str | None], chars: int = 1_000_000) -> Iterable[list[str]]:
     """Runs of texts of about so many characters; a longer text is a run of its own."""
     run, size = [], 0
