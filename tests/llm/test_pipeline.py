@@ -37,7 +37,7 @@ def test_stages_one_by_one(spark):
 def test_runs_as_a_query(spark):
     assert __spark_entry__.queries()["pipeline"](spark, DATA).count() > 0
     names = [k for k in __spark_entry__.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
 
 
 def test_entry_without_the_llm_folder(monkeypatch):
