@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import common, graphs, shingles, tokens
 
 #: Shingles of a block that is dealt at once, and of a hash range, about. Many ranges make larger blocks, so that a block has LEAST shingles in each.
-BLOCK, RANGE, MOST_BITS, LEAST = 1_000_000, 1_500_000, 18, 64
+BLOCK, RANGE, MOST_BITS, LEAST = 600_000, 900_000, 18, 64
 CHARS_PER_WORD = 5
 #: Prefix elements of a task, about.
 PREFIX_RANGE = 100_000
@@ -94,9 +94,9 @@ def _deal(bits: int):
                 yield p, block, some.astype(np.int32).tobytes(), counts[some].astype(np.int32).tobytes(), low[a:b].tobytes(), None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens.forget()  # of an earlier stage in this worker
         from pyspark import TaskContext
 
+        tokens.forget()  # of an earlier stage in this worker
         block = TaskContext.get().partitionId() << 24
         ids, sets, total = [], [], 0
         for pdf in batches:
