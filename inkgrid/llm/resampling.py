@@ -9,8 +9,8 @@ of their smoothed ratio. The product of the matrix and the gains, over the count
 Draw. A weight gets Gumbel noise from a hash of the id, and the highest sums win: a draw without replacement, the same each time. Ranks
 come from a sort by ranges of the sums: a row's rank is its place in its range plus the rows of the ranges before.
 
-What a task holds: a block (of about BLOCK entries, or of one text, which has BUCKETS entries at most) and one text's words. What goes through
-the driver: two distributions of BUCKETS numbers, and a number a range.
+What a task holds: GROUP blocks (of about BLOCK entries each; one text adds BUCKETS at most), a batch of Arrow, whose bytes Spark bounds,
+and one text's words. What goes through the driver: two distributions of BUCKETS numbers, and a number a range.
 
 Nulls: a null text has no words; a null doc_id hashes as the empty text and sorts last among ties. Rows stay rows, repeated ones too, each
 counted and drawn by itself (those of one id have the same noise). An empty table gives an empty result; an empty target or a bucket that
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS, LONGEST = 10_000, 2
-#: Entries of a block, about.
-BLOCK = 1_000_000
+#: Entries of a block, about; blocks of a row group. Spark's reader holds a row group's blocks at once, and its writer those that it collects.
+BLOCK, GROUP = 100_000, 16
 #: The draw: the share of the rows that have LEAST words, in per cent, and the seed of the noise.
 SHARE, LEAST, SEED = 25, 20, 7
 #: A gain is in thousandths.
@@ -112,7 +112,7 @@ class Matrix:
                 yield pa.RecordBatch.from_pylist([row], schema=_ROWS_ARROW)
 
         texts = docs.select(id_col.cast("long").alias("id"), text_col.cast("string").cast("binary").alias("text"))
-        return Matrix(*common.written(texts.mapInArrow(run, ROWS), compression="zstd"), buckets)
+        return Matrix(*common.written(texts.mapInArrow(run, ROWS), **{"compression": "zstd", "parquet.block.row.count.limit": str(GROUP)}), buckets)
 
     def column_sums(self) -> np.ndarray:
         """The sum of each column: each task's sums, then theirs."""

@@ -83,6 +83,21 @@ def test_matrix(spark, docs):
     assert sorted(r["product"] for r in matrix.times(v).collect()) == sorted((dense @ v).tolist())
 
 
+def test_matrix_is_read_by_small_row_groups(spark):
+    """A task of Spark's reader and writer holds a row group: few blocks of few bytes, however many a file has."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    said = F.expr("array_join(transform(sequence(1, 6000), i -> concat('w', i * 7 + id)), ' ')")
+    docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), said.alias("text"))
+    matrix = resampling.Matrix.build(docs, F.col("doc_id"), F.col("text"))
+    files = [pq.ParquetFile(f).metadata for f in Path(matrix.path).glob("*.parquet")]
+    groups = [f.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > resampling.GROUP
+    assert max(sum(g.column(c).total_uncompressed_size for c in range(g.num_columns)) for g in groups) < 2**24
+
+
 def counted(text):
     text = text or ""
     w = re.findall("[^\x20\x09-\x0d]+", text)
