@@ -84,3 +84,35 @@ def test_blank_quotes_are_no_citations(spark):
     quotes = F.array(*map(F.lit, ["\n\t", " ", " ", "", "a", " b\n"]))
     row = spark.range(1).select(C.citations(quotes, F.array(*[F.lit(True)] * 6)).alias("c"), C.ellipsis_parts(F.lit("\ta\n ... \n… b ")).alias("e"), C.simple_text(F.array(F.lit(" A  b"), F.lit("\tc"))).alias("s")).first()
     assert [c.text for c in row.c] == ["a", " b\n"] and row.e == ["a", "b"] and row.s == "a b c"
+
+
+def test_replies_are_read_once_by_one_function(spark):
+    """No variant expressions, which a filter over the results would evaluate again, and values shown as Python shows them."""
+    from inkgrid.operators import sinks
+
+    none = F.lit(None).cast("string")
+    said = F.struct(F.lit('{"key":"a","value":[1.0,"x",["y\'"],{"z":null}]}').alias("text"), none.alias("error"))
+    done = spark.range(5).select(F.col("id").cast("string").alias("cid"), F.array(F.lit("a"), F.lit("b")).alias("keys"), none.alias("pass1_text"), said.alias("completion"))
+    put_aside = sinks.quarantine(done)
+    assert [list(r.failed_keys) for r in put_aside.collect()] == [["b"]] * 5
+    assert "variant" not in put_aside._jdf.queryExecution().optimizedPlan().toString().lower()
+    for x in ([1.0, "x", ["y'"], {"z": None}], [], ["a"], [[[]], True]):
+        got = replies.value_of(x)
+        assert (got["said"], got["items"]) == (str(x), [str(i) for i in x])
+
+
+def test_texts_that_nothing_is_quoted_from_are_not_read(spark, monkeypatch):
+    from inkgrid.functions import evidence
+    from inkgrid.plans import catalog, engine
+
+    def told(cited, kinds, text):
+        return F.transform(cited, lambda q: F.struct(F.lit(True).alias("ok"), F.coalesce(text, F.lit("unread")).alias("note"), F.array().cast("array<boolean>").alias("each"), F.array().cast("array<string>").alias("notes")))
+
+    monkeypatch.setattr(evidence, "verify_columns", lambda *how: told)
+    task = engine.annotation(catalog.questions(spark))(engine.S.overlaid('{"batching": "all"}'))
+    rows = spark.createDataFrame([("c", 1, 2, 0, ["quality", "kind", "size"], "a text", "", "")], "cid string, run_id long, paper_id long, group_idx int, keys array<string>, source string, questions string, messages string")
+    quoted = lambda rows: F.concat(F.lit('{"key":"'), rows, F.lit('","value":null,"cited_text":"a quote"}'))
+    formatted = engine.pass2(engine.pass1(rows), task)
+    notes = lambda f: {r.note for r in engine.answers(f, task).select("checked.note").collect()}
+    assert notes(formatted) == {"unread"}
+    assert notes(formatted.withColumn("completion", F.col("completion").withField("text", F.array_join(F.transform("keys", quoted), "\n")))) == {"a text"}
