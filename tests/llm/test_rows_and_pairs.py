@@ -146,6 +146,20 @@ def test_threshold():
     assert outliers.threshold(anomaly, good, 0.75) == 0.3
 
 
+def test_verdict_is_of_all_labelled_rows(spark):
+    """Of more rows than any bound that there was: the threshold is that of all anomalies, and trees draw from the whole table."""
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), *(F.lit(100 if c == "n_words" else 0).cast("long").alias(c) for c in outliers.COUNTS), *((F.rand(i) + (F.col("id") % 3 == 0).cast("int") * 0.3).alias(t) for i, t in enumerate(outliers.TRAITS)))
+    stats, _ = common.written(rows)
+    labels = stats.select("doc_id", (F.col("doc_id") % 3 != 0).cast("int").alias("quality"))
+    verdict = outliers.calibrate(stats, labels)
+    known = stats.toPandas()
+    anomaly = verdict.forest.anomaly(known[list(outliers.TRAITS)].to_numpy(float))
+    assert verdict.at == outliers.threshold(anomaly, (known["doc_id"] % 3 != 0).to_numpy())
+    assert verdict.forest.trait.shape[0] == outliers.TREES
+    again = outliers.calibrate(stats.repartition(3), labels)
+    assert again.at == verdict.at and (again.forest.at == verdict.forest.at).all()
+
+
 def test_rules_keep_good_texts(spark):
     """On the labels of sf0.1: hardly a good text goes that passes the fixed rules, and most of the bad ones do."""
     docs, labels = (common.read(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
