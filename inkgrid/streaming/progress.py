@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -44,36 +47,38 @@ def throttled_stream(beats: DataFrame, key: str = "run_id", ts: str = "ts", tie:
 
     Heartbeats may come out of order by `late` at most, later ones are left out. They wait until the watermark has passed them and are taken in time order then
     (equal times by `tie`), so the same ones are sent as of a batch. Runs are groups, so each goes by itself; a restart goes on from the checkpoint.
-    A run's state is its rows of the last micro-batch and of `late`: bound the micro-batch (maxFilesPerTrigger) where much is read at once.
+    A run's state is its rows of the last micro-batch and of `late`, as a compressed Arrow table: bound the micro-batch (maxFilesPerTrigger) where much
+    is read at once. Heartbeats without a time are left out.
     """
-    fields = [(f.name, f.dataType.simpleString()) for f in beats.schema]
-    output = ", ".join(f"`{n}` {t}" for n, t in fields)
-    names, step = [n for n, _ in fields], pd.Timedelta(seconds=seconds)
-    place = names.index(ts)
+    output = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in beats.schema)
+    schema = pa.schema([(f.name, pa.timestamp("us") if isinstance(f.dataType, T.TimestampType) else to_arrow_type(f.dataType)) for f in beats.schema])
+    step = round(seconds * 1_000_000)
 
     def run(_: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        last, held = kept.get if kept.exists else (None, "[]")
-        rows = [pd.DataFrame(json.loads(held), columns=names)] if held != "[]" else []
-        for r in rows:
-            r[ts] = pd.to_datetime(r[ts], unit="us")
-        rows = pd.concat([*rows, *frames]) if not kept.hasTimedOut else (rows[0] if rows else pd.DataFrame(columns=names))
-        rows = rows.sort_values([ts, tie], kind="stable")
+        last, held = kept.get if kept.exists else (None, None)
+        rows = [pa.ipc.open_stream(held).read_all()] if held else []
+        if not kept.hasTimedOut:
+            rows += [pa.Table.from_pandas(f, schema, preserve_index=False) for f in frames]
+        rows = pa.concat_tables([schema.empty_table(), *rows])
+        rows = rows.filter(rows[ts].is_valid()).sort_by([(ts, "ascending"), (tie, "ascending")])
+        times = rows[ts].cast(pa.int64()).to_numpy()
         mark = kept.getCurrentWatermarkMs()
-        passed = rows[ts] < pd.Timestamp(mark + 1, unit="ms")  # a watermark counts whole milliseconds
-        ready, rest = rows[passed], rows[~passed]
-        sent, then = [], None if last is None else pd.Timestamp(last, unit="us")
-        for t in ready[ts]:
-            send = then is None or t - then >= step
-            then = t if send else then
-            sent.append(send)
-        waiting = [[x.value // 1000 if i == place else x for i, x in enumerate(r)] for r in rest.astype(object).itertuples(index=False)]
-        kept.update((None if then is None else then.value // 1000, json.dumps(waiting, default=int)))
-        if waiting:
-            kept.setTimeoutTimestamp(max(waiting[0][place] // 1000 - 1, mark + 1))
-        yield ready[sent]
+        passed = int(np.searchsorted(times, (mark + 1) * 1000))  # a watermark counts whole milliseconds
+        sent, at = [], 0 if last is None else int(np.searchsorted(times, last + step))
+        while at < passed:
+            sent.append(at)
+            last = int(times[at])
+            at = max(at + 1, int(np.searchsorted(times, last + step)))
+        out, waiting = pa.BufferOutputStream(), rows.slice(passed)
+        with pa.ipc.new_stream(out, schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+            writer.write_table(waiting)
+        kept.update((last, out.getvalue().to_pybytes() if waiting.num_rows else None))
+        if waiting.num_rows:
+            kept.setTimeoutTimestamp(max(int(times[passed]) // 1000 - 1, mark + 1))
+        yield rows.take(pa.array(sent, pa.int64())).to_pandas()
 
     watched = beats.withWatermark(ts, late).groupBy(key)
-    return watched.applyInPandasWithState(run, output, "last long, held string", "append", GroupStateTimeout.EventTimeTimeout)
+    return watched.applyInPandasWithState(run, output, "last long, held binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 class Throttle:

@@ -33,6 +33,19 @@ def test_a_stream_of_heartbeats_is_throttled_as_a_batch(spark, tmp_path):
     assert len(got) == len({*got}) and {*got} == want and 40 < len(want) < 150
 
 
+def test_what_waits_in_a_stream_keeps_every_kind_of_column(spark, tmp_path):
+    """Heartbeats that wait for the watermark are kept as an Arrow table: bytes, decimals and missing values too, in few bytes each."""
+    source, target, at = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    more = [F.col("event_id").cast("string").cast("binary").alias("b"), F.col("event_id").cast("decimal(20,3)").alias("d"), F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("n")]
+    rows = beats(spark, [(i, 0, 1000.0 + i) for i in range(3000)]).select("*", *more)
+    rows.coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    progress.throttled_stream(stream, late="10 seconds").writeStream.format("parquet").option("path", target).option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(target).orderBy("event_id").collect()]
+    want = [tuple(r) for r in progress.throttled(rows).orderBy("event_id").where("event_id < 2989").collect()]
+    assert got == want and len(want) > 1000
+
+
 @pytest.fixture
 def store(monkeypatch):
     """A module that tasks can import: they run where the driver does in tests."""
