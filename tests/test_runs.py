@@ -280,3 +280,14 @@ def test_a_dry_run_tells_every_line(spark, table):
     out = engine.run_all(table, runs_of(spark, {"chunk_papers": 2}, 2), papers, asked, texts, engine.annotation(asked), hooks=engine.Hooks(dry_run=True))
     assert [o.lines.count() for o in out] == [15, 15] and table.view().where("status = 'posted'").count() == 0
     assert out[1].lines.where("line like 'run=11 paper=% q=% value=null'").count() == 15
+
+
+def test_few_chunks_are_written_where_their_rows_are(spark, tmp_path):
+    """Of few chunks each has a folder, written by all tasks that hold rows of it, without another exchange."""
+    dealt = engine.Dealt(spark, str(tmp_path / "dealt"), 3)
+    rows = spark.range(0, 3000, 1, 4).select(F.col("id").alias("paper_id"), (F.col("id") % 3).alias("chunk"))
+    dealt.put("texts", rows)
+    for c in range(3):
+        got = dealt.of("texts", c)
+        assert sorted(r.paper_id for r in got.collect()) == list(range(c, 3000, 3)) and len(got.inputFiles()) == 4
+    assert dealt.of("texts", 7).count() == 0
