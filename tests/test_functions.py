@@ -163,3 +163,18 @@ def test_parked_batch():
     with pytest.raises(complete.BatchPending):
         go()
     assert state == {"1:p1:0": "b1"} and go() == "rows of b1" and state == {} and len(submitted) == 1
+
+
+def test_quotes_are_verified_on_arrow_batches(spark):
+    """A batch's texts stay in Arrow; rows without a text, quotes or kinds have the results that a Source gives."""
+    from pyspark.util import PythonEvalType
+
+    check = evidence.verify_columns()
+    assert check.evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
+    text = "The quick brown fox jumps over the lazy dog and sleeps."
+    given = [(text, [["quick brown fox jumps over"], ["not in this text at all, no"]], ["list", "text"]), (text, [None, [None, "short"]], ["text", "list"]), (None, [["quick brown fox jumps over"]], ["list"]), (text, None, None)]
+    rows = spark.createDataFrame(given, "t string, c array<array<string>>, k array<string>").coalesce(1)
+    for (t, cited, kinds), r in zip(given, rows.select(check("c", "k", "t").alias("v")).collect(), strict=True):
+        source = evidence.Source(evidence.normalised(t or ""))
+        says = [((q or [""])[0] if k == "text" else q or []) for q, k in zip(cited or [], kinds or [], strict=True)]
+        assert [(x.ok, x.note, list(zip(x.each, x.notes, strict=True))) for x in r.v] == [(*source.verify(q), source.verify_each(q)) for q in says]
