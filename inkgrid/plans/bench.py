@@ -32,7 +32,7 @@ def reference(rows: DataFrame) -> DataFrame:
 def compare(stored: DataFrame, source_text: DataFrame, task: engine.Task, models: Mapping[str, engine.Model]) -> DataFrame:
     """A row a format model and cell: format_model, keys, and ROW. Groups without stored reasoning are left out."""
     groups = engine.regrouped(engine.with_plan(state.regrouped(stored), task), F.get_json_object("payload_json", "$.raw_response")).where("pass1_text is not null")
-    own = engine.of_rows(task, groups)
+    own = replace(task, stored=True)
     blank = F.struct(F.col("pass1_text").alias("text"), *(F.col(f"p1.{n}").alias(n) for n in ("usage", "cost", "latency_ms")), F.lit(None).cast("string").alias("error"))
     asked = engine.with_text(groups, source_text, task).withColumn("p1", blank)
     out = None

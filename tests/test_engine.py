@@ -105,6 +105,42 @@ def test_reformat_replaces_answers_and_keeps_the_rest(spark, table):
     assert engine.reformat(table, plan[3], task_of(plan, format_=first))[0] == 0
 
 
+def saying_keys(key):
+    """A format model by a callable: each key's own name as its value; what key() gives of a call is counted."""
+
+    def model(rows):
+        def one(row):
+            key(row["cid"])
+            return {"text": "\n".join(json.dumps({"key": k, "value": f"of {k}"}) for k in row["keys"])}
+
+        return complete.complete(rows, one, columns=("cid", "messages", "keys"))
+
+    return model
+
+
+def test_reformat_asks_once_for_a_group(spark, table):
+    plan, asked = inputs(spark), spark.sparkContext.accumulator(0)
+    engine.resume(table, *plan, batching={"size": 2})
+    task = engine.annotation(plan[2], format_=saying_keys(lambda cid: asked.add(1)))(documents.RUN_DEFAULTS | {"batching": {"size": 2}})
+    assert engine.reformat(table, plan[3], task) == (2 * 3 * 3, 2 * 3) and asked.value == 2 * 3 * 2
+
+
+def test_reformat_of_runs_that_were_grouped_otherwise(spark, table):
+    """Groups of two runs of a paper begin with the same question and go on with others: each keeps its own questions."""
+    runs, *plan = inputs(spark)
+    engine.resume(table, runs.where("run_id = 10"), *plan, batching=[["quality", "size"]])
+    engine.resume(table, runs.where("run_id = 11"), *plan, batching="all")
+    assert engine.reformat(table, plan[2], task_of((runs, *plan), format_=saying_keys(lambda cid: None))) == (2 * 3 * 3, 2 * 3)
+    said = {14: "of quality", 15: "of kind", 16: "of size"}
+    rows = table.view().where("paper_id < 3").collect()
+    assert len(rows) == 18 and all(json.loads(json.loads(r.payload_json)["raw_response"])["parse_result"]["value"]["said"] == said[r.version_id] for r in rows)
+
+
+def test_reformat_of_nothing(spark, table):
+    plan = inputs(spark)
+    assert engine.reformat(table, plan[3], task_of(plan)) == (0, 0)
+
+
 def runs_of(spark, config, n=2):
     return spark.createDataFrame([(10 + i, f"run {i}", json.dumps(config), i) for i in range(n)], "run_id long, name string, config string, r_order int")
 

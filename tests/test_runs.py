@@ -291,3 +291,42 @@ def test_few_chunks_are_written_where_their_rows_are(spark, tmp_path):
         got = dealt.of("texts", c)
         assert sorted(r.paper_id for r in got.collect()) == list(range(c, 3000, 3)) and len(got.inputFiles()) == 4
     assert dealt.of("texts", 7).count() == 0
+
+
+def shuffled_by_stage(spark):
+    """Bytes that each stage that Spark still knows of dealt out."""
+    sc = spark.sparkContext
+    listed = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    stages = [listed.apply(i) for i in range(listed.size())]
+    return {s.stageId(): s.shuffleWriteBytes() for s in stages}
+
+
+def shuffle_files(spark):
+    """Bytes of the shuffle files that stand on disk now."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [found.apply(i) for i in range(found.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_texts_are_dealt_out_once_a_run_and_go(spark, table):
+    """Texts that don't compress: each run deals them out once, formatting again once more, and none of it is left."""
+    n, size = 60, 10_000
+    papers, asked, _ = inputs(spark, n)
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(size // 64)), lambda i: F.sha2(F.concat_ws("-", "paper_id", i), 256)), "")
+    texts = spark.createDataFrame(papers.select("paper_id", text.alias("markdown")).toArrow())
+    task = engine.annotation(asked)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    known, stood, sent, freed = shuffled_by_stage(spark), shuffle_files(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get(setting)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        engine.run_all(table, runs_of(spark, {"chunk_papers": 0, "batching": {"size": 2}}, 2), papers, asked, texts, task)
+        engine.reformat(table, texts, task(S.RUN_DEFAULTS))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", sent)
+    assert 2.5 * n * size < sum(b for stage, b in shuffled_by_stage(spark).items() if stage not in known) < 3.5 * n * size
+    for _ in range(50):
+        left = sum(length for name, length in shuffle_files(spark).items() if name not in stood)
+        if left < 0.5 * n * size:
+            break
+        time.sleep(0.2)
+    assert left < 0.5 * n * size and spark.conf.get(setting) == freed and table.view().count() == n * 2 * 3
